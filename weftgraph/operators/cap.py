@@ -69,7 +69,7 @@ def edge_complete_nodes(kept: DataFrame, valid: DataFrame) -> DataFrame:
     ends = valid.select("graph_id", F.explode(F.array(
         F.struct(F.col("dst").alias("id"), F.col("targetname").alias("name"), F.col("targettype").alias("type")),
         F.struct(F.col("src").alias("id"), F.col("sourcename").alias("name"), F.col("sourcetype").alias("type")),
-    )).alias("e")).select("graph_id", "e.id", F.lit(1).alias("priority"), "e.name", "e.type")
+    )).alias("e")).select("graph_id", "e.id", F.lit(1).alias("priority"), "e.name", "e.type").distinct()
     best = F.min(F.struct("priority", "name", "type"))
     return (first.unionByName(ends).groupBy("graph_id", "id").agg(best.alias("b"))
             .select("graph_id", "id", F.col("b.name").alias("name"), F.col("b.type").alias("type")))

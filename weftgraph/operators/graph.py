@@ -9,17 +9,20 @@ from weftgraph.functions.expressions import MISSING_NAME, MISSING_TYPE
 from weftgraph.plans.broadcast import size_checked_broadcast
 
 
-def valid_edges(edges: DataFrame, losers: DataFrame, losers_rows: int | None = None) -> DataFrame:
+def valid_edges(edges: DataFrame, losers: DataFrame, losers_rows: int | None = None,
+                count_if_unknown: bool = False) -> DataFrame:
     """G1 + G2: keep the edges whose both ends are vertices.
 
     An end is not a vertex when it is 0 (absent or non-account) or an account
     that won no name (``losers``).  Instead of two semi joins of the edges with
     the whole vertex table, the edges are anti-joined with the losing ids, a set
-    that is usually tiny: broadcast when its counted size allows, so the edges
-    are filtered where they are read, with no shuffle; a shuffle join otherwise.
+    that is usually tiny: broadcast when its size is known to be small (a
+    count, or the file statistics of a materialised table checked by Spark's
+    broadcast threshold), so the edges are filtered where they are read, with
+    no shuffle; a shuffle join otherwise.
     """
     kept = edges.where((F.col("src") != 0) & (F.col("dst") != 0))
-    lost = size_checked_broadcast(losers, losers_rows)
+    lost = size_checked_broadcast(losers, losers_rows, count_if_unknown=count_if_unknown)
     lost_src = lost.select("graph_id", F.col("id").alias("src"))
     lost_dst = lost.select("graph_id", F.col("id").alias("dst"))
     return kept.join(lost_src, ["graph_id", "src"], "left_anti").join(lost_dst, ["graph_id", "dst"], "left_anti")
@@ -70,8 +73,13 @@ def name_counts(vertices: DataFrame) -> DataFrame:
         F.sum("n").cast("bigint").alias("n_vertices"), F.count(F.lit(1)).alias("n_names"))
 
 
-def max_degree_vertex(nodes_deg: DataFrame) -> DataFrame:
-    """The vertex of highest degree per network; ties go to the lowest id."""
-    best = F.max(F.struct(F.col("degree"), (-F.col("id")).alias("neg_id")))
-    return (nodes_deg.groupBy("graph_id").agg(best.alias("b"))
-            .select("graph_id", (-F.col("b.neg_id")).alias("id"), F.col("b.degree").alias("degree")))
+def max_degree_vertex(nodes_deg: DataFrame, n_graphs: int | None = None) -> DataFrame:
+    """The vertex of highest degree per network; ties go to the lowest id.
+
+    Two hash aggregations: the top degree per network (one row per network,
+    broadcast), then the lowest id among the vertices that reach it.
+    """
+    top = nodes_deg.groupBy("graph_id").agg(F.max("degree").alias("top"))
+    top = size_checked_broadcast(top, n_graphs, count_if_unknown=False)
+    return (nodes_deg.join(top, "graph_id").where(F.col("degree") == F.col("top"))
+            .groupBy("graph_id").agg(F.min("id").alias("id"), F.max("degree").alias("degree")))

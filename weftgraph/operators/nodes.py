@@ -29,25 +29,34 @@ def endpoint_union(interactions: DataFrame) -> DataFrame:
     return src.unionByName(dst)
 
 
-def nodes_by_name(endpoints: DataFrame) -> DataFrame:
+def distinct_endpoints(endpoints: DataFrame) -> DataFrame:
+    """The distinct ``(graph_id, name, id, type)`` of a network's endpoints.
+
+    A hash aggregate with map-side combining: an account or a name repeated in
+    a third of the documents leaves each task as one row.  The later picks then
+    work on node-sized rows only.
+    """
+    return endpoints.select("graph_id", "name", "id", "type").distinct()
+
+
+def nodes_by_name(distinct_eps: DataFrame) -> DataFrame:
     """One row per name and network.
 
     The winner is fixed: an account before a non-account, then the lowest id,
-    then the lowest type.  ``min`` over a struct is a partial aggregate, so a
-    hot name is reduced map-side.
+    then the lowest type (``min`` over a struct, combined map-side).
     """
     best = F.min(F.struct((F.col("id") == 0).alias("non_account"), F.col("id"), F.col("type")))
-    return (endpoints.groupBy("graph_id", "name").agg(best.alias("w"))
+    return (distinct_eps.groupBy("graph_id", "name").agg(best.alias("w"))
             .select("graph_id", F.col("w.id").alias("id"), "name", F.col("w.type").alias("type")))
 
 
-def losing_accounts(endpoints: DataFrame, by_name: DataFrame) -> DataFrame:
+def losing_accounts(distinct_eps: DataFrame, by_name: DataFrame) -> DataFrame:
     """Account ids seen in a network that won no name: their edges are dropped.
 
     Every non-zero edge endpoint is an account endpoint, so an edge is valid
     exactly when neither end is 0 nor in this set.
     """
-    seen = endpoints.where(F.col("id") != 0).select("graph_id", "id").distinct()
+    seen = distinct_eps.where(F.col("id") != 0).select("graph_id", "id").distinct()
     won = by_name.where(F.col("id") != 0).select("graph_id", "id")
     return seen.join(won, ["graph_id", "id"], "left_anti")
 

@@ -29,7 +29,7 @@ from weftgraph.operators.select import pushdown_predicate, select_documents
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from weftgraph.session import materialize
 from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, SELECTIONS, day_count,
-                                        normalize_requests, requests_frame)
+                                        normalize_requests, requests_frame, unique_requests)
 from weftgraph.sources.widerow import select_from_wide_rows
 
 
@@ -71,7 +71,7 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
                 source_kind: str = "flat", cap: int = DEFAULT_CAP, cap_mode: str = capops.INDUCED,
                 account_type: str = ACCOUNT_TYPE, id_prefix: str = ID_PREFIX,
                 require_target: bool = True, on_bad: str = "fail", strict_requests: bool = True,
-                materialize_mode: str = "checkpoint",
+                materialize_mode: str = "table",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GraphBuild:
     """Build the networks of all ``requests`` from ``source`` in one plan.
 
@@ -88,9 +88,9 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     if isinstance(requests, DataFrame):
         req_df = requests
     else:
-        request_list = list(requests)
+        request_list = unique_requests(requests, selection)
         req_df = requests_frame(spark, request_list)
-    normalized = normalize_requests(req_df, selection, strict_requests)
+    normalized = normalize_requests(req_df, selection, strict_requests, dedupe=request_list is None)
     n_graphs = len(request_list) if request_list is not None else normalized.count()
     request_rows = _request_bound(request_list, selection) if request_list is not None else None
 
@@ -106,27 +106,25 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         raise ValueError("source_kind must be 'flat' or 'wide'")
 
     # The interaction table; read by the node and the edge branches.
-    interactions = resolve_endpoints(documents, account_type, id_prefix, on_bad)
-    interactions = materialize(interactions, "persist" if materialize_mode != "none" else "none")
+    keep = materialize_mode
+    interactions = materialize(resolve_endpoints(documents, account_type, id_prefix, on_bad), keep, "interactions")
 
-    # Vertices.
+    # Vertices, from the distinct endpoints (node-sized after map-side combining).
     endpoints = nodeops.endpoint_union(interactions)
-    by_name = nodeops.nodes_by_name(endpoints)
+    distinct_eps = materialize(nodeops.distinct_endpoints(endpoints), keep, "endpoints")
+    by_name = materialize(nodeops.nodes_by_name(distinct_eps), keep, "by_name")
     numbered = nodeops.number_nodes(by_name, n_graphs)
     vertices = nodeops.nodes_final(numbered)
-    losers = nodeops.losing_accounts(endpoints, by_name)
-    if materialize_mode != "none":
-        losers = materialize(losers, materialize_mode)
-    losers_rows = losers.count() if materialize_mode != "none" else None
+    losers = materialize(nodeops.losing_accounts(distinct_eps, by_name), keep, "losers")
+    # A table read back from files carries its real size, so Spark's own broadcast
+    # threshold is a checked bound; other modes count the (small) frame.
+    losers_rows = losers.count() if keep in ("persist", "checkpoint") else None
 
-    # Valid edges; G4–G7: degrees.
+    # Valid edges (checkpointed: read by degrees, the cap and the output); G4–G7: degrees.
     edges = edges_of(interactions)
-    valid = graphops.valid_edges(edges, losers, losers_rows)
-    valid = materialize(valid, materialize_mode)
+    valid = materialize(graphops.valid_edges(edges, losers, losers_rows), keep, "valid_edges")
     degs = graphops.degrees(valid)
-    vertices = materialize(vertices, materialize_mode)
-    nodes_deg = graphops.nodes_with_degree(vertices, degs)
-    nodes_deg = materialize(nodes_deg, "persist" if materialize_mode != "none" else "none")
+    nodes_deg = materialize(graphops.nodes_with_degree(vertices, degs), keep, "nodes_deg")
 
     # G11/G12 and G13/G14.
     thresholds = capops.degree_thresholds(nodes_deg, cap)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -67,21 +69,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, how: str = "table", name: str = "frame") -> DataFrame:
     """Cut lineage of a frame that is read several times.
 
-    ``checkpoint`` writes it reliably to the checkpoint directory, so a lost
-    executor does not force a recomputation from the source scan; ``persist``
-    keeps it in executor memory/disk (recomputed from lineage if lost);
-    ``none`` leaves the plan lazy.
+    ``table`` writes it as Parquet under the checkpoint directory (a shared
+    folder on a cluster) and reads it back: one job, no recomputation when an
+    executor is lost, a plan leaf with real file statistics for later broadcast
+    and skew decisions.  ``checkpoint`` uses ``DataFrame.checkpoint`` (the same
+    folder, RDD files).  ``persist`` keeps it in executor memory/disk
+    (recomputed from lineage if lost).  ``none`` leaves the plan lazy.
     """
     if how == "none":
         return df
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
     if how == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
+    if how == "table":
+        path = f"{root.rstrip('/')}/weftgraph-tables/{name}-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path)
     raise ValueError(f"unknown materialize mode: {how!r}")
 
 

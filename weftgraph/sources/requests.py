@@ -33,11 +33,25 @@ MS_PER_DAY = 86_400_000
 
 
 def requests_frame(spark: SparkSession, requests: Iterable[Mapping[str, object]]) -> DataFrame:
-    """Requests given as dicts (the JSON objects of the queue) -> DataFrame."""
-    rows = []
-    for r in requests:
-        rows.append(tuple(None if r.get(f.name) is None else str(r.get(f.name)) for f in REQUEST_SCHEMA.fields))
-    return spark.createDataFrame(rows, REQUEST_SCHEMA)
+    """Requests given as dicts (the JSON objects of the queue) -> DataFrame.
+
+    Built as a SQL ``VALUES`` list with bound parameters, i.e. a local relation:
+    Catalyst folds the request normalisation into constants and a broadcast of
+    it needs no Spark job.
+    """
+    names = [f.name for f in REQUEST_SCHEMA.fields]
+    rows, args = [], {}
+    for j, r in enumerate(requests):
+        marks = []
+        for i, n in enumerate(names):
+            args[f"r{j}c{i}"] = None if r.get(n) is None else str(r.get(n))
+            marks.append(f":r{j}c{i}")
+        rows.append("(" + ", ".join(marks) + ")")
+    if not rows:
+        return spark.createDataFrame([], REQUEST_SCHEMA)
+    cols = ", ".join(f"c{i}" for i in range(len(names)))
+    select = ", ".join(f"CAST(c{i} AS STRING) AS `{n}`" for i, n in enumerate(names))
+    return spark.sql(f"SELECT {select} FROM VALUES {', '.join(rows)} AS t({cols})", args=args)
 
 
 def decode_requests(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -50,7 +64,7 @@ def default_graph_id(criteria_id: Column, code: Column, start: Column, end: Colu
     return F.concat_ws("_", criteria_id, F.coalesce(code, F.lit("ALL")), start, end)
 
 
-def normalize_requests(requests: DataFrame, selection: str, strict: bool = True) -> DataFrame:
+def normalize_requests(requests: DataFrame, selection: str, strict: bool = True, dedupe: bool = True) -> DataFrame:
     """Add ``graph_id``, the platform ``code``, the bounds in ms and as day keys.
 
     In ``timestamp_range`` mode the platform is optional (the document-store
@@ -76,7 +90,22 @@ def normalize_requests(requests: DataFrame, selection: str, strict: bool = True)
            .withColumn("start_day", day_of_millis(F.col("from_ms")))
            .withColumn("end_day", day_of_millis(F.col("to_ms")))
            .withColumn("graph_id", gid))
-    return out.dropDuplicates(["graph_id"])
+    return out.dropDuplicates(["graph_id"]) if dedupe else out
+
+
+def unique_requests(requests: Iterable[Mapping[str, object]], selection: str) -> list[dict]:
+    """Driver-side de-duplication of a request list: one request per network key."""
+    seen, out = set(), []
+    for r in requests:
+        r = dict(r)
+        platform = r.get("platform")
+        if selection == TIMESTAMP_RANGE and platform == "":
+            r["platform"] = platform = None
+        key = r.get("graph_id") or (r.get("criteria_id"), platform, r.get("from"), r.get("to"))
+        if key not in seen:
+            seen.add(key)
+            out.append(r)
+    return out
 
 
 def request_days(normalized: DataFrame, selection: str) -> DataFrame:

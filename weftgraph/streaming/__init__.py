@@ -1,0 +1,3 @@
+from weftgraph.streaming.requests_stream import completion_records, process_batch, run_stream
+
+__all__ = ["completion_records", "process_batch", "run_stream"]

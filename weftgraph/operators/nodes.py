@@ -32,9 +32,11 @@ def endpoint_union(interactions: DataFrame) -> DataFrame:
 def distinct_endpoints(endpoints: DataFrame) -> DataFrame:
     """The distinct ``(graph_id, name, id, type)`` of a network's endpoints.
 
-    A hash aggregate with map-side combining: an account or a name repeated in
-    a third of the documents leaves each task as one row.  The later picks then
-    work on node-sized rows only.
+    An aggregate with map-side combining: an account or a name repeated in a
+    third of the documents leaves each task as one row.  Under the
+    duplicate-insensitive ``min`` of D2 Catalyst drops this step
+    (``RemoveRedundantAggregates``); D2's own partial aggregation then does the
+    combining.
     """
     return endpoints.select("graph_id", "name", "id", "type").distinct()
 

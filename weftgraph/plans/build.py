@@ -27,7 +27,7 @@ from weftgraph.operators import nodes as nodeops
 from weftgraph.operators.resolve import edges_of, resolve_endpoints
 from weftgraph.operators.select import pushdown_predicate, select_documents
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
-from weftgraph.session import materialize
+from weftgraph.session import materialize, materialize_together
 from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, SELECTIONS, day_count,
                                         normalize_requests, requests_frame, unique_requests)
 from weftgraph.sources.widerow import select_from_wide_rows
@@ -110,12 +110,15 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     interactions = materialize(resolve_endpoints(documents, account_type, id_prefix, on_bad), keep, "interactions")
 
     # Vertices, from the distinct endpoints (node-sized after map-side combining).
+    # The vertex table and the losing ids share their shuffles and are written by one job.
     endpoints = nodeops.endpoint_union(interactions)
-    distinct_eps = materialize(nodeops.distinct_endpoints(endpoints), keep, "endpoints")
-    by_name = materialize(nodeops.nodes_by_name(distinct_eps), keep, "by_name")
+    distinct_eps = nodeops.distinct_endpoints(endpoints)
+    by_name = nodeops.nodes_by_name(distinct_eps)
     numbered = nodeops.number_nodes(by_name, n_graphs)
-    vertices = nodeops.nodes_final(numbered)
-    losers = materialize(nodeops.losing_accounts(distinct_eps, by_name), keep, "losers")
+    node_tables = materialize_together(
+        {"vertices": nodeops.nodes_final(numbered), "losers": nodeops.losing_accounts(distinct_eps, by_name)},
+        keep, "node_tables")
+    vertices, losers = node_tables["vertices"], node_tables["losers"]
     # A table read back from files carries its real size, so Spark's own broadcast
     # threshold is a checked bound; other modes count the (small) frame.
     losers_rows = losers.count() if keep in ("persist", "checkpoint") else None

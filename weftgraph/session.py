@@ -94,6 +94,49 @@ def materialize(df: DataFrame, how: str = "table", name: str = "frame") -> DataF
     raise ValueError(f"unknown materialize mode: {how!r}")
 
 
+def materialize_together(frames: dict[str, DataFrame], how: str = "table", name: str = "frames",
+                         ) -> dict[str, DataFrame]:
+    """Materialise several frames of one lineage in a single job.
+
+    In ``table`` mode the frames (padded to one schema) are written once,
+    partitioned by their name, and each is read back from its own folder, so
+    its file statistics stay exact.  Being one plan, the shuffles they share
+    are computed once (exchange reuse).  Other modes materialise each frame.
+    """
+    if how != "table":
+        return {k: materialize(df, how, k) for k, df in frames.items()}
+    spark = next(iter(frames.values())).sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/weftgraph-tables/{name}-{uuid.uuid4().hex}"
+    columns: dict[str, object] = {}
+    for df in frames.values():
+        for field in df.schema.fields:
+            columns.setdefault(field.name, field.dataType)
+    from pyspark.sql import functions as F
+
+    def padded(key, df):
+        have = set(df.columns)
+        return df.select(*[F.col(c) if c in have else F.lit(None).cast(t).alias(c) for c, t in columns.items()],
+                         F.lit(key).alias("_part"))
+
+    parts = [padded(k, df) for k, df in frames.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    union.write.mode("errorifexists").partitionBy("_part").parquet(path)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = {}
+    for key, df in frames.items():
+        part = f"{path}/_part={key}"
+        jpath = jvm.org.apache.hadoop.fs.Path(part)
+        if jpath.getFileSystem(conf).exists(jpath):
+            out[key] = spark.read.parquet(part).select(*df.columns)
+        else:
+            out[key] = spark.createDataFrame([], df.schema)
+    return out
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -3,13 +3,18 @@
 requests -> R1/S3/S4 -> R2 (one join for all requests) -> P1–P7 -> D1–D5 ->
 G1–G7 -> G11/G12 -> G13 or G14 -> output node and edge tables.
 
-Nothing is collected.  Three frames are read more than once and are
-materialised: the resolved interactions (persisted: a lost block is
-recomputed from a cheap filtered scan), and the valid edges and vertex table
-(checkpointed to ``spark.checkpoint.dir``, which cuts the lineage of the
-shuffles behind them).  Broadcasts are limited to frames with a proven row
-bound: the request table, the losing-id set (counted), the per-network
-thresholds, and the kept vertices (at most ``cap`` per network).
+Nothing is collected.  Four frames that later steps read more than once are
+written as Parquet tables under ``spark.checkpoint.dir`` and read back
+(``materialize_mode="table"``): the resolved interactions, the vertex table
+with the losing ids (one job), the valid edges and the vertices with degrees.
+That cuts lineage (a lost executor costs a re-read, not a re-run of the
+shuffles behind it) and gives later joins real file statistics.
+Broadcasts are limited to frames with a proven row bound: the request table
+(days x requests), the per-network thresholds (one row per network), the
+surrogate offsets (4096 per network), the kept vertices (at most ``cap`` per
+network), and the losing ids when their table's file size passes Spark's
+broadcast threshold.  Everything else is left to shuffle joins with AQE skew
+splitting.
 """
 
 from __future__ import annotations
@@ -54,6 +59,16 @@ class GraphBuild:
     nodes: DataFrame
     out_edges: DataFrame
     params: dict = field(default_factory=dict)
+    tables: list = field(default_factory=list)
+
+    def release(self) -> None:
+        """Delete the tables this build wrote under the checkpoint directory.
+
+        Call it once the outputs are written; frames of this build are unusable after.
+        """
+        from weftgraph.session import remove_paths
+        remove_paths(self.requests.sparkSession, self.tables)
+        self.tables.clear()
 
 
 def _request_bound(requests: Sequence[Mapping] | None, selection: str) -> int | None:
@@ -107,7 +122,8 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
 
     # The interaction table; read by the node and the edge branches.
     keep = materialize_mode
-    interactions = materialize(resolve_endpoints(documents, account_type, id_prefix, on_bad), keep, "interactions")
+    tables: list = []
+    interactions = materialize(resolve_endpoints(documents, account_type, id_prefix, on_bad), keep, "interactions", tables)
 
     # Vertices, from the distinct endpoints (node-sized after map-side combining).
     # The vertex table and the losing ids share their shuffles and are written by one job.
@@ -117,7 +133,7 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     numbered = nodeops.number_nodes(by_name, n_graphs)
     node_tables = materialize_together(
         {"vertices": nodeops.nodes_final(numbered), "losers": nodeops.losing_accounts(distinct_eps, by_name)},
-        keep, "node_tables")
+        keep, "node_tables", tables)
     vertices, losers = node_tables["vertices"], node_tables["losers"]
     # A table read back from files carries its real size, so Spark's own broadcast
     # threshold is a checked bound; other modes count the (small) frame.
@@ -125,9 +141,9 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
 
     # Valid edges (checkpointed: read by degrees, the cap and the output); G4–G7: degrees.
     edges = edges_of(interactions)
-    valid = materialize(graphops.valid_edges(edges, losers, losers_rows), keep, "valid_edges")
+    valid = materialize(graphops.valid_edges(edges, losers, losers_rows), keep, "valid_edges", tables)
     degs = graphops.degrees(valid)
-    nodes_deg = materialize(graphops.nodes_with_degree(vertices, degs), keep, "nodes_deg")
+    nodes_deg = materialize(graphops.nodes_with_degree(vertices, degs), keep, "nodes_deg", tables)
 
     # G11/G12 and G13/G14.
     thresholds = capops.degree_thresholds(nodes_deg, cap)
@@ -145,7 +161,7 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         by_name=by_name, numbered=numbered, vertices=vertices, losers=losers, edges=edges,
         valid_edges=valid, degrees=degs, nodes_deg=nodes_deg, thresholds=thresholds, kept=kept,
         nodes=out_nodes, out_edges=out_edges,
-        params=dict(selection=selection, cap=cap, cap_mode=cap_mode, n_graphs=n_graphs),
+        params=dict(selection=selection, cap=cap, cap_mode=cap_mode, n_graphs=n_graphs), tables=tables,
     )
 
 

@@ -69,7 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame, how: str = "table", name: str = "frame") -> DataFrame:
+def materialize(df: DataFrame, how: str = "table", name: str = "frame",
+                written: list | None = None) -> DataFrame:
     """Cut lineage of a frame that is read several times.
 
     ``table`` writes it as Parquet under the checkpoint directory (a shared
@@ -90,12 +91,14 @@ def materialize(df: DataFrame, how: str = "table", name: str = "frame") -> DataF
     if how == "table":
         path = f"{root.rstrip('/')}/weftgraph-tables/{name}-{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(path)
+        if written is not None:
+            written.append(path)
         return spark.read.parquet(path)
     raise ValueError(f"unknown materialize mode: {how!r}")
 
 
 def materialize_together(frames: dict[str, DataFrame], how: str = "table", name: str = "frames",
-                         ) -> dict[str, DataFrame]:
+                         written: list | None = None) -> dict[str, DataFrame]:
     """Materialise several frames of one lineage in a single job.
 
     In ``table`` mode the frames (padded to one schema) are written once,
@@ -104,7 +107,7 @@ def materialize_together(frames: dict[str, DataFrame], how: str = "table", name:
     are computed once (exchange reuse).  Other modes materialise each frame.
     """
     if how != "table":
-        return {k: materialize(df, how, k) for k, df in frames.items()}
+        return {k: materialize(df, how, k, written) for k, df in frames.items()}
     spark = next(iter(frames.values())).sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/weftgraph-tables/{name}-{uuid.uuid4().hex}"
@@ -124,6 +127,8 @@ def materialize_together(frames: dict[str, DataFrame], how: str = "table", name:
     for p in parts[1:]:
         union = union.unionByName(p)
     union.write.mode("errorifexists").partitionBy("_part").parquet(path)
+    if written is not None:
+        written.append(path)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = {}
@@ -137,6 +142,15 @@ def materialize_together(frames: dict[str, DataFrame], how: str = "table", name:
     return out
 
 
+def remove_paths(spark: SparkSession, paths: list) -> None:
+    """Delete materialised tables (recursively) through the Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        jpath = jvm.org.apache.hadoop.fs.Path(p)
+        jpath.getFileSystem(conf).delete(jpath, True)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -63,6 +63,7 @@ def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, o
                 write_tables(build.nodes, build.out_edges, out)
                 write_gexf(build.requests.select("graph_id"), build.nodes, build.out_edges, f"{out}/gexf")
                 write_table(completion_records(build.requests), f"{out}/completed", "text")
+                build.release()
                 ok = good.select("graph_id", F.lit(STATUS_OK).alias("status"),
                                  F.lit(None).cast("string").alias("error"))
                 status = status.unionByName(ok)

@@ -21,18 +21,23 @@ EDGE_COMPLETE = "edge_complete"  # G14: every valid edge, its ends put back (doc
 CAP_MODES = (INDUCED, EDGE_COMPLETE)
 
 
-def degree_thresholds(nodes_deg: DataFrame, cap: int) -> DataFrame:
-    """``(graph_id, n_vertices, k, n_kept)`` per network."""
+def thresholds_k(nodes_deg: DataFrame, cap: int) -> DataFrame:
+    """``(graph_id, n_vertices, k)`` per network, from the degree histogram."""
     hist = nodes_deg.groupBy("graph_id", "degree").agg(F.count(F.lit(1)).alias("n"))
     down = Window.partitionBy("graph_id").orderBy(F.col("degree").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("running", F.sum("n").over(down))
     k = F.coalesce(F.max(F.when(F.col("running") > cap, F.col("degree"))) + 1, F.lit(1).cast("bigint"))
-    out = hist.groupBy("graph_id").agg(F.sum("n").cast("bigint").alias("n_vertices"), k.alias("k"))
-    kept = hist.join(out.select("graph_id", "k"), "graph_id").where(F.col("degree") >= F.col("k")) \
-        .groupBy("graph_id").agg(F.sum("n").cast("bigint").alias("n_kept"))
-    return out.join(kept, "graph_id", "left").select(
-        "graph_id", "n_vertices", "k", F.coalesce("n_kept", F.lit(0).cast("bigint")).alias("n_kept"))
+    return hist.groupBy("graph_id").agg(F.sum("n").cast("bigint").alias("n_vertices"), k.alias("k"))
+
+
+def degree_thresholds(nodes_deg: DataFrame, cap: int) -> DataFrame:
+    """G11 report: ``(graph_id, n_vertices, k, n_kept)`` per network."""
+    ks = thresholds_k(nodes_deg, cap)
+    kept = (nodes_deg.join(ks.select("graph_id", "k"), "graph_id").where(F.col("degree") >= F.col("k"))
+            .groupBy("graph_id").agg(F.count(F.lit(1)).alias("n_kept")))
+    return ks.join(kept, "graph_id", "left").select(
+        "graph_id", "n_vertices", "k", F.coalesce("n_kept", F.lit(0)).cast("bigint").alias("n_kept"))
 
 
 def degree_filter(nodes_deg: DataFrame, k: int) -> DataFrame:

@@ -3,10 +3,11 @@
 requests -> R1/S3/S4 -> R2 (one join for all requests) -> P1–P7 -> D1–D5 ->
 G1–G7 -> G11/G12 -> G13 or G14 -> output node and edge tables.
 
-Nothing is collected.  Four frames that later steps read more than once are
+Nothing is collected.  Three frames that later steps read more than once are
 written as Parquet tables under ``spark.checkpoint.dir`` and read back
 (``materialize_mode="table"``): the resolved interactions, the vertex table
-with the losing ids (one job), the valid edges and the vertices with degrees.
+with the losing ids (one job) and the valid edges; the node-sized vertices
+with degrees are persisted.
 That cuts lineage (a lost executor costs a re-read, not a re-run of the
 shuffles behind it) and gives later joins real file statistics.
 Broadcasts are limited to frames with a proven row bound: the request table
@@ -67,6 +68,7 @@ class GraphBuild:
         Call it once the outputs are written; frames of this build are unusable after.
         """
         from weftgraph.session import remove_paths
+        self.nodes_deg.unpersist()
         remove_paths(self.requests.sparkSession, self.tables)
         self.tables.clear()
 
@@ -143,11 +145,12 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     edges = edges_of(interactions)
     valid = materialize(graphops.valid_edges(edges, losers, losers_rows), keep, "valid_edges", tables)
     degs = graphops.degrees(valid)
-    nodes_deg = materialize(graphops.nodes_with_degree(vertices, degs), keep, "nodes_deg", tables)
+    # Node-sized and read only by the cap below: kept in executor storage.
+    nodes_deg = materialize(graphops.nodes_with_degree(vertices, degs), "persist" if keep != "none" else "none")
 
     # G11/G12 and G13/G14.
     thresholds = capops.degree_thresholds(nodes_deg, cap)
-    kept = capops.capped_nodes(nodes_deg, thresholds, n_graphs)
+    kept = capops.capped_nodes(nodes_deg, capops.thresholds_k(nodes_deg, cap), n_graphs)
     kept_bound = cap * n_graphs if cap * n_graphs <= max_broadcast_rows else None
     if cap_mode == capops.INDUCED:
         out_nodes = kept.select("graph_id", "id", "name", "type")

@@ -50,7 +50,11 @@ _BUILDS: dict = {}
 def cached_build(spark: SparkSession, sf_dir: str, selection: str = DAY_RANGE, cap: int = 15000,
                  cap_mode: str = capops.INDUCED, source_kind: str = "flat") -> GraphBuild:
     """One build per session and configuration; its persisted frames serve several queries."""
-    key = (spark.sparkContext.applicationId, sf_dir, selection, cap, cap_mode, source_kind)
+    try:
+        session_key = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        session_key = id(spark)
+    key = (session_key, sf_dir, selection, cap, cap_mode, source_kind)
     if key not in _BUILDS:
         _BUILDS[key] = fresh_build(spark, sf_dir, selection, cap, cap_mode, source_kind)
     return _BUILDS[key]

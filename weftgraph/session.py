@@ -55,7 +55,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     file system).  Only when nothing is configured, as in local tests, a fresh
     folder under the system temp directory is used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="weftgraph-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -69,6 +78,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool | None:
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM access (Spark Connect)
+        return None
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(conf).exists(jpath))
+
+
 def materialize(df: DataFrame, how: str = "table", name: str = "frame",
                 written: list | None = None) -> DataFrame:
     """Cut lineage of a frame that is read several times.
@@ -129,14 +148,17 @@ def materialize_together(frames: dict[str, DataFrame], how: str = "table", name:
     union.write.mode("errorifexists").partitionBy("_part").parquet(path)
     if written is not None:
         written.append(path)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = {}
     for key, df in frames.items():
         part = f"{path}/_part={key}"
-        jpath = jvm.org.apache.hadoop.fs.Path(part)
-        if jpath.getFileSystem(conf).exists(jpath):
+        exists = _path_exists(spark, part)
+        if exists:
             out[key] = spark.read.parquet(part).select(*df.columns)
+        elif exists is None:  # cannot list files: read the whole table and filter on the part
+            try:
+                out[key] = spark.read.parquet(path).where(F.col("_part") == key).select(*df.columns)
+            except Exception:  # noqa: BLE001 - nothing was written at all
+                out[key] = spark.createDataFrame([], df.schema)
         else:
             out[key] = spark.createDataFrame([], df.schema)
     return out
@@ -144,8 +166,11 @@ def materialize_together(frames: dict[str, DataFrame], how: str = "table", name:
 
 def remove_paths(spark: SparkSession, paths: list) -> None:
     """Delete materialised tables (recursively) through the Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM access: leave them to the checkpoint folder's lifecycle
+        return
     for p in paths:
         jpath = jvm.org.apache.hadoop.fs.Path(p)
         jpath.getFileSystem(conf).delete(jpath, True)

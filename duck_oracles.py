@@ -8,7 +8,7 @@ table, the degree threshold is the smallest candidate that fits the cap
 
 from __future__ import annotations
 
-from weftgraph.plans.catalog import DAY_REQUESTS, SMALL_CAP, TS_REQUESTS
+from weftgraph.plans.catalog import BAD_REQUESTS, DAY_REQUESTS, SMALL_CAP, TS_REQUESTS, WINDOW
 
 INTERACTIONS = """
 ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
@@ -177,6 +177,17 @@ SELECT r.graph_id,
 FROM req r
 LEFT JOIN (SELECT graph_id, count(*) AS nodes FROM kept GROUP BY graph_id) n ON r.graph_id = n.graph_id
 LEFT JOIN (SELECT graph_id, count(*) AS edges FROM induced GROUP BY graph_id) e ON r.graph_id = e.graph_id"""
+    status_sql = ("WITH" + INTERACTIONS + "," + _requests_cte(DAY_REQUESTS + BAD_REQUESTS).replace(
+        'CAST("from" AS BIGINT) AS from_ms, CAST("to" AS BIGINT) AS to_ms',
+        'TRY_CAST("from" AS BIGINT) AS from_ms, TRY_CAST("to" AS BIGINT) AS to_ms')
+        + ",\nchecked AS (SELECT *, CASE WHEN code IS NULL THEN 'unknown platform' "
+        "WHEN from_ms IS NULL OR to_ms IS NULL THEN 'bad time range' END AS error FROM req),"
+        + _selection("day_range").replace("JOIN req r", "JOIN (SELECT * FROM checked WHERE error IS NULL) r")
+        + """
+SELECT c.graph_id, CASE WHEN c.error IS NULL THEN 'done' ELSE 'failed' END AS status, c.error,
+       CAST(count(s.graph_id) AS BIGINT) AS documents
+FROM checked c LEFT JOIN selected s ON c.graph_id = s.graph_id
+GROUP BY c.graph_id, c.error""")
     requests_docs = _with("day_list") + """
 SELECT r.graph_id, CAST(count(s.graph_id) AS BIGINT) AS documents
 FROM req r LEFT JOIN selected s ON r.graph_id = s.graph_id GROUP BY r.graph_id"""
@@ -231,4 +242,9 @@ FROM induced""",
         "graph_counts_wide_rows": _counts_sql("day_range", 15000, "induced"),
         "requests_interactions": requests_docs,
         "requests_completed": completed,
+        "requests_status": status_sql,
+        "docs_filtered": "WITH" + INTERACTIONS + f"""
+SELECT {DOC_COLS} FROM interactions
+WHERE criteria_id = 'crit_1' AND timestamp BETWEEN {WINDOW[0]} AND {WINDOW[1]}""",
+        "degree_filter_k3": dr + "SELECT * FROM nodes_deg WHERE degree >= 3",
     }

@@ -174,6 +174,34 @@ def q_requests_completed(spark, sf_dir):
             .join(graph_counts(b), "graph_id"))
 
 
+BAD_REQUESTS = [_req("myspace", "crit_0", MONTH), _req("twitter", "crit_1", ("yesterday", MONTH[1]))]
+
+
+def q_requests_status(spark, sf_dir):
+    """R6 beside R2/S10: every request's status (failed with its error, or done) and its document count."""
+    from weftgraph.operators.select import select_documents
+    from weftgraph.sources.requests import requests_frame
+    from weftgraph.streaming import check_requests
+    checked = check_requests(requests_frame(spark, DAY_REQUESTS + BAD_REQUESTS), DAY_RANGE)
+    good = checked.where(F.col("error").isNull())
+    counts = document_counts(select_documents(load_interactions(spark, sf_dir), good, DAY_RANGE))
+    return (checked.join(counts, "graph_id", "left")
+            .select("graph_id", F.when(F.col("error").isNull(), F.lit("done")).otherwise(F.lit("failed"))
+                    .alias("status"), "error",
+                    F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents")))
+
+
+def q_docs_filtered(spark, sf_dir):
+    """One criteria and an inclusive millisecond range over the whole document table."""
+    from weftgraph.sources.documents import filter_documents
+    return filter_documents(load_interactions(spark, sf_dir), "crit_1", int(WINDOW[0]), int(WINDOW[1]))
+
+
+def q_degree_filter(spark, sf_dir):
+    """Vertices with degree >= 3."""
+    return capops.degree_filter(cached_build(spark, sf_dir).nodes_deg, 3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     node_cols = ["graph_id", "id", "name", "type"]
     return {
@@ -212,4 +240,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "graph_counts_wide_rows": _counts(source_kind="wide"),
         "requests_interactions": q_requests_interactions,
         "requests_completed": q_requests_completed,
+        "requests_status": q_requests_status,
+        "docs_filtered": q_docs_filtered,
+        "degree_filter_k3": q_degree_filter,
     }

@@ -41,17 +41,22 @@ def completion_records(requests: DataFrame) -> DataFrame:
                            .alias("value"))
 
 
-def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, out: str, batch_id: int = 0,
-                  **build_kw) -> None:
-    """Build and write the networks of one batch of requests (all strings)."""
-    selection = build_kw.get("selection", "day_range")
+def check_requests(requests: DataFrame, selection: str) -> DataFrame:
+    """Normalise leniently and name what is wrong with a request (``error``, null when fine)."""
     checked = normalize_requests(requests, selection, strict=False)
     bad_platform = F.col("platform").isNotNull() & (F.col("platform") != "") & F.col("code").isNull()
     if selection != "timestamp_range":
         bad_platform = F.col("code").isNull()
     problem = (F.when(bad_platform, F.lit("unknown platform"))
                .when(F.col("from_ms").isNull() | F.col("to_ms").isNull(), F.lit("bad time range")))
-    checked = checked.withColumn("error", problem).persist(StorageLevel.MEMORY_AND_DISK)
+    return checked.withColumn("error", problem)
+
+
+def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, out: str, batch_id: int = 0,
+                  **build_kw) -> None:
+    """Build and write the networks of one batch of requests (all strings)."""
+    selection = build_kw.get("selection", "day_range")
+    checked = check_requests(requests, selection).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = checked.where(F.col("error").isNull()).select(*[f.name for f in REQUEST_SCHEMA.fields], "graph_id")
         failed = checked.where(F.col("error").isNotNull()).select(

@@ -112,7 +112,7 @@ def materialize(df: DataFrame, how: str = "table", name: str = "frame",
         df.write.mode("errorifexists").parquet(path)
         if written is not None:
             written.append(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(_nullable(df.schema)).parquet(path)
     raise ValueError(f"unknown materialize mode: {how!r}")
 
 
@@ -153,7 +153,7 @@ def materialize_together(frames: dict[str, DataFrame], how: str = "table", name:
         part = f"{path}/_part={key}"
         exists = _path_exists(spark, part)
         if exists:
-            out[key] = spark.read.parquet(part).select(*df.columns)
+            out[key] = spark.read.schema(_nullable(df.schema)).parquet(part)
         elif exists is None:  # cannot list files: read the whole table and filter on the part
             try:
                 out[key] = spark.read.parquet(path).where(F.col("_part") == key).select(*df.columns)
@@ -164,6 +164,12 @@ def materialize_together(frames: dict[str, DataFrame], how: str = "table", name:
     return out
 
 
+def _nullable(schema):
+    """The schema a Parquet read gives back (every field nullable), known without reading footers."""
+    from pyspark.sql.types import StructField, StructType
+    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def remove_paths(spark: SparkSession, paths: list) -> None:
     """Delete materialised tables (recursively) through the Hadoop file system."""
     try:

@@ -183,3 +183,25 @@ def test_many_requests_equal_single_runs(spark):
     for r in requests:
         gid, nodes, _, _ = model.build(docs, r, cap=4)
         assert by_graph.get(gid, set()) == set(nodes)
+
+
+def test_c11_wide_rows_bad_json(spark):
+    from weftgraph.sources.fixtures import wide_rows
+    from weftgraph.sources.requests import normalize_requests, requests_frame
+    from weftgraph.sources.widerow import select_from_wide_rows
+    docs = [doc("TW_1", "TW_2", post="a"), doc("TW_2", "TW_3", post="b"), doc("TW_3", "TW_1", post="c")]
+    wide = wide_rows(frame(spark, docs))
+    # corrupt one cell: a timestamp that is not a number
+    bad = wide.withColumn("cells", F.transform_values(
+        "cells", lambda k, v: F.when(k == "b", F.regexp_replace(v, '"timestamp":[0-9]+', '"timestamp":"x"'))
+        .otherwise(v)))
+    norm = normalize_requests(requests_frame(spark, [req()]), "day_range")
+    assert select_from_wide_rows(wide, norm, "day_range").count() == 3
+    with pytest.raises(Exception):
+        select_from_wide_rows(bad, norm, "day_range", on_bad="fail").collect()
+    kept = select_from_wide_rows(bad, norm, "day_range", on_bad="drop")
+    assert sorted(r["post_id"] for r in kept.collect()) == ["a", "c"]
+    # the wide rows give the same documents as the flat table
+    flat = build_graph(spark, frame(spark, docs), [req()]).documents.select("post_id", "timestamp", "source")
+    from_wide = select_from_wide_rows(wide, norm, "day_range").select("post_id", "timestamp", "source")
+    assert sorted(flat.collect()) == sorted(from_wide.collect())

@@ -68,6 +68,7 @@ class GraphBuild:
         Call it once the outputs are written; frames of this build are unusable after.
         """
         from weftgraph.session import remove_paths
+        self.kept.unpersist()
         self.nodes_deg.unpersist()
         remove_paths(self.requests.sparkSession, self.tables)
         self.tables.clear()
@@ -150,7 +151,9 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
 
     # G11/G12 and G13/G14.
     thresholds = capops.degree_thresholds(nodes_deg, cap)
-    kept = capops.capped_nodes(nodes_deg, capops.thresholds_k(nodes_deg, cap), n_graphs)
+    # At most ``cap`` rows per network; read by the node output and both edge semi joins.
+    kept = materialize(capops.capped_nodes(nodes_deg, capops.thresholds_k(nodes_deg, cap), n_graphs),
+                       "persist" if keep != "none" else "none")
     kept_bound = cap * n_graphs if cap * n_graphs <= max_broadcast_rows else None
     if cap_mode == capops.INDUCED:
         out_nodes = kept.select("graph_id", "id", "name", "type")

@@ -182,6 +182,24 @@ def remove_paths(spark: SparkSession, paths: list) -> None:
         jpath.getFileSystem(conf).delete(jpath, True)
 
 
+def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle settings for a given input size: partitions of about ``partition_bytes``.
+
+    AQE coalesces small post-shuffle partitions and splits skewed ones, so the
+    initial count only needs to be large enough.  The engine's shuffles carry
+    selected, map-side-combined rows, far fewer bytes than the input, so the
+    input-based count is clamped to 2–8 waves of the cores (more reducers would
+    only multiply shuffle blocks).
+    """
+    n = min(max(cores * 2, -(-input_bytes // partition_bytes)), cores * 8)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

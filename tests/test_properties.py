@@ -95,3 +95,25 @@ def test_partitioning_does_not_change_results(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert got == expected
+
+
+def test_hot_keys_match_model_and_combine_map_side(spark):
+    """A third of the documents point at one account; one name is shared by many accounts; one hot hashtag."""
+    docs = []
+    for i in range(1, 301):
+        if i % 3 == 0:
+            docs.append(doc(f"TW_{i}", "TW_1", sname="dup" if i % 2 else f"u{i}", post=f"h{i}"))
+        elif i % 3 == 1:
+            docs.append(doc(f"TW_{i}", "HT_hot", sname=f"u{i}", dname="#hot", dtype="TW_Hashtag", post=f"t{i}"))
+        else:
+            docs.append(doc(f"TW_{i}", f"TW_{i % 17 + 2}", sname=f"u{i}", post=f"o{i}"))
+    r = req()
+    b = build_graph(spark, frame(spark, docs), [r], cap=20)
+    _, nodes, edges, k = model.build(docs, r, cap=20)
+    assert {x["id"]: (x["name"], x["type"]) for x in b.nodes.collect()} == nodes
+    assert b.out_edges.count() == len(edges)
+    # node-level aggregations reduce map-side before their shuffle (no single task holds the hub's rows)
+    from weftgraph.operators import nodes as nodeops
+    plan = nodeops.nodes_by_name(nodeops.distinct_endpoints(nodeops.endpoint_union(b.interactions))) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan

@@ -105,3 +105,13 @@ def test_stream_requests_idempotent(spark, scratch):
     _, expected_nodes, expected_edges, _ = model.build(docs, good, cap=10)
     assert len(first[0]) == len(expected_nodes) > 0
     assert len(first[1]) == len(expected_edges)
+
+
+def test_gexf_graph_id_with_special_characters(spark, scratch):
+    docs = [doc("TW_1", "TW_2"), doc("TW_2", "TW_3")]
+    r = dict(req(), graph_id="net/a:b=c?#1")
+    b = build_graph(spark, frame(spark, docs), [r])
+    out = os.path.join(scratch, "gexf")
+    write_gexf(b.requests.select("graph_id"), b.nodes, b.out_edges, out)
+    nodes, edges = _parse(assemble(out, "net/a:b=c?#1", os.path.join(scratch, "g.gexf")))
+    assert (len(nodes), len(edges)) == (3, 2)

@@ -151,9 +151,18 @@ def write_gexf(graph_ids: DataFrame, nodes: DataFrame, edges: DataFrame, path: s
      .partitionBy("graph_id").text(path))
 
 
+# Characters Spark escapes as %XX in partition directory names.
+_PATH_ESCAPED = set(chr(c) for c in range(1, 32)) | set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def partition_dir(value: str) -> str:
+    """The directory name Spark gives the partition ``graph_id=<value>``."""
+    return "graph_id=" + "".join(f"%{ord(c):02X}" if c in _PATH_ESCAPED else c for c in value)
+
+
 def part_files(path: str, graph_id: str) -> list[str]:
     """The text parts of one network, in document order."""
-    return sorted(glob.glob(os.path.join(path, f"graph_id={graph_id}", "part-*")))
+    return sorted(glob.glob(os.path.join(glob.escape(path), glob.escape(partition_dir(graph_id)), "part-*")))
 
 
 def assemble(path: str, graph_id: str, target: str) -> str:

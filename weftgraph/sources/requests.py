@@ -39,7 +39,10 @@ def requests_frame(spark: SparkSession, requests: Iterable[Mapping[str, object]]
     Catalyst folds the request normalisation into constants and a broadcast of
     it needs no Spark job.
     """
+    requests = list(requests)
     names = [f.name for f in REQUEST_SCHEMA.fields]
+    if any(r.get("graph_id") is not None for r in requests):
+        names.append("graph_id")  # caller-chosen network keys
     rows, args = [], {}
     for j, r in enumerate(requests):
         marks = []
@@ -81,8 +84,9 @@ def normalize_requests(requests: DataFrame, selection: str, strict: bool = True,
     from_ms = parse_millis(F.col("from"), on_bad)
     to_ms = parse_millis(F.col("to"), on_bad)
     cols = requests.columns
-    gid = F.col("graph_id") if "graph_id" in cols else default_graph_id(
-        F.col("criteria_id"), F.col("code"), F.col("from"), F.col("to"))
+    gid = default_graph_id(F.col("criteria_id"), F.col("code"), F.col("from"), F.col("to"))
+    if "graph_id" in cols:
+        gid = F.coalesce(F.col("graph_id"), gid)
     out = (requests
            .withColumn("code", code)
            .withColumn("from_ms", from_ms)

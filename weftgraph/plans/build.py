@@ -3,11 +3,12 @@
 requests -> R1/S3/S4 -> R2 (one join for all requests) -> P1–P7 -> D1–D5 ->
 G1–G7 -> G11/G12 -> G13 or G14 -> output node and edge tables.
 
-Nothing is collected.  Three frames that later steps read more than once are
-written as Parquet tables under ``spark.checkpoint.dir`` and read back
+Nothing is collected.  Frames that later steps read more than once are written
+as Parquet tables under ``spark.checkpoint.dir`` and read back
 (``materialize_mode="table"``): the resolved interactions, the vertex table
-with the losing ids (one job) and the valid edges; the node-sized vertices
-with degrees are persisted.
+with the losing ids (one job), and the valid edges when their anti join has to
+shuffle (otherwise they are a broadcast filter over the interactions table);
+the node-sized vertices with degrees and the kept vertices are persisted.
 That cuts lineage (a lost executor costs a re-read, not a re-run of the
 shuffles behind it) and gives later joins real file statistics.
 Broadcasts are limited to frames with a proven row bound: the request table
@@ -32,7 +33,7 @@ from weftgraph.operators import graph as graphops
 from weftgraph.operators import nodes as nodeops
 from weftgraph.operators.resolve import edges_of, resolve_endpoints
 from weftgraph.operators.select import pushdown_predicate, select_documents
-from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_threshold, estimated_bytes
 from weftgraph.session import materialize, materialize_together
 from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, SELECTIONS, day_count,
                                         normalize_requests, requests_frame, unique_requests)
@@ -141,10 +142,18 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     # A table read back from files carries its real size, so Spark's own broadcast
     # threshold is a checked bound; other modes count the (small) frame.
     losers_rows = losers.count() if keep in ("persist", "checkpoint") else None
+    size = estimated_bytes(losers) if keep == "table" else None
+    losers_broadcast = ((losers_rows is not None and losers_rows <= max_broadcast_rows)
+                        or (size is not None and size <= broadcast_threshold(spark)))
 
-    # Valid edges (checkpointed: read by degrees, the cap and the output); G4–G7: degrees.
+    # Valid edges, read by degrees, the cap and the output.  With a broadcast
+    # anti join they are a filter over the interactions table, as cheap to re-derive
+    # as to re-read; behind a shuffle join they are written as a table.
     edges = edges_of(interactions)
-    valid = materialize(graphops.valid_edges(edges, losers, losers_rows), keep, "valid_edges", tables)
+    valid = graphops.valid_edges(edges, losers, losers_rows if losers_rows is not None else
+                                 (0 if losers_broadcast else None))
+    if not losers_broadcast:
+        valid = materialize(valid, keep, "valid_edges", tables)
     degs = graphops.degrees(valid)
     # Node-sized and read only by the cap below: kept in executor storage.
     nodes_deg = materialize(graphops.nodes_with_degree(vertices, degs), "persist" if keep != "none" else "none")

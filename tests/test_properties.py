@@ -117,3 +117,22 @@ def test_hot_keys_match_model_and_combine_map_side(spark):
     plan = nodeops.nodes_by_name(nodeops.distinct_endpoints(nodeops.endpoint_union(b.interactions))) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def test_without_broadcasts_same_results(spark):
+    """Above every size limit the joins shuffle instead; the networks are the same."""
+    inter = load_interactions(spark, sf_dir("0.001"))
+    base = build_graph(spark, inter, DAY_REQUESTS, cap=10)
+    expected = sorted(tuple(r) for r in base.nodes.collect()), sorted(tuple(r) for r in base.out_edges.collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        other = build_graph(spark, inter, DAY_REQUESTS, cap=10, max_broadcast_rows=0)
+        got = sorted(tuple(r) for r in other.nodes.collect()), sorted(tuple(r) for r in other.out_edges.collect())
+        plan = other.out_edges._jdf.queryExecution().executedPlan().toString()
+        docs_plan = other.documents._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == expected
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" not in docs_plan

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.plans.broadcast import size_checked_broadcast
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 
 INDUCED = "induced"              # G13: edges among kept vertices only (wide-row variant)
 EDGE_COMPLETE = "edge_complete"  # G14: every valid edge, its ends put back (document variant)
@@ -45,20 +45,22 @@ def degree_filter(nodes_deg: DataFrame, k: int) -> DataFrame:
     return nodes_deg.where(F.col("degree") >= k)
 
 
-def capped_nodes(nodes_deg: DataFrame, thresholds: DataFrame, n_graphs: int | None = None) -> DataFrame:
+def capped_nodes(nodes_deg: DataFrame, thresholds: DataFrame, n_graphs: int | None = None,
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """The kept vertices, ``degree >= k`` of their network."""
-    ks = size_checked_broadcast(thresholds.select("graph_id", "k"), n_graphs, count_if_unknown=False)
+    ks = size_checked_broadcast(thresholds.select("graph_id", "k"), n_graphs, max_rows, count_if_unknown=False)
     return nodes_deg.join(ks, "graph_id").where(F.col("degree") >= F.col("k")).drop("k")
 
 
-def induced_edges(valid: DataFrame, kept: DataFrame, kept_rows: int | None = None) -> DataFrame:
+def induced_edges(valid: DataFrame, kept: DataFrame, kept_rows: int | None = None,
+                  max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Valid edges with both ends kept.
 
     ``kept`` has at most ``cap`` rows per network, so ``kept_rows`` (cap x
     networks) is a proven bound; under the broadcast limit the edges are
     filtered where they are read.
     """
-    ids = size_checked_broadcast(kept.select("graph_id", "id"), kept_rows)
+    ids = size_checked_broadcast(kept.select("graph_id", "id"), kept_rows, max_rows, count_if_unknown=False)
     return (valid.join(ids.withColumnRenamed("id", "src"), ["graph_id", "src"], "left_semi")
             .join(ids.withColumnRenamed("id", "dst"), ["graph_id", "dst"], "left_semi"))
 

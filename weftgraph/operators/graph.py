@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import MISSING_NAME, MISSING_TYPE
-from weftgraph.plans.broadcast import size_checked_broadcast
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 
 
 def valid_edges(edges: DataFrame, losers: DataFrame, losers_rows: int | None = None,
-                count_if_unknown: bool = False) -> DataFrame:
+                count_if_unknown: bool = False, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """G1 + G2: keep the edges whose both ends are vertices.
 
     An end is not a vertex when it is 0 (absent or non-account) or an account
@@ -22,7 +22,7 @@ def valid_edges(edges: DataFrame, losers: DataFrame, losers_rows: int | None = N
     no shuffle; a shuffle join otherwise.
     """
     kept = edges.where((F.col("src") != 0) & (F.col("dst") != 0))
-    lost = size_checked_broadcast(losers, losers_rows, count_if_unknown=count_if_unknown)
+    lost = size_checked_broadcast(losers, losers_rows, max_rows, count_if_unknown=count_if_unknown)
     lost_src = lost.select("graph_id", F.col("id").alias("src"))
     lost_dst = lost.select("graph_id", F.col("id").alias("dst"))
     return kept.join(lost_src, ["graph_id", "src"], "left_anti").join(lost_dst, ["graph_id", "dst"], "left_anti")

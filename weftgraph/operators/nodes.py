@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.plans.broadcast import size_checked_broadcast
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 
 # Surrogate numbering splits each network's non-account names into buckets
 # by the first hex digits of md5(name); 3 digits = 4096 buckets per network.
@@ -63,7 +63,8 @@ def losing_accounts(distinct_eps: DataFrame, by_name: DataFrame) -> DataFrame:
     return seen.join(won, ["graph_id", "id"], "left_anti")
 
 
-def number_nodes(by_name: DataFrame, n_graphs: int | None = None) -> DataFrame:
+def number_nodes(by_name: DataFrame, n_graphs: int | None = None,
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """D3 + D4: non-accounts get a surrogate id ``-row_id``; accounts keep theirs.
 
     ``row_id`` numbers a network's non-account names 1..n in the order of
@@ -80,7 +81,7 @@ def number_nodes(by_name: DataFrame, n_graphs: int | None = None) -> DataFrame:
     before = Window.partitionBy("graph_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("graph_id", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     bound = None if n_graphs is None else n_graphs * 16 ** SURROGATE_BUCKET_DIGITS
-    offsets = size_checked_broadcast(offsets, bound, count_if_unknown=False)
+    offsets = size_checked_broadcast(offsets, bound, max_rows, count_if_unknown=False)
     in_bucket = Window.partitionBy("graph_id", "_b").orderBy("_h", F.col("name").asc_nulls_first())
     numbered = (non_accounts.join(offsets, ["graph_id", "_b"])
                 .select("graph_id", (-(F.col("_off") + F.row_number().over(in_bucket))).alias("id"),

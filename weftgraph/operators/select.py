@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import PLATFORM_CODES, day_of_millis
-from weftgraph.plans.broadcast import size_checked_broadcast
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_days
 
 REQUEST_KEEP = ["graph_id"]
 
 
 def select_documents(documents: DataFrame, normalized_requests: DataFrame, selection: str,
-                     require_target: bool = True, request_rows: int | None = None) -> DataFrame:
+                     require_target: bool = True, request_rows: int | None = None,
+                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Documents of each request, tagged with its ``graph_id``.
 
     ``documents`` has the interaction columns (``criteria_id, platform, day,
@@ -34,7 +35,7 @@ def select_documents(documents: DataFrame, normalized_requests: DataFrame, selec
     if selection in (DAY_RANGE, DAY_LIST):
         rd = request_days(normalized_requests, selection).select(
             "graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"), F.col("day").alias("_day"))
-        rd = size_checked_broadcast(rd, request_rows)
+        rd = size_checked_broadcast(rd, request_rows, max_rows)
         cond = ((docs["criteria_id"] == rd["_crit"]) & (docs["platform"] == rd["_code"])
                 & (docs["day"] == rd["_day"]))
         return docs.join(rd, cond, "inner").drop("_crit", "_code", "_day")
@@ -42,7 +43,7 @@ def select_documents(documents: DataFrame, normalized_requests: DataFrame, selec
         rq = normalized_requests.select(
             "graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"),
             F.col("from_ms").alias("_from"), F.col("to_ms").alias("_to"))
-        rq = size_checked_broadcast(rq, request_rows)
+        rq = size_checked_broadcast(rq, request_rows, max_rows)
         cond = ((docs["criteria_id"] == rq["_crit"])
                 & (rq["_code"].isNull() | (docs["platform"] == rq["_code"]))
                 & (docs["timestamp"] >= rq["_from"]) & (docs["timestamp"] <= rq["_to"]))

@@ -118,9 +118,10 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         src = source
         if request_list is not None and strict_requests:
             src = src.where(pushdown_predicate(request_list, selection))
-        documents = select_documents(src, normalized, selection, require_target, request_rows)
+        documents = select_documents(src, normalized, selection, require_target, request_rows, max_broadcast_rows)
     elif source_kind == "wide":
-        documents = select_from_wide_rows(source, normalized, selection, require_target, on_bad, request_rows)
+        documents = select_from_wide_rows(source, normalized, selection, require_target, on_bad, request_rows,
+                                          max_broadcast_rows)
     else:
         raise ValueError("source_kind must be 'flat' or 'wide'")
 
@@ -134,7 +135,7 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     endpoints = nodeops.endpoint_union(interactions)
     distinct_eps = nodeops.distinct_endpoints(endpoints)
     by_name = nodeops.nodes_by_name(distinct_eps)
-    numbered = nodeops.number_nodes(by_name, n_graphs)
+    numbered = nodeops.number_nodes(by_name, n_graphs, max_broadcast_rows)
     node_tables = materialize_together(
         {"vertices": nodeops.nodes_final(numbered), "losers": nodeops.losing_accounts(distinct_eps, by_name)},
         keep, "node_tables", tables)
@@ -144,14 +145,14 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     losers_rows = losers.count() if keep in ("persist", "checkpoint") else None
     size = estimated_bytes(losers) if keep == "table" else None
     losers_broadcast = ((losers_rows is not None and losers_rows <= max_broadcast_rows)
-                        or (size is not None and size <= broadcast_threshold(spark)))
+                        or (size is not None and size <= broadcast_threshold(spark) and max_broadcast_rows > 0))
 
     # Valid edges, read by degrees, the cap and the output.  With a broadcast
     # anti join they are a filter over the interactions table, as cheap to re-derive
     # as to re-read; behind a shuffle join they are written as a table.
     edges = edges_of(interactions)
     valid = graphops.valid_edges(edges, losers, losers_rows if losers_rows is not None else
-                                 (0 if losers_broadcast else None))
+                                 (0 if losers_broadcast else None), max_rows=max_broadcast_rows)
     if not losers_broadcast:
         valid = materialize(valid, keep, "valid_edges", tables)
     degs = graphops.degrees(valid)
@@ -161,12 +162,13 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     # G11/G12 and G13/G14.
     thresholds = capops.degree_thresholds(nodes_deg, cap)
     # At most ``cap`` rows per network; read by the node output and both edge semi joins.
-    kept = materialize(capops.capped_nodes(nodes_deg, capops.thresholds_k(nodes_deg, cap), n_graphs),
+    kept = materialize(capops.capped_nodes(nodes_deg, capops.thresholds_k(nodes_deg, cap), n_graphs,
+                                           max_broadcast_rows),
                        "persist" if keep != "none" else "none")
     kept_bound = cap * n_graphs if cap * n_graphs <= max_broadcast_rows else None
     if cap_mode == capops.INDUCED:
         out_nodes = kept.select("graph_id", "id", "name", "type")
-        out_edges = capops.induced_edges(valid, kept, kept_bound)
+        out_edges = capops.induced_edges(valid, kept, kept_bound, max_broadcast_rows)
     else:
         out_nodes = capops.edge_complete_nodes(kept, valid)
         out_edges = valid

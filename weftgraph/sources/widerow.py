@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.functions.expressions import ROW_KEY_SEPARATOR, row_key
-from weftgraph.plans.broadcast import size_checked_broadcast
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_days
 
 # Fields of one stored document; criteria, platform and day come from the key.
@@ -42,7 +42,7 @@ def key_parts(wide: DataFrame) -> DataFrame:
 
 
 def scan_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
-              request_rows: int | None = None) -> DataFrame:
+              request_rows: int | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """The wide rows of each request, tagged with ``graph_id``.
 
     ``day_range`` is the scan ``[start_key, stop_key)`` of the reference, as an
@@ -55,7 +55,7 @@ def scan_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
             "graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"),
             row_key(F.col("criteria_id"), F.col("code"), F.col("start_day")).alias("_lo"),
             row_key(F.col("criteria_id"), F.col("code"), F.col("end_day")).alias("_hi"))
-        rq = size_checked_broadcast(rq, request_rows)
+        rq = size_checked_broadcast(rq, request_rows, max_rows)
         cond = ((rows["criteria_id"] == rq["_crit"]) & (rows["platform"] == rq["_code"])
                 & (rows["row_key"] >= rq["_lo"]) & (rows["row_key"] < rq["_hi"]))
         return rows.join(rq, cond).drop("_crit", "_code", "_lo", "_hi")
@@ -63,7 +63,7 @@ def scan_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
         mode = DAY_LIST if selection == DAY_LIST else TIMESTAMP_RANGE
         rd = request_days(normalized_requests, mode).select(
             "graph_id", F.col("row_key").alias("_rk"), F.col("from_ms").alias("_from"), F.col("to_ms").alias("_to"))
-        rd = size_checked_broadcast(rd, request_rows)
+        rd = size_checked_broadcast(rd, request_rows, max_rows)
         joined = rows.join(rd, rows["row_key"] == rd["_rk"]).drop("_rk")
         keep = ["_from", "_to"] if selection == TIMESTAMP_RANGE else []
         return joined.drop(*[c for c in ("_from", "_to") if c not in keep])
@@ -97,9 +97,11 @@ def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
 
 def select_from_wide_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
                           require_target: bool = True, on_bad: str = "fail",
-                          request_rows: int | None = None) -> DataFrame:
+                          request_rows: int | None = None,
+                          max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """S1/S5 -> S6 -> S7 -> P1: the documents of each request from the wide-row table."""
-    docs = parse_documents(explode_cells(scan_rows(wide, normalized_requests, selection, request_rows)), on_bad)
+    rows = scan_rows(wide, normalized_requests, selection, request_rows, max_rows)
+    docs = parse_documents(explode_cells(rows), on_bad)
     if selection == TIMESTAMP_RANGE:
         docs = docs.where(F.col("timestamp").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
     if require_target:

@@ -22,6 +22,8 @@ SELECTION_1 = [
     ("0.01", 15000, 1467, 242, 143, 971, 1, 143, 971, 1655874113167237),
     ("0.01", 40, 1467, 242, 143, 971, 18, 40, 198, 337652857942618),
     ("0.01", 10, 1467, 242, 143, 971, 24, 10, 12, 20461725901656),
+    ("0.1", 40, 15028, 1513, 1413, 9912, 114, 39, 124, 211465795317142),
+    ("0.1", 10, 15028, 1513, 1413, 9912, 124, 10, 11, 18760223045090),
 ]
 
 # sf, selection, cap, documents, named, accounts, valid, k, nodes, edges, edge_complete nodes
@@ -37,7 +39,7 @@ SELECTIONS_2_3 = [
 
 @pytest.fixture(scope="module")
 def interactions(spark):
-    return {sf: load_interactions(spark, sf_dir(sf)) for sf in ("0.001", "0.01")}
+    return {sf: load_interactions(spark, sf_dir(sf)) for sf in ("0.001", "0.01", "0.1")}
 
 
 def _stage_counts(build):
@@ -74,3 +76,9 @@ def test_selections_2_and_3(spark, interactions, row):
                      cap_mode="edge_complete")
     assert ec.nodes.count() == ec_nodes
     assert ec.out_edges.count() == valid
+
+
+def test_documents_without_day_column(spark, interactions):
+    """A document store has no day keys: they are derived from the timestamp."""
+    b = build_graph(spark, interactions["0.001"].drop("day"), [_request()], selection="day_range")
+    assert (b.documents.count(), b.nodes.count(), b.out_edges.count()) == (163, 73, 115)

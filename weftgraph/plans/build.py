@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.functions.expressions import ACCOUNT_TYPE, DEFAULT_CAP, ID_PREFIX
+from weftgraph.functions.expressions import ACCOUNT_TYPE, DEFAULT_CAP, ID_PREFIX, day_of_millis
 from weftgraph.operators import cap as capops
 from weftgraph.operators import graph as graphops
 from weftgraph.operators import nodes as nodeops
@@ -116,6 +116,8 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     # R2 + P1: the documents of every request.
     if source_kind == "flat":
         src = source
+        if "day" not in src.columns:  # a document store without day keys: S4 on the timestamp
+            src = src.withColumn("day", day_of_millis(F.col("timestamp")))
         if request_list is not None and strict_requests:
             src = src.where(pushdown_predicate(request_list, selection))
         documents = select_documents(src, normalized, selection, require_target, request_rows, max_broadcast_rows)

@@ -1,4 +1,4 @@
-"""The graph operators the reference took from GraphX, as joins and aggregations."""
+"""Graph operators (vertex joins, subgraphs, degrees, counts) as joins and aggregations."""
 
 from __future__ import annotations
 

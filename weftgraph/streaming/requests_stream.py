@@ -32,6 +32,9 @@ from weftgraph.sources.requests import REQUEST_SCHEMA, decode_requests, normaliz
 
 STATUS_OK = "done"
 STATUS_FAILED = "failed"
+# Requests of one micro-batch handed to the planner as literals (partition and
+# row-group pruning on the documents); a larger batch stays a DataFrame.
+MAX_LITERAL_REQUESTS = 10_000
 
 
 def completion_records(requests: DataFrame) -> DataFrame:
@@ -62,9 +65,14 @@ def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, o
         failed = checked.where(F.col("error").isNotNull()).select(
             "graph_id", F.lit(STATUS_FAILED).alias("status"), "error")
         status = failed
-        if not good.isEmpty():
+        n_good = good.count()
+        if n_good:
             try:
-                build = build_graph(spark, source, good, **build_kw)
+                # Requests are query parameters, not data: a bounded batch of them becomes
+                # literal filters that prune the document scan (a request table alone
+                # does not trigger dynamic partition pruning).
+                batch = [r.asDict() for r in good.collect()] if n_good <= MAX_LITERAL_REQUESTS else good
+                build = build_graph(spark, source, batch, **build_kw)
                 write_tables(build.nodes, build.out_edges, out)
                 write_gexf(build.requests.select("graph_id"), build.nodes, build.out_edges, f"{out}/gexf")
                 write_table(completion_records(build.requests), f"{out}/completed", "text")

@@ -51,24 +51,47 @@ def select_documents(documents: DataFrame, normalized_requests: DataFrame, selec
     raise ValueError(f"unknown selection {selection!r}")
 
 
+# Up to this many requests the pushed predicate is the exact disjunction of the
+# requests; beyond it, their hull (fewer literals to plan, a wider superset).
+MAX_DISJUNCTION = 200
+
+
+def _request_predicate(r: dict, selection: str):
+    pred = F.col("criteria_id") == str(r["criteria_id"])
+    code = PLATFORM_CODES.get(str(r.get("platform")))
+    lo, hi = int(r["from"]), int(r["to"])
+    if selection == TIMESTAMP_RANGE:
+        if code:
+            pred = pred & (F.col("platform") == code)
+        return pred & F.col("timestamp").between(lo, hi)
+    # Day bounds as foldable expressions: Catalyst folds them with the session
+    # time zone, the same zone that made the day keys, and pushes the literal.
+    return (pred & (F.col("platform") == (code or ""))
+            & (F.col("day") >= day_of_millis(F.lit(lo))) & (F.col("day") <= day_of_millis(F.lit(hi))))
+
+
 def pushdown_predicate(requests: list[dict], selection: str):
     """Literal predicate on the document columns that covers every request.
 
-    Applied before the join it reaches the Parquet scan (``PushedFilters``),
-    so row groups and partitions outside all requests are never read.  It is a
-    pure superset filter; the join decides membership.
+    Applied before the join it reaches the Parquet scan (``PushedFilters``,
+    partition filters), so row groups and partitions outside all requests are
+    never read.  It is a superset filter; the join decides membership.
     """
-    criteria = sorted({str(r["criteria_id"]) for r in requests})
-    if not criteria:
+    if not requests:
         return F.lit(False)
+    if len(requests) <= MAX_DISJUNCTION:
+        pred = None
+        for r in requests:
+            p = _request_predicate(r, selection)
+            pred = p if pred is None else pred | p
+        return pred
+    criteria = sorted({str(r["criteria_id"]) for r in requests})
     pred = F.col("criteria_id").isin(criteria)
     lows = [int(r["from"]) for r in requests]
     highs = [int(r["to"]) for r in requests]
     if selection == TIMESTAMP_RANGE:
         return pred & F.col("timestamp").between(min(lows), max(highs))
     platforms = sorted({PLATFORM_CODES.get(str(r.get("platform")), "") for r in requests})
-    # Day bounds as foldable expressions: Catalyst folds them with the session
-    # time zone, the same zone that made the day keys, and pushes the literal.
     lo_day = day_of_millis(F.lit(min(lows)))
     hi_day = day_of_millis(F.lit(max(highs)))
     return pred & F.col("platform").isin(platforms) & (F.col("day") >= lo_day) & (F.col("day") <= hi_day)

@@ -205,3 +205,24 @@ def test_c11_wide_rows_bad_json(spark):
     flat = build_graph(spark, frame(spark, docs), [req()]).documents.select("post_id", "timestamp", "source")
     from_wide = select_from_wide_rows(wide, norm, "day_range").select("post_id", "timestamp", "source")
     assert sorted(flat.collect()) == sorted(from_wide.collect())
+
+
+@pytest.mark.parametrize("selection", ["day_range", "day_list", "timestamp_range"])
+def test_pushdown_predicates_are_supersets(spark, selection, monkeypatch):
+    from conftest import sf_dir
+    from weftgraph.operators import select as sel
+    from weftgraph.sources.fixtures import load_interactions
+    from weftgraph.sources.requests import normalize_requests, requests_frame
+    docs = load_interactions(spark, sf_dir("0.001"))
+    ts = selection == "timestamp_range"
+    reqs = [req(T0, T0 + 2 * DAY, crit="crit_0", platform=None if ts else "twitter"),
+            req(T0 + 20 * DAY, T0 + 22 * DAY, crit="crit_2", platform="facebook")]
+    norm = normalize_requests(requests_frame(spark, reqs), selection)
+    exact = sorted(r["post_id"] + r["graph_id"] for r in
+                   sel.select_documents(docs, norm, selection, require_target=False).collect())
+    for limit in (sel.MAX_DISJUNCTION, 0):  # the disjunction, then the hull
+        monkeypatch.setattr(sel, "MAX_DISJUNCTION", limit)
+        pushed = docs.where(sel.pushdown_predicate(reqs, selection))
+        got = sorted(r["post_id"] + r["graph_id"] for r in
+                     sel.select_documents(pushed, norm, selection, require_target=False).collect())
+        assert got == exact and len(exact) > 0

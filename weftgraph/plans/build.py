@@ -37,7 +37,7 @@ from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_thre
 from weftgraph.session import materialize, materialize_together
 from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, SELECTIONS, day_count,
                                         normalize_requests, requests_frame, unique_requests)
-from weftgraph.sources.widerow import select_from_wide_rows
+from weftgraph.sources.widerow import key_range_predicate, select_from_wide_rows
 
 
 @dataclass
@@ -122,7 +122,11 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
             src = src.where(pushdown_predicate(request_list, selection))
         documents = select_documents(src, normalized, selection, require_target, request_rows, max_broadcast_rows)
     elif source_kind == "wide":
-        documents = select_from_wide_rows(source, normalized, selection, require_target, on_bad, request_rows,
+        src = source
+        keys = key_range_predicate(request_list, selection) if request_list is not None and strict_requests else None
+        if keys is not None:
+            src = src.where(keys)
+        documents = select_from_wide_rows(src, normalized, selection, require_target, on_bad, request_rows,
                                           max_broadcast_rows)
     else:
         raise ValueError("source_kind must be 'flat' or 'wide'")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.functions.expressions import ROW_KEY_SEPARATOR, row_key
+from weftgraph.functions.expressions import PLATFORM_CODES, day_of_millis, row_key
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_days
 
@@ -109,7 +109,24 @@ def select_from_wide_rows(wide: DataFrame, normalized_requests: DataFrame, selec
     return docs.drop("row_key", "chunk")
 
 
-def row_key_range(criteria_id: str, code: str, start_day: str, end_day: str) -> tuple[str, str]:
-    """Driver-side start and stop keys of one request (for a pushed-down scan filter)."""
-    return (ROW_KEY_SEPARATOR.join([criteria_id, code, start_day]),
-            ROW_KEY_SEPARATOR.join([criteria_id, code, end_day]))
+def key_range_predicate(requests: list[dict], selection: str, max_requests: int = 200):
+    """Literal ``row_key`` ranges covering the requests (None beyond ``max_requests``).
+
+    ``[start_key, stop_key)`` for ``day_range`` (the reference's scan), the
+    inclusive ``[start_key, end_key]`` otherwise (a superset of the day keys).
+    On a table sorted by key, Parquet min/max statistics then skip every row
+    group outside the ranges.  Day keys are foldable expressions evaluated in
+    the session time zone, like the keys themselves.
+    """
+    if not requests or len(requests) > max_requests:
+        return None
+    pred = None
+    for r in requests:
+        code = PLATFORM_CODES.get(str(r.get("platform")))
+        if code is None:
+            return None  # every platform (timestamp mode): no single key prefix
+        lo = row_key(F.lit(str(r["criteria_id"])), F.lit(code), day_of_millis(F.lit(int(r["from"]))))
+        hi = row_key(F.lit(str(r["criteria_id"])), F.lit(code), day_of_millis(F.lit(int(r["to"]))))
+        p = (F.col("row_key") >= lo) & ((F.col("row_key") < hi) if selection == DAY_RANGE else (F.col("row_key") <= hi))
+        pred = p if pred is None else pred | p
+    return pred

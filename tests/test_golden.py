@@ -82,3 +82,8 @@ def test_documents_without_day_column(spark, interactions):
     """A document store has no day keys: they are derived from the timestamp."""
     b = build_graph(spark, interactions["0.001"].drop("day"), [_request()], selection="day_range")
     assert (b.documents.count(), b.nodes.count(), b.out_edges.count()) == (163, 73, 115)
+
+
+def test_rebalanced_interactions_same_result(spark, interactions):
+    b = build_graph(spark, interactions["0.001"], [_request()], selection="day_range", rebalance=True)
+    assert (b.documents.count(), b.nodes.count(), b.out_edges.count()) == (163, 73, 115)

@@ -90,7 +90,7 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
                 source_kind: str = "flat", cap: int = DEFAULT_CAP, cap_mode: str = capops.INDUCED,
                 account_type: str = ACCOUNT_TYPE, id_prefix: str = ID_PREFIX,
                 require_target: bool = True, on_bad: str = "fail", strict_requests: bool = True,
-                materialize_mode: str = "table",
+                materialize_mode: str = "table", rebalance: bool = False,
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GraphBuild:
     """Build the networks of all ``requests`` from ``source`` in one plan.
 
@@ -98,6 +98,11 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     wide-row table (``source_kind="wide"``).  ``requests`` is a list of request
     dicts (``path, platform, criteria_id, from, to``, optionally ``graph_id``)
     or a DataFrame with those string columns.
+
+    The selection does not shuffle, so the interaction table gets one file per
+    input split; ``rebalance=True`` adds Spark's ``rebalance`` hint (one shuffle
+    of the selected rows, AQE-sized output files) for very selective requests
+    over very large inputs, where those files would be tiny and many.
     """
     if selection not in SELECTIONS:
         raise ValueError(f"selection must be one of {SELECTIONS}")
@@ -134,7 +139,10 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     # The interaction table; read by the node and the edge branches.
     keep = materialize_mode
     tables: list = []
-    interactions = materialize(resolve_endpoints(documents, account_type, id_prefix, on_bad), keep, "interactions", tables)
+    resolved = resolve_endpoints(documents, account_type, id_prefix, on_bad)
+    if rebalance:
+        resolved = resolved.hint("rebalance")
+    interactions = materialize(resolved, keep, "interactions", tables)
 
     # Vertices, from the distinct endpoints (node-sized after map-side combining).
     # The vertex table and the losing ids share their shuffles and are written by one job.

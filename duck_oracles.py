@@ -247,4 +247,10 @@ FROM induced""",
 SELECT {DOC_COLS} FROM interactions
 WHERE criteria_id = 'crit_1' AND timestamp BETWEEN {WINDOW[0]} AND {WINDOW[1]}""",
         "degree_filter_k3": dr + "SELECT * FROM nodes_deg WHERE degree >= 3",
+        "gexf_sections": dr + """
+SELECT graph_id, 0 AS section, CAST(1 AS BIGINT) AS lines FROM req
+UNION ALL SELECT graph_id, 1, count(*) FROM kept GROUP BY graph_id
+UNION ALL SELECT graph_id, 2, CAST(1 AS BIGINT) FROM req
+UNION ALL SELECT graph_id, 3, count(*) FROM induced GROUP BY graph_id
+UNION ALL SELECT graph_id, 4, CAST(1 AS BIGINT) FROM req""",
     }

@@ -202,6 +202,14 @@ def q_degree_filter(spark, sf_dir):
     return capops.degree_filter(cached_build(spark, sf_dir).nodes_deg, 3)
 
 
+def q_gexf_sections(spark, sf_dir):
+    """N5 structure: GEXF lines per network and section (0 header, 1 nodes, 2 separator, 3 edges, 4 footer)."""
+    from weftgraph.sinks.gexf import gexf_lines
+    b = cached_build(spark, sf_dir)
+    lines = gexf_lines(b.requests.select("graph_id"), b.nodes, b.out_edges)
+    return lines.groupBy("graph_id", "section").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     node_cols = ["graph_id", "id", "name", "type"]
     return {
@@ -243,4 +251,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "requests_status": q_requests_status,
         "docs_filtered": q_docs_filtered,
         "degree_filter_k3": q_degree_filter,
+        "gexf_sections": q_gexf_sections,
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,9 +36,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bound_arrow_batches(spark: SparkSession, size: str = "32m") -> None:
-    """Limit Arrow batches by bytes too, so that very long texts never meet in one batch of 10,000 rows."""
-    spark.conf.set(ARROW_BATCH_BYTES, size)
+def prepare_workers(spark: SparkSession, batch: str = "32m") -> None:
+    """Settings for Python stages: batches bounded by bytes too, and this package on the workers' path.
+
+    The byte bound keeps very long texts from meeting in one batch of 10,000
+    rows.  Workers that share the driver's file system import the package from
+    where it lies; elsewhere ship it with ``--py-files`` or install it.
+    """
+    spark.conf.set(ARROW_BATCH_BYTES, batch)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def rank_within(df: DataFrame, key: str, order: list[str], name: str = "rank_in_key") -> DataFrame:

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from . import chat, licenses, quality, urls
+from . import chat, counts, hyperminhash, itq, licenses, mixing, packing, quality, tokenfile, urls
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
         "op1_chat_format": chat.query,
+        "op2_best_fit_packing": packing.query,
         "op3_quality_rules": quality.query,
+        "op4_token_files": tokenfile.query,
+        "op5_pfair_mixing": mixing.query,
+        "op6_token_counts": counts.query,
         "op7_url_filter": urls.query,
         "op8_license_scan": licenses.query,
+        "op9_embedding_dedup": itq.query,
+        "op10_minhash_dedup": hyperminhash.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -46,14 +46,15 @@ RULES = {
 
 
 def with_base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, tx and the base counts (long), n_lines and base_failed."""
+    """doc_id, tx, the base counts (long), n_lines, base_failed and ``row`` (all columns of the input)."""
     k = WINDOW_WORDS
     eight = ", ".join(f"wh[i + {j}]" if j else "wh[i]" for j in range(k))
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("tx"))
+    d = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(doc_id).alias("doc_id"),
+                    F.coalesce(F.col(text).cast("string"), F.lit("")).alias("tx"))
     d = d.withColumn("w", F.expr(f"regexp_extract_all(tx, '{WORD}', 0)")) \
         .withColumn("lines", F.expr(f"filter(split(tx, '\\n', -1), l -> l rlike '{WORD}')"))
     d = d.withColumn("wh", F.expr("transform(w, x -> xxhash64(x))")) \
-        .select("doc_id", "tx", "wh", F.expr("bigint(size(w))").alias("n_words"),
+        .select("row", "doc_id", "tx", "wh", F.expr("bigint(size(w))").alias("n_words"),
                 F.expr("bigint(length(array_join(w, '')))").alias("word_chars"),
                 F.expr(f"bigint(regexp_count(tx, '{SYMBOL}'))").alias("n_symbols"),
                 F.expr("bigint(size(lines))").alias("n_lines"),
@@ -100,11 +101,11 @@ def cascade_order(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows: i
 
 def judge(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows: int = SAMPLE_ROWS, doc_id: str = "doc_id",
           text: str = "text") -> DataFrame:
-    """One row per document: doc_id, base counts, base_failed, kept, and ``tx`` (the text)."""
-    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    order = [x["rule"] for x in cascade_order(plain, rules, sample_rows)]
+    """One row per document: doc_id, base counts, base_failed, kept, ``tx`` (the text) and ``row`` (the input row)."""
+    order = [x["rule"] for x in cascade_order(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
+                                              rules, sample_rows)]
     branches = " ".join(f"when {rules[r]} then false" for r in order)
-    return with_base(plain).withColumn("kept", F.expr(f"case when base_failed then false {branches} else true end"))
+    return with_base(docs, doc_id, text).withColumn("kept", F.expr(f"case when base_failed then false {branches} else true end"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,7 +70,10 @@ def with_base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     d = d.withColumn("n_repeat_words", F.expr(
         f"bigint(coalesce(aggregate(transform(p, (a, j) -> least({k}, coalesce(get(p, j + 1) - a, {k}))), 0, "
         "(t, x) -> t + x), 0))")).drop("p")
-    return d.withColumn("base_failed", F.expr(
+    # the counts leave through a generator, so that a filter on them is never moved down into the array expressions,
+    # which would evaluate whole arrays once per element
+    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+    return d.select("row", "doc_id", "tx", F.inline(F.array(F.struct(*names)))).withColumn("base_failed", F.expr(
         f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words"))
 
 

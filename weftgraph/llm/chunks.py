@@ -13,8 +13,7 @@ The cuts by kind of tokenizer file:
   crosses white space except for one leading space; so a chunk is a letter run,
   a punctuation run, another run without white space (each with its leading
   space), or white space as the pattern splits it;
-* a ``Split`` on a pattern that drops white space: a chunk is what stands between
-  white space;
+* a ``Split`` on a pattern that drops white space: the same runs without the space;
 * anything else: the whole text.
 """
 
@@ -22,19 +21,23 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from itertools import islice
 
 import numpy as np
 
 #: White space as the tokenizers' patterns know it (Unicode White_Space).
 WS = "\t-\r \x85\xa0  -     　"
-#: Letters that every Unicode version knows, and ASCII punctuation without the apostrophe.
-LETTERS, PUNCT = "A-Za-zÀ-ÖØ-öø-ſ", "!-&(-/:-@\\[-`{-~"
+#: Letters that every Unicode version knows and that stay letters when lower-cased (so not U+0130), and ASCII punctuation without the apostrophe.
+LETTERS, PUNCT = "A-Za-zÀ-ÖØ-öø-įı-ſ", "!-&(-/:-@\\[-`{-~"
 BYTE_LEVEL_CHUNK = re.compile(
     f" ?[{LETTERS}]+(?=[{PUNCT}{WS}]|\\Z)| ?[{PUNCT}]+(?=[{WS}{LETTERS}]|\\Z)| ?[^{WS}]+"
     f"|[{WS}]+(?![^{WS}])|[{WS}]+")
-WORD_CHUNK = re.compile(f"[^{WS}]+")
-CACHE_ENTRIES = 400_000
+WORD_CHUNK = re.compile(
+    f"[{LETTERS}]+(?=[{PUNCT}{WS}]|\\Z)|[{PUNCT}]+(?=[{WS}{LETTERS}]|\\Z)|[^{WS}]+")
+#: Chunks that are one pre-token for certain and change under no normalisation but lower-casing.
+ONE_PRETOKEN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+CACHE_ENTRIES = 1_200_000
 LONG_TEXT, STEP = 2_000_000, 200_000
 
 
@@ -49,19 +52,31 @@ class ChunkEncoder:
         with open(path, encoding="utf-8") as f:
             pre = json.load(f).get("pre_tokenizer") or {}
         steps = pre.get("pretokenizers", [pre])
-        self.pattern = None
+        self.pattern, self.lower = None, False
         if steps[0].get("type") == "ByteLevel" and steps[0].get("use_regex", True) \
                 and not steps[0].get("add_prefix_space"):
             self.pattern = BYTE_LEVEL_CHUNK
         elif steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert") \
                 and "\\s" in steps[0]["pattern"].get("Regex", ""):
-            self.pattern = WORD_CHUNK
+            self.pattern, self.lower = WORD_CHUNK, True
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") \
             if special else None
         self.marks = special
         self.width, self.dtype, self.limit = width, f"<u{width}", cache_entries
         self.cache: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        # the byte-level alphabet, as the library's own pre-tokenizer spells single bytes
+        from tokenizers.pre_tokenizers import ByteLevel
+        alphabet = sorted(ByteLevel.alphabet(), key=ord)
+        plain = [c for c in alphabet if ord(c) < 256]
+        shifted = iter(c for c in alphabet if ord(c) >= 256)
+        self.letters = {b: (chr(b) if chr(b) in plain else next(shifted)) for b in range(256)}
+
+    def one(self, chunk: str) -> list[int]:
+        """Ids of a chunk that is one pre-token, straight from the model."""
+        text = chunk.lower() if self.lower else chunk
+        return [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -70,7 +85,13 @@ class ChunkEncoder:
     def _learn(self, missing) -> None:
         if len(self.cache) + len(missing) > self.limit:
             self.cache.clear()
-        todo = list(missing)
+        todo = []
+        for c in missing:
+            if ONE_PRETOKEN.fullmatch(c):
+                self.cache[c] = array("I", self.one(c)).tobytes() if self.width == 4 else \
+                    np.array(self.one(c), self.dtype).tobytes()
+            else:
+                todo.append(c)
         for i in range(0, len(todo), 4096):
             part = todo[i:i + 4096]
             self.cache.update(zip(part, self._ids(part)))
@@ -81,11 +102,11 @@ class ChunkEncoder:
             return b"".join(map(get, chunks))
         except KeyError:
             pass
-        self._learn(set(chunks) - self.cache.keys())
+        self._learn({c for c in chunks if c not in self.cache})
         try:
             return b"".join(map(get, chunks))
         except KeyError:  # the cache was cleared, and some of the known chunks with it
-            self._learn(set(chunks) - self.cache.keys())
+            self._learn({c for c in chunks if c not in self.cache})
             return b"".join(self.cache[c] if c in self.cache else self._ids([c])[0] for c in chunks)
 
     def _plain(self, text: str) -> bytes:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import LONG_TEXT, STEP, encoder, tokenizer_path
+from .chunks import LONG_TEXT, ONE_PRETOKEN, STEP, encoder, tokenizer_path
 from .common import prepare_workers, read
 
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 512
@@ -57,10 +57,12 @@ class LengthLookup:
         self.second: dict[str, int] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        missing = list(set(chunks) - self.first.keys() - self.second.keys())
+        missing = list({c for c in chunks if c not in self.second})  # chunks: those that tier 1 lacks
         if len(self.second) + len(missing) > CACHE_ENTRIES:
             self.second.clear()
-            missing = list(set(chunks) - self.first.keys())
+            missing = list(set(chunks))
+        self.second.update((c, len(self.enc.one(c))) for c in missing if ONE_PRETOKEN.fullmatch(c))
+        missing = [c for c in missing if c not in self.second]
         for i in range(0, len(missing), 4096):
             part = missing[i:i + 4096]
             self.second.update(zip(part, (len(e.ids) for e in

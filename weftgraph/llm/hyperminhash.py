@@ -13,9 +13,13 @@
    full shingle sets of both texts.
 5. In a band's bucket all documents are first compared with its smallest one (its
    hub).  Only buckets that still hold more than one component then compare
-   across components.  So a group of thousands of copies costs a comparison or
-   two per document, while no pair of candidates in different components is left
-   out.  Links are exact; the components follow from them.
+   across components: in blocks of bounded size, on four bits of each register and
+   with the same margin.  A block puts out a spanning set of its likely pairs, not
+   the pairs; the components of these are families, within which blocks verify
+   every likely pair that is still apart on the full sets.  So a group of
+   thousands of copies costs a comparison or two per document, while no pair of
+   candidates in different components is left out.  Links are exact; the
+   components follow from them.
 
 A null or empty text, or one without words, has an empty set, links with nothing
 and is its own component.  A row with a null doc_id links with nothing
@@ -32,7 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare_workers, read, stash
+from .blocks import chunk_pairs, pairs_in, whole_groups
+from .common import prepare_workers, read, shuffle_partitions, stash
 from .components import components
 
 SHINGLE, THRESHOLD = 2, 80  # words, percent
@@ -42,6 +47,7 @@ REGISTERS = BANDS * ROWS
 #: Chance that two different minima share a register: the known constant for HyperMinHash, 0.1699, over the mantissa's values.
 COLLISION = 0.1699 / (1 << MANTISSA)
 CACHE_WORDS = 500_000
+BLOCK_ROWS, VERIFY_ROWS = 512, 128
 M1, M2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,6 +136,94 @@ def _bands(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, BANDS)), pa.array(np.concatenate(keys))], ["doc", "key"])
 
 
+def _nibbles(batches):
+    """Four bits per register: 0 for an empty one, else 1 to 15."""
+    for batch in batches:
+        if batch.num_rows:
+            regs = np.stack([np.frombuffer(r.as_py(), np.uint16) for r in batch.column(1)])
+            nibs = np.where(regs > 0, regs % 15 + 1, 0).astype(np.uint8)
+            packed = nibs[:, ::2] | (nibs[:, 1::2] << 4)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in packed], pa.binary())],
+                                             ["doc", "nibs"])
+
+
+class Trees:
+    """Union-find over the rows of a block; rows of one component start in one tree."""
+
+    def __init__(self, labels: np.ndarray):
+        _, self.tree = np.unique(labels, return_inverse=True)
+        self.up = list(range(int(self.tree.max(initial=-1)) + 1))
+
+    def root(self, row: int) -> int:
+        up, t = self.up, int(self.tree[row])
+        while up[t] != t:
+            up[t] = up[up[t]]
+            t = up[t]
+        return t
+
+    def join(self, p: int, q: int) -> None:
+        self.up[q] = p
+
+
+def _unpacked(column) -> np.ndarray:
+    rows = column.to_pylist()
+    packed = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    nibs = np.empty((len(rows), REGISTERS), np.uint8)
+    nibs[:, ::2], nibs[:, 1::2] = packed & 15, packed >> 4
+    return nibs
+
+
+def _block_links(threshold: int, k: int, exact: bool):
+    """Links of a block between components, from its likely pairs.
+
+    Without ``exact``: a spanning set of links between component labels (a, b)
+    and each document that has a likely partner (doc, with its label as a and b).
+    With ``exact``: a spanning set of document pairs that verify on the texts.
+    """
+    t, chance = threshold / 100, 1 / 15
+
+    def run(batches):
+        for table in whole_groups(batches):
+            g, doc, c, own, chunk = (table.column(n).to_numpy() for n in ("g", "doc", "c", "own", "chunk"))
+            nibs = _unpacked(table.column("nibs"))
+            # components meet only within a block: the same label in another block is another tree
+            trees = Trees(np.stack([g, c], axis=1).view([("g", np.int64), ("c", np.int64)]).reshape(-1))
+            sets = [shingle_set(x.as_py(), k) for x in table.column("text")] if exact else None
+            out, marked = [], np.zeros(len(g), bool)
+            for i, j in pairs_in(g, own, chunk):
+                apart = c[i] != c[j]
+                i, j = i[apart], j[apart]
+                if not len(i):
+                    continue
+                x, y = nibs[i], nibs[j]
+                used = np.count_nonzero(x | y, axis=1)
+                same = np.count_nonzero((x == y) & (x > 0), axis=1) / used
+                least = t - SIGMAS * np.sqrt(t * (1 - t) / used)
+                ok = same >= least + (1 - least) * chance - SIGMAS * np.sqrt(chance / used) * (1 - t)
+                marked[i[ok]] = marked[j[ok]] = True
+                for p, q in zip(i[ok].tolist(), j[ok].tolist()):
+                    r, s = trees.root(p), trees.root(q)
+                    if r == s:
+                        continue
+                    if exact:
+                        a, b = sets[p], sets[q]
+                        if 100 * min(len(a), len(b)) < threshold * max(len(a), len(b)):
+                            continue
+                        both = len(np.intersect1d(a, b, assume_unique=True))
+                        if 100 * both < threshold * (len(a) + len(b) - both):
+                            continue
+                    trees.join(r, s)
+                    out.append((p, q))
+            e, m = np.array(out, np.int64).reshape(-1, 2), np.flatnonzero(marked)
+            if exact:
+                yield pa.RecordBatch.from_arrays([pa.array(doc[e[:, 0]]), pa.array(doc[e[:, 1]])], ["a", "b"])
+            else:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([c[e[:, 0]], c[m]])), pa.array(np.concatenate([c[e[:, 1]], c[m]])),
+                     pa.array([None] * len(e) + doc[m].tolist(), pa.int64())], ["a", "b", "doc"])
+    return run
+
+
 def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Collision-corrected Jaccard estimate of register rows, and the number of buckets it rests on."""
     used = ((a > 0) | (b > 0)).sum(axis=1)
@@ -200,12 +294,19 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
         .select("key", "doc", F.coalesce("component", "doc").alias("c"))
     placed = stash(placed, "placed")
     split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_ = placed.join(split, "key", "left_semi")
-    other = open_.select("key", F.col("doc").alias("doc2"), F.col("c").alias("c2"))
-    across = open_.join(other, (open_["key"] == other["key"]) & (F.col("c") < F.col("c2"))) \
-        .select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b")).distinct() \
-        .join(first, ["a", "b"], "left_anti")
-    more = verified(across, reps, docs, k, threshold)
+    open_ = chunk_pairs(placed.join(split, "key", "left_semi"), "key", "doc", BLOCK_ROWS)
+    small = stash(reps.mapInArrow(_nibbles, "doc long, nibs binary"), "sketches")
+    tasks = shuffle_partitions(docs.sparkSession)
+    likely = stash(open_.join(small, "doc").select("g", "doc", "c", "own", "chunk", "nibs")
+                   .repartition(tasks, "g").sortWithinPartitions("g")
+                   .mapInArrow(_block_links(threshold, k, False), "a long, b long, doc long"), "likely")
+    families = components(likely.where("doc is null").select("a", "b")) \
+        .select(F.col("node").alias("c"), F.col("component").alias("family"))
+    whole = likely.where("doc is not null").select("doc", F.col("a").alias("c")).distinct().join(families, "c") \
+        .join(small, "doc").join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").dropDuplicates(["doc"])
+    more = chunk_pairs(stash(whole, "families"), "family", "doc", VERIFY_ROWS) \
+        .select("g", "doc", "c", "own", "chunk", "nibs", "text").repartition(tasks, "g").sortWithinPartitions("g") \
+        .mapInArrow(_block_links(threshold, k, True), "a long, b long")
     final = components(links.unionByName(more))
     # a class belongs where its representative does
     named = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left") \

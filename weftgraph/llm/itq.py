@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blocks import chunk_pairs, pairs_in, whole_groups
 from .common import prepare_workers, read, shuffle_partitions, stash
 from .components import components
 
@@ -99,41 +100,6 @@ def _meet_here(x: np.ndarray, y: np.ndarray, table: np.ndarray, key: np.ndarray)
     return near & (first == table) & (common == key)
 
 
-def _pairs(group: np.ndarray, own: np.ndarray, chunk: np.ndarray):
-    """Index pairs (i, j) with the same group, row distance by row distance; ``group`` is sorted.
-
-    own: the group holds one chunk only; else only pairs of different chunks count.
-    """
-    at = np.arange(len(group))
-    step = 1
-    while True:
-        at = at[at + step < len(group)]
-        at = at[group[at] == group[at + step]]
-        if not len(at):
-            return
-        use = at[own[at] | (chunk[at] != chunk[at + step])]
-        if len(use):
-            yield use, use + step
-        step += 1
-
-
-def _whole_groups(batches):
-    """Batches cut at changes of column 0 (sorted), so that a group is never split."""
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        t = pa.Table.from_batches([batch])
-        t = pa.concat_tables([held, t]) if held is not None else t
-        g = t.column(0).to_numpy()
-        cut = int(np.searchsorted(g, g[-1]))
-        if cut:
-            yield t.slice(0, cut).combine_chunks()
-        held = t.slice(cut)
-    if held is not None and held.num_rows:
-        yield held.combine_chunks()
-
-
 def _columns(t: pa.Table):
     n = lambda c: t.column(c).to_numpy()
     return n("g"), n("id"), n("code").view(np.uint64), n("tab").astype(np.int64), n("key"), n("own"), n("chunk"), n("lab")
@@ -141,10 +107,10 @@ def _columns(t: pa.Table):
 
 def _find_partners(batches):
     """Keys and vectors that meet a partner there."""
-    for t in _whole_groups(batches):
+    for t in whole_groups(batches):
         g, _, code, tab, key, own, chunk, lab = _columns(t)
         mark = np.zeros(len(g), bool)
-        for i, j in _pairs(g, own, chunk):
+        for i, j in pairs_in(g, own, chunk):
             ok = (lab[i] == lab[j]) & (tab[i] == tab[j]) & (key[i] == key[j])
             i, j = i[ok], j[ok]
             ok = _meet_here(code[i], code[j], tab[i], key[i])
@@ -155,7 +121,7 @@ def _find_partners(batches):
 
 def _link(cosine: float):
     def run(batches):
-        for t in _whole_groups(batches):
+        for t in whole_groups(batches):
             g, ids, code, tab, key, own, chunk, lab = _columns(t)
             copies = t.column("copies").to_numpy()
             size = pa.compute.list_value_length(t.column("embedding")).to_numpy()
@@ -168,7 +134,7 @@ def _link(cosine: float):
                 where[rows] = np.arange(len(rows))
                 vectors[int(d)] = (where, _unit(_rows(t.column("embedding").take(pa.array(rows)).combine_chunks())))
             edges = []
-            for i, j in _pairs(g, own, chunk):
+            for i, j in pairs_in(g, own, chunk):
                 ok = (lab[i] == lab[j]) & (tab[i] == tab[j]) & (key[i] == key[j])
                 i, j = i[ok], j[ok]
                 ok = _meet_here(code[i], code[j], tab[i], key[i])
@@ -245,14 +211,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample_rows: int =
             f"concat(array({part}), transform(sequence(0, {PART - 1}), b -> ({part}) ^ shiftleft(1L, b)))"))) \
         .withColumn("k", F.xxhash64("lab", "tab", "key"))
     keyed = stash(keyed, "keys")
-    many = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(f"n > {CHUNK}") \
-        .select("k", F.ceil(F.col("n") / CHUNK).cast("int").alias("cs"))
-    # a chunk meets every chunk of its key: it stands once with each other chunk
-    cut = keyed.join(many, "k", "left").withColumn("cs", F.coalesce("cs", F.lit(1))) \
-        .withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(17)), F.col("cs")).cast("int")) \
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("cs") - 1))) \
-        .select(F.xxhash64("k", F.least("chunk", "with"), F.greatest("chunk", "with")).alias("g"), "id", "code", "tab", "key",
-                (F.col("chunk") == F.col("with")).alias("own"), "chunk", "lab")
+    cut = chunk_pairs(keyed, "k", "id", CHUNK).select("g", "id", "code", "tab", "key", "own", "chunk", "lab")
     schema = "g long, id long, code long, tab int, key long, own boolean, chunk int, lab long"
     p = shuffle_partitions(spark)
     found = stash(cut.repartition(p, "g").sortWithinPartitions("g").mapInArrow(_find_partners, schema), "partners")

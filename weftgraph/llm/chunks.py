@@ -37,7 +37,7 @@ WORD_CHUNK = re.compile(
     f"[{LETTERS}]+(?=[{PUNCT}{WS}]|\\Z)|[{PUNCT}]+(?=[{WS}{LETTERS}]|\\Z)|[^{WS}]+")
 #: Chunks that are one pre-token for certain and change under no normalisation but lower-casing.
 ONE_PRETOKEN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 600_000
 LONG_TEXT, STEP = 2_000_000, 200_000
 
 

@@ -36,7 +36,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def prepare_workers(spark: SparkSession, batch: str = "32m") -> None:
+def prepare_workers(spark: SparkSession, batch: str = "8m") -> None:
     """Settings for Python stages: batches bounded by bytes too, and this package on the workers' path.
 
     The byte bound keeps very long texts from meeting in one batch of 10,000

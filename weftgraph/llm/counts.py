@@ -27,7 +27,7 @@ from .common import prepare_workers, read
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 512
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 20_000
 FREQUENT, CHUNK_BYTES = 65_536, 64
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 600_000
 
 
 def frequent_lengths(docs: DataFrame, tokenizer: str, sample_rows: int = SAMPLE_ROWS, seed: int = 11) -> tuple[str, bytes]:

@@ -46,7 +46,7 @@ MANTISSA, SIGMAS = 10, 5.0
 REGISTERS = BANDS * ROWS
 #: Chance that two different minima share a register: the known constant for HyperMinHash, 0.1699, over the mantissa's values.
 COLLISION = 0.1699 / (1 << MANTISSA)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 BLOCK_ROWS, VERIFY_ROWS = 2048, 128
 M1, M2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 

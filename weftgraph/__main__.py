@@ -61,7 +61,9 @@ def main(argv=None, spark=None) -> int:
         from weftgraph.sources.requests import decode_requests
         requests = decode_requests(spark.read.text(args.requests))
         process_batch(spark, requests, documents, args.out, 0, **kw)
-        for row in spark.read.json(f"{args.out}/status").collect():
+        from weftgraph.streaming.requests_stream import check_requests
+        own = check_requests(requests, kw["selection"]).select("graph_id").distinct()
+        for row in spark.read.json(f"{args.out}/status").join(own, "graph_id", "left_semi").collect():
             print(json.dumps(row.asDict()))
         return 0
     if not args.checkpoint:

@@ -27,8 +27,8 @@ DEFAULT_CAP = 15000
 # Day format of the wide-row key.
 DAY_FORMAT = "yyyyMMdd"
 
-# Account ids are unsigned decimal integers that fit a signed 64-bit long.
-_ID_PATTERN = r"^\+?[0-9]{1,19}$"
+# Account ids are unsigned decimal integers, zero-padded or not; the cast decides whether they fit a signed 64-bit long.
+_ID_PATTERN = r"^\+?[0-9]+$"
 
 
 def platform_code(platform: Column, strict: bool = True) -> Column:
@@ -54,7 +54,7 @@ def row_key(criteria_id: Column, code: Column, day: Column) -> Column:
 
 def parse_millis(text: Column, on_bad: str = "fail") -> Column:
     """E2 for request bounds: decimal text -> bigint; bad text fails or gives null."""
-    ok = text.rlike(r"^[+-]?[0-9]{1,19}$")
+    ok = text.rlike(r"^[+-]?[0-9]+$")
     value = F.when(ok, text.try_cast("bigint"))
     if on_bad == "fail":
         return F.when(value.isNotNull(), value).otherwise(

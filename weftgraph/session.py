@@ -62,8 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="weftgraph-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on Spark Connect")
         return configured
     current = sc.getCheckpointDir()
     if current:

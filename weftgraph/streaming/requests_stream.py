@@ -46,11 +46,13 @@ def completion_records(requests: DataFrame) -> DataFrame:
 
 def check_requests(requests: DataFrame, selection: str) -> DataFrame:
     """Normalise leniently and name what is wrong with a request (``error``, null when fine)."""
-    checked = normalize_requests(requests, selection, strict=False)
+    checked = normalize_requests(requests.distinct(), selection, strict=False, dedupe=False)
     bad_platform = F.col("platform").isNotNull() & (F.col("platform") != "") & F.col("code").isNull()
     if selection != "timestamp_range":
         bad_platform = F.col("code").isNull()
     problem = (F.when(bad_platform, F.lit("unknown platform"))
+               .when(F.col("criteria_id").isNull(), F.lit("missing criteria_id"))
+               .when(F.col("path").isNull(), F.lit("missing path"))
                .when(F.col("from_ms").isNull() | F.col("to_ms").isNull(), F.lit("bad time range")))
     return checked.withColumn("error", problem)
 
@@ -67,6 +69,7 @@ def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, o
         status = failed
         n_good = good.count()
         if n_good:
+            build = None
             try:
                 # Requests are query parameters, not data: a bounded batch of them becomes
                 # literal filters that prune the document scan (a request table alone
@@ -75,15 +78,18 @@ def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, o
                 build = build_graph(spark, source, batch, **build_kw)
                 write_tables(build.nodes, build.out_edges, out)
                 write_gexf(build.requests.select("graph_id"), build.nodes, build.out_edges, f"{out}/gexf")
-                write_table(completion_records(build.requests), f"{out}/completed", "text")
-                build.release()
+                # every request gets its record, also where several (with other paths) share a network
+                write_table(completion_records(good), f"{out}/completed", "text")
                 ok = good.select("graph_id", F.lit(STATUS_OK).alias("status"),
                                  F.lit(None).cast("string").alias("error"))
                 status = status.unionByName(ok)
             except Exception as exc:  # noqa: BLE001 - R6: report the failure, keep the stream going
-                message = f"{type(exc).__name__}: {exc}"[:2000]
+                message = f"{type(exc).__name__}: {exc}"
                 status = status.unionByName(good.select(
                     "graph_id", F.lit(STATUS_FAILED).alias("status"), F.lit(message).alias("error")))
+            finally:
+                if build is not None:
+                    build.release()
         write_table(status.withColumn("batch_id", F.lit(batch_id)), f"{out}/status", "json")
     finally:
         checked.unpersist()

@@ -8,7 +8,7 @@ table, the degree threshold is the smallest candidate that fits the cap
 
 from __future__ import annotations
 
-from weftgraph.plans.catalog import BAD_REQUESTS, DAY_REQUESTS, SMALL_CAP, TS_REQUESTS, WINDOW
+from weftgraph.plans.catalog import BAD_REQUESTS, DAY_REQUESTS, MESSY_MESSAGES, SMALL_CAP, TS_REQUESTS, WINDOW
 
 INTERACTIONS = """
 ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
@@ -191,7 +191,40 @@ GROUP BY c.graph_id, c.error""")
     requests_docs = _with("day_list") + """
 SELECT r.graph_id, CAST(count(s.graph_id) AS BIGINT) AS documents
 FROM req r LEFT JOIN selected s ON r.graph_id = s.graph_id GROUP BY r.graph_id"""
-    return {
+    store_cols = DOC_COLS.replace("platform, day, ", "")
+    store_reqs = _requests_cte([{**r, "platform": None} for r in DAY_REQUESTS])
+    store_sql = ("WITH" + INTERACTIONS + "," + store_reqs + "," + _selection("timestamp_range")
+                 + f"\nSELECT DISTINCT graph_id, {store_cols} FROM selected")
+    # every third account number is negative: the sign goes in where the text becomes a number
+    signed = "(CASE WHEN CAST(replace({c}, 'TW_', '') AS BIGINT) % 3 = 0 THEN -1 ELSE 1 END * CAST(replace({c}, 'TW_', '') AS BIGINT))"
+    signed_sql = dr.replace("numbered AS (", """
+lowest AS (SELECT graph_id, least(min(id), 0) AS low FROM endpoints GROUP BY graph_id),
+numbered AS (""").replace("         -row_number() OVER", "         (SELECT low FROM lowest l WHERE l.graph_id = by_name.graph_id) - row_number() OVER")
+    for c in ("source", "target"):
+        signed_sql = signed_sql.replace(f"CAST(replace({c}, 'TW_', '') AS BIGINT)", signed.replace("{c}", c))
+    messages = ",\n    ".join("('" + m.replace("'", "''") + "')" for m in MESSY_MESSAGES)
+    messy_sql = "WITH" + INTERACTIONS + f""",
+message(raw) AS (VALUES {messages}),
+field AS (SELECT raw, CASE WHEN json_valid(raw) THEN raw END AS j FROM message),
+parsed AS (SELECT raw, json_extract_string(j, '$.path') AS path, json_extract_string(j, '$.platform') AS platform,
+                  json_extract_string(j, '$.criteria_id') AS criteria_id, json_extract_string(j, '$.from') AS f,
+                  json_extract_string(j, '$.to') AS t FROM field),
+coded AS (SELECT *, CASE platform WHEN 'twitter' THEN 'TW' WHEN 'facebook' THEN 'FB' WHEN 'instagram' THEN 'IG' END
+                    AS code FROM parsed),
+judged AS (SELECT *, CASE WHEN coalesce(platform, '') <> '' AND code IS NULL THEN 'unknown platform'
+                          WHEN criteria_id IS NULL THEN 'missing criteria_id' WHEN path IS NULL THEN 'missing path'
+                          WHEN TRY_CAST(f AS BIGINT) IS NULL OR TRY_CAST(t AS BIGINT) IS NULL THEN 'bad time range'
+                     END AS error FROM coded)
+SELECT CASE WHEN error IS NULL THEN criteria_id || '_' || coalesce(code, 'ALL') || '_' || f || '_' || t
+            ELSE 'failed_' || md5(raw) END AS graph_id, raw, error,
+       CASE WHEN error IS NULL THEN (SELECT count(*) FROM interactions i WHERE i.criteria_id = r.criteria_id
+         AND (r.code IS NULL OR i.platform = r.code)
+         AND i.timestamp BETWEEN CAST(r.f AS BIGINT) AND CAST(r.t AS BIGINT)) ELSE 0 END AS documents
+FROM judged r"""
+    gexf_text = dr + """
+SELECT graph_id, '' AS source, '' AS target, CAST(id AS VARCHAR) AS node FROM kept
+UNION ALL SELECT graph_id, CAST(src AS VARCHAR), CAST(dst AS VARCHAR), '' FROM induced"""
+    out = {
         "sel_day_range": dr + f"SELECT graph_id, {DOC_COLS} FROM selected",
         "sel_day_list": _with("day_list") + f"SELECT graph_id, {DOC_COLS} FROM selected",
         "sel_timestamp_range": _with("timestamp_range") + f"SELECT graph_id, {DOC_COLS} FROM selected",
@@ -254,3 +287,10 @@ UNION ALL SELECT graph_id, 2, CAST(1 AS BIGINT) FROM req
 UNION ALL SELECT graph_id, 3, count(*) FROM induced GROUP BY graph_id
 UNION ALL SELECT graph_id, 4, CAST(1 AS BIGINT) FROM req""",
     }
+    out.update({
+        "cells_timestamp_range": out["sel_timestamp_range"], "cells_extended_json": out["cells_explode"],
+        "sel_document_store": store_sql, "resolve_signed_ids": signed_sql + "SELECT * FROM vertices",
+        "written_nodes": out["gexf_nodes"], "written_edges": out["gexf_edges"], "written_gexf": gexf_text,
+        "requests_messy": messy_sql,
+    })
+    return out

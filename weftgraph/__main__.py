@@ -19,7 +19,8 @@ import sys
 
 PRESETS = {
     "hbase": dict(source_kind="wide", selection="day_range", require_target=True, cap_mode="induced"),
-    "mongo": dict(source_kind="flat", selection="timestamp_range", require_target=False, cap_mode="edge_complete"),
+    "mongo": dict(source_kind="flat", selection="timestamp_range", require_target=False, cap_mode="edge_complete",
+                  ignore_platform=True),
 }
 
 
@@ -53,6 +54,7 @@ def main(argv=None, spark=None) -> int:
     kw = dict(PRESETS[args.mode])
     if args.selection:
         kw["selection"] = args.selection
+        kw["ignore_platform"] = kw.get("ignore_platform", False) and args.selection == "timestamp_range"
     if args.cap_mode:
         kw["cap_mode"] = args.cap_mode
     kw.update(cap=args.cap, on_bad=args.on_bad)
@@ -62,7 +64,7 @@ def main(argv=None, spark=None) -> int:
         requests = decode_requests(spark.read.text(args.requests))
         process_batch(spark, requests, documents, args.out, 0, **kw)
         from weftgraph.streaming.requests_stream import check_requests
-        own = check_requests(requests, kw["selection"]).select("graph_id").distinct()
+        own = check_requests(requests, kw["selection"], kw.get("ignore_platform", False)).select("graph_id").distinct()
         for row in spark.read.json(f"{args.out}/status").join(own, "graph_id", "left_semi").collect():
             print(json.dumps(row.asDict()))
         return 0

@@ -27,8 +27,8 @@ DEFAULT_CAP = 15000
 # Day format of the wide-row key.
 DAY_FORMAT = "yyyyMMdd"
 
-# Account ids are unsigned decimal integers, zero-padded or not; the cast decides whether they fit a signed 64-bit long.
-_ID_PATTERN = r"^\+?[0-9]+$"
+# Account ids are decimal integers, signed or not, zero-padded or not; the cast decides whether they fit a 64-bit long.
+_ID_PATTERN = r"^[+-]?[0-9]+$"
 
 
 def platform_code(platform: Column, strict: bool = True) -> Column:
@@ -65,7 +65,7 @@ def parse_millis(text: Column, on_bad: str = "fail") -> Column:
 def account_id(raw: Column, prefix: str = ID_PREFIX, on_bad: str = "fail") -> Column:
     """E1 + E2: remove every ``prefix`` and read the rest as a long.
 
-    ``on_bad="fail"`` stops the job on text that is not an unsigned integer, as
+    ``on_bad="fail"`` stops the job on text that is not a 64-bit integer, as
     the reference's ``toLong`` does; ``"drop"`` gives null, and the caller then
     treats the endpoint as absent.
     """

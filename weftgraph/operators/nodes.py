@@ -20,25 +20,21 @@ SURROGATE_BUCKET_DIGITS = 3
 
 def endpoint_union(interactions: DataFrame) -> DataFrame:
     """D1 + P5 + P6: source and target endpoints with a non-empty type, as ``(graph_id, id, name, type)``."""
-    src = interactions.where(F.col("sourcetype") != "").select(
-        "graph_id", F.col("sourceid").alias("id"), F.col("sourcename").alias("name"),
-        F.col("sourcetype").alias("type"))
-    dst = interactions.where(F.col("targettype") != "").select(
-        "graph_id", F.col("targetid").alias("id"), F.col("targetname").alias("name"),
-        F.col("targettype").alias("type"))
-    return src.unionByName(dst)
+    ends = [F.struct(F.col(f"{side}id").alias("id"), F.col(f"{side}name").alias("name"),
+                     F.col(f"{side}type").alias("type")) for side in ("source", "target")]
+    return (interactions.select("graph_id", F.explode(F.array(*ends)).alias("e"))
+            .select("graph_id", "e.id", "e.name", "e.type").where(F.col("type") != ""))
 
 
 def distinct_endpoints(endpoints: DataFrame) -> DataFrame:
-    """The distinct ``(graph_id, name, id, type)`` of a network's endpoints.
+    """The distinct ``(graph_id, name, id, type)`` of a network's endpoints, with their number ``n``.
 
-    An aggregate with map-side combining: an account or a name repeated in a
-    third of the documents leaves each task as one row.  Under the
-    duplicate-insensitive ``min`` of D2 Catalyst drops this step
-    (``RemoveRedundantAggregates``); D2's own partial aggregation then does the
-    combining.
+    A hash aggregate with map-side combining: an account or a name repeated in a
+    third of the documents leaves each task as one row.  The count keeps the
+    step in the plan; without it Catalyst would merge it into the sort-based
+    ``min`` of D2 (``RemoveRedundantAggregates``).
     """
-    return endpoints.select("graph_id", "name", "id", "type").distinct()
+    return endpoints.groupBy("graph_id", "name", "id", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def nodes_by_name(distinct_eps: DataFrame) -> DataFrame:
@@ -64,9 +60,12 @@ def losing_accounts(distinct_eps: DataFrame, by_name: DataFrame) -> DataFrame:
 
 
 def number_nodes(by_name: DataFrame, n_graphs: int | None = None,
-                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, distinct_eps: DataFrame | None = None) -> DataFrame:
     """D3 + D4: non-accounts get a surrogate id ``-row_id``; accounts keep theirs.
 
+    Where a network has negative accounts (winning or losing a name), its
+    surrogates start below the lowest of them, so the two never meet.
+
     ``row_id`` numbers a network's non-account names 1..n in the order of
     ``(md5(name), name)``.  It is computed in two levels so no task holds a
     whole network: a count per md5-prefix bucket gives each bucket its offset
@@ -80,11 +79,16 @@ def number_nodes(by_name: DataFrame, n_graphs: int | None = None,
     counts = non_accounts.groupBy("graph_id", "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("graph_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("graph_id", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    lowest = (by_name if distinct_eps is None else distinct_eps).where(F.col("id") < 0) \
+        .groupBy("graph_id").agg(F.min("id").alias("_low"))
+    offsets = offsets.join(size_checked_broadcast(lowest, n_graphs, max_rows, count_if_unknown=False),
+                           "graph_id", "left") \
+        .select("graph_id", "_b", "_off", F.coalesce("_low", F.lit(0)).alias("_low"))
     bound = None if n_graphs is None else n_graphs * 16 ** SURROGATE_BUCKET_DIGITS
     offsets = size_checked_broadcast(offsets, bound, max_rows, count_if_unknown=False)
     in_bucket = Window.partitionBy("graph_id", "_b").orderBy("_h", F.col("name").asc_nulls_first())
     numbered = (non_accounts.join(offsets, ["graph_id", "_b"])
-                .select("graph_id", (-(F.col("_off") + F.row_number().over(in_bucket))).alias("id"),
+                .select("graph_id", (F.col("_low") - F.col("_off") - F.row_number().over(in_bucket)).alias("id"),
                         "name", "type"))
     accounts = by_name.where(F.col("id") != 0).select("graph_id", "id", "name", "type")
     return accounts.unionByName(numbered)

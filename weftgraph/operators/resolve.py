@@ -14,10 +14,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import ACCOUNT_TYPE, ID_PREFIX, account_id
 
-# The interaction table, in the reference's column order.
-INTERACTION_TABLE_COLUMNS = ["sourceid", "targetid", "sourcename", "targetname", "sourcetype",
-                             "targettype", "typeedges", "text", "timestamp", "post_id"]
-# The attributes every edge carries.
+# Fixed values (P7): the attributes every edge carries.
 EDGE_ATTRIBUTES = ["typeedges", "text", "sourcename", "targetname", "timestamp", "post_id",
                    "sourcetype", "targettype"]
 

@@ -16,50 +16,88 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import PLATFORM_CODES, day_of_millis
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
-from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_days
-
-REQUEST_KEEP = ["graph_id"]
+from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_sides
 
 
 def select_documents(documents: DataFrame, normalized_requests: DataFrame, selection: str,
                      require_target: bool = True, request_rows: int | None = None,
-                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, n_requests: int | None = None) -> DataFrame:
     """Documents of each request, tagged with its ``graph_id``.
 
     ``documents`` has the interaction columns (``criteria_id, platform, day,
     source…, timestamp, post_id``).  A document matching several requests
     appears once per request.  ``request_rows`` is an upper bound on the rows of
-    the expanded request table, when the caller knows it.
+    the request table expanded by day and ``n_requests`` on its own rows, when
+    the caller knows them.  Documents without a ``platform`` column belong to
+    requests that name none.
     """
     docs = documents.where(F.col("target").isNotNull()) if require_target else documents
     if selection in (DAY_RANGE, DAY_LIST):
-        rd = request_days(normalized_requests, selection).select(
-            "graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"), F.col("day").alias("_day"))
-        rd = size_checked_broadcast(rd, request_rows, max_rows)
-        cond = ((docs["criteria_id"] == rd["_crit"]) & (docs["platform"] == rd["_code"])
-                & (docs["day"] == rd["_day"]))
-        return docs.join(rd, cond, "inner").drop("_crit", "_code", "_day")
+        side, meets = request_sides(normalized_requests, selection, request_rows, n_requests, max_rows)
+        rd = side.select("graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"),
+                         *[F.col(c).alias(f"_{c}") for _, _, c in meets])
+        cond = (docs["criteria_id"] == rd["_crit"]) & (docs["platform"] == rd["_code"])
+        for op, of_doc, of_request in meets:
+            cond = cond & F.expr(f"{of_doc} {op} _{of_request}")
+        return docs.join(rd, cond, "inner").drop("_crit", "_code", *[f"_{c}" for _, _, c in meets])
     if selection == TIMESTAMP_RANGE:
         rq = normalized_requests.select(
             "graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"),
             F.col("from_ms").alias("_from"), F.col("to_ms").alias("_to"))
-        rq = size_checked_broadcast(rq, request_rows, max_rows)
-        cond = ((docs["criteria_id"] == rq["_crit"])
-                & (rq["_code"].isNull() | (docs["platform"] == rq["_code"]))
+        rq = size_checked_broadcast(rq, n_requests, max_rows)
+        same_platform = rq["_code"].isNull()
+        if "platform" in docs.columns:
+            same_platform = same_platform | (docs["platform"] == rq["_code"])
+        cond = ((docs["criteria_id"] == rq["_crit"]) & same_platform
                 & (docs["timestamp"] >= rq["_from"]) & (docs["timestamp"] <= rq["_to"]))
         return docs.join(rq, cond, "inner").drop("_crit", "_code", "_from", "_to")
     raise ValueError(f"unknown selection {selection!r}")
 
 
-# Up to this many requests the pushed predicate is the exact disjunction of the
-# requests; beyond it, their hull (fewer literals to plan, a wider superset).
+# Up to this many merged ranges the pushed predicate is their exact disjunction; beyond it, one range for each
+# criteria and platform, and beyond that their hull (fewer literals to plan, a wider superset; the join decides).
 MAX_DISJUNCTION = 200
 
 
-def _request_predicate(r: dict, selection: str):
-    pred = F.col("criteria_id") == str(r["criteria_id"])
-    code = PLATFORM_CODES.get(str(r.get("platform")))
-    lo, hi = int(r["from"]), int(r["to"])
+def merged_ranges(requests: list[dict]) -> dict[tuple, list[tuple[int, int]]]:
+    """The requests' ranges by (criteria id, platform code or None), overlapping ones merged, in order."""
+    by_key: dict[tuple, list] = {}
+    for r in requests:
+        lo, hi = int(r["from"]), int(r["to"])
+        key = (str(r["criteria_id"]), PLATFORM_CODES.get(str(r.get("platform"))))
+        by_key.setdefault(key, []).append((min(lo, hi), max(lo, hi)))  # reversed within a day still names that day
+    out = {}
+    for key, ranges in by_key.items():
+        merged: list = []
+        for lo, hi in sorted(ranges):
+            if merged and lo <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+            else:
+                merged.append((lo, hi))
+        out[key] = merged
+    return out
+
+
+def any_of(predicates: list):
+    """Their disjunction as a balanced tree, so that many of them don't nest deeply."""
+    while len(predicates) > 1:
+        predicates = [a | b for a, b in zip(predicates[::2], predicates[1::2])] + \
+            (predicates[-1:] if len(predicates) % 2 else [])
+    return predicates[0] if predicates else F.lit(False)
+
+
+def range_predicates(requests: list[dict], predicate) -> list | None:
+    """``predicate(criteria, code, lo, hi)`` of every merged range, or of one range a key; None when too many."""
+    ranges = merged_ranges(requests)
+    if sum(map(len, ranges.values())) > MAX_DISJUNCTION:
+        ranges = {key: [(found[0][0], found[-1][1])] for key, found in ranges.items()}
+    if len(ranges) > MAX_DISJUNCTION:
+        return None
+    return [predicate(criteria, code, lo, hi) for (criteria, code), found in ranges.items() for lo, hi in found]
+
+
+def _range_predicate(criteria: str, code: str | None, lo: int, hi: int, selection: str):
+    pred = F.col("criteria_id") == criteria
     if selection == TIMESTAMP_RANGE:
         if code:
             pred = pred & (F.col("platform") == code)
@@ -79,12 +117,9 @@ def pushdown_predicate(requests: list[dict], selection: str):
     """
     if not requests:
         return F.lit(False)
-    if len(requests) <= MAX_DISJUNCTION:
-        pred = None
-        for r in requests:
-            p = _request_predicate(r, selection)
-            pred = p if pred is None else pred | p
-        return pred
+    found = range_predicates(requests, lambda *r: _range_predicate(*r, selection))
+    if found is not None:
+        return any_of(found)
     criteria = sorted({str(r["criteria_id"]) for r in requests})
     pred = F.col("criteria_id").isin(criteria)
     lows = [int(r["from"]) for r in requests]

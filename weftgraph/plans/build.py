@@ -35,7 +35,7 @@ from weftgraph.operators.resolve import edges_of, resolve_endpoints
 from weftgraph.operators.select import pushdown_predicate, select_documents
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_threshold, estimated_bytes
 from weftgraph.session import materialize, materialize_together
-from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, SELECTIONS, day_count,
+from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, MS_PER_DAY, SELECTIONS, TIMESTAMP_RANGE, day_count,
                                         normalize_requests, requests_frame, unique_requests)
 from weftgraph.sources.widerow import key_range_predicate, select_from_wide_rows
 
@@ -91,13 +91,16 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
                 account_type: str = ACCOUNT_TYPE, id_prefix: str = ID_PREFIX,
                 require_target: bool = True, on_bad: str = "fail", strict_requests: bool = True,
                 materialize_mode: str = "table", rebalance: bool = False,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GraphBuild:
+                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                ignore_platform: bool = False) -> GraphBuild:
     """Build the networks of all ``requests`` from ``source`` in one plan.
 
     ``source`` is the flat interaction table (``source_kind="flat"``) or the
     wide-row table (``source_kind="wide"``).  ``requests`` is a list of request
     dicts (``path, platform, criteria_id, from, to``, optionally ``graph_id``)
-    or a DataFrame with those string columns.
+    or a DataFrame with those string columns.  ``ignore_platform`` (timestamp
+    range only) serves every request from all platforms, as the document-store
+    variant does; the documents then need no ``platform`` column.
 
     The selection does not shuffle, so the interaction table gets one file per
     input split; ``rebalance=True`` adds Spark's ``rebalance`` hint (one shuffle
@@ -108,10 +111,14 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         raise ValueError(f"selection must be one of {SELECTIONS}")
     if cap_mode not in capops.CAP_MODES:
         raise ValueError(f"cap_mode must be one of {capops.CAP_MODES}")
+    if ignore_platform and selection != TIMESTAMP_RANGE:
+        raise ValueError("ignore_platform needs selection='timestamp_range'")
     request_list = None
     if isinstance(requests, DataFrame):
-        req_df = requests
+        req_df = requests.withColumn("platform", F.lit(None).cast("string")) if ignore_platform else requests
     else:
+        if ignore_platform:
+            requests = [{**r, "platform": None} for r in requests]
         request_list = unique_requests(requests, selection)
         req_df = requests_frame(spark, request_list)
     normalized = normalize_requests(req_df, selection, strict_requests, dedupe=request_list is None)
@@ -122,17 +129,20 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     if source_kind == "flat":
         src = source
         if "day" not in src.columns:  # a document store without day keys: S4 on the timestamp
+            if request_list and strict_requests:  # bounds that reach the scan; two days' margin for any time zone
+                src = src.where(F.col("timestamp").between(min(int(r["from"]) for r in request_list) - 2 * MS_PER_DAY,
+                                                           max(int(r["to"]) for r in request_list) + 2 * MS_PER_DAY))
             src = src.withColumn("day", day_of_millis(F.col("timestamp")))
         if request_list is not None and strict_requests:
             src = src.where(pushdown_predicate(request_list, selection))
-        documents = select_documents(src, normalized, selection, require_target, request_rows, max_broadcast_rows)
+        documents = select_documents(src, normalized, selection, require_target, request_rows, max_broadcast_rows,
+                                     n_graphs)
     elif source_kind == "wide":
         src = source
-        keys = key_range_predicate(request_list, selection) if request_list is not None and strict_requests else None
-        if keys is not None:
-            src = src.where(keys)
+        if request_list and strict_requests:
+            src = src.where(key_range_predicate(request_list, selection))
         documents = select_from_wide_rows(src, normalized, selection, require_target, on_bad, request_rows,
-                                          max_broadcast_rows)
+                                          max_broadcast_rows, n_graphs)
     else:
         raise ValueError("source_kind must be 'flat' or 'wide'")
 
@@ -144,12 +154,12 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         resolved = resolved.hint("rebalance")
     interactions = materialize(resolved, keep, "interactions", tables)
 
-    # Vertices, from the distinct endpoints (node-sized after map-side combining).
-    # The vertex table and the losing ids share their shuffles and are written by one job.
+    # Vertices, from the distinct endpoints: one scan of the interactions, written once (node-sized after
+    # map-side combining).  The vertex table and the losing ids come from that table in one job.
     endpoints = nodeops.endpoint_union(interactions)
-    distinct_eps = nodeops.distinct_endpoints(endpoints)
+    distinct_eps = materialize(nodeops.distinct_endpoints(endpoints), keep, "endpoints", tables)
     by_name = nodeops.nodes_by_name(distinct_eps)
-    numbered = nodeops.number_nodes(by_name, n_graphs, max_broadcast_rows)
+    numbered = nodeops.number_nodes(by_name, n_graphs, max_broadcast_rows, distinct_eps)
     node_tables = materialize_together(
         {"vertices": nodeops.nodes_final(numbered), "losers": nodeops.losing_accounts(distinct_eps, by_name)},
         keep, "node_tables", tables)

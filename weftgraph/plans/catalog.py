@@ -9,6 +9,7 @@ whole month of data, so every query works on the whole table.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +72,10 @@ def fresh_build(spark: SparkSession, sf_dir: str, selection: str = DAY_RANGE, ca
 
 def clear_builds() -> None:
     for b in _BUILDS.values():
-        for df in (b.interactions, b.valid_edges, b.vertices, b.nodes_deg, b.losers):
-            try:
-                df.unpersist()
-            except Exception:  # noqa: BLE001 - a stopped session has nothing to release
-                pass
+        try:
+            b.release()
+        except Exception:  # noqa: BLE001 - a stopped session has nothing to release
+            pass
     _BUILDS.clear()
 
 
@@ -85,16 +85,79 @@ def _selected(selection: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def q_cells_explode(spark, sf_dir, selection=DAY_RANGE):
+def q_cells_explode(spark, sf_dir, selection=DAY_RANGE, extended_json=False):
     from weftgraph.plans.build import _request_bound
     from weftgraph.sources.requests import requests_frame
-    wide = wide_rows(load_interactions(spark, sf_dir))
-    normalized = normalize_requests(requests_frame(spark, DAY_REQUESTS), selection)
-    docs = select_from_wide_rows(wide, normalized, selection, require_target=True,
-                                 request_rows=_request_bound(DAY_REQUESTS, selection))
+    requests = TS_REQUESTS if selection == TIMESTAMP_RANGE else DAY_REQUESTS
+    wide = wide_rows(load_interactions(spark, sf_dir), extended_json=extended_json)
+    normalized = normalize_requests(requests_frame(spark, requests), selection)
+    docs = select_from_wide_rows(wide, normalized, selection, require_target=selection != TIMESTAMP_RANGE,
+                                 request_rows=_request_bound(requests, selection), n_requests=len(requests))
     return docs.select("graph_id", *INTERACTION_COLUMNS)
 
 
+def q_sel_document_store(spark, sf_dir):
+    """R3 document-store variant: ordinary messages over documents without platform and day."""
+    docs = load_interactions(spark, sf_dir).drop("platform", "day")
+    b = build_graph(spark, docs, DAY_REQUESTS, selection=TIMESTAMP_RANGE, require_target=False, ignore_platform=True)
+    return b.documents.select("graph_id", *[c for c in INTERACTION_COLUMNS if c not in ("platform", "day")])
+
+
+def _signed(column: str, sign_modulus: int = 3):
+    """Account ids divisible by ``sign_modulus`` become negative, all are zero-padded to 20 digits."""
+    digits = F.regexp_extract(column, r"^TW_([0-9]+)$", 1)
+    sign = F.when(digits.cast("bigint") % sign_modulus == 0, F.lit("-")).otherwise(F.lit(""))
+    return F.when(digits != "", F.concat(F.lit("TW_"), sign, F.lpad(digits, 20, "0"))).otherwise(F.col(column))
+
+
+def q_resolve_signed_ids(spark, sf_dir):
+    """E2 + D4: negative and zero-padded account ids; surrogates stay below the lowest account."""
+    docs = load_interactions(spark, sf_dir).withColumn("source", _signed("source")).withColumn("target", _signed("target"))
+    b = build_graph(spark, docs, DAY_REQUESTS, selection=DAY_RANGE)
+    return b.vertices.select("graph_id", "id", "name", "type")
+
+
+def q_written(kind):
+    """N6 + N5: what was written, read back."""
+    def run(spark, sf_dir):
+        from weftgraph.session import ensure_checkpoint_dir
+        from weftgraph.sinks.gexf import write_gexf
+        from weftgraph.sinks.tables import write_tables
+        out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+        b = cached_build(spark, sf_dir)
+        ids = b.requests.select("graph_id")
+        if kind == "gexf":
+            write_gexf(ids, b.nodes, b.out_edges, f"{out}/gexf")
+            line = F.trim("value")
+            return spark.read.text(f"{out}/gexf").where(line.startswith("<node id") | line.startswith("<edge id")) \
+                .select("graph_id", F.regexp_extract("value", r'source="([^"]*)"', 1).alias("source"),
+                        F.regexp_extract("value", r'target="([^"]*)"', 1).alias("target"),
+                        F.regexp_extract("value", r'<node id="([^"]*)"', 1).alias("node"))
+        write_tables(b.nodes, b.out_edges, out, graph_ids=ids)
+        return spark.read.parquet(f"{out}/{kind}")
+    return run
+
+
+MESSY_MESSAGES = [json.dumps(r) for r in (
+    _req("twitter", "crit_0", MONTH, "a"), _req("twitter", "crit_0", MONTH, "b"),
+    _req("twitter", "crit_1", (int(MONTH[0]), int(MONTH[1]))), _req("twitter", "crit_1", MONTH, "c"),
+    _req("myspace", "crit_2", MONTH), _req(None, "crit_2", MONTH), _req("", "crit_2", MONTH, "d"),
+    _req("twitter", None, MONTH), _req("twitter", "crit_1", MONTH, None))] + ["not json", "{also not"]
+
+
+def q_requests_messy(spark, sf_dir):
+    """R1 + R6: one row per message, whatever is wrong with it, with its text and its document count."""
+    from weftgraph.operators.select import select_documents
+    from weftgraph.streaming import check_requests
+    lines = spark.createDataFrame([(m,) for m in MESSY_MESSAGES], "value string")
+    checked = check_requests(decode_requests(lines), TIMESTAMP_RANGE)
+    networks = normalize_requests(checked.where(F.col("error").isNull()).select(
+        "path", "platform", "criteria_id", "from", "to"), TIMESTAMP_RANGE)
+    docs = select_documents(load_interactions(spark, sf_dir), networks, TIMESTAMP_RANGE, require_target=False)
+    return (checked.join(document_counts(docs), "graph_id", "left")
+            .select("graph_id", "raw", "error", F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents")))
+
+
 def q_docs_sample(spark, sf_dir):
     return sample_documents(load_interactions(spark, sf_dir), "crit_0", 10)
 
@@ -218,6 +281,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sel_timestamp_range": _selected(TIMESTAMP_RANGE),
         "cells_explode": q_cells_explode,
         "cells_day_list": lambda s, d: q_cells_explode(s, d, DAY_LIST),
+        "cells_timestamp_range": lambda s, d: q_cells_explode(s, d, TIMESTAMP_RANGE),
+        "cells_extended_json": lambda s, d: q_cells_explode(s, d, extended_json=True),
+        "sel_document_store": q_sel_document_store,
+        "resolve_signed_ids": q_resolve_signed_ids,
+        "written_nodes": q_written("nodes"),
+        "written_edges": q_written("edges"),
+        "written_gexf": q_written("gexf"),
+        "requests_messy": q_requests_messy,
         "docs_sample": q_docs_sample,
         "resolve_endpoints": _stage("interactions"),
         "endpoint_union": _stage("endpoints"),

@@ -16,7 +16,7 @@ import glob
 import os
 import shutil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import xml_safe
@@ -124,17 +124,20 @@ def _edge_xml(edge_id: Column) -> Column:
 def ordered_lines(graph_ids: DataFrame, nodes: DataFrame, edges: DataFrame, partitions: int | None = None) -> DataFrame:
     """Lines range-partitioned and sorted by ``(graph_id, section, keys)``, edges numbered.
 
-    The edge number is ``monotonically_increasing_id`` taken after the sort,
-    so it is unique, and stable under task retries: a range partition's rows and
-    their sorted order do not depend on which task attempt computes them.
+    An edge's id is a digest of its ends, time and post, and its number among
+    the edges that have the same: it depends on the network alone, not on the
+    partitions or on other networks.  Such edges lie in one range partition,
+    already sorted, so the numbering needs no further shuffle.
     """
     lines = gexf_lines(graph_ids, nodes, edges)
     order = ["graph_id", "section", "k1", "k2", "k3", "k4"]
     spark = nodes.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = lines.repartitionByRange(n, *order).sortWithinPartitions(*order, "e", "line")
-    numbered = ranged.withColumn(
-        "line", F.when(F.col("section") == SECTION_EDGES, _edge_xml(F.monotonically_increasing_id()))
+    nth = F.row_number().over(Window.partitionBy(*order).orderBy("e", "line"))
+    digest = F.md5(F.to_json(F.struct("k1", "k2", "k3", "k4")))
+    numbered = ranged.withColumn("n", nth).withColumn(
+        "line", F.when(F.col("section") == SECTION_EDGES, _edge_xml(F.concat_ws("-", digest, "n")))
         .otherwise(F.col("line")))
     return numbered.select("graph_id", "line")
 
@@ -162,7 +165,8 @@ def partition_dir(value: str) -> str:
 
 def part_files(path: str, graph_id: str) -> list[str]:
     """The text parts of one network, in document order."""
-    return sorted(glob.glob(os.path.join(glob.escape(path), glob.escape(partition_dir(graph_id)), "part-*")))
+    found = glob.glob(os.path.join(glob.escape(path), glob.escape(partition_dir(graph_id)), "part-*"))
+    return sorted(found, key=lambda p: (int(os.path.basename(p).split("-")[1]), p))
 
 
 def assemble(path: str, graph_id: str, target: str) -> str:

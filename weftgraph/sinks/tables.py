@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from weftgraph.sinks.gexf import gexf_edges, gexf_nodes
+from weftgraph.session import remove_paths
+from weftgraph.sinks.gexf import gexf_edges, gexf_nodes, partition_dir
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write with dynamic partition overwrite: only the networks present are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", graph_ids: DataFrame | None = None) -> None:
+    """Write with dynamic partition overwrite: only the networks present are replaced.
+
+    The rows are rebalanced by network first, so that a network has few files
+    (AQE splits a large one).  ``graph_ids`` names the networks asked for: their
+    old folders go first, so one that became empty keeps no old rows.
+    """
+    if graph_ids is not None:
+        remove_paths(df.sparkSession, [f"{path}/{partition_dir(r[0])}" for r in graph_ids.distinct().collect()])
+    (df.hint("rebalance", F.col("graph_id")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("graph_id").format(fmt).save(path))
 
 
-def write_tables(nodes: DataFrame, edges: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_tables(nodes: DataFrame, edges: DataFrame, path: str, fmt: str = "parquet",
+                 graph_ids: DataFrame | None = None) -> None:
     """N1/N2 rows of every network under ``path/nodes`` and ``path/edges``."""
-    write_table(gexf_nodes(nodes), f"{path}/nodes", fmt)
-    write_table(gexf_edges(edges), f"{path}/edges", fmt)
+    write_table(gexf_nodes(nodes), f"{path}/nodes", fmt, graph_ids)
+    write_table(gexf_edges(edges), f"{path}/edges", fmt, graph_ids)

@@ -97,18 +97,22 @@ def load_interactions(spark, sf_dir: str) -> DataFrame:
     return interactions_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def wide_rows(interactions: DataFrame, cells_per_row: int = 10000) -> DataFrame:
+def wide_rows(interactions: DataFrame, cells_per_row: int = 10000, extended_json: bool = False) -> DataFrame:
     """documents as JSON cells of wide rows ``(row_key, chunk, cells)``.
 
     A logical wide row (one criteria, platform and day) is cut into physical
     rows of about ``cells_per_row`` cells, so no single map holds an unbounded
     day: the number of chunks of a key comes from its document count, and a
-    document's chunk from a hash of its post id.
+    document's chunk from a hash of its post id.  ``extended_json`` writes the
+    timestamp as ``{"$numberLong": "…"}``.
     """
+    fields = {c: F.col(c) for c in INTERACTION_COLUMNS}
+    if extended_json:
+        fields["timestamp"] = F.struct(F.col("timestamp").cast("string").alias("$numberLong"))
     docs = interactions.select(
         F.concat_ws(ROW_KEY_SEPARATOR, "criteria_id", "platform", "day").alias("row_key"),
         F.col("post_id").alias("qualifier"),
-        F.to_json(F.struct(*[F.col(c) for c in INTERACTION_COLUMNS])).alias("value"),
+        F.to_json(F.struct(*[v.alias(c) for c, v in fields.items()])).alias("value"),
     )
     sizes = docs.groupBy("row_key").agg(
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(cells_per_row))).cast("int").alias("n_chunks"))
@@ -116,7 +120,3 @@ def wide_rows(interactions: DataFrame, cells_per_row: int = 10000) -> DataFrame:
             .withColumn("chunk", F.pmod(F.xxhash64("qualifier"), F.col("n_chunks")).cast("int"))
             .groupBy("row_key", "chunk")
             .agg(F.map_from_entries(F.collect_list(F.struct("qualifier", "value"))).alias("cells")))
-
-
-def load_wide_rows(spark, sf_dir: str, cells_per_row: int = 10000) -> DataFrame:
-    return wide_rows(load_interactions(spark, sf_dir), cells_per_row)

@@ -58,9 +58,9 @@ def requests_frame(spark: SparkSession, requests: Iterable[Mapping[str, object]]
 
 
 def decode_requests(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text, one request per row -> request columns (all strings)."""
+    """JSON text, one request per row -> request columns (all strings) and the ``raw`` text."""
     parsed = F.from_json(F.col(column), REQUEST_SCHEMA)
-    return lines.select(parsed.alias("r")).select("r.*")
+    return lines.select(parsed.alias("r"), F.col(column).alias("raw")).select("r.*", "raw")
 
 
 def default_graph_id(criteria_id: Column, code: Column, start: Column, end: Column) -> Column:
@@ -72,7 +72,8 @@ def normalize_requests(requests: DataFrame, selection: str, strict: bool = True,
 
     In ``timestamp_range`` mode the platform is optional (the document-store
     variant never reads it): an empty or null platform selects every platform.
-    Identical requests collapse into one network.
+    Requests for the same network collapse into one row; one ``graph_id`` given
+    to two different networks is an error.
     """
     if selection not in SELECTIONS:
         raise ValueError(f"selection must be one of {SELECTIONS}, got {selection!r}")
@@ -94,21 +95,35 @@ def normalize_requests(requests: DataFrame, selection: str, strict: bool = True,
            .withColumn("start_day", day_of_millis(F.col("from_ms")))
            .withColumn("end_day", day_of_millis(F.col("to_ms")))
            .withColumn("graph_id", gid))
-    return out.dropDuplicates(["graph_id"]) if dedupe else out
+    if not dedupe:
+        return out
+    network = F.struct("criteria_id", "code", "from_ms", "to_ms")
+    one = out.groupBy("graph_id").agg(F.min(F.struct(*out.columns)).alias("r"), F.min(network).alias("a"),
+                                      F.max(network).alias("b"))
+    agreed = F.when(F.col("a").eqNullSafe(F.col("b")), F.col("r")).otherwise(
+        F.raise_error(F.concat(F.lit("requests for different networks share graph_id "), F.col("graph_id"))))
+    return one.select(agreed.alias("r")).select("r.*")
 
 
 def unique_requests(requests: Iterable[Mapping[str, object]], selection: str) -> list[dict]:
-    """Driver-side de-duplication of a request list: one request per network key."""
-    seen, out = set(), []
+    """Driver-side de-duplication of a request list: one request per network.
+
+    Bounds given as numbers and as text are the same bounds.  A caller-chosen
+    ``graph_id`` may come again with the same network only.
+    """
+    seen, out = {}, []
     for r in requests:
         r = dict(r)
         platform = r.get("platform")
         if selection == TIMESTAMP_RANGE and platform == "":
             r["platform"] = platform = None
-        key = r.get("graph_id") or (r.get("criteria_id"), platform, r.get("from"), r.get("to"))
+        network = tuple(None if v is None else str(v) for v in (r.get("criteria_id"), platform, r.get("from"), r.get("to")))
+        key = r.get("graph_id") or network
         if key not in seen:
-            seen.add(key)
+            seen[key] = network
             out.append(r)
+        elif seen[key] != network:
+            raise ValueError(f"requests for different networks share graph_id {key!r}")
     return out
 
 
@@ -131,6 +146,26 @@ def request_days(normalized: DataFrame, selection: str) -> DataFrame:
     return out.withColumn("row_key", row_key(F.col("criteria_id"), F.col("code"), F.col("day")))
 
 
+def request_sides(normalized: DataFrame, selection: str, request_rows: int | None, n_requests: int | None,
+                  max_rows: int) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    """The request side of a selection by days, and how its columns meet ``day``: (operator, "day", column).
+
+    While the requested days are proven few (``request_rows``), one row per
+    request and day is broadcast and meets ``day`` by equality.  Beyond that
+    there is one row per request with the first and last day; it is broadcast
+    when the requests themselves are few, else it is joined by sort-merge.
+    """
+    if request_rows is not None and request_rows <= max_rows:
+        return F.broadcast(request_days(normalized, selection)), [("=", "day", "day")]
+    last = F.to_date("end_day", "yyyyMMdd")
+    if selection == DAY_RANGE:
+        last = F.date_sub(last, 1)
+    rows = normalized.withColumn("last_day", F.date_format(last, "yyyyMMdd"))
+    n = rows.count() if n_requests is None else n_requests
+    side = F.broadcast(rows) if n <= max_rows else rows.hint("merge")
+    return side, [(">=", "day", "start_day"), ("<=", "day", "last_day")]
+
+
 def day_count(selection: str, from_ms: int, to_ms: int) -> int:
     """Days selected by one request (driver-side bound for a broadcast check)."""
     first, last = from_ms // MS_PER_DAY, to_ms // MS_PER_DAY

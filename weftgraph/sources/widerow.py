@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.functions.expressions import PLATFORM_CODES, day_of_millis, row_key
+from weftgraph.functions.expressions import ROW_KEY_SEPARATOR, day_of_millis, row_key
+from weftgraph.operators.select import any_of, range_predicates
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
-from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_days
+from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_sides
 
 # Fields of one stored document; criteria, platform and day come from the key.
 DOCUMENT_SCHEMA = T.StructType([
@@ -31,23 +32,27 @@ DOCUMENT_SCHEMA = T.StructType([
     T.StructField("post_id", T.StringType()),
 ])
 CORRUPT = "_corrupt_record"
-_SEP_REGEX = r"_\|_"
+# Greedy: a separator inside a criteria id stays in it.
+_KEY_REGEX = r"(?s)^(.*)_\|_(.*)_\|_(.*)$"
+# A 64-bit integer as extended JSON writes it; inside a JSON string its quotes would be escaped.
+_EXTENDED_NUMBER = r'\{\s*"\$number(?:Long|Int)"\s*:\s*"([+-]?[0-9]+)"\s*\}'
 
 
 def key_parts(wide: DataFrame) -> DataFrame:
-    """Split ``row_key`` into ``criteria_id, platform, day`` (criteria ids hold no separator)."""
-    parts = F.split(F.col("row_key"), _SEP_REGEX, 3)
-    return wide.select("*", parts.getItem(0).alias("criteria_id"), parts.getItem(1).alias("platform"),
-                       parts.getItem(2).alias("day"))
+    """Split ``row_key`` into ``criteria_id, platform, day``, from its end."""
+    return wide.select("*", *[F.regexp_extract("row_key", _KEY_REGEX, i + 1).alias(c)
+                              for i, c in enumerate(("criteria_id", "platform", "day"))])
 
 
 def scan_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
-              request_rows: int | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+              request_rows: int | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+              n_requests: int | None = None) -> DataFrame:
     """The wide rows of each request, tagged with ``graph_id``.
 
     ``day_range`` is the scan ``[start_key, stop_key)`` of the reference, as an
     equality on criteria and platform plus the literal key range;
-    ``day_list`` and ``timestamp_range`` look up one key per day.
+    ``day_list`` and ``timestamp_range`` look up one key per day; a request
+    without a platform takes the day's key of every platform.
     """
     rows = key_parts(wide)
     if selection == DAY_RANGE:
@@ -55,18 +60,23 @@ def scan_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
             "graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"),
             row_key(F.col("criteria_id"), F.col("code"), F.col("start_day")).alias("_lo"),
             row_key(F.col("criteria_id"), F.col("code"), F.col("end_day")).alias("_hi"))
-        rq = size_checked_broadcast(rq, request_rows, max_rows)
+        rq = size_checked_broadcast(rq, n_requests, max_rows)
         cond = ((rows["criteria_id"] == rq["_crit"]) & (rows["platform"] == rq["_code"])
                 & (rows["row_key"] >= rq["_lo"]) & (rows["row_key"] < rq["_hi"]))
         return rows.join(rq, cond).drop("_crit", "_code", "_lo", "_hi")
     if selection in (DAY_LIST, TIMESTAMP_RANGE):
-        mode = DAY_LIST if selection == DAY_LIST else TIMESTAMP_RANGE
-        rd = request_days(normalized_requests, mode).select(
-            "graph_id", F.col("row_key").alias("_rk"), F.col("from_ms").alias("_from"), F.col("to_ms").alias("_to"))
-        rd = size_checked_broadcast(rd, request_rows, max_rows)
-        joined = rows.join(rd, rows["row_key"] == rd["_rk"]).drop("_rk")
-        keep = ["_from", "_to"] if selection == TIMESTAMP_RANGE else []
-        return joined.drop(*[c for c in ("_from", "_to") if c not in keep])
+        side, meets = request_sides(normalized_requests, selection, request_rows, n_requests, max_rows)
+        rd = side.select("graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"),
+                         F.col("from_ms").alias("_from"), F.col("to_ms").alias("_to"),
+                         *[F.col(c).alias(f"_{c}") for _, _, c in meets])
+        same_platform = rows["platform"] == rd["_code"]
+        if selection == TIMESTAMP_RANGE:
+            same_platform = rd["_code"].isNull() | same_platform
+        cond = (rows["criteria_id"] == rd["_crit"]) & same_platform
+        for op, of_row, of_request in meets:
+            cond = cond & F.expr(f"{of_row} {op} _{of_request}")
+        joined = rows.join(rd, cond).drop("_crit", "_code", *[f"_{c}" for _, _, c in meets])
+        return joined if selection == TIMESTAMP_RANGE else joined.drop("_from", "_to")
     raise ValueError(f"unknown selection {selection!r}")
 
 
@@ -81,8 +91,12 @@ def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
 
     ``on_bad="fail"`` stops the job on a malformed document (FAILFAST), as the
     reference's parser does; ``"drop"`` parses permissively and leaves out the
-    documents that do not parse.
+    documents that do not parse.  Integers may be plain or in the extended form
+    ``{"$numberLong": "…"}``.
     """
+    text = F.col("value")
+    cells = cells.withColumn("value", F.when(F.contains(text, F.lit('"$number')),
+                                             F.regexp_replace(text, _EXTENDED_NUMBER, "$1")).otherwise(text))
     if on_bad == "fail":
         parsed = F.from_json(F.col("value"), DOCUMENT_SCHEMA, {"mode": "FAILFAST"})
         out = cells.withColumn("_doc", parsed)
@@ -98,9 +112,9 @@ def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
 def select_from_wide_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
                           require_target: bool = True, on_bad: str = "fail",
                           request_rows: int | None = None,
-                          max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                          max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, n_requests: int | None = None) -> DataFrame:
     """S1/S5 -> S6 -> S7 -> P1: the documents of each request from the wide-row table."""
-    rows = scan_rows(wide, normalized_requests, selection, request_rows, max_rows)
+    rows = scan_rows(wide, normalized_requests, selection, request_rows, max_rows, n_requests)
     docs = parse_documents(explode_cells(rows), on_bad)
     if selection == TIMESTAMP_RANGE:
         docs = docs.where(F.col("timestamp").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
@@ -109,24 +123,27 @@ def select_from_wide_rows(wide: DataFrame, normalized_requests: DataFrame, selec
     return docs.drop("row_key", "chunk")
 
 
-def key_range_predicate(requests: list[dict], selection: str, max_requests: int = 200):
-    """Literal ``row_key`` ranges covering the requests (None beyond ``max_requests``).
+def key_range_predicate(requests: list[dict], selection: str):
+    """Literal ``row_key`` ranges covering the requests.
 
     ``[start_key, stop_key)`` for ``day_range`` (the reference's scan), the
-    inclusive ``[start_key, end_key]`` otherwise (a superset of the day keys).
-    On a table sorted by key, Parquet min/max statistics then skip every row
-    group outside the ranges.  Day keys are foldable expressions evaluated in
-    the session time zone, like the keys themselves.
+    inclusive ``[start_key, end_key]`` otherwise (a superset of the day keys);
+    a request without a platform covers all keys of its criteria.  With very
+    many criteria it is the range from the first to the last of them.  On a
+    table sorted by key, Parquet min/max statistics then skip every row group
+    outside the ranges.  Day keys are foldable expressions evaluated in the
+    session time zone, like the keys themselves.
     """
-    if not requests or len(requests) > max_requests:
-        return None
-    pred = None
-    for r in requests:
-        code = PLATFORM_CODES.get(str(r.get("platform")))
+    key = F.col("row_key")
+
+    def covered(criteria, code, lo, hi):
         if code is None:
-            return None  # every platform (timestamp mode): no single key prefix
-        lo = row_key(F.lit(str(r["criteria_id"])), F.lit(code), day_of_millis(F.lit(int(r["from"]))))
-        hi = row_key(F.lit(str(r["criteria_id"])), F.lit(code), day_of_millis(F.lit(int(r["to"]))))
-        p = (F.col("row_key") >= lo) & ((F.col("row_key") < hi) if selection == DAY_RANGE else (F.col("row_key") <= hi))
-        pred = p if pred is None else pred | p
-    return pred
+            return key.startswith(criteria + ROW_KEY_SEPARATOR)
+        first, last = (row_key(F.lit(criteria), F.lit(code), day_of_millis(F.lit(ms))) for ms in (lo, hi))
+        return (key >= first) & ((key < last) if selection == DAY_RANGE else (key <= last))
+
+    found = range_predicates(requests, covered)
+    if found is not None:
+        return any_of(found)
+    criteria = sorted({str(r["criteria_id"]) + ROW_KEY_SEPARATOR for r in requests}, key=lambda c: c.encode())
+    return (key >= criteria[0]) & ((key < criteria[-1]) | key.startswith(criteria[-1]))

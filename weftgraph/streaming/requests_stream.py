@@ -12,9 +12,11 @@ Per request the batch writes:
 * ``<out>/nodes``, ``<out>/edges``: N6 tables;
 * ``<out>/gexf``: N5 GEXF parts;
 * ``<out>/completed``: R5, the request with ``step = "analysis_network"``, as JSON;
-* ``<out>/status``: R6, ``(graph_id, status, error)``; a request that cannot be
-  read (unknown platform, bad bounds) fails alone, and a failing build marks
-  every request of its batch as failed, as the reference reports and drops it.
+* ``<out>/status``: R6, ``(graph_id, status, error, raw)``, one row per message; a
+  message that cannot be read (no JSON, unknown platform, bad bounds) fails alone
+  under an id of its own, with its text in ``raw``.  When a build fails, its
+  requests are built again in halves, so that only the networks whose documents
+  are at fault fail.
 """
 
 from __future__ import annotations
@@ -44,9 +46,16 @@ def completion_records(requests: DataFrame) -> DataFrame:
                            .alias("value"))
 
 
-def check_requests(requests: DataFrame, selection: str) -> DataFrame:
-    """Normalise leniently and name what is wrong with a request (``error``, null when fine)."""
-    checked = normalize_requests(requests.distinct(), selection, strict=False, dedupe=False)
+def check_requests(requests: DataFrame, selection: str, ignore_platform: bool = False) -> DataFrame:
+    """Normalise leniently and name what is wrong with a request (``error``, null when fine).
+
+    Where the message's ``raw`` text is there, a faulty message gets an id made
+    from it, so it shares no output folder with another message.
+    """
+    requests = requests.distinct()
+    if ignore_platform:
+        requests = requests.withColumn("_platform", F.col("platform")).withColumn("platform", F.lit(None).cast("string"))
+    checked = normalize_requests(requests, selection, strict=False, dedupe=False)
     bad_platform = F.col("platform").isNotNull() & (F.col("platform") != "") & F.col("code").isNull()
     if selection != "timestamp_range":
         bad_platform = F.col("code").isNull()
@@ -54,42 +63,68 @@ def check_requests(requests: DataFrame, selection: str) -> DataFrame:
                .when(F.col("criteria_id").isNull(), F.lit("missing criteria_id"))
                .when(F.col("path").isNull(), F.lit("missing path"))
                .when(F.col("from_ms").isNull() | F.col("to_ms").isNull(), F.lit("bad time range")))
-    return checked.withColumn("error", problem)
+    checked = checked.withColumn("error", problem)
+    if "raw" in checked.columns:
+        checked = checked.withColumn("graph_id", F.when(F.col("error").isNull(), F.col("graph_id")).otherwise(
+            F.concat(F.lit("failed_"), F.md5(F.coalesce("raw", F.lit(""))))))
+    if ignore_platform:
+        checked = checked.withColumn("platform", F.col("_platform")).drop("_platform")
+    return checked
+
+
+def _build_each(spark: SparkSession, source: DataFrame, batch, out: str, errors: dict, **build_kw) -> None:
+    """Build and write the networks of ``batch``; on failure in halves, down to the requests at fault (``errors``)."""
+    build = None
+    try:
+        build = build_graph(spark, source, batch, **build_kw)
+        ids = build.requests.select("graph_id")
+        write_tables(build.nodes, build.out_edges, out, graph_ids=ids)
+        write_gexf(ids, build.nodes, build.out_edges, f"{out}/gexf")
+        return
+    except Exception as exc:  # noqa: BLE001 - R6: report the failure, keep the stream going
+        message = f"{type(exc).__name__}: {exc}"
+    finally:
+        if build is not None:
+            build.release()
+    networks = sorted({r["graph_id"] for r in batch}) if isinstance(batch, list) else []
+    if len(networks) > 1:
+        first = set(networks[:len(networks) // 2])
+        for half in ([r for r in batch if r["graph_id"] in first], [r for r in batch if r["graph_id"] not in first]):
+            _build_each(spark, source, half, out, errors, **build_kw)
+    else:
+        errors[networks[0] if networks else None] = message
 
 
 def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, out: str, batch_id: int = 0,
                   **build_kw) -> None:
     """Build and write the networks of one batch of requests (all strings)."""
-    selection = build_kw.get("selection", "day_range")
-    checked = check_requests(requests, selection).persist(StorageLevel.MEMORY_AND_DISK)
+    if "raw" not in requests.columns:
+        requests = requests.withColumn("raw", F.to_json(F.struct(*[f.name for f in REQUEST_SCHEMA.fields])))
+    checked = check_requests(requests, build_kw.get("selection", "day_range"),
+                             build_kw.get("ignore_platform", False)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        good = checked.where(F.col("error").isNull()).select(*[f.name for f in REQUEST_SCHEMA.fields], "graph_id")
-        failed = checked.where(F.col("error").isNotNull()).select(
-            "graph_id", F.lit(STATUS_FAILED).alias("status"), "error")
-        status = failed
+        good = checked.where(F.col("error").isNull()).select(*[f.name for f in REQUEST_SCHEMA.fields], "graph_id", "raw")
+        status = checked.where(F.col("error").isNotNull()).select(
+            "graph_id", F.lit(STATUS_FAILED).alias("status"), "error", "raw")
         n_good = good.count()
         if n_good:
-            build = None
-            try:
-                # Requests are query parameters, not data: a bounded batch of them becomes
-                # literal filters that prune the document scan (a request table alone
-                # does not trigger dynamic partition pruning).
-                batch = [r.asDict() for r in good.collect()] if n_good <= MAX_LITERAL_REQUESTS else good
-                build = build_graph(spark, source, batch, **build_kw)
-                write_tables(build.nodes, build.out_edges, out)
-                write_gexf(build.requests.select("graph_id"), build.nodes, build.out_edges, f"{out}/gexf")
-                # every request gets its record, also where several (with other paths) share a network
-                write_table(completion_records(good), f"{out}/completed", "text")
-                ok = good.select("graph_id", F.lit(STATUS_OK).alias("status"),
-                                 F.lit(None).cast("string").alias("error"))
-                status = status.unionByName(ok)
-            except Exception as exc:  # noqa: BLE001 - R6: report the failure, keep the stream going
-                message = f"{type(exc).__name__}: {exc}"
-                status = status.unionByName(good.select(
-                    "graph_id", F.lit(STATUS_FAILED).alias("status"), F.lit(message).alias("error")))
-            finally:
-                if build is not None:
-                    build.release()
+            errors: dict = {}
+            # Requests are query parameters, not data: a bounded batch of them becomes
+            # literal filters that prune the document scan (a request table alone
+            # does not trigger dynamic partition pruning).
+            few = n_good <= MAX_LITERAL_REQUESTS
+            _build_each(spark, source, [r.asDict() for r in good.drop("raw").collect()] if few else good.drop("raw"),
+                        out, errors, **build_kw)
+            failures = spark.createDataFrame(list(errors.items()), "graph_id string, error string")
+            if None in errors:  # a batch too large to be taken apart fails as a whole
+                told = good.withColumn("error", F.lit(errors[None]))
+            else:
+                told = good.join(failures, "graph_id", "left")
+            # every request gets its record, also where several (with other paths) share a network
+            write_table(completion_records(told.where(F.col("error").isNull())), f"{out}/completed", "text")
+            status = status.unionByName(told.select(
+                "graph_id", F.when(F.col("error").isNull(), F.lit(STATUS_OK)).otherwise(F.lit(STATUS_FAILED))
+                .alias("status"), "error", "raw"))
         write_table(status.withColumn("batch_id", F.lit(batch_id)), f"{out}/status", "json")
     finally:
         checked.unpersist()

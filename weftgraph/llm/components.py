@@ -15,13 +15,18 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     smaller ones (small star), on its smallest neighbour.  Minima are map-side
     aggregates and the joins on a node can be split by Spark, so a node with a
     third of all edges is no hot task.  A round's edges are written, which cuts
-    the lineage; the rounds end when no edge changed.  They grow with the
-    logarithm of the longest chain, not with the number of nodes.
+    the lineage; the rounds end when the edges are stars: no node hangs on two
+    others or on one that hangs itself, which one aggregate tells.  They grow with
+    the logarithm of the longest chain, not with the number of nodes.
     """
     now = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                 "links")
-    mark = None
     for _ in range(max_rounds):
+        ends = now.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("hangs")),
+                                            F.struct(F.col("v").alias("node"), F.lit(0).alias("hangs")))).alias("e"))
+        if ends.groupBy("e.node").agg(F.sum("e.hangs").alias("n"), F.min("e.hangs").alias("holds")) \
+                .where("n > 1 or (n = 1 and holds = 0)").isEmpty():
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m")), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .where("u <> v").distinct()
@@ -30,10 +35,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")) \
             .select("e.u", "e.v").where("u <> v").distinct()
         now = stash(small, "links")
-        seen = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if (seen["n"], seen["x"]) == mark:
-            break
-        mark = (seen["n"], seen["x"])
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node")).distinct()

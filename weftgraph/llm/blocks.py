@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def chunk_pairs(rows: DataFrame, key: str, row_id: str, size: int) -> DataFrame:
+def chunk_pairs(rows: DataFrame, key: str, row_id: str, size: int, counted: DataFrame | None = None) -> DataFrame:
     """Add g (block), own and chunk: keys with more than ``size`` rows are cut into chunks that meet in pairs.
 
+    ``counted`` (key, _n) names the keys to keep, with their rows, where that is known already.
+
     A row of a key with n chunks stands n times, once with each chunk, so a block
     has about ``2 * size`` rows at most and every two rows of a key meet in one.
     """
-    many = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {size}") \
-        .select(key, F.ceil(F.col("_n") / size).cast("int").alias("_cs"))
-    return rows.join(many, key, "left").withColumn("_cs", F.coalesce("_cs", F.lit(1))) \
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {size}") if counted is None else counted
+    many = sizes.select(key, F.ceil(F.col("_n") / size).cast("int").alias("_cs"))
+    return rows.join(many, key, "left" if counted is None else "inner").withColumn("_cs", F.coalesce("_cs", F.lit(1))) \
         .withColumn("chunk", F.pmod(F.xxhash64(row_id, F.lit(17)), F.col("_cs")).cast("int")) \
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_cs") - 1))) \
         .withColumn("g", F.xxhash64(key, F.least("chunk", "_with"), F.greatest("chunk", "_with"))) \

@@ -279,9 +279,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
     sigs = stash(signatures(docs, k), "signatures")
     # classes of equal sets; their smallest document stands for them
     some = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = stash(some.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = stash(some.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                 .dropDuplicates(["doc_id"]).select("doc_id", "regs"), "representatives")
+    classes = stash(some.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.any_value("regs").alias("regs")), "classes")
+    reps = stash(classes.select(F.col("rep").alias("doc_id"), "regs").dropDuplicates(["doc_id"]), "representatives")
     bands = stash(reps.mapInArrow(_bands, "doc long, key long"), "bands")
     hubs = bands.groupBy("key").agg(F.min("doc").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = stash(bands.join(hubs, "key"), "members")
@@ -293,8 +292,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
     placed = members.select("key", "doc").join(joined.select(F.col("node").alias("doc"), "component"), "doc", "left") \
         .select("key", "doc", F.coalesce("component", "doc").alias("c"))
     placed = stash(placed, "placed")
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_ = chunk_pairs(placed.join(split, "key", "left_semi"), "key", "doc", BLOCK_ROWS)
+    split = stash(placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("_n"))
+                  .where("lo < hi").select("key", "_n"), "split")
+    open_ = chunk_pairs(placed, "key", "doc", BLOCK_ROWS, split)
     small = stash(reps.mapInArrow(_nibbles, "doc long, nibs binary"), "sketches")
     tasks = shuffle_partitions(docs.sparkSession)
     likely = stash(open_.join(small, "doc").select("g", "doc", "c", "own", "chunk", "nibs")
@@ -302,8 +302,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
                    .mapInArrow(_block_links(threshold, k, False), "a long, b long, doc long"), "likely")
     families = components(likely.where("doc is null").select("a", "b")) \
         .select(F.col("node").alias("c"), F.col("component").alias("family"))
-    whole = likely.where("doc is not null").select("doc", F.col("a").alias("c")).distinct().join(families, "c") \
-        .join(small, "doc").join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").dropDuplicates(["doc"])
+    whole = likely.where("doc is not null").select("doc", F.col("a").alias("c")).dropDuplicates(["doc"]) \
+        .join(small, "doc").join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").dropDuplicates(["doc"]) \
+        .join(families, "c")
     more = chunk_pairs(stash(whole, "families"), "family", "doc", VERIFY_ROWS) \
         .select("g", "doc", "c", "own", "chunk", "nibs", "text").repartition(tasks, "g").sortWithinPartitions("g") \
         .mapInArrow(_block_links(threshold, k, True), "a long, b long")

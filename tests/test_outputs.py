@@ -12,7 +12,7 @@ from weftgraph.plans.build import build_graph, graph_counts
 from weftgraph.sinks.gexf import assemble, part_files, write_gexf
 from weftgraph.sinks.tables import write_tables
 from weftgraph.sources.fixtures import load_interactions
-from weftgraph.streaming import run_stream
+from weftgraph.streaming import process_batch, run_stream
 
 NS = {"g": "http://www.gexf.net/1.2draft"}
 WINDOW = ("1704412800000", "1706227200000")
@@ -78,6 +78,24 @@ def _tables(spark, out):
     return n, e
 
 
+def completed_id(status):
+    return next(g for g, (s, _) in status.items() if s == "done")
+
+
+def test_documents_at_request_paths(spark, scratch):
+    source = frame(spark, [doc("TW_1", "TW_2"), doc("TW_2", "TW_3")])
+    out, far = os.path.join(scratch, "paths"), os.path.join(scratch, "far")
+    rows = [dict(req(), path="a/b"), dict(req(), path=far)]
+    names = ["path", "platform", "criteria_id", "from", "to"]
+    lines = spark.createDataFrame([tuple(str(r[n]) for n in names) for r in rows], ", ".join(f"`{n}` string" for n in names))
+    process_batch(spark, lines, source, out, selection="day_range")
+    found = [os.listdir(f) for f in (f"{out}/gexf/a/b", far)]
+    ids = [next(n for n in names if n.startswith("graph_id=")).removeprefix("graph_id=") for names in found]
+    texts = [open(assemble(f, g, os.path.join(scratch, f"p{i}.gexf"))).read()
+             for i, (f, g) in enumerate(zip((f"{out}/gexf/a/b", far), ids))]
+    assert ids[0] == ids[1] and texts[0] == texts[1] and texts[0].count("<edge id") == 2
+
+
 def test_stream_requests_idempotent(spark, scratch):
     docs = [doc(f"TW_{i}", f"TW_{i % 5 + 1}", ts=T0 + i * 3_600_000) for i in range(1, 40)]
     source = frame(spark, docs)
@@ -97,6 +115,8 @@ def test_stream_requests_idempotent(spark, scratch):
     completed = [json.loads(r["value"]) for r in spark.read.text(f"{out}/completed").collect()]
     assert len(completed) == 1 and completed[0]["step"] == "analysis_network"
     assert completed[0]["criteria_id"] == "c1"
+    _, shown = _parse(assemble(f"{out}/gexf/{good['path']}", completed_id(status), os.path.join(scratch, "s.gexf")))
+    assert len(shown) == len(first[1])
     # the same requests replayed (a new checkpoint) rewrite the same folders: identical tables
     q = run_stream(spark, req_dir, source, out, os.path.join(scratch, "ckpt2"), selection="day_range", cap=10)
     q.awaitTermination()

@@ -222,7 +222,17 @@ def test_pushdown_predicates_are_supersets(spark, selection, monkeypatch):
                    sel.select_documents(docs, norm, selection, require_target=False).collect())
     for limit in (sel.MAX_DISJUNCTION, 0):  # the disjunction, then the hull
         monkeypatch.setattr(sel, "MAX_DISJUNCTION", limit)
-        pushed = docs.where(sel.pushdown_predicate(reqs, selection))
-        got = sorted(r["post_id"] + r["graph_id"] for r in
-                     sel.select_documents(pushed, norm, selection, require_target=False).collect())
-        assert got == exact and len(exact) > 0
+        for day_key in (False, True):
+            pushed = docs.where(sel.pushdown_predicate(reqs, selection, day_key))
+            got = sorted(r["post_id"] + r["graph_id"] for r in
+                         sel.select_documents(pushed, norm, selection, require_target=False).collect())
+            assert got == exact and len(exact) > 0
+    # requests as a DataFrame: their hull is pushed; bounds beyond the days of a calendar stay plain
+    far = [*reqs, req(-5 * 10 ** 14, 5 * 10 ** 14, crit="crit_1", platform=None)] if ts else reqs
+    for some in (reqs, far):
+        norm = normalize_requests(requests_frame(spark, some), selection)
+        exact = sorted(r["post_id"] + r["graph_id"] for r in
+                       sel.select_documents(docs, norm, selection, require_target=False).collect())
+        b = build_graph(spark, docs, requests_frame(spark, some), selection=selection, require_target=False,
+                        materialize_mode="none")
+        assert sorted(r["post_id"] + r["graph_id"] for r in b.documents.collect()) == exact

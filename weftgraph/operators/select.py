@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import PLATFORM_CODES, day_of_millis
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
-from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_sides
+from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, MS_PER_DAY, TIMESTAMP_RANGE, request_sides
 
 
 def select_documents(documents: DataFrame, normalized_requests: DataFrame, selection: str,
@@ -57,6 +57,8 @@ def select_documents(documents: DataFrame, normalized_requests: DataFrame, selec
 # Up to this many merged ranges the pushed predicate is their exact disjunction; beyond it, one range for each
 # criteria and platform, and beyond that their hull (fewer literals to plan, a wider superset; the join decides).
 MAX_DISJUNCTION = 200
+# 0001-01-01 and 9999-12-31 UTC: day keys have eight digits, and an order, between them.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_214_400_000
 
 
 def merged_ranges(requests: list[dict]) -> dict[tuple, list[tuple[int, int]]]:
@@ -96,37 +98,48 @@ def range_predicates(requests: list[dict], predicate) -> list | None:
     return [predicate(criteria, code, lo, hi) for (criteria, code), found in ranges.items() for lo, hi in found]
 
 
-def _range_predicate(criteria: str, code: str | None, lo: int, hi: int, selection: str):
+def time_bounds(lo: int, hi: int, selection: str, day_key: bool):
+    """Documents within [lo, hi]: by timestamp and, where they are stored with day keys, by day (a day's margin)."""
+    if selection == TIMESTAMP_RANGE:
+        pred = F.col("timestamp").between(lo, hi)
+        day = F.col("day")
+        if day_key and lo - MS_PER_DAY >= FIRST_MS:
+            pred = pred & (day.isNull() | (day >= day_of_millis(F.lit(lo - MS_PER_DAY))))
+        if day_key and hi + MS_PER_DAY <= LAST_MS:
+            pred = pred & (day.isNull() | (day <= day_of_millis(F.lit(hi + MS_PER_DAY))))
+        return pred
+    # Day bounds as foldable expressions: Catalyst folds them with the session
+    # time zone, the same zone that made the day keys, and pushes the literal.
+    return F.col("day").between(day_of_millis(F.lit(lo)), day_of_millis(F.lit(hi)))
+
+
+def _range_predicate(criteria: str, code: str | None, lo: int, hi: int, selection: str, day_key: bool):
     pred = F.col("criteria_id") == criteria
     if selection == TIMESTAMP_RANGE:
         if code:
             pred = pred & (F.col("platform") == code)
-        return pred & F.col("timestamp").between(lo, hi)
-    # Day bounds as foldable expressions: Catalyst folds them with the session
-    # time zone, the same zone that made the day keys, and pushes the literal.
-    return (pred & (F.col("platform") == (code or ""))
-            & (F.col("day") >= day_of_millis(F.lit(lo))) & (F.col("day") <= day_of_millis(F.lit(hi))))
+    else:
+        pred = pred & (F.col("platform") == (code or ""))
+    return pred & time_bounds(lo, hi, selection, day_key)
 
 
-def pushdown_predicate(requests: list[dict], selection: str):
+def pushdown_predicate(requests: list[dict], selection: str, day_key: bool = False):
     """Literal predicate on the document columns that covers every request.
 
     Applied before the join it reaches the Parquet scan (``PushedFilters``,
     partition filters), so row groups and partitions outside all requests are
-    never read.  It is a superset filter; the join decides membership.
+    never read.  It is a superset filter; the join decides membership.  ``day_key``:
+    the documents have a stored ``day``, which bounds ``timestamp_range`` too.
     """
     if not requests:
         return F.lit(False)
-    found = range_predicates(requests, lambda *r: _range_predicate(*r, selection))
+    found = range_predicates(requests, lambda *r: _range_predicate(*r, selection, day_key))
     if found is not None:
         return any_of(found)
     criteria = sorted({str(r["criteria_id"]) for r in requests})
     pred = F.col("criteria_id").isin(criteria)
     lows = [int(r["from"]) for r in requests]
     highs = [int(r["to"]) for r in requests]
-    if selection == TIMESTAMP_RANGE:
-        return pred & F.col("timestamp").between(min(lows), max(highs))
-    platforms = sorted({PLATFORM_CODES.get(str(r.get("platform")), "") for r in requests})
-    lo_day = day_of_millis(F.lit(min(lows)))
-    hi_day = day_of_millis(F.lit(max(highs)))
-    return pred & F.col("platform").isin(platforms) & (F.col("day") >= lo_day) & (F.col("day") <= hi_day)
+    if selection != TIMESTAMP_RANGE:
+        pred = pred & F.col("platform").isin(sorted({PLATFORM_CODES.get(str(r.get("platform")), "") for r in requests}))
+    return pred & time_bounds(min(lows), max(highs), selection, day_key)

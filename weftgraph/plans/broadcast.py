@@ -31,21 +31,3 @@ def size_checked_broadcast(df: DataFrame, known_rows: int | None = None,
     if rows is not None and rows <= max_rows:
         return F.broadcast(df)
     return df
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's size estimate of a frame (exact file sizes for a table scan); None when unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no JVM access (Spark Connect)
-        return None
-
-
-def broadcast_threshold(spark) -> int:
-    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(value)
-    except ValueError:  # e.g. "10MB"
-        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        v = value.strip().lower().rstrip("b") or "0"
-        return int(float(v[:-1]) * units[v[-1]]) if v[-1] in units else int(float(v))

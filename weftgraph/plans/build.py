@@ -14,8 +14,8 @@ shuffles behind it) and gives later joins real file statistics.
 Broadcasts are limited to frames with a proven row bound: the request table
 (days x requests), the per-network thresholds (one row per network), the
 surrogate offsets (4096 per network), the kept vertices (at most ``cap`` per
-network), and the losing ids when their table's file size passes Spark's
-broadcast threshold.  Everything else is left to shuffle joins with AQE skew
+network, or their count), and the losing ids when their count is under the
+limit.  Everything else is left to shuffle joins with AQE skew
 splitting.
 """
 
@@ -32,8 +32,8 @@ from weftgraph.operators import cap as capops
 from weftgraph.operators import graph as graphops
 from weftgraph.operators import nodes as nodeops
 from weftgraph.operators.resolve import edges_of, resolve_endpoints
-from weftgraph.operators.select import pushdown_predicate, select_documents
-from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_threshold, estimated_bytes
+from weftgraph.operators.select import pushdown_predicate, select_documents, time_bounds
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from weftgraph.session import materialize, materialize_together
 from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, MS_PER_DAY, SELECTIONS, TIMESTAMP_RANGE, day_count,
                                         normalize_requests, requests_frame, unique_requests)
@@ -122,7 +122,12 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         request_list = unique_requests(requests, selection)
         req_df = requests_frame(spark, request_list)
     normalized = normalize_requests(req_df, selection, strict_requests, dedupe=request_list is None)
-    n_graphs = len(request_list) if request_list is not None else normalized.count()
+    hull = None
+    if request_list is not None:
+        n_graphs = len(request_list)
+    else:  # their number and the time they span, in one row
+        n_graphs, *hull = normalized.agg(F.count(F.lit(1)), F.min(F.least("from_ms", "to_ms")),
+                                         F.max(F.greatest("from_ms", "to_ms"))).first()
     request_rows = _request_bound(request_list, selection) if request_list is not None else None
 
     # R2 + P1: the documents of every request.
@@ -134,7 +139,9 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
                                                            max(int(r["to"]) for r in request_list) + 2 * MS_PER_DAY))
             src = src.withColumn("day", day_of_millis(F.col("timestamp")))
         if request_list is not None and strict_requests:
-            src = src.where(pushdown_predicate(request_list, selection))
+            src = src.where(pushdown_predicate(request_list, selection, "day" in source.columns))
+        elif hull and None not in hull:
+            src = src.where(time_bounds(*hull, selection, "day" in source.columns))
         documents = select_documents(src, normalized, selection, require_target, request_rows, max_broadcast_rows,
                                      n_graphs)
     elif source_kind == "wide":
@@ -164,19 +171,15 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         {"vertices": nodeops.nodes_final(numbered), "losers": nodeops.losing_accounts(distinct_eps, by_name)},
         keep, "node_tables", tables)
     vertices, losers = node_tables["vertices"], node_tables["losers"]
-    # A table read back from files carries its real size, so Spark's own broadcast
-    # threshold is a checked bound; other modes count the (small) frame.
-    losers_rows = losers.count() if keep in ("persist", "checkpoint") else None
-    size = estimated_bytes(losers) if keep == "table" else None
-    losers_broadcast = ((losers_rows is not None and losers_rows <= max_broadcast_rows)
-                        or (size is not None and size <= broadcast_threshold(spark) and max_broadcast_rows > 0))
+    # The bound is their real number (of a table, from its footers): compressed bytes say little of a hash relation.
+    losers_rows = losers.count() if keep != "none" else None
+    losers_broadcast = losers_rows is not None and losers_rows <= max_broadcast_rows
 
     # Valid edges, read by degrees, the cap and the output.  With a broadcast
     # anti join they are a filter over the interactions table, as cheap to re-derive
     # as to re-read; behind a shuffle join they are written as a table.
     edges = edges_of(interactions)
-    valid = graphops.valid_edges(edges, losers, losers_rows if losers_rows is not None else
-                                 (0 if losers_broadcast else None), max_rows=max_broadcast_rows)
+    valid = graphops.valid_edges(edges, losers, losers_rows, max_rows=max_broadcast_rows)
     if not losers_broadcast:
         valid = materialize(valid, keep, "valid_edges", tables)
     degs = graphops.degrees(valid)
@@ -189,7 +192,9 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     kept = materialize(capops.capped_nodes(nodes_deg, capops.thresholds_k(nodes_deg, cap), n_graphs,
                                            max_broadcast_rows),
                        "persist" if keep != "none" else "none")
-    kept_bound = cap * n_graphs if cap * n_graphs <= max_broadcast_rows else None
+    kept_bound = cap * n_graphs
+    if kept_bound > max_broadcast_rows:  # the proven bound is too weak: their real number
+        kept_bound = kept.count() if cap_mode == capops.INDUCED and keep != "none" else None
     if cap_mode == capops.INDUCED:
         out_nodes = kept.select("graph_id", "id", "name", "type")
         out_edges = capops.induced_edges(valid, kept, kept_bound, max_broadcast_rows)

@@ -10,7 +10,8 @@ idempotent, and the stream's checkpoint records which batches are done.
 Per request the batch writes:
 
 * ``<out>/nodes``, ``<out>/edges``: N6 tables;
-* ``<out>/gexf``: N5 GEXF parts;
+* N5 GEXF parts at the request's own ``path`` (``<path>/graph_id=<id>/``; a relative
+  path lies under ``<out>/gexf``), so a network asked for at two paths is written at both;
 * ``<out>/completed``: R5, the request with ``step = "analysis_network"``, as JSON;
 * ``<out>/status``: R6, ``(graph_id, status, error, raw)``, one row per message; a
   message that cannot be read (no JSON, unknown platform, bad bounds) fails alone
@@ -72,6 +73,25 @@ def check_requests(requests: DataFrame, selection: str, ignore_platform: bool =
     return checked
 
 
+def request_folder(path: str, out: str) -> str:
+    """Where the document of a request goes: its path, under ``out/gexf`` when relative."""
+    return path.rstrip("/") if "://" in path or path.startswith("/") else f"{out}/gexf/{path.strip('/')}".rstrip("/")
+
+
+def _write_documents(batch, build, out: str) -> None:
+    """One GEXF document per request, path by path."""
+    if isinstance(batch, list):
+        batch = build.requests.sparkSession.createDataFrame(
+            [(r["path"], r["graph_id"]) for r in batch], "path string, graph_id string")
+    paths = [r["path"] for r in batch.select("path").distinct().collect()]
+    for path in paths:
+        ids = batch.where(F.col("path") == path).select("graph_id").distinct()
+        nodes, edges = build.nodes, build.out_edges
+        if len(paths) > 1:
+            nodes, edges = (f.join(ids, "graph_id", "left_semi") for f in (nodes, edges))
+        write_gexf(ids, nodes, edges, request_folder(path, out))
+
+
 def _build_each(spark: SparkSession, source: DataFrame, batch, out: str, errors: dict, **build_kw) -> None:
     """Build and write the networks of ``batch``; on failure in halves, down to the requests at fault (``errors``)."""
     build = None
@@ -79,7 +99,7 @@ def _build_each(spark: SparkSession, source: DataFrame, batch, out: str, errors:
         build = build_graph(spark, source, batch, **build_kw)
         ids = build.requests.select("graph_id")
         write_tables(build.nodes, build.out_edges, out, graph_ids=ids)
-        write_gexf(ids, build.nodes, build.out_edges, f"{out}/gexf")
+        _write_documents(batch, build, out)
         return
     except Exception as exc:  # noqa: BLE001 - R6: report the failure, keep the stream going
         message = f"{type(exc).__name__}: {exc}"

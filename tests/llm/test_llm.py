@@ -231,6 +231,23 @@ def components(n, links):
     return {i: root(i) for i in n}
 
 
+@pytest.mark.parametrize("held", [1 << 20, 40])
+def test_components(spark, held, monkeypatch):
+    from weftgraph.llm import components as module
+    from weftgraph.llm.common import prepare_workers
+    prepare_workers(spark)
+    monkeypatch.setattr(module, "CONTRACT_EDGES", held)
+    rng = random.Random(5)
+    path = rng.sample(range(-200, 200), 300)
+    edges = [*zip(path, path[1:]), *((1000 + rng.randrange(300), 1000 + rng.randrange(300)) for _ in range(200)),
+             *((5000, 4000 + i) for i in range(400)), (7, 7), (9001, 9000), (9000, 9001)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    real = [e for e in edges if e[0] != e[1]]
+    got = [tuple(r) for r in module.components(frame.repartition(5)).select("node", "component").collect()]
+    assert sorted(got) == sorted(components({n for e in real for n in e}, real).items())
+    assert module.components(frame.limit(0)).count() == 0
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(60, 16))

@@ -218,6 +218,32 @@ def test_licenses(spark, docs):
     assert got.score.between(0, 1).all() and licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_license_prefilter_loses_nothing(spark):
+    import re
+
+    from weftgraph.llm.licenses import signature_rules
+    rules = signature_rules()
+    texts = ["Distributed under BSD 3-Clause.", "This file is under Apache 2.0.", "Mozilla Public v2.0 applies",
+             "dedicated to the public\ndomain", "All rights\nreserved.", "CC BY 4.0", "(CC-BY-SA/3.0)", "Expat License", "x11\tlicence",
+             "GNU Library General\n Public License v2", "mit", "limit license", "accept by", "SPDX-License-Identifier: ISC", "bsd"]
+    for _, _, _, pattern in rules:  # a text for every rule, by each choice of its first groups
+        for last in (False, True):
+            one = pattern[len("(?<= )(?:"):-len(")(?= )")]
+            while m := re.search(r"\((?:\?:)?([^()]*)\)(\??)", one):
+                one = one[:m.start()] + ("" if last and m[2] else m[1].split("|")[-1 if last else 0]) + one[m.end():]
+            one = re.sub(r"\[cs\]", "c" if last else "s", one).replace("[0-9]{4}", "1999").replace("[^ ]+", "Me")
+            texts.append(re.sub(" +", ",\n", one.replace("[a-z]*", "" if last else "s").replace(" ?", "" if last else " ")).upper())
+    s = [" " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())) + " " for t in texts]
+    hits = [{(la, p) for _, la, p, pt in rules if re.search(pt, x)} for x in s]
+    assert all(hits[15:]) and all(kw in x for x in s for kw, _, _, pt in rules if re.search(pt, x))
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas().set_index("doc_id")
+    for i, want in enumerate(hits):
+        found = {(d.label, d.priority) for d in got.detections[i]} if got.detections[i] is not None else set()
+        assert found <= want and max((p for _, p in found), default=0) == max((p for _, p in want), default=0), texts[i]
+    assert [got.labels[i] for i in range(8)] == ["bsd-3", "apache-2.0", "mpl-2.0", "public-domain", "copyright", "cc-by-4.0",
+                                                 "cc-by-sa-3.0", "mit"]
+
+
 def components(n, links):
     up = {i: i for i in n}
 

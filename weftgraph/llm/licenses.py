@@ -2,8 +2,9 @@
 
 Several hundred signature patterns, built from licence families and phrasing
 templates, are matched on the words of a text (A-Z lower-cased, joined by single
-spaces).  A keyword prefilter gates them twice: a text without any gate word runs
-no pattern at all, and a family's patterns run only where its keyword stands.
+spaces).  A keyword prefilter gates them twice: a text without any keyword runs
+no pattern at all, and a rule's pattern runs only where its keyword stands.  The
+pattern of a rule matches nothing without its keyword, so no detection is lost.
 Detections that another detection of the same or a higher priority contains are
 suppressed; the labels of the rest are reported beside those of the base phrases.
 
@@ -28,34 +29,37 @@ from .common import ascii_lower, read
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 WORD_ANY_CASE, WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Words of which every signature (and every base phrase) holds one.
-GATES = ["licen", "copyright", "spdx", "warrant", "public domain", "creative", "rights reserved", "redistribut",
-         "copyleft", "cc0", "cc-by", "cc by", "hereby granted"]
+#: What stands between two words.
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
-#: family keyword, label, name pattern, versions ('' = unversioned)
+#: family keyword (part of every match of the name; a space at an end is a word's end), label, name pattern,
+#: versions ('' = unversioned)
 FAMILIES = [
     ("apache", "apache", "apache", ["1 0", "1 1", "2 0"]),
-    ("mit", "mit", "(?:mit|expat|x11)", [""]),
-    ("affero", "agpl", "(?:gnu )?affero general public", ["1", "3", "3 0"]),
-    ("lesser", "lgpl", "(?:gnu )?(?:lesser|library) general public", ["2", "2 0", "2 1", "3", "3 0"]),
+    (" mit ", "mit", "mit", [""]),
+    (" expat ", "mit", "expat", [""]),
+    (" x11 ", "mit", "x11", [""]),
+    ("affero general public", "agpl", "(?:gnu )?affero general public", ["1", "3", "3 0"]),
+    ("lesser general public", "lgpl", "(?:gnu )?lesser general public", ["2", "2 0", "2 1", "3", "3 0"]),
+    ("library general public", "lgpl", "(?:gnu )?library general public", ["2", "2 0", "2 1", "3", "3 0"]),
     ("general public", "gpl", "(?:gnu )?general public", ["1", "2", "2 0", "3", "3 0"]),
     ("free documentation", "gfdl", "(?:gnu )?free documentation", ["1 1", "1 2", "1 3"]),
-    ("mozilla", "mpl", "mozilla public", ["1 0", "1 1", "2 0"]),
-    ("eclipse", "epl", "eclipse public", ["1 0", "2 0"]),
-    ("bsd", "bsd", "bsd(?: style)?", ["2 clause", "3 clause", "4 clause", "0 clause"]),
-    ("isc", "isc", "isc", [""]),
-    ("boost", "bsl", "boost software", ["1 0"]),
-    ("artistic", "artistic", "artistic", ["1 0", "2 0"]),
+    ("mozilla public", "mpl", "mozilla public", ["1 0", "1 1", "2 0"]),
+    ("eclipse public", "epl", "eclipse public", ["1 0", "2 0"]),
+    (" bsd ", "bsd", "bsd(?: style)?", ["2 clause", "3 clause", "4 clause", "0 clause"]),
+    (" isc ", "isc", "isc", [""]),
+    ("boost software", "bsl", "boost software", ["1 0"]),
+    (" artistic ", "artistic", "artistic", ["1 0", "2 0"]),
     ("zlib", "zlib", "zlib(?: libpng)?", [""]),
     ("unlicense", "unlicense", "unlicense", [""]),
-    ("python", "psf", "python software foundation", ["2", "2 0"]),
+    ("python software foundation", "psf", "python software foundation", ["2", "2 0"]),
     ("academic free", "afl", "academic free", ["2 0", "2 1", "3 0"]),
     ("open software", "osl", "open software", ["2 0", "2 1", "3 0"]),
     ("common development", "cddl", "common development and distribution", ["1 0", "1 1"]),
-    ("european union", "eupl", "european union public", ["1 0", "1 1", "1 2"]),
+    ("european union public", "eupl", "european union public", ["1 0", "1 1", "1 2"]),
     ("open database", "odbl", "open database", ["1 0"]),
     ("microsoft public", "ms-pl", "microsoft public", [""]),
-    ("what the", "wtfpl", "do what the fuck you want to public", ["2"]),
+    ("do what the fuck", "wtfpl", "do what the fuck you want to public", ["2"]),
     ("open font", "ofl", "(?:sil )?open font", ["1 0", "1 1"]),
 ]
 #: Phrasings around a name N and version V: (priority, pattern).
@@ -81,7 +85,7 @@ TEXTS = [
     ("copyright", "copyright", 1, "copyright (?:c )?[0-9]{4}"),
     ("copyright", "copyright", 2, "copyright (?:c )?[0-9]{4} [^ ]+ all rights reserved"),
     ("public domain", "public-domain", 3, "(?:released|dedicated|placed|is) (?:in|into|to) the public domain"),
-    ("cc0", "cc0", 3, "cc0(?: 1 0)?(?: universal)?"),
+    (" cc0 ", "cc0", 3, "cc0(?: 1 0)?(?: universal)?"),
     ("creative commons", "cc", 2, "creative commons"),
     ("warrant", "warranty", 1, "without warranty of any kind"),
 ]
@@ -97,16 +101,30 @@ def signature_rules() -> list[tuple[str, str, int, str]]:
     for mark in CC_MARKS:
         long = mark.replace("by", "attribution").replace("sa", "share ?alike").replace("nd", "no ?deriv[a-z]*") \
             .replace("nc", "non ?commercial")
-        rules += [("cc", f"cc-{mark.replace(' ', '-')}", 3, f"cc {mark}"),
+        rules += [(" cc by ", f"cc-{mark.replace(' ', '-')}", 3, f"cc {mark}"),
                   ("creative commons", f"cc-{mark.replace(' ', '-')}", 4, f"creative commons {long}")]
         for v in CC_VERSIONS:
             label = f"cc-{mark.replace(' ', '-')}-{v.replace(' ', '.')}"
-            rules += [("cc", label, 5, f"cc {mark} {v}"),
+            rules += [(" cc by ", label, 5, f"cc {mark} {v}"),
                       ("creative commons", label, 6, f"creative commons {long}(?: (?:international|unported))? {v}"),
-                      ("licenses", label, 5, f"creativecommons org licenses {mark} {v}")]
+                      ("creativecommons org licenses", label, 5, f"creativecommons org licenses {mark} {v}")]
     return [(k, label, p, f"(?<= )(?:{pattern})(?= )") for k, label, p, pattern in rules]
 
 
+def gate(keywords, lo):
+    """Whether one of the keywords, which are parts of the word string, stands in the lower-cased text ``lo``."""
+    found = F.lit(False)
+    for kw in sorted(set(keywords)):
+        here = F.lit(True)
+        for word in sorted(kw.split(), key=len, reverse=True):
+            here = here & F.contains(lo, F.lit(word))
+        if " " in kw:
+            start, end = f"(?:^|{GAP})" if kw[0] == " " else "", f"(?:{GAP}|$)" if kw[-1] == " " else ""
+            here = here & F.rlike(lo, F.lit(start + f"{GAP}+".join(kw.split()) + end))
+        found = found | here
+    return found
+
+
 def _spaces(expr: str) -> str:
     return f"(length({expr}) - length(replace({expr}, ' ', '')))"
 
@@ -134,11 +152,9 @@ def scan(docs: DataFrame, rules: list[tuple[str, str, int, str]] | None = None,
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("tx"))
     d = d.withColumn("n_words", F.regexp_count("tx", F.lit(WORD_ANY_CASE)).cast("long")) \
         .withColumn("lo", F.lower("tx"))
-    gate = F.lit(False)
-    for word in GATES:
-        gate = gate | F.contains("lo", F.lit(word))
+    gated = gate([*by_key, *(phrase for phrase, _ in PHRASES)], F.col("lo"))
     words = F.array_join(F.regexp_extract_all(ascii_lower(F.col("tx")), F.lit(WORD), F.lit(0)), " ")
-    d = d.withColumn("s", F.when(gate, F.concat(F.lit(" "), words, F.lit(" ")))).drop("lo", "tx")
+    d = d.withColumn("s", F.when(gated, F.concat(F.lit(" "), words, F.lit(" ")))).drop("lo", "tx")
     # base phrases: the pieces around a phrase give its places
     for i, (phrase, _) in enumerate(PHRASES):
         d = d.withColumn(f"b{i}", F.when(F.contains("s", F.lit(f" {phrase} ")),

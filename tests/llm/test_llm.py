@@ -189,6 +189,30 @@ def test_urls(spark):
     assert urls.judge(t.limit(0)).count() == 0
 
 
+def test_urls_far_from_a_seed(spark):
+    far = 14
+    rows = [(i, f"http://h{i}.net/", f"<a href='http://h{i + 1}.net/'>") for i in range(far)]
+    rows += [(far, f"http://h{far}.net/", "<a href='http://bad.com/'>"), (far + 1, "http://bad.com/de/1", "")]
+    # a ring, a trusted and a blocked host: the scores have walks of any length
+    ring = {"a": ["b"], "b": ["c", "good"], "c": ["a", "worse"], "good": ["a", "c"], "worse": []}
+    for i, (h, to) in enumerate(ring.items()):
+        path = {"good": "fr/", "worse": "de/"}.get(h, "")
+        rows.append((100 + i, f"http://{h}.com/{path}", " ".join(f"<a href='http://{o}.com/'>" for o in to)))
+    t = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = urls.judge(t).toPandas().set_index("page_id").verdict
+    assert all(got[i] == "block" for i in range(far + 2))
+    names = list(ring)
+    links = np.array([[float(b in ring[a]) for b in names] for a in names])
+    pairs = [(a, b, 1) for a in names for b in ring[a]]
+    scores = urls.propagate(spark.createDataFrame([("trust", "good", 1.0), ("distrust", "worse", 1.0)], "kind string, host string, score double"),
+                            spark.createDataFrame(pairs, "src string, dst string, n long")).toPandas()
+    for kind, flow, seed in (("trust", links, "good"), ("distrust", links.T, "worse")):
+        share = flow / np.maximum(flow.sum(axis=1, keepdims=True), 1)
+        want = np.linalg.solve(np.eye(5) - 0.85 * share.T, 0.15 * (np.array(names) == seed))
+        have = scores[scores.kind == kind].set_index("host").score.reindex(names).fillna(0)
+        assert np.abs(have.to_numpy() - want).sum() < 1e-9
+
+
 def test_licenses(spark, docs):
     import re
     rules = licenses.signature_rules()

@@ -177,6 +177,26 @@ def test_mixing(spark, docs):
         mixing.mix(docs, {"s0": 1})
 
 
+def test_mixing_keeps_to_the_target_weights(spark):
+    weights = {"a": 524.37, "b": 499.6, "c": 0.005, "d": 0.1}
+    names, total = list(weights), sum(weights.values())
+    whole = mixing.whole_weights(list(weights.values()))
+    starts, end, done = mixing.ranges(whole, names, [12_000, 9_000, 1, 1], 1000)
+    assert len(starts) > 20 and done[0] >= 12_000 and done[2] == 1
+    table = mixing.schedule(spark, whole, names, starts[:30], starts[30][0]).toPandas().sort_values("slot")
+    assert table.slot.tolist() == list(range(starts[30][0]))
+    for s, w in weights.items():
+        mine = (table._s == s).to_numpy().cumsum()
+        assert np.abs(mine - (table.slot.to_numpy() + 1) * w / total).max() < 1
+        assert table._n[table._s == s].tolist() == list(range(mine[-1]))
+    # a source of one document is no more frequent than its weight
+    docs = spark.createDataFrame([(i, "big") for i in range(40_000)] + [(-1, "one")], "doc_id long, source string")
+    got = mixing.mix(docs, {"big": 4000.0, "one": 0.5}, order=["doc_id"]).toPandas()
+    assert (got.source == "one").sum() == 1 and set(got.doc_id) == set(range(-1, 40_000))
+    with pytest.raises(ValueError):
+        mixing.mix(docs, {"big": 1, "one": 0})
+
+
 def test_urls(spark):
     rows = [(1, "http://a.org/x", '<a href="http://B.net/q">'), (2, "http://b.net/", '<a href=//c.net/ > <a href="https://bad.com/z">'),
             (3, "http://bad.com/de/1", ""), (4, "http://farm.net/x", "<a href='http://bad.com/'>"), (5, None, None),

@@ -335,6 +335,20 @@ def test_vectors(spark):
     assert (got.kept == (got.index == got.component_id)).all() and itq.near_vectors(t.limit(0)).count() == 0
 
 
+def test_vectors_with_a_common_direction(spark):
+    rng = np.random.default_rng(2)
+    common = rng.normal(size=32)
+    common *= np.sqrt(0.8) / np.linalg.norm(common)
+    rest = rng.normal(size=(500, 32)) * np.sqrt(0.2 / 32)
+    x = common + np.concatenate([rest, 0.7 * rest[:200] + np.sqrt(1 - 0.7 ** 2) * rng.normal(size=(200, 32)) * np.sqrt(0.2 / 32)])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.triu(unit @ unit.T >= 0.93, 1)
+    t = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = itq.near_vectors(t).toPandas().set_index("vec_id").n_links
+    degree = near.sum(axis=0) + near.sum(axis=1)
+    assert (got.reindex(range(len(x))).to_numpy() <= degree).all() and got.sum() >= 0.95 * degree.sum() > 200
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(spark, docs, k):
     rng = random.Random(9)

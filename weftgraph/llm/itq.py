@@ -5,14 +5,17 @@
 2. On a bounded sample per dimension (``SAMPLE_ROWS``) the data are centred,
    projected on their principal axes and rotated so that the signs of the
    coordinates lose as little as possible (iterative quantisation).  Every vector
-   gets the code of its signs (64 bits).
-3. A code is cut into four 16-bit parts, one table each.  A vector stands in a
+   gets the code of its signs (64 bits).  On the sample the recall of pairs right
+   at the cosine bound is measured; while it is under ``RECALL`` (vectors with a
+   strong common direction, which centring takes away), the code gets further
+   words of 64 bits from random directions, and the radius follows.
+3. Each word of a code is cut into four 16-bit parts, one table each.  A vector stands in a
    table under its part and under the 16 parts one bit away, so two vectors meet
    wherever a part differs in at most two bits: always up to 11 bits of the code,
    nearly always beyond.  Each pair counts in one place only: the first table in
    which it meets, under the smallest common key.
 4. First only codes are dealt to the keys, to find the vectors that meet a partner
-   within ``RADIUS`` bits; only these are then dealt with their vectors, and the
+   within the radius; only these are then dealt with their vectors, and the
    cosine of the original vectors (double precision) decides.  A key with many
    vectors is cut into chunks and the chunks meet in pairs, so no task holds a
    key.  A task puts out a count of links per vector and a spanning set of links,
@@ -26,6 +29,8 @@ other.  An empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +42,8 @@ from .components import components
 
 COSINE = 0.93
 BITS, TABLES, PART = 64, 4, 16
-RADIUS = 18  # of 64 bits; a pair at cosine 0.93 differs in 8 on average, with a deviation of 2.6
+RADIUS = 18  # of 64 bits at least; without a common direction a pair at cosine 0.93 differs in 8, with a deviation of 2.6
+RECALL, WORDS = 0.98, (1, 2, 4, 8, 16, 32)
 SAMPLE_ROWS, ITERATIONS, CHUNK = 8192, 50, 256
 POP16 = np.array([bin(i).count("1") for i in range(1 << PART)], np.uint8)
 
@@ -64,10 +70,60 @@ def fit_rotation(sample: np.ndarray, bits: int = BITS, iterations: int = ITERATI
     return mean, projection
 
 
+def with_words(model, words: int, seed: int = 7):
+    """The model with ``words`` words of 64 bits: those after the first from random directions, the same for any ``words``."""
+    mean, projection = model
+    rng = np.random.default_rng(seed)
+    return mean, np.hstack([projection, *(rng.normal(size=(len(mean), BITS)) for _ in range(words - 1))])
+
+
 def codes_of(unit: np.ndarray, model) -> np.ndarray:
+    """Codes as rows of 64-bit words."""
     mean, projection = model
     bits = ((unit - mean) @ projection >= 0).astype(np.uint8)
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).reshape(-1)
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).reshape(len(unit), projection.shape[1] // BITS)
+
+
+def pairs_at(sample: np.ndarray, mean: np.ndarray, cosine: float, seed: int = 11):
+    """Pairs of unit vectors at exactly ``cosine``: sampled ones and partners that share their part along the mean.
+
+    The partner differs in the direction of another sampled vector, as the table's own vectors differ.
+    """
+    length = np.linalg.norm(mean)
+    axis = mean / length if length > 1e-9 else np.zeros_like(mean)
+    along = (sample @ axis)[:, None] * axis
+    rest = sample - along
+    size = np.linalg.norm(rest, axis=1)
+    other = rest[np.random.default_rng(seed).permutation(len(rest))]
+    share = np.einsum("ij,ij->i", other, rest) / np.maximum(size ** 2, 1e-300)
+    off = other - share[:, None] * rest
+    off_size = np.linalg.norm(off, axis=1)
+    # within the part off the mean, the cosine that makes the whole one
+    inner = (cosine - (1 - size ** 2)) / np.maximum(size ** 2, 1e-300)
+    ok = (off_size > 1e-9) & (np.abs(inner) < 1)
+    i, inner = np.flatnonzero(ok), inner[ok]
+    turn = np.sqrt(1 - inner ** 2) * size[i] / off_size[i]
+    return sample[i], along[i] + inner[:, None] * rest[i] + turn[:, None] * off[i]
+
+
+def choose_words(sample: np.ndarray, model, cosine: float) -> tuple[int, int]:
+    """(words, radius in bits per word) with which ``RECALL`` of the pairs at ``cosine`` meet."""
+    x, y = pairs_at(sample, model[0], cosine)
+    if not len(x):
+        return WORDS[0], RADIUS
+    full = with_words(model, WORDS[-1])
+    gap = _gaps(codes_of(x, full) ^ codes_of(y, full))
+    for words in WORDS:
+        here = gap[:words * TABLES]
+        met, bits = (here <= 2).any(axis=0), here.sum(axis=0, dtype=np.int64)
+        # a little more than the distance that all but a hundredth of the pairs keep to
+        radius = max(RADIUS, int(np.ceil(np.quantile(bits, 0.995) / words)))
+        recall = (met & (bits <= radius * words)).mean()
+        if recall >= RECALL:
+            break
+    else:
+        warnings.warn(f"only {recall:.3f} of the pairs at cosine {cosine} meet with {words} words")
+    return words, radius
 
 
 def _rows(column) -> np.ndarray:
@@ -84,12 +140,18 @@ def _part(code: np.ndarray, t) -> np.ndarray:
     return ((code >> (np.asarray(t, np.uint64) * np.uint64(PART))) & np.uint64(0xFFFF)).astype(np.int64)
 
 
-def _meet_here(x: np.ndarray, y: np.ndarray, table: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Whether this is the one place where codes x and y count, and they are within the radius."""
-    gap = np.stack([POP16[_part(x ^ y, t)] for t in range(TABLES)])
-    near = gap.sum(axis=0) <= RADIUS
+def _gaps(diff: np.ndarray) -> np.ndarray:
+    """Bits set in each 16-bit part (one row per table) of code differences."""
+    return np.stack([POP16[_part(diff[:, t // TABLES], t % TABLES)] for t in range(diff.shape[1] * TABLES)])
+
+
+def _meet_here(x: np.ndarray, y: np.ndarray, table: np.ndarray, key: np.ndarray, radius: int) -> np.ndarray:
+    """Whether this is the one place where codes x and y count, and they are within the radius (bits per word)."""
+    gap = _gaps(x ^ y)
+    near = gap.sum(axis=0, dtype=np.int64) <= radius * x.shape[1]
     first = np.argmax(gap <= 2, axis=0)  # they meet in the table at hand, so there is one
-    a, b = _part(x, table), _part(y, table)
+    rows = np.arange(len(x))
+    a, b = _part(x[rows, table // TABLES], table % TABLES), _part(y[rows, table // TABLES], table % TABLES)
     d = a ^ b
     low = d & -d
     one = np.minimum(a, b)  # one bit apart: both parts are common keys
@@ -102,24 +164,27 @@ def _meet_here(x: np.ndarray, y: np.ndarray, table: np.ndarray, key: np.ndarray)
 
 def _columns(t: pa.Table):
     n = lambda c: t.column(c).to_numpy()
-    return n("g"), n("id"), n("code").view(np.uint64), n("tab").astype(np.int64), n("key"), n("own"), n("chunk"), n("lab")
+    code = t.column("code").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
+    return n("g"), n("id"), code, n("tab").astype(np.int64), n("key"), n("own"), n("chunk"), n("lab")
 
 
-def _find_partners(batches):
+def _find_partners(radius: int):
     """Keys and vectors that meet a partner there."""
-    for t in whole_groups(batches):
-        g, _, code, tab, key, own, chunk, lab = _columns(t)
-        mark = np.zeros(len(g), bool)
-        for i, j in pairs_in(g, own, chunk):
-            ok = (lab[i] == lab[j]) & (tab[i] == tab[j]) & (key[i] == key[j])
-            i, j = i[ok], j[ok]
-            ok = _meet_here(code[i], code[j], tab[i], key[i])
-            mark[i[ok]] = mark[j[ok]] = True
-        if mark.any():
-            yield from t.filter(pa.array(mark)).to_batches()
-
-
-def _link(cosine: float):
+    def run(batches):
+        for t in whole_groups(batches):
+            g, _, code, tab, key, own, chunk, lab = _columns(t)
+            mark = np.zeros(len(g), bool)
+            for i, j in pairs_in(g, own, chunk):
+                ok = (lab[i] == lab[j]) & (tab[i] == tab[j]) & (key[i] == key[j])
+                i, j = i[ok], j[ok]
+                ok = _meet_here(code[i], code[j], tab[i], key[i], radius)
+                mark[i[ok]] = mark[j[ok]] = True
+            if mark.any():
+                yield from t.filter(pa.array(mark)).to_batches()
+    return run
+
+
+def _link(cosine: float, radius: int):
     def run(batches):
         for t in whole_groups(batches):
             g, ids, code, tab, key, own, chunk, lab = _columns(t)
@@ -137,7 +202,7 @@ def _link(cosine: float):
             for i, j in pairs_in(g, own, chunk):
                 ok = (lab[i] == lab[j]) & (tab[i] == tab[j]) & (key[i] == key[j])
                 i, j = i[ok], j[ok]
-                ok = _meet_here(code[i], code[j], tab[i], key[i])
+                ok = _meet_here(code[i], code[j], tab[i], key[i], radius)
                 i, j = i[ok], j[ok]
                 for d, (where, unit) in vectors.items():
                     same = size[i] == d
@@ -185,41 +250,46 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample_rows: int =
                     .withColumn("lab", F.xxhash64("label", F.size("embedding"))), "vectors")
     # one bounded sample per dimension; the number of dimensions is that of the table's models
     dims = [r[0] for r in classes.select(F.size("embedding").alias("d")).distinct().collect()]
-    models = {}
+    models, words, radius = {}, WORDS[0], RADIUS
     for d in dims:
         of = classes.where(F.size("embedding") == d)
         rows = of.sample(False, min(1.0, 1.5 * sample_rows / max(1, of.count())), 5).limit(sample_rows) \
             .select("embedding").collect()
-        models[d] = fit_rotation(_unit(np.array([r[0] for r in rows], float).reshape(-1, d)) if rows
-                                 else np.zeros((0, d)))
+        unit = _unit(np.array([r[0] for r in rows], float).reshape(-1, d)) if rows else np.zeros((0, d))
+        models[d] = fit_rotation(unit)
+        needed = choose_words(unit, models[d], cosine)
+        words, radius = max(words, needed[0]), max(radius, needed[1])
+    models = {d: with_words(model, words) for d, model in models.items()}
 
     def code(batches):
         for batch in batches:
-            out = np.zeros(batch.num_rows, np.uint64)
+            out = np.zeros((batch.num_rows, words), np.uint64)
             e = batch.column(1)
             size = pa.compute.list_value_length(e).to_numpy(zero_copy_only=False)
             for d in np.unique(size):
                 rows = np.flatnonzero(size == d)
                 out[rows] = codes_of(_unit(_rows(e.take(pa.array(rows)))), models[int(d)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64)), batch.column(2)],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(
+                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * words), pa.array(out.view(np.int64).reshape(-1))),
+                batch.column(2)],
                                              ["id", "code", "lab"])
 
-    coded = stash(classes.select("id", "embedding", "lab").mapInArrow(code, "id long, code long, lab long"), "codes")
-    part = "shiftrightunsigned(code, 16 * tab) & 65535"
-    keyed = coded.select("id", "code", "lab", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("tab")) \
+    coded = stash(classes.select("id", "embedding", "lab").mapInArrow(code, "id long, code array<long>, lab long"), "codes")
+    part = f"shiftrightunsigned(code[int(tab div {TABLES})], {PART} * (tab % {TABLES})) & 65535"
+    keyed = coded.select("id", "code", "lab", F.explode(F.sequence(F.lit(0), F.lit(words * TABLES - 1))).alias("tab")) \
         .withColumn("key", F.explode(F.expr(
             f"concat(array({part}), transform(sequence(0, {PART - 1}), b -> ({part}) ^ shiftleft(1L, b)))"))) \
         .withColumn("k", F.xxhash64("lab", "tab", "key"))
     keyed = stash(keyed, "keys")
     cut = chunk_pairs(keyed, "k", "id", CHUNK).select("g", "id", "code", "tab", "key", "own", "chunk", "lab")
-    schema = "g long, id long, code long, tab int, key long, own boolean, chunk int, lab long"
+    schema = "g long, id long, code array<long>, tab int, key long, own boolean, chunk int, lab long"
     p = shuffle_partitions(spark)
-    found = stash(cut.repartition(p, "g").sortWithinPartitions("g").mapInArrow(_find_partners, schema), "partners")
+    found = stash(cut.repartition(p, "g").sortWithinPartitions("g").mapInArrow(_find_partners(radius), schema), "partners")
     linked = stash(
         found.join(classes.select("id", "copies", "embedding"), "id")
         .select("g", "id", "code", "tab", "key", "own", "chunk", "lab", "copies", "embedding")
         .repartition(p, "g").sortWithinPartitions("g")
-        .mapInArrow(_link(cosine), "id long, links long, other long"), "linked")
+        .mapInArrow(_link(cosine, radius), "id long, links long, other long"), "linked")
     counts = linked.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(linked.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     named = classes.select("label", "embedding", "id", "copies").join(counts, "id", "left") \

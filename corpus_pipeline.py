@@ -39,8 +39,8 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: sources at their target weights; small sources come again, no document is dropped."""
-    return mixing.mix(docs, temper=MIX_TEMPER).select(docs.columns)
+    """Operator 5: sources at their target weights; small sources come again, no document is dropped.  Rows are in the mix's order."""
+    return mixing.mix(docs, temper=MIX_TEMPER).orderBy("slot", "place").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -381,3 +381,12 @@ def test_pipeline_stages(spark, docs):
     kept = pipeline.minhash_dedup(spark, docs, "").toPandas()
     assert list(kept.columns) == docs.columns and not kept.doc_id.dropna().duplicated().any()
     assert kept.doc_id.isin([3]).any() and not kept.doc_id.isin([4, 5]).any()
+
+
+def test_pipeline_keeps_the_order_of_the_mix(spark, scratch):
+    import corpus_pipeline as pipeline
+    docs = spark.createDataFrame([(i, f"text {i}", "en", f"s{i % 7 % 3}", 1) for i in range(600)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    want = mixing.mix(docs, temper=pipeline.MIX_TEMPER).toPandas().sort_values(["slot", "place"]).doc_id.tolist()
+    got = pipeline.mix_sources(spark, docs, "")
+    assert got.columns == docs.columns and got.toPandas().doc_id.tolist() == want

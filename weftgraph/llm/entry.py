@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, counts, hyperminhash, itq, licenses, mixing, packing, quality, tokenfile, urls
+from . import (chat, collocations, counts, exactdedup, hyperminhash, itq, licenses, mixing, negatives, packing, quality,
+               tokenfile, urls)
 
 
 def queries() -> dict:
@@ -19,6 +20,9 @@ def queries() -> dict:
         "op8_license_scan": licenses.query,
         "op9_embedding_dedup": itq.query,
         "op10_minhash_dedup": hyperminhash.query,
+        "op11_hard_negatives": negatives.query,
+        "op12_exact_dedup": exactdedup.query,
+        "op13_collocations": collocations.query,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -28,4 +32,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_format": chat.ORACLE,
         "op3_quality_rules": quality.ORACLE,
         "op7_url_filter": urls.ORACLE,
+        "op11_hard_negatives": negatives.ORACLE,
+        "op12_exact_dedup": exactdedup.ORACLE,
+        "op13_collocations": collocations.ORACLE,
     }

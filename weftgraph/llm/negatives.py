@@ -35,7 +35,7 @@ SCALE, ANCHOR_STEP = 256, 100
 POSITIVES, NEGATIVES, LOW_PCT, HIGH_PCT = 5, 10, 30, 90
 REFERENCES, SAMPLE_ROWS, FIT_ROUNDS = 16, 8192, 8
 LABEL_BUCKETS, BLOCK_ROWS, SLICE_ANCHORS, MAX_BLOCKS = 16, 16_384, 65_536, 65_536
-TILE = 1 << 20  # bounds computed at once
+TILE = 1 << 16  # bounds computed at once, in a core's cache
 SLACK = 1e-6  # of the product of the norms; arc cosines are off by some 2e-8 at most
 INDEX = "vec_id long, label long, q binary, norm double, angles binary, cell int"
 
@@ -133,10 +133,24 @@ def bounds(theta_a, norm_a, low_theta, high_theta, low_norm, high_norm):
     return np.where(low < 0, low * large, low * small) - slack, np.where(high > 0, high * large, high * small) + slack
 
 
+def pair_bounds(theta_a, norm_a, theta_x, norm_x):
+    """The same for single rows, in fewer steps."""
+    least, least_sum = np.zeros((len(theta_a), len(theta_x))), np.zeros((len(theta_a), len(theta_x)))
+    work = np.empty_like(least)
+    for r in range(theta_a.shape[1]):
+        a, x = theta_a[:, r, None], theta_x[None, :, r]
+        np.maximum(least, np.abs(np.subtract(a, x, out=work), out=work), out=least)
+        np.maximum(least_sum, np.abs(np.subtract(np.pi - a, x, out=work), out=work), out=least_sum)
+    size = norm_a[:, None] * norm_x
+    slack = SLACK * size + 1e-6
+    high = np.cos(least, out=work) * size + slack
+    return np.cos(np.maximum(np.pi - least_sum, least)) * size - slack, high
+
+
 def inner(q: np.ndarray, a: np.ndarray) -> np.ndarray:
     """Exact integer inner products."""
     size = float(np.abs(q).max(initial=0)) * float(np.abs(a).max(initial=0)) * max(1, len(a))
-    if size < 2.0 ** 53:
+    if size < 2.0 ** 53:  # sums of integers that doubles hold
         return (q @ a).astype(np.int64)
     exact = [sum(int(x) * int(y) for x, y in zip(row, a)) for row in q]
     if any(abs(s) >= 1 << 63 for s in exact):
@@ -145,7 +159,9 @@ def inner(q: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def first(scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:n]
+    """Places of the n highest scores, ties by smaller id."""
+    at = np.flatnonzero(scores >= np.partition(scores, len(scores) - n)[len(scores) - n]) if len(scores) > n else np.arange(len(scores))
+    return at[np.lexsort((ids[at], -scores[at]))[:n]]
 
 
 def kth_largest(values: np.ndarray, k: int) -> float:
@@ -174,20 +190,26 @@ class Block:
             yield anchor["vec_id"], int(self.ids[at[i]]), int(scores[i])
 
     def negatives(self, anchor: dict, low, high):
-        other = np.flatnonzero(self.label != anchor["label"])
-        lo, hi = low[other], high[other]
-        for pid, p in zip(anchor["pids"], anchor["pscores"]):
-            floor, ceiling = LOW_PCT * p / 100, HIGH_PCT * p / 100
-            if ceiling < floor:
-                continue
-            meets = np.flatnonzero((hi >= floor - 1) & (lo <= ceiling + 1))
-            sure = lo[meets][(lo[meets] >= floor + 1) & (hi[meets] <= ceiling - 1)]
-            at = other[meets[hi[meets] >= kth_largest(sure, NEGATIVES)]]
-            scores = self.score(at, anchor["q"])
-            inside = np.array([LOW_PCT * p <= 100 * int(s) <= HIGH_PCT * p for s in scores], bool)
-            at, scores = at[inside], scores[inside]
-            for i in first(scores, self.ids[at], NEGATIVES):
-                yield anchor["vec_id"], pid, int(self.ids[at[i]]), p, int(scores[i])
+        # (positive, its score, lowest and highest score of its negatives)
+        windows = [(pid, p, -(-LOW_PCT * p // 100), HIGH_PCT * p // 100) for pid, p in zip(anchor["pids"], anchor["pscores"]) if p >= 0]
+        if not windows:
+            return
+        at = np.flatnonzero((self.label != anchor["label"]) & (high >= min(w[2] for w in windows))
+                            & (low <= max(w[3] for w in windows)))
+        lo, hi = low[at], high[at]
+        wanted = np.zeros(len(at), bool)
+        for _, _, least, most in windows:
+            meets = (hi >= least) & (lo <= most)
+            sure = lo[meets & (lo >= least) & (hi <= most)]
+            if len(sure) >= NEGATIVES:  # so many are inside for certain
+                meets &= hi >= kth_largest(sure, NEGATIVES)
+            wanted |= meets
+        at = at[wanted]
+        scores, ids = self.score(at, anchor["q"]), self.ids[at]
+        for pid, p, least, most in windows:
+            inside = np.flatnonzero((scores >= least) & (scores <= most))
+            for i in inside[first(scores[inside], ids[inside], NEGATIVES)]:
+                yield anchor["vec_id"], pid, int(ids[i]), p, int(scores[i])
 
 
 def _runs(batches, columns: int):
@@ -225,7 +247,7 @@ def meet(blocks: DataFrame, anchors: DataFrame, what: str, schema: str) -> DataF
             pids, pscores = part.column("pids").to_pylist(), part.column("pscores").to_pylist()
             step = max(1, TILE // len(block.ids))
             for i in range(0, len(ids), step):
-                low, high = bounds(theta[i:i + step], norm[i:i + step], block.theta, block.theta, block.norm, block.norm)
+                low, high = pair_bounds(theta[i:i + step], norm[i:i + step], block.theta, block.norm)
                 for j in range(i, min(i + step, len(ids))):
                     anchor = {"vec_id": ids[j], "label": labels[j], "q": qs[j], "pids": pids[j], "pscores": pscores[j]}
                     out.extend(getattr(block, what)(anchor, low[j - i], high[j - i]))
@@ -249,7 +271,8 @@ class Blocks:
         n, anchors = indexed.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % ANCHOR_STEP == 0)).first()
         self.size = max(BLOCK_ROWS, -(-n // (MAX_BLOCKS - LABEL_BUCKETS * REFERENCES)))
         self.slices = max(1, -(-anchors // SLICE_ANCHORS))
-        bucketed = indexed.withColumn("bucket", F.pmod(F.xxhash64("label"), F.lit(LABEL_BUCKETS)).cast("int"))
+        buckets = max(1, min(LABEL_BUCKETS, n // (REFERENCES * BLOCK_ROWS)))  # none too small to be worth a visit
+        bucketed = indexed.withColumn("bucket", F.pmod(F.xxhash64("label"), F.lit(buckets)).cast("int"))
         sizes = bucketed.groupBy("cell", "bucket").agg(F.ceil(F.count(F.lit(1)) / self.size).cast("int").alias("chunks"))
         numbered = sizes.withColumn("base", (F.sum("chunks").over(  # REFERENCES * LABEL_BUCKETS rows at most
             Window.orderBy("cell", "bucket")) - F.col("chunks")).cast("int"))
@@ -306,7 +329,7 @@ class Blocks:
                                 if p >= 0:
                                     go[j] |= (high[j] >= LOW_PCT * p / 100 - 1) & (low[j] <= HIGH_PCT * p / 100 + 1)
                     else:
-                        go = part.column("bucket").to_numpy()[:, None] == bucket[None, :]
+                        go = part.column("bucket").to_numpy()[:, None] == bucket
                     at, to = np.nonzero(go)
                     out = part.take(pa.array(at))
                     yield pa.RecordBatch.from_arrays([pa.array(block[to].astype(np.int32)), *out.columns],

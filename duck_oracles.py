@@ -8,7 +8,11 @@ table, the degree threshold is the smallest candidate that fits the cap
 
 from __future__ import annotations
 
-from weftgraph.plans.catalog import BAD_REQUESTS, DAY_REQUESTS, MESSY_MESSAGES, SMALL_CAP, TS_REQUESTS, WINDOW
+import hashlib
+import json
+
+from weftgraph.plans.catalog import (BAD_REQUESTS, BINNED_REQUESTS, DAY_REQUESTS, FAULTY, MESSY_MESSAGES, PATH_REQUESTS,
+                                     SMALL_CAP, TS_REQUESTS, WINDOW)
 
 INTERACTIONS = """
 ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
@@ -224,6 +228,43 @@ FROM judged r"""
     gexf_text = dr + """
 SELECT graph_id, '' AS source, '' AS target, CAST(id AS VARCHAR) AS node FROM kept
 UNION ALL SELECT graph_id, CAST(src AS VARCHAR), CAST(dst AS VARCHAR), '' FROM induced"""
+    # networks with an unreadable account id fail with the first of their errors, the others are whole
+    sizes = """
+n AS (SELECT graph_id, count(*) AS nodes FROM kept GROUP BY graph_id),
+e AS (SELECT graph_id, count(*) AS edges FROM induced GROUP BY graph_id)"""
+    bad_id = " OR ".join(f"(criteria_id = '{c}' AND platform = '{p}' AND {side} LIKE 'TW\\_%' ESCAPE '\\')" for c, p, side in FAULTY)
+    refused = ", ".join("('failed_{}', '{}')".format(hashlib.md5(json.dumps(r, separators=(",", ":")).encode()).hexdigest(), error)
+                        for r, error in zip(BAD_REQUESTS, ("unknown platform", "bad time range")))
+    isolated_sql = dr.rstrip() + "," + sizes + f""",
+faults AS (SELECT graph_id, min('bad account id: TW_x' || post_id[1:8]) AS error FROM selected WHERE {bad_id} GROUP BY graph_id),
+refused(graph_id, error) AS (VALUES {refused})
+SELECT r.graph_id, CASE WHEN f.error IS NULL THEN 'done' ELSE 'failed' END AS status, f.error,
+       CASE WHEN f.error IS NULL THEN coalesce(n.nodes, 0) ELSE 0 END AS nodes,
+       CASE WHEN f.error IS NULL THEN coalesce(e.edges, 0) ELSE 0 END AS edges
+FROM req r LEFT JOIN faults f ON f.graph_id = r.graph_id LEFT JOIN n ON n.graph_id = r.graph_id
+LEFT JOIN e ON e.graph_id = r.graph_id
+UNION ALL SELECT graph_id, 'failed', error, 0, 0 FROM refused"""
+    paths_sql = ("WITH" + INTERACTIONS + "," + _requests_cte(DAY_REQUESTS) + "," + _selection("day_range") + ","
+                 + PIPELINE.replace("{cap}", "15000") + "," + sizes + ",\nasked(path, i) AS (VALUES "
+                 + ", ".join(f"('{p['path']}', '{p['criteria_id']}_' || '{dict(twitter='TW', facebook='FB', instagram='IG')[p['platform']]}"
+                             f"_{p['from']}_{p['to']}')" for p in PATH_REQUESTS) + """)
+SELECT a.path, CAST(coalesce(n.nodes, 0) AS BIGINT) AS nodes, CAST(coalesce(e.edges, 0) AS BIGINT) AS edges
+FROM asked a LEFT JOIN n ON n.graph_id = a.i LEFT JOIN e ON e.graph_id = a.i""")
+    binned_sql = "WITH" + INTERACTIONS + "," + _requests_cte(BINNED_REQUESTS) + "," + _selection("timestamp_range").replace(
+        "JOIN req r", "JOIN (SELECT DISTINCT * FROM req) r") + """
+SELECT graph_id, count(*) AS documents, min(post_id) AS first_post FROM selected GROUP BY graph_id"""
+    # non-accounts end at the vertex of their name, if a non-account won it
+    linked = dr
+    for side, end in (("source", "src"), ("target", "dst")):
+        linked = linked.replace(f"{side}id AS {end}", f"""CASE WHEN {side}id <> 0 OR {side}type = '' THEN {side}id ELSE coalesce((
+    SELECT v.id FROM vertices v WHERE v.graph_id = resolved.graph_id AND v.id < 0
+      AND v.name IS NOT DISTINCT FROM resolved.{side}name), 0) END AS {end}""")
+    attributes = EDGE_COLS.replace("graph_id, src, dst, ", "")
+    merged_sql = dr + f"""
+SELECT graph_id, src, dst, {attributes}, weight FROM (
+  SELECT *, CAST(count(*) OVER (PARTITION BY graph_id, src, dst) AS DOUBLE) AS weight,
+         row_number() OVER (PARTITION BY graph_id, src, dst ORDER BY timestamp, post_id, typeedges, text, sourcename,
+                            targetname, sourcetype, targettype) AS rn FROM induced) WHERE rn = 1"""
     out = {
         "sel_day_range": dr + f"SELECT graph_id, {DOC_COLS} FROM selected",
         "sel_day_list": _with("day_list") + f"SELECT graph_id, {DOC_COLS} FROM selected",
@@ -291,6 +332,8 @@ UNION ALL SELECT graph_id, 4, CAST(1 AS BIGINT) FROM req""",
         "cells_timestamp_range": out["sel_timestamp_range"], "cells_extended_json": out["cells_explode"],
         "sel_document_store": store_sql, "resolve_signed_ids": signed_sql + "SELECT * FROM vertices",
         "written_nodes": out["gexf_nodes"], "written_edges": out["gexf_edges"], "written_gexf": gexf_text,
-        "requests_messy": messy_sql,
+        "requests_messy": messy_sql, "requests_status_isolated": isolated_sql, "written_paths": paths_sql,
+        "stream_completed": completed, "sel_binned_ranges": binned_sql,
+        "edges_linked": linked + f"SELECT {EDGE_COLS} FROM valid", "edges_merged": merged_sql,
     })
     return out

@@ -208,7 +208,7 @@ def test_c11_wide_rows_bad_json(spark):
 
 
 @pytest.mark.parametrize("selection", ["day_range", "day_list", "timestamp_range"])
-def test_pushdown_predicates_are_supersets(spark, selection, monkeypatch):
+def test_pushdown_predicates_are_supersets(spark, selection):
     from conftest import sf_dir
     from weftgraph.operators import select as sel
     from weftgraph.sources.fixtures import load_interactions
@@ -220,14 +220,13 @@ def test_pushdown_predicates_are_supersets(spark, selection, monkeypatch):
     norm = normalize_requests(requests_frame(spark, reqs), selection)
     exact = sorted(r["post_id"] + r["graph_id"] for r in
                    sel.select_documents(docs, norm, selection, require_target=False).collect())
-    for limit in (sel.MAX_DISJUNCTION, 0):  # the disjunction, then the hull
-        monkeypatch.setattr(sel, "MAX_DISJUNCTION", limit)
+    for boxes in (sel.boxes_of(reqs), sel.boxes_of(reqs, 1), sel.request_boxes(norm), sel.request_boxes(norm, 1)):
         for day_key in (False, True):
-            pushed = docs.where(sel.pushdown_predicate(reqs, selection, day_key))
+            pushed = docs.where(sel.pushdown_predicate(boxes, selection, day_key))
             got = sorted(r["post_id"] + r["graph_id"] for r in
                          sel.select_documents(pushed, norm, selection, require_target=False).collect())
             assert got == exact and len(exact) > 0
-    # requests as a DataFrame: their hull is pushed; bounds beyond the days of a calendar stay plain
+    # requests as a DataFrame; bounds beyond the days of a calendar stay plain
     far = [*reqs, req(-5 * 10 ** 14, 5 * 10 ** 14, crit="crit_1", platform=None)] if ts else reqs
     for some in (reqs, far):
         norm = normalize_requests(requests_frame(spark, some), selection)

@@ -66,17 +66,21 @@ def account_id(raw: Column, prefix: str = ID_PREFIX, on_bad: str = "fail") -> Co
     """E1 + E2: remove every ``prefix`` and read the rest as a long.
 
     ``on_bad="fail"`` stops the job on text that is not a 64-bit integer, as
-    the reference's ``toLong`` does; ``"drop"`` gives null, and the caller then
-    treats the endpoint as absent.
+    the reference's ``toLong`` does; ``"drop"`` and ``"report"`` give null: the
+    caller then treats the endpoint as absent, or puts ``bad_account_id`` in the row.
     """
     stripped = F.replace(raw, F.lit(prefix), F.lit(""))
     value = F.when(stripped.rlike(_ID_PATTERN), stripped.try_cast("bigint"))
     if on_bad == "fail":
-        return F.when(value.isNotNull(), value).otherwise(
-            F.raise_error(F.concat(F.lit("bad account id: "), F.coalesce(raw, F.lit("null")))))
+        return F.when(value.isNotNull(), value).otherwise(F.raise_error(bad_account_id(raw)))
     return value
 
 
+def bad_account_id(raw: Column) -> Column:
+    """What is said of an account id that cannot be read."""
+    return F.concat(F.lit("bad account id: "), F.coalesce(raw, F.lit("null")))
+
+
 def xml_safe(text: Column) -> Column:
     """Remove characters XML 1.0 cannot carry (``to_xml`` fails the task on them)."""
     return F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]", "")

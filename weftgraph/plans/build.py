@@ -24,16 +24,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import ACCOUNT_TYPE, DEFAULT_CAP, ID_PREFIX, day_of_millis
 from weftgraph.operators import cap as capops
 from weftgraph.operators import graph as graphops
 from weftgraph.operators import nodes as nodeops
-from weftgraph.operators.resolve import edges_of, resolve_endpoints
-from weftgraph.operators.select import pushdown_predicate, select_documents, time_bounds
-from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from weftgraph.operators import resolve as resolveops
+from weftgraph.operators.resolve import edges_of, faults_of, resolve_endpoints
+from weftgraph.operators.select import boxes_of, pushdown_predicate, request_boxes, select_documents
+from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 from weftgraph.session import materialize, materialize_together
 from weftgraph.sources.requests import (DAY_LIST, DAY_RANGE, MS_PER_DAY, SELECTIONS, TIMESTAMP_RANGE, day_count,
                                         normalize_requests, requests_frame, unique_requests)
@@ -60,6 +61,7 @@ class GraphBuild:
     kept: DataFrame
     nodes: DataFrame
     out_edges: DataFrame
+    faults: DataFrame | None = None
     params: dict = field(default_factory=dict)
     tables: list = field(default_factory=list)
 
@@ -86,13 +88,34 @@ def _request_bound(requests: Sequence[Mapping] | None, selection: str) -> int |
         return None
 
 
+ON_BAD = ("fail", "drop", "report")
+
+
+def _without_faults(resolved: DataFrame, keep: str, tables: list, n_graphs: int,
+                    max_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """The interactions of the networks without a faulty document, and the others with their errors (None: no faults).
+
+    The faulty documents are counted by the job that writes the interactions, so
+    a build without any costs nothing more; else one row per network is anti-joined.
+    """
+    seen = Observation()
+    counted = resolved.observe(seen, F.count("error").alias("faulty")) if keep == "table" else resolved
+    interactions = materialize(counted, keep, "interactions", tables)
+    if keep == "table" and not seen.get["faulty"]:
+        return interactions.drop("error"), None
+    faults = materialize(faults_of(interactions), keep, "faults", tables)
+    lost = size_checked_broadcast(faults.select("graph_id"), n_graphs, max_rows)
+    return interactions.drop("error").join(lost, "graph_id", "left_anti"), faults
+
+
 def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection: str = DAY_RANGE,
                 source_kind: str = "flat", cap: int = DEFAULT_CAP, cap_mode: str = capops.INDUCED,
                 account_type: str = ACCOUNT_TYPE, id_prefix: str = ID_PREFIX,
                 require_target: bool = True, on_bad: str = "fail", strict_requests: bool = True,
                 materialize_mode: str = "table", rebalance: bool = False,
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                ignore_platform: bool = False) -> GraphBuild:
+                ignore_platform: bool = False, link_non_accounts: bool = False,
+                merge_parallel_edges: bool = False) -> GraphBuild:
     """Build the networks of all ``requests`` from ``source`` in one plan.
 
     ``source`` is the flat interaction table (``source_kind="flat"``) or the
@@ -106,7 +129,18 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     input split; ``rebalance=True`` adds Spark's ``rebalance`` hint (one shuffle
     of the selected rows, AQE-sized output files) for very selective requests
     over very large inputs, where those files would be tiny and many.
+
+    ``link_non_accounts`` (off: such edges end nowhere and go) ties the edges of non-accounts
+    to their vertices; ``merge_parallel_edges`` (off: each interaction is an edge) gives
+    one output edge per pair of vertices, with their number as ``weight``.  Degrees and
+    the cap count every interaction either way.
+
+    ``on_bad``: a document that cannot be read stops the build (``"fail"``), is
+    left out (``"drop"``), or takes its networks out of the build, which goes on with
+    the others (``"report"``): ``faults`` names them with their errors, null when there are none.
     """
+    if on_bad not in ON_BAD:
+        raise ValueError(f"on_bad must be one of {ON_BAD}")
     if selection not in SELECTIONS:
         raise ValueError(f"selection must be one of {SELECTIONS}")
     if cap_mode not in capops.CAP_MODES:
@@ -122,32 +156,35 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
         request_list = unique_requests(requests, selection)
         req_df = requests_frame(spark, request_list)
     normalized = normalize_requests(req_df, selection, strict_requests, dedupe=request_list is None)
-    hull = None
+    # What prunes the documents: literal boxes that cover the requests, at most MAX_BOXES whatever their number.
+    boxes = None
     if request_list is not None:
-        n_graphs = len(request_list)
-    else:  # their number and the time they span, in one row
-        n_graphs, *hull = normalized.agg(F.count(F.lit(1)), F.min(F.least("from_ms", "to_ms")),
-                                         F.max(F.greatest("from_ms", "to_ms"))).first()
-    request_rows = _request_bound(request_list, selection) if request_list is not None else None
+        n_graphs, request_rows = len(request_list), _request_bound(request_list, selection)
+        if strict_requests:
+            boxes = boxes_of(request_list)
+    else:
+        n_graphs, request_rows = normalized.agg(F.count(F.lit(1)), F.sum(
+            F.floor(F.abs(F.col("to_ms") - F.col("from_ms")) / MS_PER_DAY) + 2)).first()
+        boxes = request_boxes(normalized)
+        # A table of requests prunes partitions at run time too; Spark looks for a selective filter to do so.
+        normalized = normalized.where(F.col("criteria_id") >= "")
 
     # R2 + P1: the documents of every request.
     if source_kind == "flat":
         src = source
         if "day" not in src.columns:  # a document store without day keys: S4 on the timestamp
-            if request_list and strict_requests:  # bounds that reach the scan; two days' margin for any time zone
-                src = src.where(F.col("timestamp").between(min(int(r["from"]) for r in request_list) - 2 * MS_PER_DAY,
-                                                           max(int(r["to"]) for r in request_list) + 2 * MS_PER_DAY))
+            if boxes:  # bounds that reach the scan; two days' margin for any time zone
+                src = src.where(F.col("timestamp").between(min(b.lo for b in boxes) - 2 * MS_PER_DAY,
+                                                           max(b.hi for b in boxes) + 2 * MS_PER_DAY))
             src = src.withColumn("day", day_of_millis(F.col("timestamp")))
-        if request_list is not None and strict_requests:
-            src = src.where(pushdown_predicate(request_list, selection, "day" in source.columns))
-        elif hull and None not in hull:
-            src = src.where(time_bounds(*hull, selection, "day" in source.columns))
+        if boxes is not None:
+            src = src.where(pushdown_predicate(boxes, selection, "day" in source.columns, request_list is None))
         documents = select_documents(src, normalized, selection, require_target, request_rows, max_broadcast_rows,
                                      n_graphs)
     elif source_kind == "wide":
         src = source
-        if request_list and strict_requests:
-            src = src.where(key_range_predicate(request_list, selection))
+        if boxes is not None:
+            src = src.where(key_range_predicate(boxes, selection))
         documents = select_from_wide_rows(src, normalized, selection, require_target, on_bad, request_rows,
                                           max_broadcast_rows, n_graphs)
     else:
@@ -159,7 +196,11 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     resolved = resolve_endpoints(documents, account_type, id_prefix, on_bad)
     if rebalance:
         resolved = resolved.hint("rebalance")
-    interactions = materialize(resolved, keep, "interactions", tables)
+    faults = None
+    if on_bad == "report":
+        interactions, faults = _without_faults(resolved, keep, tables, n_graphs, max_broadcast_rows)
+    else:
+        interactions = materialize(resolved, keep, "interactions", tables)
 
     # Vertices, from the distinct endpoints: one scan of the interactions, written once (node-sized after
     # map-side combining).  The vertex table and the losing ids come from that table in one job.
@@ -178,7 +219,10 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     # Valid edges, read by degrees, the cap and the output.  With a broadcast
     # anti join they are a filter over the interactions table, as cheap to re-derive
     # as to re-read; behind a shuffle join they are written as a table.
-    edges = edges_of(interactions)
+    linked = interactions
+    if link_non_accounts:
+        linked = materialize(resolveops.link_non_accounts(interactions, vertices, max_broadcast_rows), keep, "linked", tables)
+    edges = edges_of(linked)
     valid = graphops.valid_edges(edges, losers, losers_rows, max_rows=max_broadcast_rows)
     if not losers_broadcast:
         valid = materialize(valid, keep, "valid_edges", tables)
@@ -201,12 +245,14 @@ def build_graph(spark: SparkSession, source: DataFrame, requests, *, selection:
     else:
         out_nodes = capops.edge_complete_nodes(kept, valid)
         out_edges = valid
+    if merge_parallel_edges:
+        out_edges = graphops.merge_parallel_edges(out_edges)
 
     return GraphBuild(
         requests=normalized, documents=documents, interactions=interactions, endpoints=endpoints,
         by_name=by_name, numbered=numbered, vertices=vertices, losers=losers, edges=edges,
         valid_edges=valid, degrees=degs, nodes_deg=nodes_deg, thresholds=thresholds, kept=kept,
-        nodes=out_nodes, out_edges=out_edges,
+        nodes=out_nodes, out_edges=out_edges, faults=faults,
         params=dict(selection=selection, cap=cap, cap_mode=cap_mode, n_graphs=n_graphs), tables=tables,
     )
 

@@ -254,6 +254,93 @@ def q_requests_status(spark, sf_dir):
                     F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents")))
 
 
+def _batch_out(spark: SparkSession, name: str) -> str:
+    from weftgraph.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _string_requests(spark: SparkSession, requests) -> DataFrame:
+    from weftgraph.sources.requests import REQUEST_SCHEMA
+    names = [f.name for f in REQUEST_SCHEMA.fields]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in requests], REQUEST_SCHEMA)
+
+
+def _published(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    return spark.read.schema("graph_id string").parquet(f"{out}/{kind}").groupBy("graph_id") \
+        .agg(F.count(F.lit(1)).alias(kind))
+
+
+#: Networks with a document whose account id cannot be read: (criteria, platform code, side).
+FAULTY = (("crit_1", "IG", "source"), ("crit_2", "FB", "target"))
+
+
+def q_requests_status_isolated(spark, sf_dir):
+    """R6 through ``process_batch``: networks with unreadable documents fail with their first error, the others are published."""
+    from weftgraph.streaming import process_batch
+    docs = load_interactions(spark, sf_dir)
+    for criteria, code, side in FAULTY:
+        hit = (F.col("criteria_id") == criteria) & (F.col("platform") == code) & F.col(side).startswith("TW_")
+        docs = docs.withColumn(side, F.when(hit, F.concat(F.lit("TW_x"), F.substring("post_id", 1, 8))).otherwise(F.col(side)))
+    out = _batch_out(spark, "isolated")
+    process_batch(spark, _string_requests(spark, DAY_REQUESTS + BAD_REQUESTS), docs, out)
+    status = spark.read.schema("status string, error string, raw string, graph_id string").json(f"{out}/status")
+    found = status
+    for kind in ("nodes", "edges"):
+        found = found.join(_published(spark, out, kind), "graph_id", "left")
+    return found.select("graph_id", "status", "error", *[F.coalesce(k, F.lit(0)).cast("bigint").alias(k) for k in ("nodes", "edges")])
+
+
+#: Every network at a path of its own, the first one also at a second.
+PATH_REQUESTS = [{**r, "path": f"p{i}"} for i, r in enumerate(DAY_REQUESTS)] + [{**DAY_REQUESTS[0], "path": "again/p0"}]
+
+
+def q_written_paths(spark, sf_dir):
+    """N5 through ``process_batch``: the node and edge lines of the document at each request's own path."""
+    from weftgraph.streaming import process_batch
+    out = _batch_out(spark, "paths")
+    process_batch(spark, _string_requests(spark, PATH_REQUESTS), load_interactions(spark, sf_dir), out)
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{out}/gexf") \
+        .select("value", F.regexp_extract("_metadata.file_path", "/gexf/(.*)/graph_id=", 1).alias("path"))
+    return lines.groupBy("path").agg(
+        F.count_if(F.trim("value").startswith("<node id")).alias("nodes"),
+        F.count_if(F.trim("value").startswith("<edge id")).alias("edges"))
+
+
+def q_stream_completed(spark, sf_dir):
+    """R4 + R5: messages in a folder, the stream over them, and its completion records beside what was published."""
+    from weftgraph.streaming import run_stream
+    out = _batch_out(spark, "stream")
+    _request_lines(spark, DAY_REQUESTS + BAD_REQUESTS).coalesce(1).write.text(f"{out}/messages")
+    stream = run_stream(spark, f"{out}/messages", load_interactions(spark, sf_dir), f"{out}/out", f"{out}/offsets")
+    stream.awaitTermination()
+    done = spark.read.schema("value string, graph_id string").text(f"{out}/out/completed").withColumnRenamed("value", "message")
+    for kind in ("nodes", "edges"):
+        done = done.join(_published(spark, f"{out}/out", kind), "graph_id", "left")
+    return done.select("graph_id", "message", *[F.coalesce(k, F.lit(0)).cast("bigint").alias(k) for k in ("nodes", "edges")])
+
+
+#: Many overlapping ranges of two criteria, of lengths from an hour to three weeks.
+BINNED_REQUESTS = [
+    _req(None if i % 3 else "twitter", CRITERIA[i % 2],
+         (str(int(MONTH[0]) + (i * 7_919_000) % 2_000_000_000), str(int(MONTH[0]) + (i * 7_919_000) % 2_000_000_000 + length)))
+    for i, length in enumerate([3_600_000, 30_000_000, 200_000_000, 1_800_000_000] * 60)]
+
+
+def q_sel_binned_ranges(spark, sf_dir):
+    """R2 for many ranges of one criteria: documents per request through time bins."""
+    b = build_graph(spark, load_interactions(spark, sf_dir), BINNED_REQUESTS, selection=TIMESTAMP_RANGE, require_target=False,
+                    materialize_mode="none")
+    return b.documents.groupBy("graph_id").agg(F.count(F.lit(1)).alias("documents"), F.min("post_id").alias("first_post"))
+
+
+def _optional(attr: str, **kw):
+    def run(spark, sf_dir):
+        found = getattr(build_graph(spark, load_interactions(spark, sf_dir), DAY_REQUESTS, **kw), attr)
+        return found.select("graph_id", "src", "dst", "typeedges", "text", "sourcename", "targetname", "timestamp", "post_id",
+                            "sourcetype", "targettype", *(["weight"] if "weight" in found.columns else []))
+    return run
+
+
 def q_docs_filtered(spark, sf_dir):
     """One criteria and an inclusive millisecond range over the whole document table."""
     from weftgraph.sources.documents import filter_documents
@@ -323,4 +410,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "docs_filtered": q_docs_filtered,
         "degree_filter_k3": q_degree_filter,
         "gexf_sections": q_gexf_sections,
+        "requests_status_isolated": q_requests_status_isolated,
+        "written_paths": q_written_paths,
+        "stream_completed": q_stream_completed,
+        "sel_binned_ranges": q_sel_binned_ranges,
+        "edges_linked": _optional("valid_edges", link_non_accounts=True),
+        "edges_merged": _optional("out_edges", merge_parallel_edges=True),
     }

@@ -170,7 +170,10 @@ def _nullable(schema):
 
 
 def remove_paths(spark: SparkSession, paths: list) -> None:
-    """Delete materialised tables (recursively) through the Hadoop file system."""
+    """Delete materialised tables (recursively) through the Hadoop file system.
+
+    Only for tables that nothing reads again: on Spark Connect they stay, to the checkpoint folder's lifecycle.
+    """
     try:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()

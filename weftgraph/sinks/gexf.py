@@ -16,10 +16,11 @@ import glob
 import os
 import shutil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftgraph.functions.expressions import xml_safe
+from weftgraph.plans.broadcast import size_checked_broadcast
 
 # Fixed GEXF text around the node and edge lines.
 GEXF_NAMESPACE = "http://www.gexf.net/1.2draft"
@@ -40,13 +41,14 @@ def gexf_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def gexf_edges(edges: DataFrame) -> DataFrame:
-    """Output edge rows: the eight attributes, weight 1.0, directed."""
+    """Output edge rows: the eight attributes, directed; weight 1.0 each, or that of merged edges."""
+    weight = F.col("weight") if "weight" in edges.columns else F.lit(EDGE_WEIGHT)
     return edges.select(
         "graph_id", F.col("src").cast("string").alias("source"), F.col("dst").cast("string").alias("target"),
         F.col("typeedges").alias("edges_kind"), "post_id", "text", "timestamp",
         F.col("sourcename").alias("source_name"), F.col("targetname").alias("target_name"),
         F.col("src").alias("source_id"), F.col("dst").alias("target_id"),
-        F.lit(EDGE_WEIGHT).alias("weight"), F.lit(EDGE_TYPE).alias("edge_type"))
+        weight.alias("weight"), F.lit(EDGE_TYPE).alias("edge_type"))
 
 
 def _escape(text: Column) -> Column:
@@ -83,7 +85,7 @@ EDGE_STRUCT_FIELDS = ["typeedges", "text", "sourcename", "targetname", "timestam
 
 def gexf_lines(graph_ids: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """All lines of every network with their order keys; edge lines are rendered later."""
-    edge_struct = F.struct(*[F.col(c) for c in EDGE_STRUCT_FIELDS])
+    edge_struct = F.struct(*[F.col(c) for c in EDGE_STRUCT_FIELDS + [c for c in ("weight",) if c in edges.columns]])
     no_edge = F.lit(None).cast(edges.select(edge_struct.alias("e")).schema["e"].dataType)
     null_l, null_s = F.lit(None).cast("bigint"), F.lit(None).cast("string")
 
@@ -109,11 +111,12 @@ def gexf_lines(graph_ids: DataFrame, nodes: DataFrame, edges: DataFrame) -> Data
     return out
 
 
-def _edge_xml(edge_id: Column) -> Column:
+def _edge_xml(edge_id: Column, weighted: bool) -> Column:
     e = F.col("e")
+    weight = e["weight"] if weighted else F.lit(EDGE_WEIGHT)
     return F.to_xml(F.struct(
         edge_id.cast("string").alias("_id"), e["src"].cast("string").alias("_source"),
-        e["dst"].cast("string").alias("_target"), F.lit(EDGE_WEIGHT).alias("_weight"),
+        e["dst"].cast("string").alias("_target"), weight.alias("_weight"),
         _attvalues([("edges_kind", xml_safe(e["typeedges"])), ("post_id", xml_safe(e["post_id"])),
                     ("text", xml_safe(e["text"])), ("timestamp", e["timestamp"]),
                     ("source_name", xml_safe(e["sourcename"])), ("target_name", xml_safe(e["targetname"])),
@@ -121,37 +124,60 @@ def _edge_xml(edge_id: Column) -> Column:
         {"rowTag": "edge"})
 
 
-def ordered_lines(graph_ids: DataFrame, nodes: DataFrame, edges: DataFrame, partitions: int | None = None) -> DataFrame:
+def read_back_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """Written node rows (N6) as ``(graph_id, id, name, type)``."""
+    rows = spark.read.schema("id string, label string, nodes_type string, graph_id string").parquet(path)
+    return rows.select("graph_id", F.col("id").cast("bigint").alias("id"), F.col("label").alias("name"),
+                       F.col("nodes_type").alias("type"))
+
+
+def read_back_edges(spark: SparkSession, path: str) -> DataFrame:
+    """Written edge rows (N6) with the columns that GEXF lines need."""
+    rows = spark.read.schema("edges_kind string, post_id string, text string, timestamp long, source_name string, "
+                             "target_name string, source_id long, target_id long, weight double, graph_id string").parquet(path)
+    return rows.select("graph_id", F.col("source_id").alias("src"), F.col("target_id").alias("dst"),
+                       F.col("edges_kind").alias("typeedges"), "post_id", "text", "timestamp",
+                       F.col("source_name").alias("sourcename"), F.col("target_name").alias("targetname"), "weight")
+
+
+def ordered_lines(graph_ids: DataFrame, nodes: DataFrame, edges: DataFrame, partitions: int | None = None,
+                  routes: DataFrame | None = None) -> DataFrame:
     """Lines range-partitioned and sorted by ``(graph_id, section, keys)``, edges numbered.
 
+    ``routes`` (graph_id, route) gives each network its lines once per route, with the route as a column.
+
     An edge's id is a digest of its ends, time and post, and its number among
     the edges that have the same: it depends on the network alone, not on the
     partitions or on other networks.  Such edges lie in one range partition,
     already sorted, so the numbering needs no further shuffle.
     """
-    lines = gexf_lines(graph_ids, nodes, edges)
-    order = ["graph_id", "section", "k1", "k2", "k3", "k4"]
+    lines, keys = gexf_lines(graph_ids, nodes, edges), ["graph_id"]
+    if routes is not None:
+        lines, keys = lines.join(size_checked_broadcast(routes, count_if_unknown=True), "graph_id"), ["route", "graph_id"]
+    order = [*keys, "section", "k1", "k2", "k3", "k4"]
     spark = nodes.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = lines.repartitionByRange(n, *order).sortWithinPartitions(*order, "e", "line")
     nth = F.row_number().over(Window.partitionBy(*order).orderBy("e", "line"))
     digest = F.md5(F.to_json(F.struct("k1", "k2", "k3", "k4")))
     numbered = ranged.withColumn("n", nth).withColumn(
-        "line", F.when(F.col("section") == SECTION_EDGES, _edge_xml(F.concat_ws("-", digest, "n")))
+        "line", F.when(F.col("section") == SECTION_EDGES, _edge_xml(F.concat_ws("-", digest, "n"), "weight" in edges.columns))
         .otherwise(F.col("line")))
-    return numbered.select("graph_id", "line")
+    return numbered.select(*keys, "line")
 
 
 def write_gexf(graph_ids: DataFrame, nodes: DataFrame, edges: DataFrame, path: str,
-               partitions: int | None = None) -> None:
+               partitions: int | None = None, routes: DataFrame | None = None) -> None:
     """Write every network as ordered GEXF parts under ``path/graph_id=<id>/``.
 
+    With ``routes`` under ``path/route=<route>/graph_id=<id>/``, all of them by one write.
+
     Written with dynamic partition overwrite, so rewriting a network (a replayed
     request) replaces only its own folder.
     """
-    (ordered_lines(graph_ids, nodes, edges, partitions)
+    (ordered_lines(graph_ids, nodes, edges, partitions, routes)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("graph_id").text(path))
+     .partitionBy(*(["route"] if routes is not None else []), "graph_id").text(path))
 
 
 # Characters Spark escapes as %XX in partition directory names.

@@ -147,23 +147,20 @@ def request_days(normalized: DataFrame, selection: str) -> DataFrame:
 
 
 def request_sides(normalized: DataFrame, selection: str, request_rows: int | None, n_requests: int | None,
-                  max_rows: int) -> tuple[DataFrame, list[tuple[str, str, str]]]:
-    """The request side of a selection by days, and how its columns meet ``day``: (operator, "day", column).
+                  max_rows: int) -> tuple[DataFrame, list[tuple[str, str, str]], int | None]:
+    """The request side of a selection by days, how its columns meet ``day`` ((operator, "day", column)), and its rows.
 
     While the requested days are proven few (``request_rows``), one row per
     request and day is broadcast and meets ``day`` by equality.  Beyond that
-    there is one row per request with the first and last day; it is broadcast
-    when the requests themselves are few, else it is joined by sort-merge.
+    there is one row per request with the first and last day, to be cut into bins.
     """
     if request_rows is not None and request_rows <= max_rows:
-        return F.broadcast(request_days(normalized, selection)), [("=", "day", "day")]
+        return F.broadcast(request_days(normalized, selection)), [("=", "day", "day")], request_rows
     last = F.to_date("end_day", "yyyyMMdd")
     if selection == DAY_RANGE:
         last = F.date_sub(last, 1)
     rows = normalized.withColumn("last_day", F.date_format(last, "yyyyMMdd"))
-    n = rows.count() if n_requests is None else n_requests
-    side = F.broadcast(rows) if n <= max_rows else rows.hint("merge")
-    return side, [(">=", "day", "start_day"), ("<=", "day", "last_day")]
+    return rows, [(">=", "day", "start_day"), ("<=", "day", "last_day")], n_requests
 
 
 def day_count(selection: str, from_ms: int, to_ms: int) -> int:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.functions.expressions import ROW_KEY_SEPARATOR, day_of_millis, row_key
-from weftgraph.operators.select import any_of, range_predicates
+from weftgraph.operators.select import BINS, Box, any_of, in_day_bins
 from weftgraph.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, size_checked_broadcast
 from weftgraph.sources.requests import DAY_LIST, DAY_RANGE, TIMESTAMP_RANGE, request_sides
 
@@ -32,6 +32,7 @@ DOCUMENT_SCHEMA = T.StructType([
     T.StructField("post_id", T.StringType()),
 ])
 CORRUPT = "_corrupt_record"
+ERROR_CHARS = 200  # of a malformed document, in its error
 # Greedy: a separator inside a criteria id stays in it.
 _KEY_REGEX = r"(?s)^(.*)_\|_(.*)_\|_(.*)$"
 # A 64-bit integer as extended JSON writes it; inside a JSON string its quotes would be escaped.
@@ -65,17 +66,20 @@ def scan_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
                 & (rows["row_key"] >= rq["_lo"]) & (rows["row_key"] < rq["_hi"]))
         return rows.join(rq, cond).drop("_crit", "_code", "_lo", "_hi")
     if selection in (DAY_LIST, TIMESTAMP_RANGE):
-        side, meets = request_sides(normalized_requests, selection, request_rows, n_requests, max_rows)
+        side, meets, n_side = request_sides(normalized_requests, selection, request_rows, n_requests, max_rows)
         rd = side.select("graph_id", F.col("criteria_id").alias("_crit"), F.col("code").alias("_code"),
                          F.col("from_ms").alias("_from"), F.col("to_ms").alias("_to"),
                          *[F.col(c).alias(f"_{c}") for _, _, c in meets])
+        rows, rd = in_day_bins(rows, rd, meets, n_side, max_rows)
         same_platform = rows["platform"] == rd["_code"]
         if selection == TIMESTAMP_RANGE:
             same_platform = rd["_code"].isNull() | same_platform
         cond = (rows["criteria_id"] == rd["_crit"]) & same_platform
         for op, of_row, of_request in meets:
             cond = cond & F.expr(f"{of_row} {op} _{of_request}")
-        joined = rows.join(rd, cond).drop("_crit", "_code", *[f"_{c}" for _, _, c in meets])
+        if BINS[0] in rd.columns:
+            cond = cond & (rows["_level"] == rd["_rlevel"]) & (rows["_bin"] == rd["_rbin"])
+        joined = rows.join(rd, cond).drop("_crit", "_code", *[f"_{c}" for _, _, c in meets], *BINS, "_level", "_bin")
         return joined if selection == TIMESTAMP_RANGE else joined.drop("_from", "_to")
     raise ValueError(f"unknown selection {selection!r}")
 
@@ -91,8 +95,9 @@ def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
 
     ``on_bad="fail"`` stops the job on a malformed document (FAILFAST), as the
     reference's parser does; ``"drop"`` parses permissively and leaves out the
-    documents that do not parse.  Integers may be plain or in the extended form
-    ``{"$numberLong": "…"}``.
+    documents that do not parse; ``"report"`` keeps them, with what is wrong in a
+    column ``error`` (null for the others).  Integers may be plain or in the
+    extended form ``{"$numberLong": "…"}``.
     """
     text = F.col("value")
     cells = cells.withColumn("value", F.when(F.contains(text, F.lit('"$number')),
@@ -104,11 +109,19 @@ def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
         schema = T.StructType(DOCUMENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
         parsed = F.from_json(F.col("value"), schema,
                              {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-        out = cells.withColumn("_doc", parsed).where(F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull())
-    others = [c for c in cells.columns if c not in ("qualifier", "value")]
+        out = cells.withColumn("_doc", parsed)
+        fine = F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull()
+        out = out.withColumn("error", F.when(~fine, F.concat(F.lit("malformed document: "), F.substring(
+            F.coalesce("value", F.lit("null")), 1, ERROR_CHARS)))) if on_bad == "report" else out.where(fine)
+    others = [c for c in out.columns if c not in ("qualifier", "value", "_doc")]
     return out.select(*others, *[F.col(f"_doc.{f.name}").alias(f.name) for f in DOCUMENT_SCHEMA.fields])
 
 
+def _or_faulty(docs: DataFrame, condition):
+    """A document that did not parse stays with every request that reads its row."""
+    return condition | F.col("error").isNotNull() if "error" in docs.columns else condition
+
+
 def select_from_wide_rows(wide: DataFrame, normalized_requests: DataFrame, selection: str,
                           require_target: bool = True, on_bad: str = "fail",
                           request_rows: int | None = None,
@@ -117,33 +130,31 @@ def select_from_wide_rows(wide: DataFrame, normalized_requests: DataFrame, selec
     rows = scan_rows(wide, normalized_requests, selection, request_rows, max_rows, n_requests)
     docs = parse_documents(explode_cells(rows), on_bad)
     if selection == TIMESTAMP_RANGE:
-        docs = docs.where(F.col("timestamp").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+        docs = docs.where(_or_faulty(docs, F.col("timestamp").between(F.col("_from"), F.col("_to")))).drop("_from", "_to")
     if require_target:
-        docs = docs.where(F.col("target").isNotNull())
+        docs = docs.where(_or_faulty(docs, F.col("target").isNotNull()))
     return docs.drop("row_key", "chunk")
 
 
-def key_range_predicate(requests: list[dict], selection: str):
+def key_range_predicate(boxes: list[Box], selection: str):
     """Literal ``row_key`` ranges covering the requests.
 
     ``[start_key, stop_key)`` for ``day_range`` (the reference's scan), the
     inclusive ``[start_key, end_key]`` otherwise (a superset of the day keys);
-    a request without a platform covers all keys of its criteria.  With very
-    many criteria it is the range from the first to the last of them.  On a
+    a request without a platform covers all keys of its criteria, as a box of
+    several criteria or platforms does from its first to its last criteria.  On a
     table sorted by key, Parquet min/max statistics then skip every row group
     outside the ranges.  Day keys are foldable expressions evaluated in the
     session time zone, like the keys themselves.
     """
     key = F.col("row_key")
 
-    def covered(criteria, code, lo, hi):
-        if code is None:
-            return key.startswith(criteria + ROW_KEY_SEPARATOR)
-        first, last = (row_key(F.lit(criteria), F.lit(code), day_of_millis(F.lit(ms))) for ms in (lo, hi))
+    def covered(box):
+        if box.first_key != box.last_key:
+            return (key >= box.first_key) & ((key < box.last_key) | key.startswith(box.last_key))
+        if None in box.codes or len(box.codes) > 1:
+            return key.startswith(box.first_key)
+        first, last = (row_key(F.lit(box.first), F.lit(next(iter(box.codes))), day_of_millis(F.lit(ms))) for ms in (box.lo, box.hi))
         return (key >= first) & ((key < last) if selection == DAY_RANGE else (key <= last))
 
-    found = range_predicates(requests, covered)
-    if found is not None:
-        return any_of(found)
-    criteria = sorted({str(r["criteria_id"]) + ROW_KEY_SEPARATOR for r in requests}, key=lambda c: c.encode())
-    return (key >= criteria[0]) & ((key < criteria[-1]) | key.startswith(criteria[-1]))
+    return any_of([covered(b) for b in boxes])

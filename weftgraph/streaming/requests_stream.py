@@ -2,10 +2,9 @@
 
 Request messages (JSON lines, one object per line) arrive as files in a
 folder.  Structured Streaming reads them; each micro-batch's requests are
-built together in one plan (``foreachBatch``).  Every output is written with
-dynamic partition overwrite keyed by ``graph_id``, so a batch replayed after a
-failure rewrites the same folders instead of adding rows: the sink is
-idempotent, and the stream's checkpoint records which batches are done.
+built together in one plan (``foreachBatch``), whatever their number.  All outputs of a batch are
+staged and published together (``sinks.publish``), keyed by ``graph_id``: a batch that fails before its
+commit leaves the earlier outputs alone, one that is replayed after it is only published.
 
 Per request the batch writes:
 
@@ -15,9 +14,10 @@ Per request the batch writes:
 * ``<out>/completed``: R5, the request with ``step = "analysis_network"``, as JSON;
 * ``<out>/status``: R6, ``(graph_id, status, error, raw)``, one row per message; a
   message that cannot be read (no JSON, unknown platform, bad bounds) fails alone
-  under an id of its own, with its text in ``raw``.  When a build fails, its
-  requests are built again in halves, so that only the networks whose documents
-  are at fault fail.
+  under an id of its own, with its text in ``raw``.  A network with a faulty document
+  fails alone too, with the first of its errors: the build carries errors in its rows and goes on
+  with the other networks.  What concerns all of them (a missing column, a store that cannot be
+  read) fails the batch as a whole, after one build.  A network that fails loses its completion record.
 """
 
 from __future__ import annotations
@@ -29,15 +29,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weftgraph.functions.expressions import COMPLETED_STEP
 from weftgraph.plans.build import build_graph
-from weftgraph.sinks.gexf import write_gexf
-from weftgraph.sinks.tables import write_table, write_tables
+from weftgraph.sinks.publish import Stage, finish
 from weftgraph.sources.requests import REQUEST_SCHEMA, decode_requests, normalize_requests
 
 STATUS_OK = "done"
 STATUS_FAILED = "failed"
-# Requests of one micro-batch handed to the planner as literals (partition and
-# row-group pruning on the documents); a larger batch stays a DataFrame.
-MAX_LITERAL_REQUESTS = 10_000
 
 
 def completion_records(requests: DataFrame) -> DataFrame:
@@ -78,74 +74,68 @@ def request_folder(path: str, out: str) -> str:
     return path.rstrip("/") if "://" in path or path.startswith("/") else f"{out}/gexf/{path.strip('/')}".rstrip("/")
 
 
-def _write_documents(batch, build, out: str) -> None:
-    """One GEXF document per request, path by path."""
-    if isinstance(batch, list):
-        batch = build.requests.sparkSession.createDataFrame(
-            [(r["path"], r["graph_id"]) for r in batch], "path string, graph_id string")
-    paths = [r["path"] for r in batch.select("path").distinct().collect()]
-    for path in paths:
-        ids = batch.where(F.col("path") == path).select("graph_id").distinct()
-        nodes, edges = build.nodes, build.out_edges
-        if len(paths) > 1:
-            nodes, edges = (f.join(ids, "graph_id", "left_semi") for f in (nodes, edges))
-        write_gexf(ids, nodes, edges, request_folder(path, out))
+def _routes(good: DataFrame) -> DataFrame:
+    """(graph_id, path, route): where the documents of the networks go; a route is the short name of a path."""
+    return good.select("graph_id", "path", F.md5("path").alias("route")).distinct()
 
 
-def _build_each(spark: SparkSession, source: DataFrame, batch, out: str, errors: dict, **build_kw) -> None:
-    """Build and write the networks of ``batch``; on failure in halves, down to the requests at fault (``errors``)."""
-    build = None
+def _build_and_stage(stage: Stage, source: DataFrame, good: DataFrame, out: str, build_kw: dict) -> tuple[DataFrame, dict]:
+    """Build the networks of ``good`` and stage them; returns ``good`` with each request's error, and the folders of the routes."""
+    spark = good.sparkSession
+    build, folders = None, {}
     try:
-        build = build_graph(spark, source, batch, **build_kw)
-        ids = build.requests.select("graph_id")
-        write_tables(build.nodes, build.out_edges, out, graph_ids=ids)
-        _write_documents(batch, build, out)
-        return
+        build = build_graph(spark, source, good.drop("raw"), **{"on_bad": "report", **build_kw})
+        told = good.withColumn("error", F.lit(None).cast("string"))
+        if build.faults is not None:  # one row per network at most
+            told = good.join(spark.createDataFrame(build.faults.collect(), "graph_id string, error string"), "graph_id", "left")
+        stage.write_graphs(build.nodes, build.out_edges)
+        routes = _routes(told.where(F.col("error").isNull()))
+        folders = {r["route"]: request_folder(r["path"], out) for r in routes.select("route", "path").distinct().toLocalIterator()}
+        stage.write_documents(routes.select("graph_id", "route"), folders.items())
+        return told, folders
     except Exception as exc:  # noqa: BLE001 - R6: report the failure, keep the stream going
-        message = f"{type(exc).__name__}: {exc}"
+        stage.clear()
+        return good.withColumn("error", F.lit(f"{type(exc).__name__}: {exc}")), {}
     finally:
         if build is not None:
             build.release()
-    networks = sorted({r["graph_id"] for r in batch}) if isinstance(batch, list) else []
-    if len(networks) > 1:
-        first = set(networks[:len(networks) // 2])
-        for half in ([r for r in batch if r["graph_id"] in first], [r for r in batch if r["graph_id"] not in first]):
-            _build_each(spark, source, half, out, errors, **build_kw)
-    else:
-        errors[networks[0] if networks else None] = message
 
 
 def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, out: str, batch_id: int = 0,
                   **build_kw) -> None:
-    """Build and write the networks of one batch of requests (all strings)."""
+    """Build the networks of one batch of requests (all strings) and publish what it gives.
+
+    A batch of an earlier run that was committed but not published is published
+    first; if it is this one (same id and messages), nothing is left to do.
+    """
     if "raw" not in requests.columns:
         requests = requests.withColumn("raw", F.to_json(F.struct(*[f.name for f in REQUEST_SCHEMA.fields])))
     checked = check_requests(requests, build_kw.get("selection", "day_range"),
                              build_kw.get("ignore_platform", False)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        n, n_good, digest = checked.agg(F.count(F.lit(1)), F.count_if(F.col("error").isNull()),
+                                        F.bit_xor(F.xxhash64("graph_id", "path", "raw"))).first()
+        batch = {"id": batch_id, "messages": n, "digest": digest}
+        if batch in finish(spark, out):
+            return
+        stage = Stage(spark, out, batch_id)
+        stage.clear()
         good = checked.where(F.col("error").isNull()).select(*[f.name for f in REQUEST_SCHEMA.fields], "graph_id", "raw")
         status = checked.where(F.col("error").isNotNull()).select(
             "graph_id", F.lit(STATUS_FAILED).alias("status"), "error", "raw")
-        n_good = good.count()
+        completed, built, failed, folders = None, [], [], {}
         if n_good:
-            errors: dict = {}
-            # Requests are query parameters, not data: a bounded batch of them becomes
-            # literal filters that prune the document scan (a request table alone
-            # does not trigger dynamic partition pruning).
-            few = n_good <= MAX_LITERAL_REQUESTS
-            _build_each(spark, source, [r.asDict() for r in good.drop("raw").collect()] if few else good.drop("raw"),
-                        out, errors, **build_kw)
-            failures = spark.createDataFrame(list(errors.items()), "graph_id string, error string")
-            if None in errors:  # a batch too large to be taken apart fails as a whole
-                told = good.withColumn("error", F.lit(errors[None]))
-            else:
-                told = good.join(failures, "graph_id", "left")
+            told, folders = _build_and_stage(stage, source, good, out, build_kw)
             # every request gets its record, also where several (with other paths) share a network
-            write_table(completion_records(told.where(F.col("error").isNull())), f"{out}/completed", "text")
+            completed = completion_records(told.where(F.col("error").isNull()))
             status = status.unionByName(told.select(
                 "graph_id", F.when(F.col("error").isNull(), F.lit(STATUS_OK)).otherwise(F.lit(STATUS_FAILED))
                 .alias("status"), "error", "raw"))
-        write_table(status.withColumn("batch_id", F.lit(batch_id)), f"{out}/status", "json")
+            for row in told.select("graph_id", "error").distinct().toLocalIterator():
+                (built if row["error"] is None else failed).append(row["graph_id"])
+        stage.write_records(completed, status.withColumn("batch_id", F.lit(batch_id)))
+        stage.commit(batch, built, failed, folders)
+        stage.publish()
     finally:
         checked.unpersist()
 

@@ -3,8 +3,8 @@
 1. Every text becomes the set of its word shingles (64-bit hashes).  One hash per
    shingle picks a bucket; a bucket keeps of its smallest hash only the leading
    zero count and ``MANTISSA`` mantissa bits (16-bit registers).
-2. Texts with the same set form a class at once (128-bit fingerprint); only the
-   smallest document of a class goes on.
+2. Texts with the same set form a class at once (128-bit fingerprint).  The class is the node of everything
+   that follows; the text of its smallest document stands for it.
 3. Empty buckets borrow from the next full one, and ``BANDS`` bands of ``ROWS``
    registers each are joined: documents that share a band are candidates.
 4. Candidates are estimated from the registers: the share of equal registers,
@@ -23,9 +23,10 @@
 
 A null or empty text, or one without words, has an empty set, links with nothing
 and is its own component.  A row with a null doc_id links with nothing
-(component null, kept).  Repeated rows are each returned; rows that share a
-doc_id are one node.  An empty table gives an empty result.  Extra columns are
-ignored.
+(component null, kept).  Repeated rows are each returned.  Rows that share a
+doc_id keep the links of each of their texts; with ``link_ids`` (as in the query) such rows
+belong together, so that a doc_id has one component, without it each text is judged alone.  An empty table
+gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -110,7 +111,7 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, f1, f2 (fingerprint of the set), regs (null for an empty set)."""
+    """doc_id, text_hash, n_shingles, f1, f2 (fingerprint of the set), regs (null for an empty set)."""
     def sign(batches):
         for batch in batches:
             n, f1, f2, regs = [], [], [], []
@@ -121,11 +122,24 @@ def signatures(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "tex
                 f2.append(int(np.add.reduce(mix(s ^ STEP)).view(np.int64)) if len(s) else 0)
                 regs.append(registers(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                 pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "regs"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
+                 pa.array(regs, pa.binary())], ["doc_id", "text_hash", "n_shingles", "f1", "f2", "regs"])
 
+    return keyed(docs, doc_id, text).select("doc_id", "text", "text_hash") \
+        .mapInArrow(sign, "doc_id long, text_hash long, n_shingles long, f1 long, f2 long, regs binary")
+
+
+def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text, text_hash: a document's key is its doc_id and the hash of its text."""
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
-        .mapInArrow(sign, "doc_id long, n_shingles long, f1 long, f2 long, regs binary")
+        .withColumn("text_hash", F.xxhash64("text"))
+
+
+def single_texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """doc_id, text_hash, text of ``docs``, each once; only the rows of doc_ids that come more than once (``shared``) are compared."""
+    alone = docs.join(shared, "doc_id", "left_anti").select("doc_id", "text_hash", "text")
+    return alone.unionByName(docs.join(shared, "doc_id", "left_semi").select("doc_id", "text_hash", "text")
+                             .dropDuplicates(["doc_id", "text_hash"]))
 
 
 def _bands(batches):
@@ -231,17 +245,17 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.clip((same - COLLISION) / (1 - COLLISION), 0, 1), used
 
 
-def verified(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= threshold * union."""
+def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The pairs of classes (a, b) whose sets have 100 * intersection >= threshold * union."""
     t = threshold / 100
 
     def likely(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.stack([np.frombuffer(r.as_py(), np.uint16) for r in batch.column(i)]) for i in (2, 3))
+                a, b = (np.stack([np.frombuffer(r.as_py(), np.uint16) for r in batch.column(i)]) for i in (6, 7))
                 j, used = estimate(a, b)
                 ok = j >= t - SIGMAS * np.sqrt(t * (1 - t) / np.maximum(used, 1))
-                yield batch.select([0, 1]).filter(pa.array(ok))
+                yield batch.select(range(6)).filter(pa.array(ok))
 
     def check(batches):
         known: dict[int, np.ndarray] = {}
@@ -261,32 +275,52 @@ def verified(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, k: int, thresho
                 ok.append(100 * both >= threshold * (len(sa) + len(sb) - both))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    regs = sigs.select("doc_id", "regs")
-    near = pairs.join(regs.select(F.col("doc_id").alias("a"), F.col("regs").alias("ra")), "a") \
-        .join(regs.select(F.col("doc_id").alias("b"), F.col("regs").alias("rb")), "b") \
-        .select("a", "b", "ra", "rb").mapInArrow(likely, "a long, b long")
+    def side(x):
+        return classes.select(F.col("node").alias(x), F.col("doc_id").alias(f"d{x}"), F.col("text_hash").alias(f"h{x}"),
+                              F.col("regs").alias(f"r{x}"))
+
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "da", "ha", "db", "hb", "ra", "rb") \
+        .mapInArrow(likely, "a long, b long, da long, ha long, db long, hb long")
     near = stash(near, "estimated")
-    return near.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a") \
-        .join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b") \
+
+    def text(x):
+        return texts.select(F.col("doc_id").alias(f"d{x}"), F.col("text_hash").alias(f"h{x}"), F.col("text").alias(f"t{x}"))
+
+    return near.join(text("a"), ["da", "ha"]).join(text("b"), ["db", "hb"]) \
         .select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
+def id_links(some: DataFrame, shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of classes (a, b) that hold texts of one doc_id, each with the doc_id's smallest class."""
+    named = some.join(shared, "doc_id", "left_semi").select("doc_id", "f1", "f2").distinct() \
+        .join(classes.select("f1", "f2", "node"), ["f1", "f2"]).select("doc_id", "node")
+    least = named.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return named.join(least, "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id of the group), kept (doc_id = component_id)."""
+                    text: str = "text", link_ids: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id of the group), kept (doc_id = component_id), text_hash, stays.
+
+    ``stays``: the row has the doc_id and text that stand for its group (or links
+    with nothing), so one text of each group stays even where doc_ids repeat.
+    """
     prepare_workers(docs.sparkSession)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = keyed(docs, doc_id, text)
     sigs = stash(signatures(docs, k), "signatures")
-    # classes of equal sets; their smallest document stands for them
+    # classes of equal sets; the text of their smallest document stands for them
     some = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = stash(some.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.any_value("regs").alias("regs")), "classes")
-    reps = stash(classes.select(F.col("rep").alias("doc_id"), "regs").dropDuplicates(["doc_id"]), "representatives")
-    bands = stash(reps.mapInArrow(_bands, "doc long, key long"), "bands")
+    classes = stash(some.groupBy("f1", "f2").agg(
+        F.min("doc_id").alias("doc_id"), F.min_by("text_hash", "doc_id").alias("text_hash"), F.any_value("regs").alias("regs"))
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
+    shared = stash(some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "shared_ids")
+    texts = docs if shared.isEmpty() else single_texts(docs, shared)
+    bands = stash(classes.select("node", "regs").mapInArrow(_bands, "doc long, key long"), "bands")
     hubs = bands.groupBy("key").agg(F.min("doc").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = stash(bands.join(hubs, "key"), "members")
     # round 1: every member with its buckets' hubs
     first = stash(members.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-    links = stash(verified(first, reps, docs, k, threshold), "links")
+    links = stash(verified(first, classes, texts, k, threshold), "links")
     # round 2: within buckets, whatever the first links have not joined
     joined = components(links)
     placed = members.select("key", "doc").join(joined.select(F.col("node").alias("doc"), "component"), "doc", "left") \
@@ -295,7 +329,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
     split = stash(placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("_n"))
                   .where("lo < hi").select("key", "_n"), "split")
     open_ = chunk_pairs(placed, "key", "doc", BLOCK_ROWS, split)
-    small = stash(reps.mapInArrow(_nibbles, "doc long, nibs binary"), "sketches")
+    small = stash(classes.select("node", "regs").mapInArrow(_nibbles, "doc long, nibs binary"), "sketches")
     tasks = shuffle_partitions(docs.sparkSession)
     likely = stash(open_.join(small, "doc").select("g", "doc", "c", "own", "chunk", "nibs")
                    .repartition(tasks, "g").sortWithinPartitions("g")
@@ -303,22 +337,28 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: int = THRESHOL
     families = components(likely.where("doc is null").select("a", "b")) \
         .select(F.col("node").alias("c"), F.col("component").alias("family"))
     whole = likely.where("doc is not null").select("doc", F.col("a").alias("c")).dropDuplicates(["doc"]) \
-        .join(small, "doc").join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").dropDuplicates(["doc"]) \
-        .join(families, "c")
-    more = chunk_pairs(stash(whole, "families"), "family", "doc", VERIFY_ROWS) \
+        .join(small, "doc").join(classes.select(F.col("node").alias("doc"), "doc_id", "text_hash"), "doc") \
+        .join(texts.select("doc_id", "text_hash", "text"), ["doc_id", "text_hash"]).join(families, "c")
+    more = chunk_pairs(stash(whole.select("family", "doc", "c", "nibs", "text"), "families"), "family", "doc", VERIFY_ROWS) \
         .select("g", "doc", "c", "own", "chunk", "nibs", "text").repartition(tasks, "g").sortWithinPartitions("g") \
         .mapInArrow(_block_links(threshold, k, True), "a long, b long")
-    final = components(links.unionByName(more))
-    # a class belongs where its representative does
-    named = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("f1", "f2", F.coalesce("component", "rep").alias("found"))
-    # a doc_id on several rows (with different texts) is one node: its smallest component counts
+    edges = links.unionByName(more)
+    if link_ids and not shared.isEmpty():
+        edges = edges.unionByName(id_links(some, shared, classes))
+    final = stash(components(edges), "components")
+    # the smallest document of a component's classes stands for all of them
+    placed = final.join(classes.select("node", "doc_id", "text_hash"), "node")
+    stand = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min_by("text_hash", "doc_id").alias("stays_hash"))
+    named = classes.select("f1", "f2", "node", F.col("doc_id").alias("least"), F.col("text_hash").alias("least_hash")) \
+        .join(final, "node", "left").join(stand, "component", "left") \
+        .select("f1", "f2", F.coalesce("component_id", "least").alias("found"), F.coalesce("stays_hash", "least_hash").alias("found_hash"))
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     return sigs.join(named, ["f1", "f2"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.least("found", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")) \
-        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))) \
-        .withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+        "doc_id", "n_shingles", F.when(linked, F.col("found")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash",
+        (~linked | ((F.col("found") == F.col("doc_id")) & (F.col("found_hash") == F.col("text_hash")))).alias("stays")) \
+        .select("doc_id", "n_shingles", "component_id",
+                (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"), "text_hash", "stays")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_hash", "stays")

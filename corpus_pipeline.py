@@ -29,13 +29,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: one document of each group of near-duplicates stays, once."""
-    found = stash(hyperminhash.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY_PCT).select("doc_id", "kept")
-                  .where("doc_id is not null"), "verdicts")
-    gone = found.where("not kept").select("doc_id").distinct()
-    repeated = found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    return docs.join(gone.unionByName(repeated), "doc_id", "left_anti").select(docs.columns).unionByName(
-        docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    """Operator 10: one document of each group of near-duplicates stays, once.
+
+    Each row is judged by its own text, also where doc_ids repeat.
+    """
+    found = stash(hyperminhash.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY_PCT, link_ids=False)
+                  .where("doc_id is not null").select("doc_id", "text_hash", "stays"), "verdicts")
+    gone = found.where("not stays").select("doc_id", "text_hash").distinct()
+    repeated = found.where("stays").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rows = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.struct("*").alias("row"))
+    return rows.join(gone.unionByName(repeated), ["doc_id", "text_hash"], "left_anti").select("row.*").unionByName(
+        rows.join(repeated, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

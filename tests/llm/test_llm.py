@@ -120,6 +120,25 @@ def test_range_coder(n):
             rangecoder.decode_blocks(bytes(broken))
 
 
+def test_range_coder_takes_any_ids():
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([rng.integers(0, 1 << 32, 3000), np.repeat([0, (1 << 32) - 1, 70_000], 2000)]).astype("<u4")
+    rng.shuffle(ids)
+    assert np.array_equal(rangecoder.decode_blocks(b"".join(rangecoder.encode_blocks(ids, 700))), ids)
+
+
+def test_range_coder_beats_order_zero_and_zlib():
+    import duckdb
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' ORDER BY doc_id").fetchall()
+    enc = chunks.encoder(chunks.tokenizer_path(tokenfile.TOKENIZER))
+    ids = np.frombuffer(b"".join(enc.encode(t or "") + b"\1\0\0\0" for t, in texts), "<u4")
+    coded = b"".join(rangecoder.encode_blocks(ids))
+    p = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert 8 * len(coded) < -(p * np.log2(p)).sum() * len(ids)
+    assert len(coded) < 0.9 * len(zlib.compress(ids.astype("<u2").tobytes(), 6))
+    assert np.array_equal(rangecoder.decode_blocks(coded), ids)
+
+
 def test_token_file(spark, docs, scratch):
     path = chunks.tokenizer_path(tokenfile.TOKENIZER)
     tokenfile.write_tokens(docs, f"{scratch}/t", path, parts=3)

@@ -1,10 +1,11 @@
 """Adaptive context-mixing range coder for token ids, many blocks at a time.
 
-A block of at most ``BLOCK`` ids is coded on its own: models start anew and the
-header has a checksum of the ids.  Blocks are lanes of numpy arrays: each step
+A segment of ids is a table and blocks of ``BLOCK`` ids.  The table names the ids of the segment by rank of
+their frequency, with their counts, and primes the models.  A block is coded on its own: models start anew
+from the table and the header has a checksum of the ids.  Blocks are lanes of numpy arrays: each step
 codes one id of every lane, so the interpreter's cost is shared by all lanes.
 
-Model of an id x after the ids p1 (last) and p2 (the one before):
+Model of an id x after the ids p1 (last) and p2 (the one before), all as ranks:
 
 * an order-2 table proposes the id last seen after (p2, p1), an order-1 table the
   one last seen after p1, each with a confidence from 0 to 3;
@@ -12,11 +13,12 @@ Model of an id x after the ids p1 (last) and p2 (the one before):
   are a mix of two adaptive estimates, one seen by order-2 confidence and
   agreement of the two proposals, one by order-1 confidence and the last symbol;
   the weight moves towards the estimate that did better;
-* ids that neither proposed are coded by an order-0 model: four adaptive 16-way
-  symbols from the high to the low four bits, each in the context of the higher.
+* ids that neither proposed are coded by order 0 in two symbols: the rank's class (its number of bits),
+  an adaptive estimate in the context of the last such class, primed by the segment; then the id within its class, by
+  the segment's counts of such ids.
 
 The range coder keeps 48 bits and puts out 16-bit words; carries go into words
-already put out.  A block has two streams, symbols and order-0 ids.
+already put out.  A block has two streams, symbols and order-0 ids.  Ids may be any unsigned 32-bit integers.
 """
 
 from __future__ import annotations
@@ -26,17 +28,19 @@ import zlib
 
 import numpy as np
 
-BLOCK, LANES = 1024, 2048
-MAGIC = b"WTK1"
+BLOCK, LANES = 2048, 1024
+MAGIC = b"WTK2"
 HEAD = struct.Struct("<4sIIIII")  # magic, ids, order-0 ids, words of the symbols, words of the ids, crc32
 BITS, TOP, RENORM = np.uint64(12), np.uint64(48), np.uint64(1 << 32)
 W16, MASK48, LOW32 = np.uint64(16), np.uint64((1 << 48) - 1), np.uint64((1 << 32) - 1)
 SLOTS = 2048
-#: Targets of the adaptive 3-way and 16-way cumulative frequencies (out of 4096).
+#: Targets of the adaptive 3-way cumulative frequencies (out of 4096).
 GOAL_A, GOAL_B = np.array([4032, 32, 32], np.int32), np.array([4064, 4064, 64], np.int32)
-_i = np.arange(16)
-GOAL16 = np.where(_i[None, :] >= _i[:, None], 4096 - (15 - _i)[None, :] * 4, (_i[None, :] + 1) * 4).astype(np.int16)
-CONTEXTS = 1 + 16 + 256 + 512
+#: Classes of ranks, the bits of their frequencies (of 4096), and of those of the ids in a class.
+CLASSES, CLASS_BITS, ID_BITS = 24, 12, 22
+_i = np.arange(CLASSES)
+GOAL_CLASS = np.where(_i[None, :] >= _i[:, None], 4096 - (CLASSES - 1 - _i)[None, :] * 4, (_i[None, :] + 1) * 4).astype(np.int16)
+TABLE = struct.Struct("<4sII")  # magic, ids, bytes of the packed table
 
 
 class Writer:
@@ -47,11 +51,11 @@ class Writer:
         self.pos = np.zeros(lanes, np.int64)
         self.lane = np.arange(lanes)
 
-    def put(self, cum, freq) -> None:
+    def put(self, cum, freq, bits=BITS) -> None:
         """Code one symbol in each of the first ``len(cum)`` lanes."""
         n = len(cum)
         low, rng = self.low[:n], self.rng[:n]
-        r = rng >> BITS
+        r = rng >> bits
         low += r * cum.astype(np.uint64)
         np.multiply(r, freq.astype(np.uint64), out=rng)
         over = np.flatnonzero(low > MASK48)
@@ -93,9 +97,9 @@ class Reader:
         self.flat = self.data.reshape(-1)
         self.pos = np.arange(n, dtype=np.int64) * self.data.shape[1] + 3
 
-    def step(self, n: int):
+    def step(self, n: int, bits=BITS):
         """Width of one count of the next symbol in the first ``n`` lanes."""
-        return self.rng[:n] >> BITS
+        return self.rng[:n] >> bits
 
     def took(self, r, cum, freq) -> None:
         n = len(r)
@@ -157,69 +161,138 @@ class Proposals:
         self.p1[:n] = x
 
 
+def class_of(rank: np.ndarray) -> np.ndarray:
+    """The number of bits of rank + 1, less one."""
+    return np.frexp((rank + 1).astype(np.float64))[1] - 1
+
+
+def shares(counts: np.ndarray, total: int) -> np.ndarray:
+    """Frequencies in proportion to ``counts``, 1 at least, that sum to ``total``."""
+    n = len(counts)
+    out = 1 + (counts * (total - n) // max(1, int(counts.sum()))).astype(np.int64)
+    out[int(np.argmax(counts))] += total - int(out.sum())
+    return out
+
+
+class Table:
+    """The ids of a segment by rank, and how often neither proposal knew them.
+
+    Ranks of a class (1, 2, 4 … of them, by falling frequency) ascend by id.
+    """
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts = ids, counts
+        n = len(ids)
+        self.classes = class_of(np.arange(n))
+        starts = np.flatnonzero(np.append(True, np.diff(self.classes) > 0)) if n else np.zeros(0, np.int64)
+        per_class = np.zeros(CLASSES, np.int64)
+        freq = np.zeros(n, np.int64)
+        for c, (i, j) in enumerate(zip(starts, np.append(starts[1:], n))):
+            per_class[c] = counts[i:j].sum()
+            freq[i:j] = shares(counts[i:j], 1 << ID_BITS)
+        self.freq = freq
+        before = np.cumsum(freq) - freq
+        self.cum = before - (before[starts][self.classes] if n else 0)
+        self.keys = self.classes.astype(np.int64) << ID_BITS | self.cum
+        self.prime = np.cumsum(shares(per_class, 4096)).astype(np.int16)
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple[Table, np.ndarray]:
+        """The table of ``ids`` (counts of all their occurrences) and their ranks."""
+        known, at, n = np.unique(ids, return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        rank_class = class_of(np.arange(len(known)))
+        order = order[np.lexsort((known[order], rank_class))]
+        rank = np.empty(len(known), np.int64)
+        rank[order] = np.arange(len(known))
+        return cls(known[order].astype(np.uint32), n[order]), rank[at]
+
+    def pack(self) -> bytes:
+        steps = np.diff(self.ids.astype(np.int64), prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4)
+        counts = self.counts.astype("<u4").view(np.uint8).reshape(-1, 4)
+        data = zlib.compress(np.concatenate([steps, counts], axis=1).T.tobytes(), 9)  # byte by byte of all ids
+        return TABLE.pack(MAGIC, len(self.ids), len(data)) + data
+
+    @classmethod
+    def unpack(cls, payload: bytes) -> tuple[Table, int]:
+        """The table at the start of a payload, and where it ends."""
+        magic, n, size = TABLE.unpack_from(payload)
+        if magic != MAGIC:
+            raise ValueError("not a token segment")
+        end = TABLE.size + size
+        try:
+            planes = np.frombuffer(zlib.decompress(payload[TABLE.size:end]), np.uint8).reshape(8, n).T
+        except (zlib.error, ValueError) as exc:
+            raise ValueError("the table of a token segment is broken") from exc
+        steps = np.ascontiguousarray(planes[:, :4]).view("<i4").reshape(-1)
+        counts = np.ascontiguousarray(planes[:, 4:]).view("<u4").reshape(-1)
+        return cls(np.cumsum(steps, dtype=np.int64).astype(np.uint32), counts.astype(np.int64)), end
+
+
+def rounded(counts: np.ndarray) -> np.ndarray:
+    """Counts with their two highest bits only: as good for coding, and smaller to send."""
+    keep = np.maximum(class_of(counts.astype(np.int64)) - 1, 0)
+    return np.where(counts > 0, (counts >> keep) << keep, 0)
+
+
 class Order0:
-    """Adaptive 16-way symbols over the four-bit digits of an id."""
+    """Ids that neither proposal knew: an adaptive class of the rank, then the id in its class by the table."""
 
-    def __init__(self, lanes: int):
-        self.up = np.tile((np.arange(1, 17) * 256).astype(np.int16), (lanes * CONTEXTS, 1))
+    def __init__(self, lanes: int, table: Table):
+        self.table = table
+        self.up = np.tile(table.prime, (lanes * CLASSES, 1))
         self.flat = self.up.reshape(-1)
-        self.base = np.arange(lanes, dtype=np.int64) * CONTEXTS
-
-    def context(self, n: int, digit: int, high):
-        if digit == 0:
-            return self.base[:n]
-        if digit == 1:
-            return self.base[:n] + 1 + high
-        if digit == 2:
-            return self.base[:n] + 17 + high
-        return self.base[:n] + 273 + ((high * 2654435761 >> 7) & 511)
+        self.base = np.arange(lanes, dtype=np.int64) * CLASSES
+        self.last = np.zeros(lanes, np.int64)
 
     def _bounds(self, k, symbol):
         """Lower and upper cumulative frequency; what stands before a row's first bound is a row's last, 4096."""
-        at = k * 16 + symbol
+        at = k * CLASSES + symbol
         return np.take(self.flat, at - 1, mode="wrap") & 4095, np.take(self.flat, at)
 
     def _learn(self, k, rows, symbol) -> None:
-        goal = np.take(GOAL16, symbol, axis=0)
+        goal = np.take(GOAL_CLASS, symbol, axis=0)
         goal -= rows
-        goal >>= 4
+        goal >>= 5
         goal += rows
         self.up[k] = goal
+        self.last[:len(symbol)] = symbol
 
-    def encode(self, writer: Writer, ids) -> None:
-        n = len(ids)
-        for digit in range(4):
-            symbol = (ids >> (12 - 4 * digit)) & 15
-            k = self.context(n, digit, ids >> (16 - 4 * digit))
-            lo, hi = self._bounds(k, symbol)
-            writer.put(lo, hi - lo)
-            self._learn(k, np.take(self.up, k, axis=0), symbol)
+    def encode(self, writer: Writer, rank) -> None:
+        n, t = len(rank), self.table
+        symbol = t.classes[rank]
+        k = self.base[:n] + self.last[:n]
+        lo, hi = self._bounds(k, symbol)
+        writer.put(lo, hi - lo)
+        self._learn(k, np.take(self.up, k, axis=0), symbol)
+        writer.put(t.cum[rank], t.freq[rank], np.uint64(ID_BITS))
 
     def decode(self, reader: Reader, n: int):
-        ids = np.zeros(n, np.int64)
-        for digit in range(4):
-            k = self.context(n, digit, ids)
-            rows = np.take(self.up, k, axis=0)
-            r = reader.step(n)
-            v = np.minimum(reader.dif[:n] // r, 4095).astype(np.int16)
-            symbol = np.count_nonzero(rows <= v[:, None], axis=1)
-            lo, hi = self._bounds(k, symbol)
-            reader.took(r, lo, hi - lo)
-            self._learn(k, rows, symbol)
-            ids = ids << 4 | symbol
-        return ids
+        t = self.table
+        k = self.base[:n] + self.last[:n]
+        rows = np.take(self.up, k, axis=0)
+        r = reader.step(n)
+        v = np.minimum(reader.dif[:n] // r, 4095).astype(np.int16)
+        symbol = np.count_nonzero(rows <= v[:, None], axis=1)
+        lo, hi = self._bounds(k, symbol)
+        reader.took(r, lo, hi - lo)
+        self._learn(k, rows, symbol)
+        r = reader.step(n, np.uint64(ID_BITS))
+        v = np.minimum(reader.dif[:n] // r, (1 << ID_BITS) - 1).astype(np.int64)
+        rank = np.searchsorted(t.keys, symbol << ID_BITS | v, side="right") - 1
+        reader.took(r, t.cum[rank], t.freq[rank])
+        return rank
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
-    """Code the ids (below 65,536) in blocks of ``block``; all blocks are full but perhaps the last."""
+    """Code a segment of ids: its table, then blocks of ``block`` ids; all are full but perhaps the last."""
     total = len(ids)
     lanes = -(-total // block)
     if not lanes:
         return []
-    if int(ids.max()) > 0xFFFF:
-        raise ValueError("ids above 65,535")
+    table, ranks = Table.of(ids)
     padded = np.zeros(lanes * block, np.int64)
-    padded[:total] = ids
+    padded[:total] = ranks
     x = np.ascontiguousarray(padded.reshape(lanes, block).T)
     short = total - (lanes - 1) * block  # ids in the last lane
     writer, model = Writer(lanes, block), Proposals(lanes)
@@ -236,19 +309,20 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     first = writer.words()
     rest = symbols == 2
     many = rest.sum(axis=0)
+    table = Table(table.ids, rounded(np.bincount(x[rest], minlength=len(table.ids))))
     order = np.argsort(-many, kind="stable")  # lanes with most order-0 ids first, so that the active ones are a prefix
     depth = int(many.max())
     left = np.zeros((depth, lanes), np.int64)
     lane, t = np.nonzero(rest[:, order].T)
     place = np.arange(len(lane)) - np.repeat(np.cumsum(many[order]) - many[order], many[order])
     left[place, lane] = x[t, order[lane]]
-    writer, zero = Writer(lanes, 4 * depth), Order0(lanes)
+    writer, zero = Writer(lanes, 3 * depth), Order0(lanes, table)
     active = np.searchsorted(-many[order], -np.arange(depth), side="left")
     for j in range(depth):
         zero.encode(writer, left[j, :active[j]])
     second = writer.words()
     back = np.argsort(order)
-    out = []
+    out = [table.pack()]
     for i in range(lanes):
         n = block if i < lanes - 1 else short
         f, s = first[i], second[back[i]]
@@ -258,7 +332,7 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
 
 
 def split_blocks(payload: bytes) -> list[tuple]:
-    """(ids, order-0 ids, symbol stream, id stream, crc) of each block in a payload."""
+    """(ids, order-0 ids, symbol stream, id stream, crc) of each of the blocks that follow a table."""
     found, at = [], 0
     while at < len(payload):
         magic, n, many, f, s, crc = HEAD.unpack_from(payload, at)
@@ -273,17 +347,18 @@ def split_blocks(payload: bytes) -> list[tuple]:
 
 
 def decode_blocks(payload: bytes) -> np.ndarray:
-    """The ids of all blocks of a payload, as uint32; raises on a wrong checksum."""
-    found = split_blocks(payload)
-    if not found:
+    """The ids of a segment, as uint32; raises on a wrong checksum."""
+    if not payload:
         return np.zeros(0, np.uint32)
+    table, end = Table.unpack(payload)
+    found = split_blocks(payload[end:])
     sizes = np.array([b[0] for b in found])
     many = np.array([b[1] for b in found])
     lanes, block = len(found), int(sizes.max())
     order = np.argsort(-many, kind="stable")
     depth = int(many.max())
     left = np.zeros((depth + 1, lanes), np.int64)
-    reader, zero = Reader([found[i][3] for i in order]), Order0(lanes)
+    reader, zero = Reader([found[i][3] for i in order]), Order0(lanes, table)
     active = np.searchsorted(-many[order], -np.arange(depth), side="left")
     for j in range(depth):
         left[j, :active[j]] = zero.decode(reader, int(active[j]))
@@ -293,7 +368,7 @@ def decode_blocks(payload: bytes) -> np.ndarray:
     reader, model = Reader([found[i][2] for i in by_size]), Proposals(lanes)
     left = np.ascontiguousarray(left[:, by_size])
     taken, at = np.zeros(lanes, np.int64), np.arange(lanes)
-    x = np.zeros((block, lanes), np.uint32)
+    x = np.zeros((block, lanes), np.int64)
     active = np.searchsorted(-sizes[by_size], -np.arange(block), side="left")
     for t in range(block):
         n = int(active[t])
@@ -308,7 +383,7 @@ def decode_blocks(payload: bytes) -> np.ndarray:
         taken[:n] += none
         model.learn(now, symbol)
         x[t, :n] = now
-    x = np.ascontiguousarray(x[:, np.argsort(by_size)].T)
+    x = table.ids[np.ascontiguousarray(x[:, np.argsort(by_size)].T)]
     parts = []
     for i, (n, _, _, _, crc) in enumerate(found):
         part = x[i, :n]

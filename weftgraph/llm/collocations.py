@@ -6,11 +6,11 @@ phrase that begins with ``p`` can score more than ``SCALE * f(p) / (f(first word
 is f(p) at most and both its parts come as often as itself at least; the same holds for its last words.
 
 1. One pass counts all words of each language, a second one all pairs of words that come ``MIN_COUNT`` times.
-2. A round sets each language's bound to the score of its ``TOP``-th pair and grows only phrases whose prefix or
-   suffix may still reach it: first to three words, then, with the counts of those, to four.  Everything that
+2. A round sets each language's bound to the score of its ``GROWTH * TOP``-th pair and grows only the pairs, as prefix or
+   suffix, that may still reach it, to three and four words in one pass.  Everything that
    scores the bound or more is then counted, with all its parts and with the longer phrases that may drop it.
 3. A language is settled when ``TOP`` phrases at or above its bound survive; ties at the bound are among them.  The others
-   get a lower bound (the next ``GROWTH`` times as many pairs) and another round; at bound 0 nothing is left out.
+   get a lower bound (that of ``GROWTH`` times as many pairs) and another round; at bound 0 nothing is left out.
 
 Words are 64-bit hashes of language and word while counting; that no two words share one is checked on all words
 (else another seed is taken), so all counts are exact.  Which phrases to count is known to the tasks by Bloom
@@ -176,30 +176,30 @@ def bit_filter(keys: DataFrame):
     return spark.sparkContext.broadcast(bits.tobytes())
 
 
-def phrase_counts(docs: DataFrame, seed: int, k: int, wanted) -> DataFrame:
-    """w1 … wk, a: phrases of k words with at least MIN_COUNT occurrences, among those that ``wanted(ids)`` marks.
+def phrase_counts(docs: DataFrame, seed: int, longest: int, places) -> DataFrame:
+    """w1 … (null beyond a phrase's end), a: phrases with at least MIN_COUNT occurrences, among those that ``places(ids)`` names.
 
-    ``wanted`` gets the word ids of a buffer (0 at breaks) and returns a flag for each place where a phrase may start.
+    ``places`` gets the word ids of a buffer (0 at breaks) and returns pairs of a length and the places where phrases of it start.
     """
-    names = [f"w{i + 1}" for i in range(k)]
+    names = [f"w{i + 1}" for i in range(longest)]
 
     def tally(lexicon, numbers):
         ids = np.array(lexicon.ids, np.uint64)
-        at = np.flatnonzero(wanted(ids[numbers])) if len(numbers) >= k else np.zeros(0, np.int64)
-        if not len(at):
-            return
-        code = numbers[at]
-        for j in range(1, k):
-            pair = code << 32 | numbers[at + j]
-            if j < k - 1:
-                code = np.unique(pair, return_inverse=True)[1]
-        order = np.argsort(pair)
-        pair = pair[order]
-        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
-        first = at[order[starts]]
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(ids[numbers[first + j]].view(np.int64)) for j in range(k)),
-             pa.array(np.diff(np.append(starts, len(pair))))], [*names, "a"])
+        for k, at in places(ids[numbers]):
+            if not len(at):
+                continue
+            code = numbers[at]
+            for j in range(1, k):
+                pair = code << 32 | numbers[at + j]
+                if j < k - 1:
+                    code = np.unique(pair, return_inverse=True)[1]
+            order = np.argsort(pair)
+            pair = pair[order]
+            starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+            first = at[order[starts]]
+            words = [pa.array(ids[numbers[first + j]].view(np.int64)) for j in range(k)]
+            rest = [pa.nulls(len(first), pa.int64())] * (longest - k)
+            yield pa.RecordBatch.from_arrays([*words, *rest, pa.array(np.diff(np.append(starts, len(pair))))], [*names, "a"])
 
     def run(batches):
         yield from counted(batches, seed, tally)
@@ -208,48 +208,28 @@ def phrase_counts(docs: DataFrame, seed: int, k: int, wanted) -> DataFrame:
         .groupBy(*names).agg(F.sum("a").alias("a")).where(F.col("a") >= MIN_COUNT)
 
 
-def pairs_wanted(frequent):
-    def wanted(ids):
+def pair_places(frequent):
+    """Pairs of frequent words."""
+    def places(ids):
         ok = (ids != 0) & BitFilter(frequent.value).has(key_hash([ids]))
-        return ok[:-1] & ok[1:]
-    return wanted
-
-
-def _pair_flags(ids, frequent):
-    h = key_hash([ids[:-1], ids[1:]])
-    ok = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
-    flags = np.zeros(len(h), bool)
-    flags[ok] = frequent.has(h[ok])
-    return h, flags
-
-
-def _either(first, second, before, after, places):
-    """Of ``places``, those where the first key is in ``before`` or the second in ``after``."""
-    out = before.has(first[places])
-    rest = np.flatnonzero(~out)
-    out[rest] = after.has(second[places[rest]])
-    return places[out]
-
-
-def triples_wanted(frequent, before, after):
-    def wanted(ids):
-        h, ok = _pair_flags(ids, BitFilter(frequent.value))
-        places = np.flatnonzero(ok[:-1] & ok[1:])
-        flags = np.zeros(max(len(ids) - 2, 0), bool)
-        flags[_either(h[:-1], h[1:], BitFilter(before.value), BitFilter(after.value), places)] = True
-        return flags
-    return wanted
-
-
-def quadruples_wanted(frequent, before, after):
-    def wanted(ids):
-        _, ok = _pair_flags(ids, BitFilter(frequent.value))
-        places = np.flatnonzero(ok[:-2] & ok[1:-1] & ok[2:])
-        h = key_hash([ids[:-2], ids[1:-1], ids[2:]])
-        flags = np.zeros(max(len(ids) - 3, 0), bool)
-        flags[_either(h[:-1], h[1:], BitFilter(before.value), BitFilter(after.value), places)] = True
-        return flags
-    return wanted
+        return [(2, np.flatnonzero(ok[:-1] & ok[1:]))]
+    return places
+
+
+def open_places(frequent, before, after):
+    """Phrases of three and four words whose pairs are frequent and whose first pair is in ``before`` or last in ``after``."""
+    def places(ids):
+        if len(ids) < 3:
+            return []
+        h = key_hash([ids[:-1], ids[1:]])
+        known = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
+        ok, first, last = (np.zeros(len(h), bool) for _ in range(3))
+        ok[known] = BitFilter(frequent.value).has(h[known])
+        known = np.flatnonzero(ok)
+        first[known], last[known] = BitFilter(before.value).has(h[known]), BitFilter(after.value).has(h[known])
+        return [(3, np.flatnonzero(ok[:-1] & ok[1:] & (first[:-1] | last[1:]))),
+                (4, np.flatnonzero(ok[:-2] & ok[1:-1] & ok[2:] & (first[:-2] | last[2:])))]
+    return places
 
 
 def _big(column):
@@ -318,14 +298,16 @@ def _open_keys(phrases: DataFrame, end: str, names: list[str]):
 def grow(docs: DataFrame, seed: int, pairs: DataFrame, theta: DataFrame) -> DataFrame:
     """All phrases of the languages of ``theta`` that survive with a score of theta or more.
 
+    One pass over the texts expands every open prefix and suffix to three and four words.
+
     lang, w1 … w4, a, l, r, score
     """
     two = stash(pairs.join(theta, "lang"), "pairs")
-    frequent = bit_filter(two.select("w1", "w2"))
-    three = stash(scored_triples(phrase_counts(docs, seed, 3, triples_wanted(
-        frequent, _open_keys(two, "f1", ["w1", "w2"]), _open_keys(two, "f2", ["w1", "w2"]))), two).join(theta, "lang"), "triples")
-    four = stash(phrase_counts(docs, seed, 4, quadruples_wanted(
-        frequent, _open_keys(three, "f1", ["w1", "w2", "w3"]), _open_keys(three, "f3", ["w1", "w2", "w3"]))), "quadruples")
+    keys = ["w1", "w2"]
+    longer = stash(phrase_counts(docs, seed, 4, open_places(
+        bit_filter(two.select(keys)), _open_keys(two, "f1", keys), _open_keys(two, "f2", keys))), "longer")
+    three = stash(scored_triples(longer.where("w4 is null").drop("w4"), two).join(theta, "lang"), "triples")
+    four = longer.where("w4 is not null")
     no = F.lit(None).cast("long")
     found = [_unless_inside(two.where("score >= theta"), three, 2).withColumn("w3", no).withColumn("w4", no),
              _unless_inside(three.where("score >= theta"), four, 3).withColumn("w4", no),
@@ -337,9 +319,9 @@ def grow(docs: DataFrame, seed: int, pairs: DataFrame, theta: DataFrame) -> Data
 def survivors(docs: DataFrame, words: DataFrame, seed: int) -> DataFrame | None:
     """For each language its survivors down to a score that TOP of them reach (or all)."""
     frequent = bit_filter(words.where(F.col("n") >= MIN_COUNT).select("id"))
-    pairs = stash(scored_pairs(phrase_counts(docs, seed, 2, pairs_wanted(frequent)), words), "pairs")
+    pairs = stash(scored_pairs(phrase_counts(docs, seed, 2, pair_places(frequent)), words), "pairs")
     unsettled = stash(pairs.select("lang").distinct(), "langs")
-    done, rank = None, TOP
+    done, rank = None, GROWTH * TOP  # reading the texts costs more than a wide frontier
     while not unsettled.isEmpty():
         theta = stash(unsettled.join(_at_rank(pairs.join(unsettled, "lang"), ["score"], rank), "lang", "left")
                       .select("lang", F.coalesce("score", F.lit(0)).cast("long").alias("theta")), "theta")
@@ -369,9 +351,10 @@ def mine(docs: DataFrame) -> DataFrame:
         best = best.join(text.select(F.col("id").alias(f"w{i}"), F.col("word").alias(f"t{i}")), f"w{i}", "left")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # the limit on the plain row number lets every task keep its own first TOP rows before the shuffle
     return best.withColumn("phrase", F.concat_ws(" ", "t1", "t2", "t3", "t4")) \
-        .withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= TOP) \
-        .join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP) \
+        .join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -206,3 +206,35 @@ def test_linked_and_merged_edges(spark):
     rows = {(r["src"], r["dst"]): r for r in m.out_edges.collect()}
     assert rows[(1, tag)]["weight"] == 3.0 and rows[(1, tag)]["post_id"] == "p0"
     assert sum(r["weight"] for r in rows.values()) == b.out_edges.count()
+
+
+def test_messages_are_acknowledged_one_by_one(spark, scratch, builds):
+    from weftgraph.streaming import run_stream
+    os.makedirs(f"{scratch}/queue")
+    for i in range(3):
+        with open(f"{scratch}/queue/m{i}.json", "w") as f:
+            f.write(json.dumps(network(i)) + "\n")
+        os.utime(f"{scratch}/queue/m{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    source = frame(spark, [doc("TW_1", "TW_2", crit=f"c{i}") for i in range(4)])
+    kw = dict(checkpoint=f"{scratch}/offsets", acknowledged=f"{scratch}/done")
+    publish, stopped = Stage.publish, []
+
+    def stops(self):
+        batch = publish(self)
+        if batch["id"] == 1 and not stopped:
+            stopped.append(1)
+            raise RuntimeError("stopped between publishing and acknowledging")
+        return batch
+
+    Stage.publish = stops
+    try:
+        with pytest.raises(Exception, match="stopped between"):
+            run_stream(spark, f"{scratch}/queue", source, f"{scratch}/out", **kw).awaitTermination()
+        assert len(builds) == 2  # the third message was not taken
+        run_stream(spark, f"{scratch}/queue", source, f"{scratch}/out", **kw).awaitTermination()
+    finally:
+        Stage.publish = publish
+    assert len(builds) == 3 and {s for s, _ in status_of(spark, f"{scratch}/out").values()} == {"done"}
+    acknowledged = [f for _, _, names in os.walk(f"{scratch}/done") for f in names if f.endswith(".json")]
+    left = [f for f in os.listdir(f"{scratch}/queue") if f.endswith(".json")]
+    assert sorted(acknowledged + left) == ["m0.json", "m1.json", "m2.json"] and "m0.json" in acknowledged

@@ -30,6 +30,7 @@ from weftgraph.sinks.tables import write_table
 
 STAGED = "_staged"
 MANIFEST = "manifest.jsonl"
+PUBLISHED = "_published"
 #: What a network may have, in the order of publishing; all but the documents lie under ``<out>/<name>``.
 TABLES, RECORDS = ("nodes", "edges"), ("completed", "status")
 
@@ -116,10 +117,22 @@ class Stage:
                 files.delete(step["delete"])
             elif files.exists(step["move"]):
                 files.move(step["move"], step["to"])
+        if batch.get("stream") is not None:
+            files.write_text(_last(self.out, batch["stream"]), json.dumps(batch))
         files.delete(self.root)
         return batch
 
 
+def _last(out: str, stream_id: str) -> str:
+    return f"{out.rstrip('/')}/{PUBLISHED}/{stream_id}.json"
+
+
+def last_published(spark: SparkSession, out: str, stream_id: str) -> dict | None:
+    """The batch of a stream that was published last; a stream's batches come in order, so one is enough to know."""
+    files, path = Files(spark), _last(out, stream_id)
+    return json.loads(files.read_text(path)) if files.exists(path) else None
+
+
 def finish(spark: SparkSession, out: str) -> list[dict]:
     """Publish the batches under ``out`` that were committed but not published; returns them."""
     files, root = Files(spark), f"{out.rstrip('/')}/{STAGED}"

@@ -22,6 +22,8 @@ Per request the batch writes:
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weftgraph.functions.expressions import COMPLETED_STEP
 from weftgraph.plans.build import build_graph
-from weftgraph.sinks.publish import Stage, finish
+from weftgraph.sinks.publish import Stage, finish, last_published
 from weftgraph.sources.requests import REQUEST_SCHEMA, decode_requests, normalize_requests
 
 STATUS_OK = "done"
@@ -102,11 +104,13 @@ def _build_and_stage(stage: Stage, source: DataFrame, good: DataFrame, out: str,
 
 
 def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, out: str, batch_id: int = 0,
-                  **build_kw) -> None:
+                  stream_id: str | None = None, **build_kw) -> None:
     """Build the networks of one batch of requests (all strings) and publish what it gives.
 
     A batch of an earlier run that was committed but not published is published
-    first; if it is this one (same id and messages), nothing is left to do.
+    first; if it is this one (same id and messages), nothing is left to do.  Batches of a
+    stream (``stream_id``) are remembered once published, so one that comes again because the stream
+    stopped before it acknowledged its messages is not built twice.
     """
     if "raw" not in requests.columns:
         requests = requests.withColumn("raw", F.to_json(F.struct(*[f.name for f in REQUEST_SCHEMA.fields])))
@@ -115,8 +119,8 @@ def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, o
     try:
         n, n_good, digest = checked.agg(F.count(F.lit(1)), F.count_if(F.col("error").isNull()),
                                         F.bit_xor(F.xxhash64("graph_id", "path", "raw"))).first()
-        batch = {"id": batch_id, "messages": n, "digest": digest}
-        if batch in finish(spark, out):
+        batch = {"stream": stream_id, "id": batch_id, "messages": n, "digest": digest}
+        if batch in finish(spark, out) or (stream_id is not None and last_published(spark, out, stream_id) == batch):
             return
         stage = Stage(spark, out, batch_id)
         stage.clear()
@@ -141,22 +145,34 @@ def process_batch(spark: SparkSession, requests: DataFrame, source: DataFrame, o
 
 
 def run_stream(spark: SparkSession, request_dir: str, source: DataFrame, out: str, checkpoint: str, *,
-               available_now: bool = True, max_files_per_trigger: int | None = None, **build_kw) -> StreamingQuery:
+               available_now: bool = True, max_files_per_trigger: int | None = None, acknowledged: str | None = None,
+               **build_kw) -> StreamingQuery:
     """Watch ``request_dir`` for JSON-lines request files and build their networks.
 
     ``checkpoint`` is the stream's own checkpoint folder (on a shared file
     system on a cluster).  ``available_now`` processes what is there and stops
     (batch-like, for tests and scheduled runs); otherwise the query keeps
     running and picks up new files.
+
+    ``acknowledged`` makes the folder a queue with one message file in flight: a
+    file is taken when the one before is done, and goes to this folder (outside ``request_dir``)
+    once a later batch has begun, which is when its own one is committed for good.
+    A stream that stops in between takes the file again; what was published is then
+    not built again.
     """
     reader = spark.readStream.format("text")
+    if acknowledged:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", acknowledged)
+        max_files_per_trigger = 1
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(request_dir)
     requests = decode_requests(lines)
 
+    stream_id = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch.sparkSession, batch, source, out, batch_id, **build_kw)
+        process_batch(batch.sparkSession, batch, source, out, batch_id, stream_id, **build_kw)
 
     writer = requests.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -330,6 +330,7 @@ UNION ALL SELECT graph_id, 4, CAST(1 AS BIGINT) FROM req""",
     }
     out.update({
         "cells_timestamp_range": out["sel_timestamp_range"], "cells_extended_json": out["cells_explode"],
+        "cells_variant": out["cells_explode"],
         "sel_document_store": store_sql, "resolve_signed_ids": signed_sql + "SELECT * FROM vertices",
         "written_nodes": out["gexf_nodes"], "written_edges": out["gexf_edges"], "written_gexf": gexf_text,
         "requests_messy": messy_sql, "requests_status_isolated": isolated_sql, "written_paths": paths_sql,

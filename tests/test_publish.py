@@ -238,3 +238,27 @@ def test_messages_are_acknowledged_one_by_one(spark, scratch, builds):
     acknowledged = [f for _, _, names in os.walk(f"{scratch}/done") for f in names if f.endswith(".json")]
     left = [f for f in os.listdir(f"{scratch}/queue") if f.endswith(".json")]
     assert sorted(acknowledged + left) == ["m0.json", "m1.json", "m2.json"] and "m0.json" in acknowledged
+
+
+def test_typed_values(spark):
+    from weftgraph.sources.widerow import parse_documents
+    rows = {"plain": '{"timestamp": 5, "text": 7, "post_id": "p"}', "long": '{"timestamp": {"$numberLong": "5"}, "text": "$"}',
+            "double": '{"timestamp": {"$numberDouble": "5.0"}, "text": {"$numberDouble": "1.5"}}',
+            "date": '{"timestamp": {"$date": {"$numberLong": "5"}}, "post_id": {"$oid": "abc"}}',
+            "iso": '{"timestamp": {"$date": "1970-01-01T00:00:00.005Z"}, "text": "a \\"$date\\" b"}',
+            "number": '{"timestamp": {"$date": 5}, "source": null}',
+            "object": '{"timestamp": {"$date": 5}, "text": {"$binary": "x"}}', "half": '{"timestamp": {"$numberDouble": "5.5"}}',
+            "broken": '{"timestamp": {"$date": 5}', "none": None}
+    cells = spark.createDataFrame(list(rows.items()), "qualifier string, value string").withColumn("k", F.col("qualifier"))
+    got = {r["k"]: r for r in parse_documents(cells, "report").collect()}
+    for k in ("plain", "long", "double", "date", "iso", "number"):
+        assert (got[k]["timestamp"], got[k]["error"]) == (5, None), k
+    assert [got[k]["text"] for k in ("plain", "long", "double", "iso", "number")] == ["7", "$", "1.5", 'a "$date" b', None]
+    assert got["date"]["post_id"] == "abc" and got["number"]["source"] is None
+    assert got["object"]["error"] == 'unreadable text: {"$binary":"x"}'
+    assert got["half"]["error"] == 'unreadable timestamp: {"$numberDouble":"5.5"}'
+    assert got["broken"]["error"].startswith("malformed document: ") and got["none"]["error"] == "malformed document: null"
+    assert {r["k"] for r in parse_documents(cells, "drop").collect()} == {"plain", "long", "double", "date", "iso", "number"}
+    with pytest.raises(Exception, match="unreadable text"):
+        parse_documents(cells.where("k = 'object'")).collect()
+    assert parse_documents(cells.where("k = 'iso'")).select("timestamp").collect()[0][0] == 5

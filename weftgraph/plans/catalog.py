@@ -96,6 +96,26 @@ def q_cells_explode(spark, sf_dir, selection=DAY_RANGE, extended_json=False):
     return docs.select("graph_id", *INTERACTION_COLUMNS)
 
 
+def _mixed_types(value, key):
+    """The timestamp of a document's JSON text as a plain number, a typed double, a date in ms or a date as text."""
+    ms = F.regexp_extract(value, r'"timestamp":([0-9]+)', 1)
+    iso = F.date_format(F.timestamp_millis(ms.cast("bigint")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    forms = [ms, F.concat(F.lit('{"$numberDouble":"'), ms, F.lit('.0"}')),
+             F.concat(F.lit('{"$date":{"$numberLong":"'), ms, F.lit('"}}')), F.concat(F.lit('{"$date":"'), iso, F.lit('"}'))]
+    form = F.element_at(F.array(*forms), F.pmod(F.xxhash64(key), F.lit(4)).cast("int") + 1)
+    return F.replace(value, F.concat(F.lit('"timestamp":'), ms), F.concat(F.lit('"timestamp":'), form))
+
+
+def q_cells_variant(spark, sf_dir):
+    """Documents with typed values of extended JSON, read as variants."""
+    from weftgraph.sources.requests import requests_frame
+    wide = wide_rows(load_interactions(spark, sf_dir)).withColumn(
+        "cells", F.transform_values("cells", lambda k, v: _mixed_types(v, k)))
+    normalized = normalize_requests(requests_frame(spark, DAY_REQUESTS), DAY_RANGE)
+    docs = select_from_wide_rows(wide, normalized, DAY_RANGE, n_requests=len(DAY_REQUESTS))
+    return docs.select("graph_id", *INTERACTION_COLUMNS)
+
+
 def q_sel_document_store(spark, sf_dir):
     """R3 document-store variant: ordinary messages over documents without platform and day."""
     docs = load_interactions(spark, sf_dir).drop("platform", "day")
@@ -370,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cells_day_list": lambda s, d: q_cells_explode(s, d, DAY_LIST),
         "cells_timestamp_range": lambda s, d: q_cells_explode(s, d, TIMESTAMP_RANGE),
         "cells_extended_json": lambda s, d: q_cells_explode(s, d, extended_json=True),
+        "cells_variant": q_cells_variant,
         "sel_document_store": q_sel_document_store,
         "resolve_signed_ids": q_resolve_signed_ids,
         "written_nodes": q_written("nodes"),

@@ -9,7 +9,7 @@ documents (S6) and ``from_json`` with an explicit schema parses them (S7).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,9 @@ DOCUMENT_SCHEMA = T.StructType([
     T.StructField("post_id", T.StringType()),
 ])
 CORRUPT = "_corrupt_record"
+# Names of the typed values of extended JSON.
+TYPED_TEXTS = ["$oid", "$numberLong", "$numberInt", "$numberDouble", "$numberDecimal", "$symbol", "$uuid"]
+TYPED_INTEGERS = ["$numberLong", "$numberInt"]
 ERROR_CHARS = 200  # of a malformed document, in its error
 # Greedy: a separator inside a criteria id stays in it.
 _KEY_REGEX = r"(?s)^(.*)_\|_(.*)_\|_(.*)$"
@@ -90,31 +93,76 @@ def explode_cells(rows: DataFrame) -> DataFrame:
     return rows.select(*others, F.explode("cells").alias("qualifier", "value"))
 
 
+def _typed_text(field: str) -> Column:
+    """A text field of a variant document: text, a number or a truth value as text, or the text in a typed value."""
+    plain = F.try_variant_get("_v", f"$.{field}", "string")  # of an object or a list, its JSON text
+    nested = F.to_json(F.try_variant_get("_v", f"$.{field}", "variant")).rlike(r"^[{\[]")
+    return F.coalesce(*[F.try_variant_get("_v", f"$.{field}['{t}']", "string") for t in TYPED_TEXTS], F.when(~nested, plain))
+
+
+def _typed_long(field: str) -> Column:
+    """An integer field of a variant document: plain, as a typed number, or the milliseconds of a typed date."""
+    def get(path, kind):
+        return F.try_variant_get("_v", f"$.{field}{path}", kind)
+
+    def whole(number):
+        return F.when(number == F.floor(number), number.try_cast("bigint"))
+
+    date = get("['$date']", "string")
+    return F.coalesce(
+        get("", "bigint"), *[get(f"['{t}']", "string").try_cast("bigint") for t in TYPED_INTEGERS],
+        whole(get("['$numberDouble']", "string").try_cast("double")),
+        *[get(f"['$date']['{t}']", "string").try_cast("bigint") for t in TYPED_INTEGERS],
+        F.when(date.rlike("^[+-]?[0-9]+$"), date.try_cast("bigint")).otherwise(F.unix_millis(F.try_to_timestamp(date))))
+
+
+def _typed_document(parsed: DataFrame) -> DataFrame:
+    """Add ``_typed``: the document's fields from the variant ``_v``, and ``_unread``: the first field that holds what it cannot."""
+    fields, unread = [], []
+    for f in DOCUMENT_SCHEMA.fields:
+        value = _typed_long(f.name) if isinstance(f.dataType, T.LongType) else _typed_text(f.name)
+        raw = F.to_json(F.try_variant_get("_v", f"$.{f.name}", "variant"))
+        fields.append(value.alias(f.name))
+        unread.append(F.when(value.isNull() & raw.isNotNull() & (raw != "null"),
+                             F.concat(F.lit(f"unreadable {f.name}: "), F.substring(raw, 1, ERROR_CHARS))))
+    return parsed.withColumn("_typed", F.struct(*fields)).withColumn("_unread", F.coalesce(*unread))
+
+
 def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
     """JSON text -> document columns.
 
     ``on_bad="fail"`` stops the job on a malformed document (FAILFAST), as the
     reference's parser does; ``"drop"`` parses permissively and leaves out the
     documents that do not parse; ``"report"`` keeps them, with what is wrong in a
-    column ``error`` (null for the others).  Integers may be plain or in the
-    extended form ``{"$numberLong": "…"}``.
+    column ``error`` (null for the others).
+
+    Documents may be extended JSON: integers as ``{"$numberLong": "…"}`` are put
+    in their place before parsing; documents with other typed values (``$date``,
+    ``$numberDouble``, ``$oid`` …) are read as variants, value by value, and
+    only these pay for it.  A value that its field cannot hold makes the document a malformed one, by the field's name.
     """
     text = F.col("value")
     cells = cells.withColumn("value", F.when(F.contains(text, F.lit('"$number')),
                                              F.regexp_replace(text, _EXTENDED_NUMBER, "$1")).otherwise(text))
-    if on_bad == "fail":
-        parsed = F.from_json(F.col("value"), DOCUMENT_SCHEMA, {"mode": "FAILFAST"})
-        out = cells.withColumn("_doc", parsed)
-    else:
-        schema = T.StructType(DOCUMENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-        parsed = F.from_json(F.col("value"), schema,
-                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-        out = cells.withColumn("_doc", parsed)
-        fine = F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull()
-        out = out.withColumn("error", F.when(~fine, F.concat(F.lit("malformed document: "), F.substring(
-            F.coalesce("value", F.lit("null")), 1, ERROR_CHARS)))) if on_bad == "report" else out.where(fine)
-    others = [c for c in out.columns if c not in ("qualifier", "value", "_doc")]
-    return out.select(*others, *[F.col(f"_doc.{f.name}").alias(f.name) for f in DOCUMENT_SCHEMA.fields])
+    is_typed = F.coalesce(F.contains("value", F.lit('"$')), F.lit(False))
+    schema = T.StructType(DOCUMENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
+    plain = F.from_json(F.when(~is_typed, F.col("value")), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    out = cells.withColumn("_plain", plain).withColumn("_v", F.when(is_typed, F.try_parse_json("value")))
+    out = _typed_document(out)
+    whole = F.when(is_typed, F.col("_v").isNotNull()).otherwise(F.col("_plain").isNotNull() & F.col(f"_plain.{CORRUPT}").isNull())
+    malformed = F.concat(F.lit("malformed document: "), F.substring(F.coalesce("value", F.lit("null")), 1, ERROR_CHARS))
+    error = F.when(~whole, malformed).when(is_typed, F.col("_unread"))
+    if on_bad == "drop":
+        out = out.where(error.isNull())
+    elif on_bad == "report":
+        out = out.withColumn("error", error)
+    others = [c for c in out.columns if c not in ("qualifier", "value", "_plain", "_v", "_typed", "_unread")]
+
+    def field(name):
+        value = F.when(is_typed, F.col(f"_typed.{name}")).otherwise(F.col(f"_plain.{name}"))
+        return F.when(error.isNotNull(), F.raise_error(error)).otherwise(value) if on_bad == "fail" else value
+
+    return out.select(*others, *[field(f.name).alias(f.name) for f in DOCUMENT_SCHEMA.fields])
 
 
 def _or_faulty(docs: DataFrame, condition):

@@ -72,6 +72,12 @@ def main() -> None:
     def q_wide_rows():
         return counts(build_graph(spark, wide, DAY_REQUESTS, selection="day_range", source_kind="wide"))
 
+    def q_many_ranges():
+        first, step = int(WINDOW[0]), 86_400_000
+        ranges = [{**single[0], "criteria_id": f"crit_{i % 3}", "platform": None, "from": str(first + i * step // 50),
+                   "to": str(first + i * step // 50 + step)} for i in range(500)]
+        return counts(build_graph(spark, flat, ranges, selection="timestamp_range", cap=SMALL_CAP))
+
     def q_export():
         b = build_graph(spark, flat, DAY_REQUESTS, selection="day_range", cap=SMALL_CAP)
         out = f"{scratch}/out"
@@ -81,7 +87,7 @@ def main() -> None:
 
     queries = {"single_network": q_single, "many_networks_day_range": q_many_day_range,
                "many_networks_day_list": q_day_list, "timestamp_edge_complete": q_timestamp_edge_complete,
-               "wide_row_source": q_wide_rows, "export_tables_gexf": q_export}
+               "wide_row_source": q_wide_rows, "many_ranges_500": q_many_ranges, "export_tables_gexf": q_export}
     times, results = {}, {}
     for name, fn in queries.items():
         t = time.time()

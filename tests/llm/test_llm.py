@@ -174,16 +174,32 @@ def test_counts(spark, docs):
     assert counts.count_tokens(docs.limit(0), path).count() == 0
 
 
-def test_mixing_schedule():
-    slots = mixing.quotas({"a": 5, "b": 3.3, "c": 0.001, "d": 1}, 64)
-    got, done = Counter(), []
-    for s, j, slot in mixing.one_period(slots):
-        assert j == got[s] and slot == len(done)
-        got[s] += 1
-        done.append(s)
-        for x, a in slots.items():
-            assert abs(got[x] - (slot + 1) * a / 64) < 1
-    assert got == slots
+def test_mixing_schedule(spark):
+    from fractions import Fraction
+    weights = {"a": 5, "b": Fraction(33, 10), "c": Fraction(1, 100), "d": 1, "e": Fraction(1, 3)}
+    names, total = list(weights), sum(weights.values())
+    done, want = Counter(), []
+    for slot in range(3000):  # the released block with the earliest deadline, by trying all sources
+        ready = [(-(-(done[s] + 1) * total // w), s) for s, w in weights.items() if done[s] * total // w <= slot]
+        s = min(ready)[1]
+        want.append((s, done[s], slot))
+        done[s] += 1
+    whole = mixing.whole_weights(list(weights.values()))
+    starts, end, _ = mixing.ranges(whole, names, [done[s] for s in names], 100)
+    assert len(starts) > 20 and end <= 3000 + 1000
+    table = mixing.schedule(spark, whole, names, starts, end).toPandas().sort_values("slot")
+    assert list(zip(table._s, table._n, table.slot))[:3000] == want
+
+
+def test_mixing_keeps_columns_of_any_name(spark, monkeypatch):
+    names = ["_s", "_row", "_key", "_place", "_n", "_rank", "_b", "_bucket", "_before", "_done", "_o0", "place", "slot", "a.b"]
+    t = spark.createDataFrame([(i, f"t{i}", f"s{i % 2}", *[i] * len(names)) for i in range(50)],
+                              "doc_id long, text string, source string, " + ", ".join(f"`{n}` long" for n in names))
+    monkeypatch.setattr(mixing, "MAX_SLOTS", 5)  # blocks grow
+    got = mixing.mix(t).toPandas()
+    assert list(got.columns) == ["doc_id", "text", "source", *names[:-3], "a.b", "block", "epoch", "slot", "place"]
+    assert all((got[n] == got.doc_id).all() for n in [*names[:-3], "a.b"]) and got.block.max() == 2
+    assert set(got[got.epoch == 0].doc_id) == set(range(50))
 
 
 def test_mixing(spark, docs):

@@ -11,8 +11,8 @@ The driver goes through the schedule once and keeps only the state (blocks done
 per source) at the start of each range of slots: at most ``RANGES`` ranges, of
 ``period`` slots or more.  Tasks make the slots of a range from its state; the
 rest are joins on (source, block number) and hash-dealt ranks
-(``common.rank_within``), and no task holds a whole source.  The driver's walk
-takes time in proportion to the slots, but no memory.
+(``common.rank_within``), and no task holds a whole source.  Blocks grow with the
+input, so that the walk has about ``MAX_SLOTS`` slots at most (some 20 s) at any size.
 
 The mix ends when every block of every source has been scheduled once.  No
 document is dropped: a source that runs out earlier begins again (``epoch`` 1, 2,
@@ -21,7 +21,7 @@ document is dropped: a source that runs out earlier begins again (``epoch`` 1, 2
 A null source is a source of its own.  A source without a weight in a given
 ``weights`` map, or with one that is not positive and finite, is an error; weights of absent sources are ignored.  Repeated
 rows are documents of their own; an empty table gives an empty result.  All
-columns of the input are kept; ``block``, ``epoch``, ``slot`` and ``place`` are
+columns of the input are kept, whatever their names; ``block``, ``epoch``, ``slot`` and ``place`` are
 added (columns of the input with these names are replaced).
 """
 
@@ -40,6 +40,7 @@ from .common import prepare_workers, rank_within, read, shuffle_partitions
 
 BLOCK_DOCS, PERIOD, TEMPER = 8, 1024, 0.8
 RANGES = 4096
+MAX_SLOTS = 10_000_000
 
 
 def tempered_weights(counts: dict, temper: float = TEMPER) -> dict:
@@ -47,45 +48,6 @@ def tempered_weights(counts: dict, temper: float = TEMPER) -> dict:
     return {s: n ** temper for s, n in counts.items()}
 
 
-def quotas(weights: dict, period: int = PERIOD) -> dict:
-    """Whole slots per period of each source, for a schedule that repeats (``mix`` does not round): largest remainder, at least one each."""
-    period = max(period, 4 * len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    slots = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    order = sorted(weights, key=lambda s: (slots[s] - exact[s], str(s)))
-    i = 0
-    while sum(slots.values()) < period:
-        slots[order[i % len(order)]] += 1
-        i += 1
-    while sum(slots.values()) > period:
-        big = max(slots, key=lambda s: (slots[s] - exact[s] if slots[s] > 1 else -math.inf, str(s)))
-        slots[big] -= 1
-    return slots
-
-
-def one_period(slots: dict) -> list[tuple]:
-    """(source, j, slot): earliest deadline first over one period; all quotas are met exactly at its end."""
-    period = sum(slots.values())
-
-    def block(s, j):  # release, deadline, in whole numbers
-        return j * period // slots[s], -(-(j + 1) * period // slots[s])
-
-    waiting = [(0, str(s), s, 0) for s in slots]  # by release
-    heapq.heapify(waiting)
-    ready: list[tuple] = []  # by deadline
-    out = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, name, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (block(s, j)[1], name, s, j))
-        _, name, s, j = heapq.heappop(ready)
-        out.append((s, j, slot))
-        if j + 1 < slots[s]:
-            heapq.heappush(waiting, (block(s, j + 1)[0], name, s, j + 1))
-    return out
-
-
 def whole_weights(weights: list) -> list[int]:
     """Whole numbers in the exact proportion of the weights."""
     exact = [Fraction(w) for w in weights]
@@ -161,8 +123,12 @@ def mix(docs: DataFrame, weights: dict | None = None, block_docs: int = BLOCK_DO
     """The documents with block, epoch, slot (of their block in the mix) and place (in the block)."""
     spark = docs.sparkSession
     added = ["block", "epoch", "slot", "place"]
-    docs = docs.drop(*added).withColumn("_s", F.coalesce(F.col(source).cast("string"), F.lit("\0null")))
-    counts = {r["_s"]: r["n"] for r in docs.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    order = order or [c for c in ("doc_id", "text") if c in docs.columns]
+    # the row is one value, so that no name of its columns meets one of ours
+    rows = docs.select(F.coalesce(F.col(source).cast("string"), F.lit("\0null")).alias("_s"), F.struct(*kept).alias("_row"),
+                       *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)])
+    counts = {r["_s"]: r["n"] for r in rows.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}
     if weights is None:
         weights = tempered_weights(counts, temper)
     else:
@@ -171,17 +137,18 @@ def mix(docs: DataFrame, weights: dict | None = None, block_docs: int = BLOCK_DO
             raise ValueError(f"no weight for sources {missing[:5]}")
         weights = {s: weights[s] for s in counts}
     if not counts:
-        return docs.drop("_s").withColumns({c: F.lit(0).cast("long") for c in added})
+        return docs.select(*kept, *[F.lit(0).cast("long").alias(c) for c in added])
     if bad := [s for s, w in weights.items() if not (w > 0 and math.isfinite(w))]:
         raise ValueError(f"weights of {bad[:5]} are not positive and finite")
     names = sorted(counts)
     whole = whole_weights([weights[s] for s in names])
+    block_docs = max(block_docs, -(-sum(counts.values()) // MAX_SLOTS))
     blocks = [-(-counts[s] // block_docs) for s in names]
     starts, end, done = ranges(whole, names, blocks, period)
     table = schedule(spark, whole, names, starts, end)
     sizes = spark.createDataFrame(list(zip(names, blocks, done)), "_s string, _b long, _done long")
 
-    ranked = rank_within(docs, "_s", order or ["doc_id", "text"], "_rank")
+    ranked = rank_within(rows, "_s", [f"_o{i}" for i in range(len(order))], "_rank")
     with_block = ranked.withColumn("block", F.floor(F.col("_rank") / block_docs)) \
         .withColumn("place", F.col("_rank") % block_docs)
     # occurrence e of a block is the source's block number block + e * blocks; sizes has a row per source
@@ -189,7 +156,7 @@ def mix(docs: DataFrame, weights: dict | None = None, block_docs: int = BLOCK_DO
         .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(
             (F.col("_done") - 1 - F.col("block")) / F.col("_b"))))) \
         .withColumn("_n", F.col("block") + F.col("epoch") * F.col("_b")).drop("_b", "_done")
-    return seen.join(table, ["_s", "_n"]).drop("_s", "_n", "_rank")
+    return seen.join(table, ["_s", "_n"]).select("_row.*", *added)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weftgraph.llm import chat, chunks, counts, hyperminhash, itq, licenses, mixing, packing, quality, rangecoder, tokenfile, urls
@@ -232,6 +233,28 @@ def test_mixing_keeps_to_the_target_weights(spark):
         mixing.mix(docs, {"big": 1, "one": 0})
 
 
+def test_licence_names_get_their_labels(spark):
+    named = {"GPL-2.0-only": "gpl-2", "released under GPLv3 terms": "gpl-3", "Licensed under the LGPL": "lgpl", "MPL-2.0": "mpl-2.0",
+             "AGPL-3.0": "agpl-3", "EPL-2.0": "epl-2.0", "CDDL-1.0": "cddl-1.0", "GNU GPL version 3 or later": "gpl-3",
+             "License: MIT": "mit", "LGPL 2.1 or any later version": "lgpl-2.1", "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+             "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc",
+             "GNU General Public License, either version 3": "gpl-3", "BSD-3-Clause": "bsd-3", "the new BSD license": "bsd-3",
+             "http://www.apache.org/licenses/LICENSE-2.0": "apache-2.0", "CC0-1.0": "cc0", "plain words of no licence": ""}
+    t = spark.createDataFrame(list(named), "string").toDF("text").withColumn("doc_id", F.monotonically_increasing_id())
+    rows = licenses.scan(t).join(t, "doc_id").collect()
+    assert {r.text: named[r.text] in r.labels.split(",") for r in rows} == dict.fromkeys(named, True)
+    gpl = next(r for r in rows if r.text.startswith("GNU GPL"))
+    assert gpl.labels == "gpl-3" and [tuple(d) for d in gpl.detections] == [("gpl-3", 4, 0, 6)]
+
+
+def test_many_licence_detections_in_one_text(spark):
+    import time
+    t = spark.createDataFrame([(1, "Copyright 2020 X.\n" * 100_000)], "doc_id int, text string")
+    start = time.time()
+    r = licenses.scan(t).collect()[0]
+    assert time.time() - start < 120 and len(r.detections) == 100_000 and tuple(r.detections[-1]) == ("copyright", 1, 299_997, 2)
+
+
 def test_urls(spark):
     rows = [(1, "http://a.org/x", '<a href="http://B.net/q">'), (2, "http://b.net/", '<a href=//c.net/ > <a href="https://bad.com/z">'),
             (3, "http://bad.com/de/1", ""), (4, "http://farm.net/x", "<a href='http://bad.com/'>"), (5, None, None),

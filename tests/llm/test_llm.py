@@ -108,6 +108,16 @@ def test_quality(spark, docs):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_quality_rules_are_ordered_by_their_own_cost(spark):
+    t = spark.createDataFrame([(i, f"word{i} and more text " * (10 + 40 * (i % 2))) for i in range(400)], "doc_id long, text string")
+    rules = {"slow": "n_words < 100 and length(regexp_replace(regexp_replace(tx, '[a-m]+', ''), '(.)(.)', '$2$1')) >= 0",
+             "never": "n_words < 0", "fast": "n_words < 100"}
+    for _ in range(3):
+        found = quality.cascade_order(t, rules, sample_rows=400)
+        assert [x["rule"] for x in found] == ["fast", "slow", "never"]
+        assert found[0]["rejects"] == found[1]["rejects"] == 0.5
+
+
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 30_000])
 def test_range_coder(n):
     ids = (np.random.default_rng(n).zipf(1.3, n) % 65_536).astype("<u4")

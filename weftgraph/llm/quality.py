@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import read
 
 WINDOW_WORDS = 8
-SAMPLE_ROWS = 1000
+SAMPLE_ROWS, REPEATS = 1000, 8
 #: Fixed values of the base contract.
 MIN_WORDS, MAX_REPEAT_PCT = 20, 30
 WORD, SYMBOL = r"[^\\x20\\x09-\\x0D]+", r"[#*$%&|<>]"
@@ -82,7 +82,9 @@ def cascade_order(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows: i
     """Rules with their cost and selectivity on a random sample of about ``sample_rows`` rows, best first.
 
     rejection per cost = (share rejected) / (seconds); rules that reject
-    nothing in the sample come last, cheapest first.
+    nothing in the sample come last, cheapest first.  A rule's seconds are those of a job that
+    applies it ``REPEATS`` times to each row, less those of the same job with an empty rule, each the
+    better of two runs; so what a job costs by itself doesn't count.
     """
     total = docs.count()
     if not total:
@@ -92,14 +94,23 @@ def cascade_order(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows: i
         shares = sample.agg(F.count(F.lit(1)).alias("_n"),
                             *[F.count_if(F.expr(c)).alias(r) for r, c in rules.items()]).first()
         n = max(1, shares["_n"])
-        found = []
-        for rule, condition in rules.items():
-            began = time.perf_counter()
-            sample.agg(F.count_if(F.expr(condition))).first()
-            found.append({"rule": rule, "seconds": time.perf_counter() - began, "rejects": shares[rule] / n})
+        again = sample.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
+
+        def seconds(condition):
+            job, times = again.agg(F.count_if(F.expr(condition))), []
+            for _ in range(2):
+                began = time.perf_counter()
+                job.first()
+                times.append(time.perf_counter() - began)
+            return min(times)
+
+        seconds("_again < 0")
+        empty = seconds("_again < 0")
+        found = [{"rule": rule, "seconds": max(seconds(condition) - empty, 1e-3), "rejects": shares[rule] / n}
+                 for rule, condition in rules.items()]
     finally:
         sample.unpersist()
-    return sorted(found, key=lambda x: (-x["rejects"] / max(x["seconds"], 1e-6), x["seconds"]))
+    return sorted(found, key=lambda x: (-x["rejects"] / x["seconds"], x["seconds"]))
 
 
 def judge(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows: int = SAMPLE_ROWS, doc_id: str = "doc_id",

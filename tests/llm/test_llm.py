@@ -417,6 +417,25 @@ def test_vectors_with_a_common_direction(spark):
     assert (got.reindex(range(len(x))).to_numpy() <= degree).all() and got.sum() >= 0.95 * degree.sum() > 200
 
 
+def test_vectors_whose_codes_tell_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    common = rng.normal(size=32)
+    common *= np.sqrt(0.92) / np.linalg.norm(common)
+    x = common + rng.normal(size=(400, 32)) * np.sqrt(0.08 / 32)
+    x = np.concatenate([x, x[:5]])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.triu(unit @ unit.T >= 0.93, 1)
+    assert itq.choose_words(unit, itq.fit_rotation(unit), 0.93) is None
+    t = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    label = np.arange(len(x)) % 3
+    near &= label[:, None] == label[None, :]
+    degree, comp = near.sum(axis=0) + near.sum(axis=1), components(range(len(x)), list(zip(*np.nonzero(near))))
+    for chunk in (1024, 16):
+        monkeypatch.setattr(itq, "EXACT_CHUNK", chunk)
+        got = itq.near_vectors(t).toPandas().set_index("vec_id")
+        assert all(got.n_links[i] == degree[i] and got.component_id[i] == comp[i] for i in range(len(x)))
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(spark, docs, k):
     rng = random.Random(9)

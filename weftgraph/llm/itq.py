@@ -8,7 +8,9 @@
    gets the code of its signs (64 bits).  On the sample the recall of pairs right
    at the cosine bound is measured; while it is under ``RECALL`` (vectors with a
    strong common direction, which centring takes away), the code gets further
-   words of 64 bits from random directions, and the radius follows.
+   words of 64 bits from random directions, and the radius follows.  Where the largest
+   number of words does not do (a background cosine near the bound, which codes can't tell from it),
+   all pairs of a label are compared by cosine in blocks of bounded size instead: exact, at quadratic work per label.
 3. Each word of a code is cut into four 16-bit parts, one table each.  A vector stands in a
    table under its part and under the 16 parts one bit away, so two vectors meet
    wherever a part differs in at most two bits: always up to 11 bits of the code,
@@ -29,8 +31,6 @@ other.  An empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
-import warnings
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,13 +38,13 @@ from pyspark.sql import functions as F
 
 from .blocks import chunk_pairs, pairs_in, whole_groups
 from .common import prepare_workers, read, shuffle_partitions, stash
-from .components import components
+from .components import components, contract
 
 COSINE = 0.93
 BITS, TABLES, PART = 64, 4, 16
 RADIUS = 18  # of 64 bits at least; without a common direction a pair at cosine 0.93 differs in 8, with a deviation of 2.6
 RECALL, WORDS = 0.98, (1, 2, 4, 8, 16, 32)
-SAMPLE_ROWS, ITERATIONS, CHUNK = 8192, 50, 256
+SAMPLE_ROWS, ITERATIONS, CHUNK, EXACT_CHUNK = 8192, 50, 256, 1024
 POP16 = np.array([bin(i).count("1") for i in range(1 << PART)], np.uint8)
 
 
@@ -106,8 +106,8 @@ def pairs_at(sample: np.ndarray, mean: np.ndarray, cosine: float, seed: int = 11
     return sample[i], along[i] + inner[:, None] * rest[i] + turn[:, None] * off[i]
 
 
-def choose_words(sample: np.ndarray, model, cosine: float) -> tuple[int, int]:
-    """(words, radius in bits per word) with which ``RECALL`` of the pairs at ``cosine`` meet."""
+def choose_words(sample: np.ndarray, model, cosine: float) -> tuple[int, int] | None:
+    """(words, radius in bits per word) with which ``RECALL`` of the pairs at ``cosine`` meet; None where no number of words does."""
     x, y = pairs_at(sample, model[0], cosine)
     if not len(x):
         return WORDS[0], RADIUS
@@ -120,10 +120,8 @@ def choose_words(sample: np.ndarray, model, cosine: float) -> tuple[int, int]:
         radius = max(RADIUS, int(np.ceil(np.quantile(bits, 0.995) / words)))
         recall = (met & (bits <= radius * words)).mean()
         if recall >= RECALL:
-            break
-    else:
-        warnings.warn(f"only {recall:.3f} of the pairs at cosine {cosine} meet with {words} words")
-    return words, radius
+            return words, radius
+    return None
 
 
 def _rows(column) -> np.ndarray:
@@ -234,6 +232,34 @@ def _link(cosine: float, radius: int):
     return run
 
 
+def _link_all(cosine: float):
+    """The same from all pairs of a block, for tables whose codes don't tell near vectors from others."""
+    def run(batches):
+        for t in whole_groups(batches):
+            ids, copies, lab, own, chunk = (t.column(c).to_numpy() for c in ("id", "copies", "lab", "own", "chunk"))
+            links, edges, trees = np.zeros(len(ids), np.int64), [], np.arange(len(ids))
+            block = np.stack([t.column("g").to_numpy(), lab], axis=1)  # lab: a label and a dimension
+            for one in np.unique(block, axis=0):
+                rows = np.flatnonzero((block == one).all(axis=1))
+                unit = _unit(_rows(t.column("embedding").take(pa.array(rows)).combine_chunks()))
+                a, b = np.nonzero(np.triu(unit @ unit.T >= cosine - 1e-9, 1))
+                near = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine if len(a) else np.zeros(0, bool)
+                a, b = rows[a[near]], rows[b[near]]
+                use = own[a] | (chunk[a] != chunk[b])
+                a, b = a[use], b[use]
+                np.add.at(links, a, copies[b])
+                np.add.at(links, b, copies[a])
+                if len(a):
+                    low, high = contract(a, b)  # a spanning set: each row with the smallest one it reaches here
+                    edges += zip(low.tolist(), high.tolist())
+            hit = np.flatnonzero(links)
+            p, q = np.array([e[0] for e in edges], np.int64), np.array([e[1] for e in edges], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([ids[hit], ids[p]])), pa.array(np.concatenate([links[hit], np.zeros(len(p), np.int64)])),
+                 pa.array([None] * len(hit) + ids[q].tolist(), pa.int64())], ["id", "links", "other"])
+    return run
+
+
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample_rows: int = SAMPLE_ROWS, vec_id: str = "vec_id",
                  embedding: str = "embedding", label: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept."""
@@ -250,7 +276,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample_rows: int =
                     .withColumn("lab", F.xxhash64("label", F.size("embedding"))), "vectors")
     # one bounded sample per dimension; the number of dimensions is that of the table's models
     dims = [r[0] for r in classes.select(F.size("embedding").alias("d")).distinct().collect()]
-    models, words, radius = {}, WORDS[0], RADIUS
+    models, words, radius, exact = {}, WORDS[0], RADIUS, False
     for d in dims:
         of = classes.where(F.size("embedding") == d)
         rows = of.sample(False, min(1.0, 1.5 * sample_rows / max(1, of.count())), 5).limit(sample_rows) \
@@ -258,7 +284,14 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample_rows: int =
         unit = _unit(np.array([r[0] for r in rows], float).reshape(-1, d)) if rows else np.zeros((0, d))
         models[d] = fit_rotation(unit)
         needed = choose_words(unit, models[d], cosine)
-        words, radius = max(words, needed[0]), max(radius, needed[1])
+        exact = exact or needed is None
+        words, radius = max(words, needed[0] if needed else 0), max(radius, needed[1] if needed else 0)
+    if exact:
+        linked = stash(
+            chunk_pairs(classes, "lab", "id", EXACT_CHUNK).select("g", "id", "lab", "own", "chunk", "copies", "embedding")
+            .repartition(shuffle_partitions(spark), "g").sortWithinPartitions("g")
+            .mapInArrow(_link_all(cosine), "id long, links long, other long"), "linked")
+        return _grouped(given, classes, linked)
     models = {d: with_words(model, words) for d, model in models.items()}
 
     def code(batches):
@@ -290,6 +323,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample_rows: int =
         .select("g", "id", "code", "tab", "key", "own", "chunk", "lab", "copies", "embedding")
         .repartition(p, "g").sortWithinPartitions("g")
         .mapInArrow(_link(cosine, radius), "id long, links long, other long"), "linked")
+    return _grouped(given, classes, linked)
+
+
+def _grouped(given: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """Numbers of links and components of the rows, from the links of their classes (equal vectors)."""
     counts = linked.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(linked.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     named = classes.select("label", "embedding", "id", "copies").join(counts, "id", "left") \

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import duckdb
 from tokenizers import Tokenizer
 
-from test_llm import components, words
+from .test_llm import components, words
 from weftgraph.llm import hyperminhash, mixing, quality
 from weftgraph.llm.chunks import tokenizer_path
 
@@ -58,17 +58,21 @@ def test_texts_of_shared_ids_are_judged_alone(spark):
     assert got == Counter({k: n if not k[0] or not k[1] else 1 for k, n in want.items()} | {(0, rows[1][1]): 1, (0, rows[2][1]): 1})
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(n))
+
+
 def test_the_whole_pipeline(spark, scratch):
     import corpus_pipeline as pipeline
     rng = random.Random(14)
     rows = []
     for i in range(160):
-        text = words(rng, rng.choice([5, 40, 120, 300]))
+        text = prose(rng, rng.choice([5, 40, 120, 300]))
         rows.append((i, text, "en", f"s{i % 5 % 3}", len(text)))
         if i % 4 == 0:
             rows.append((500 + i, text + " tail", "en", "s1", 1))
-    rows += [(0, words(rng, 80), "en", "s0", 1), (900, "of of of " * 40, "en", "s2", 1), (901, None, "en", None, 1),
-             (902, words(rng, 4000), "en", "s2", 1)]
+    rows += [(0, prose(rng, 80), "en", "s0", 1), (900, "of of of " * 40, "en", "s2", 1), (901, None, "en", None, 1),
+             (902, prose(rng, 4000), "en", "s2", 1)]
     table = spark.createDataFrame(rows, TEXTS)
     table.write.parquet(f"{scratch}/documents.parquet")
     con = duckdb.connect()

@@ -64,3 +64,28 @@ def test_a_bad_document_fails_its_own_network_only(spark, scratch):
     assert status == {json.dumps(req()): "done", json.dumps(req(crit="c2")): "failed", "no json": "failed",
                       "nor this": "failed"}
     assert os.path.isdir(f"{scratch}/completed") and spark.read.parquet(f"{scratch}/nodes").count() == 2
+
+
+ODD_DOCUMENTS = [
+    ({"target": "TW_2", "text": '{"k": 5}', "timestamp": {"$numberDouble": "5.0"}}, ("TW_2", '{"k": 5}', 5, None)),
+    ({"target": {"$oid": "TW_3"}, "text": "[not a list", "timestamp": {"$date": {"$numberLong": "6"}}}, ("TW_3", "[not a list", 6, None)),
+    ({"target": "TW_4", "text": {"$numberDecimal": "1.50"}, "timestamp": {"$date": "1970-01-01T00:00:00.007Z"}}, ("TW_4", "1.50", 7, None)),
+    ({"target": 7, "text": True, "timestamp": {"$date": "8"}}, ("7", "true", 8, None)),
+    ({"target": None, "text": {"$oid": ""}}, (None, "", None, None)),
+    ({"target": {"$oid": "TW_5"}, "text": {"a": 1}, "timestamp": 9}, ("TW_5", None, 9, 'unreadable text: {"a":1}')),
+    ({"target": {"$oid": "TW_6"}, "timestamp": {"$numberDouble": "9.5"}},
+     ("TW_6", None, None, 'unreadable timestamp: {"$numberDouble":"9.5"}')),
+]
+
+
+def test_a_filter_above_typed_documents_repeats_no_parser(spark):
+    from pyspark.sql import functions as F
+
+    from weftgraph.sources.widerow import parse_documents
+    rows = [(i, json.dumps(doc)) for i, (doc, _) in enumerate(ODD_DOCUMENTS)]
+    docs = parse_documents(spark.createDataFrame(rows, "qualifier int, value string").withColumn("i", F.col("qualifier")), "report")
+    got = [tuple(r) for r in docs.orderBy("i").select("target", "text", "timestamp", "error").collect()]
+    assert got == [want for _, want in ODD_DOCUMENTS]
+    plan = docs.where(F.col("target").isNotNull() | F.col("error").isNotNull())._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000, len(plan)
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") <= 2

@@ -98,12 +98,14 @@ def q_cells_explode(spark, sf_dir, selection=DAY_RANGE, extended_json=False):
 
 def _mixed_types(value, key):
     """The timestamp of a document's JSON text as a plain number, a typed double, a date in ms or a date as text."""
-    ms = F.regexp_extract(value, r'"timestamp":([0-9]+)', 1)
-    iso = F.date_format(F.timestamp_millis(ms.cast("bigint")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    forms = [ms, F.concat(F.lit('{"$numberDouble":"'), ms, F.lit('.0"}')),
-             F.concat(F.lit('{"$date":{"$numberLong":"'), ms, F.lit('"}}')), F.concat(F.lit('{"$date":"'), iso, F.lit('"}'))]
-    form = F.element_at(F.array(*forms), F.pmod(F.xxhash64(key), F.lit(4)).cast("int") + 1)
-    return F.replace(value, F.concat(F.lit('"timestamp":'), ms), F.concat(F.lit('"timestamp":'), form))
+    plain = '"timestamp":([0-9]+)'
+    ms = F.regexp_extract(value, plain, 1).cast("bigint")
+    iso = F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    form = F.pmod(F.xxhash64(key), F.lit(4))
+    return F.when(form == 0, value) \
+        .when(form == 1, F.regexp_replace(value, plain, r'"timestamp":{"\$numberDouble":"$1.0"}')) \
+        .when(form == 2, F.regexp_replace(value, plain, r'"timestamp":{"\$date":{"\$numberLong":"$1"}}')) \
+        .otherwise(F.coalesce(F.regexp_replace(value, F.lit(plain), F.concat(F.lit(r'"timestamp":{"\$date":"'), iso, F.lit('"}'))), value))
 
 
 def q_cells_variant(spark, sf_dir):

@@ -31,6 +31,7 @@ DOCUMENT_SCHEMA = T.StructType([
     T.StructField("timestamp", T.LongType()),
     T.StructField("post_id", T.StringType()),
 ])
+TEXTS, LONGS = ([f.name for f in DOCUMENT_SCHEMA.fields if isinstance(f.dataType, kind)] for kind in (T.StringType, T.LongType))
 CORRUPT = "_corrupt_record"
 # Names of the typed values of extended JSON.
 TYPED_TEXTS = ["$oid", "$numberLong", "$numberInt", "$numberDouble", "$numberDecimal", "$symbol", "$uuid"]
@@ -93,17 +94,26 @@ def explode_cells(rows: DataFrame) -> DataFrame:
     return rows.select(*others, F.explode("cells").alias("qualifier", "value"))
 
 
-def _typed_text(field: str) -> Column:
+def _once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Add ``columns`` through a generator of one row: a filter above stays there, so no expression is copied into it.
+
+    Below a filter Spark repeats a column's expression at every use of it, here the JSON parser some hundred times a document.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
+def _typed_text(value: Column) -> Column:
     """A text field of a variant document: text, a number or a truth value as text, or the text in a typed value."""
-    plain = F.try_variant_get("_v", f"$.{field}", "string")  # of an object or a list, its JSON text
-    nested = F.to_json(F.try_variant_get("_v", f"$.{field}", "variant")).rlike(r"^[{\[]")
-    return F.coalesce(*[F.try_variant_get("_v", f"$.{field}['{t}']", "string") for t in TYPED_TEXTS], F.when(~nested, plain))
+    plain = F.try_variant_get(value, "$", "string")  # of an object or a list, its JSON text
+    nested = plain.rlike(r"^[{\[]") & F.to_json(value).rlike(r"^[{\[]")  # the text itself may begin so
+    typed = F.coalesce(*[F.try_variant_get(value, f"$['{t}']", "string") for t in TYPED_TEXTS])
+    return F.when(nested, typed).otherwise(plain)
 
 
-def _typed_long(field: str) -> Column:
+def _typed_long(value: Column) -> Column:
     """An integer field of a variant document: plain, as a typed number, or the milliseconds of a typed date."""
     def get(path, kind):
-        return F.try_variant_get("_v", f"$.{field}{path}", kind)
+        return F.try_variant_get(value, f"${path}", kind)
 
     def whole(number):
         return F.when(number == F.floor(number), number.try_cast("bigint"))
@@ -117,15 +127,25 @@ def _typed_long(field: str) -> Column:
 
 
 def _typed_document(parsed: DataFrame) -> DataFrame:
-    """Add ``_typed``: the document's fields from the variant ``_v``, and ``_unread``: the first field that holds what it cannot."""
-    fields, unread = [], []
-    for f in DOCUMENT_SCHEMA.fields:
-        value = _typed_long(f.name) if isinstance(f.dataType, T.LongType) else _typed_text(f.name)
-        raw = F.to_json(F.try_variant_get("_v", f"$.{f.name}", "variant"))
-        fields.append(value.alias(f.name))
-        unread.append(F.when(value.isNull() & raw.isNotNull() & (raw != "null"),
-                             F.concat(F.lit(f"unreadable {f.name}: "), F.substring(raw, 1, ERROR_CHARS))))
-    return parsed.withColumn("_typed", F.struct(*fields)).withColumn("_unread", F.coalesce(*unread))
+    """Add ``_texts`` and ``_longs``: the document's fields from the variant ``_v``, and ``_unread``: the first field that holds what it cannot.
+
+    Fields of a type are read by one lambda over their variants: each is looked up once, and the plan stays small.
+    """
+    is_read = F.col("_v").isNotNull()
+
+    def raw(names):
+        return F.when(is_read, F.array(*[F.try_variant_get("_v", f"$.{name}", "variant") for name in names]))
+
+    out = _once(parsed, raw(TEXTS).alias("_raw_texts"), raw(LONGS).alias("_raw_longs"))
+    out = _once(out, F.transform("_raw_texts", _typed_text).alias("_texts"), F.transform("_raw_longs", _typed_long).alias("_longs"))
+
+    def unread(kind, i, name):
+        text = F.to_json(F.col(f"_raw_{kind}")[i])
+        return F.when(is_read & F.col(f"_{kind}")[i].isNull() & text.isNotNull() & (text != "null"),
+                      F.concat(F.lit(f"unreadable {name}: "), F.substring(text, 1, ERROR_CHARS)))
+
+    faults = {name: unread(kind, i, name) for kind, names in (("texts", TEXTS), ("longs", LONGS)) for i, name in enumerate(names)}
+    return _once(out, F.coalesce(*[faults[f.name] for f in DOCUMENT_SCHEMA.fields]).alias("_unread")).drop("_raw_texts", "_raw_longs")
 
 
 def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
@@ -147,22 +167,28 @@ def parse_documents(cells: DataFrame, on_bad: str = "fail") -> DataFrame:
     is_typed = F.coalesce(F.contains("value", F.lit('"$')), F.lit(False))
     schema = T.StructType(DOCUMENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     plain = F.from_json(F.when(~is_typed, F.col("value")), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = cells.withColumn("_plain", plain).withColumn("_v", F.when(is_typed, F.try_parse_json("value")))
-    out = _typed_document(out)
-    whole = F.when(is_typed, F.col("_v").isNotNull()).otherwise(F.col("_plain").isNotNull() & F.col(f"_plain.{CORRUPT}").isNull())
+    # as texts: Spark's pruning of nested fields does not pass a struct through several generators
+    plain = F.transform(F.array(plain), lambda p: F.array(
+        F.when(p.isNotNull() & p[CORRUPT].isNull(), F.lit("")), *[p[name] for name in TEXTS], *[p[name].cast("string") for name in LONGS]))[0]
+    out = _once(cells, is_typed.alias("_is_typed"), plain.alias("_plain"), F.when(is_typed, F.try_parse_json("value")).alias("_v"))
+    is_typed = F.col("_is_typed")
+    whole = F.when(is_typed, F.col("_v").isNotNull()).otherwise(F.col("_plain")[0].isNotNull())
     malformed = F.concat(F.lit("malformed document: "), F.substring(F.coalesce("value", F.lit("null")), 1, ERROR_CHARS))
-    error = F.when(~whole, malformed).when(is_typed, F.col("_unread"))
+    out = _typed_document(out)
+    out = _once(out, F.when(~whole, malformed).when(is_typed, F.col("_unread")).alias("error"))
+    error = F.col("error")
     if on_bad == "drop":
         out = out.where(error.isNull())
-    elif on_bad == "report":
-        out = out.withColumn("error", error)
-    others = [c for c in out.columns if c not in ("qualifier", "value", "_plain", "_v", "_typed", "_unread")]
+    used = ("qualifier", "value", "_is_typed", "_plain", "_v", "_texts", "_longs", "_unread", *([] if on_bad == "report" else ["error"]))
+    others = [c for c in out.columns if c not in used]
+    plain_of = {name: F.col("_plain")[i + 1] for i, name in enumerate(TEXTS + LONGS)}
+    typed_of = {name: F.col(kind)[i] for kind, names in (("_texts", TEXTS), ("_longs", LONGS)) for i, name in enumerate(names)}
 
-    def field(name):
-        value = F.when(is_typed, F.col(f"_typed.{name}")).otherwise(F.col(f"_plain.{name}"))
+    def field(f):
+        value = F.when(is_typed, typed_of[f.name]).otherwise(plain_of[f.name].cast(f.dataType))
         return F.when(error.isNotNull(), F.raise_error(error)).otherwise(value) if on_bad == "fail" else value
 
-    return out.select(*others, *[field(f.name).alias(f.name) for f in DOCUMENT_SCHEMA.fields])
+    return out.select(*others, *[field(f).alias(f.name) for f in DOCUMENT_SCHEMA.fields])
 
 
 def _or_faulty(docs: DataFrame, condition):

@@ -138,6 +138,17 @@ def test_range_coder_takes_any_ids():
     assert np.array_equal(rangecoder.decode_blocks(b"".join(rangecoder.encode_blocks(ids, 700))), ids)
 
 
+@pytest.mark.parametrize("factor, crc", [(1, 3672731760), (70_001, 1383295566)])
+def test_range_coder_keeps_its_format(factor, crc):
+    """Blocks are the bytes that the coder of WTK2 wrote from the start; ids below and above the direct table of ranks."""
+    i = np.arange(20_000)
+    ids = np.where(i % 7 < 3, i % 50, i * i * 31 % 60_007 % (1 + i % 997)).astype("<u4") * np.uint32(factor)
+    payload = b"".join(rangecoder.encode_blocks(ids))
+    blocks = payload[rangecoder.Table.unpack(payload)[1]:]
+    assert (len(blocks), zlib.crc32(blocks)) == (19_150, crc)
+    assert np.array_equal(rangecoder.decode_blocks(payload), ids)
+
+
 def test_range_coder_beats_order_zero_and_zlib():
     import duckdb
     texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' ORDER BY doc_id").fetchall()

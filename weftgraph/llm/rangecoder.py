@@ -3,7 +3,8 @@
 A segment of ids is a table and blocks of ``BLOCK`` ids.  The table names the ids of the segment by rank of
 their frequency, with their counts, and primes the models.  A block is coded on its own: models start anew
 from the table and the header has a checksum of the ids.  Blocks are lanes of numpy arrays: each step
-codes one id of every lane, so the interpreter's cost is shared by all lanes.
+codes one id of every lane, so the interpreter's cost is shared by all lanes.  What few ids need (those a proposal
+knew, entries that stay) is put right on those lanes only, after the step of all.
 
 Model of an id x after the ids p1 (last) and p2 (the one before), all as ranks:
 
@@ -28,11 +29,11 @@ import zlib
 
 import numpy as np
 
-BLOCK, LANES = 2048, 1024
+BLOCK, LANES = 2048, 2048
 MAGIC = b"WTK2"
 HEAD = struct.Struct("<4sIIIII")  # magic, ids, order-0 ids, words of the symbols, words of the ids, crc32
 BITS, TOP, RENORM = np.uint64(12), np.uint64(48), np.uint64(1 << 32)
-W16, MASK48, LOW32 = np.uint64(16), np.uint64((1 << 48) - 1), np.uint64((1 << 32) - 1)
+W16, W32, MASK48, LOW32 = np.uint64(16), np.uint64(32), np.uint64((1 << 48) - 1), np.uint64((1 << 32) - 1)
 SLOTS = 2048
 #: Targets of the adaptive 3-way cumulative frequencies (out of 4096).
 GOAL_A, GOAL_B = np.array([4032, 32, 32], np.int32), np.array([4064, 4064, 64], np.int32)
@@ -56,16 +57,16 @@ class Writer:
         n = len(cum)
         low, rng = self.low[:n], self.rng[:n]
         r = rng >> bits
-        low += r * cum.astype(np.uint64)
-        np.multiply(r, freq.astype(np.uint64), out=rng)
-        over = np.flatnonzero(low > MASK48)
+        low += r * cum
+        np.multiply(r, freq, out=rng)
+        over = (low > MASK48).nonzero()[0]
         if len(over):
             self.out[over, self.pos[over] - 1] += 1
             low[over] &= MASK48
-        small = np.flatnonzero(rng < RENORM)
+        small = (rng < RENORM).nonzero()[0]
         if len(small):
             at, lo = self.pos[small], low[small]
-            self.out[small, at] = lo >> np.uint64(32)
+            self.out[small, at] = lo >> W32
             self.pos[small] = at + 1
             low[small] = (lo & LOW32) << W16
             rng[small] <<= W16
@@ -104,12 +105,12 @@ class Reader:
     def took(self, r, cum, freq) -> None:
         n = len(r)
         dif, rng = self.dif[:n], self.rng[:n]
-        dif -= r * cum.astype(np.uint64)
-        np.multiply(r, freq.astype(np.uint64), out=rng)
-        small = np.flatnonzero(rng < RENORM)
+        dif -= r * cum
+        np.multiply(r, freq, out=rng)
+        small = (rng < RENORM).nonzero()[0]
         if len(small):
             at = self.pos[small]
-            dif[small] = (dif[small] << W16) | self.flat[at].astype(np.uint64)
+            dif[small] = (dif[small] << W16) | self.flat[at]
             rng[small] <<= W16
             self.pos[small] = at + 1
 
@@ -121,7 +122,7 @@ class Proposals:
         self.t1 = np.zeros(lanes * SLOTS, np.int32)  # id * 4 + confidence
         self.t2 = np.zeros(lanes * SLOTS, np.int32)
         self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.est = [np.tile(np.array([[1365, 2730]], np.int32), (lanes * 16, 1)) for _ in range(2)]
+        self.est = [np.full(lanes * 16, 1365 << 16 | 2730, np.int32) for _ in range(2)]  # the two bounds, 16 bits each
         self.ebase = np.arange(lanes, dtype=np.int64) * 16
         self.weight = np.full(lanes, 8, np.int32)
         self.last = np.full(lanes, 2, np.int64)
@@ -130,37 +131,58 @@ class Proposals:
 
     def propose(self, n: int):
         """c2, c1 and the cumulative frequencies a, b of the symbol's first two values."""
-        p1, p2 = self.p1[:n], self.p2[:n]
-        self.i1 = self.base[:n] + ((p1 * 40503) >> 4 & (SLOTS - 1))
-        self.i2 = self.base[:n] + ((p1 * 40503 + p2 * 60493) >> 5 & (SLOTS - 1))
-        self.v1, self.v2 = self.t1[self.i1], self.t2[self.i2]
-        c1, c2 = self.v1 >> 2, self.v2 >> 2
-        self.k1 = self.ebase[:n] + (self.v2 & 3) * 2 + (c1 == c2)
-        self.k2 = self.ebase[:n] + (self.v1 & 3) * 3 + self.last[:n]
-        self.e1, self.e2 = self.est[0][self.k1], self.est[1][self.k2]
-        w = self.weight[:n, None]
-        ab = (self.e1 * w + self.e2 * (16 - w)) >> 4
-        return c2, c1, ab[:, 0], ab[:, 1]
-
-    def learn(self, x, symbol) -> None:
+        hashed = self.p1[:n] * 40503
+        self.i1 = (hashed >> 4 & (SLOTS - 1)) + self.base[:n]
+        hashed += self.p2[:n] * 60493
+        self.i2 = (hashed >> 5 & (SLOTS - 1)) + self.base[:n]
+        v1, v2 = self.t1.take(self.i1), self.t2.take(self.i2)
+        c1, c2 = v1 >> 2, v2 >> 2
+        self.v1, self.v2, self.s1, self.s2 = v1, v2, v1 & 3, v2 & 3
+        self.k1 = self.s2 * 2 + (c1 == c2) + self.ebase[:n]
+        self.k2 = self.s1 * 3 + self.last[:n] + self.ebase[:n]
+        e1, e2 = self.est[0].take(self.k1), self.est[1].take(self.k2)
+        self.a1, self.b1, self.a2, self.b2 = e1 >> 16, e1 & 0xFFFF, e2 >> 16, e2 & 0xFFFF
+        w = self.weight[:n]
+        return (c2, c1, (self.a1 - self.a2) * w + (self.a2 << 4) >> 4, (self.b1 - self.b2) * w + (self.b2 << 4) >> 4)
+
+    def learn(self, x, symbol, known, hit2, hit1) -> None:
+        """Take in ``x``; ``known`` are the lanes whose symbol is not 2, ``hit2`` and ``hit1`` say which proposals were right."""
         n = len(x)
+        a1, b1, a2, b2 = self.a1, self.b1, self.a2, self.b2
         # weight: towards the estimate that gave the symbol more room
-        e1, e2 = self.e1, self.e2
-        room1 = np.where(symbol == 0, e1[:, 0], np.where(symbol == 1, e1[:, 1] - e1[:, 0], 4096 - e1[:, 1]))
-        room2 = np.where(symbol == 0, e2[:, 0], np.where(symbol == 1, e2[:, 1] - e2[:, 0], 4096 - e2[:, 1]))
-        self.weight[:n] = np.clip(self.weight[:n] + (room1 > room2) - (room1 < room2), 1, 15)
-        goal = np.stack([GOAL_A[symbol], GOAL_B[symbol]], axis=1)
-        self.est[0][self.k1] = e1 + ((goal - e1) >> 4)
-        self.est[1][self.k2] = e2 + ((goal - e2) >> 4)
-        fresh = x.astype(np.int32) << 2
-        for t, i, v in ((self.t1, self.i1, self.v1), (self.t2, self.i2, self.v2)):
-            sure = v & 3
-            t[i] = np.where(v >> 2 == x, v + (sure < 3), np.where(sure > 0, v - 1, fresh))
+        more = b2 - b1
+        if len(known):
+            more[known] = np.where(symbol[known] == 0, a1[known] - a2[known], (b1 - a1 - b2 + a2)[known])
+        w = self.weight[:n]
+        w += np.sign(more)
+        np.minimum(np.maximum(w, 1, out=w), 15, out=w)
+        goal_a, goal_b = GOAL_A.take(symbol), GOAL_B.take(symbol)
+        for est, k, a, b in ((self.est[0], self.k1, a1, b1), (self.est[1], self.k2, a2, b2)):
+            est[k] = (((goal_a - a) >> 4) + a << 16) + ((goal_b - b) >> 4) + b
+        fresh = (x << 2).astype(np.int32)
+        for t, i, v, sure, hit in ((self.t1, self.i1, self.v1, self.s1, hit1), (self.t2, self.i2, self.v2, self.s2, hit2)):
+            old = (hit | (sure > 0)).nonzero()[0]  # right, or sure enough to stay
+            if len(old):
+                new = fresh.copy()
+                new[old] = np.where(hit[old], v[old] + (sure[old] < 3), v[old] - 1)
+                t[i] = new
+            else:
+                t[i] = fresh
         self.last[:n] = symbol
         self.p2[:n] = self.p1[:n]
         self.p1[:n] = x
 
 
+def bounds(symbol, known, a, b):
+    """Lower bound and frequency of the symbols; ``known`` are the lanes whose symbol is not 2."""
+    lo, freq = b.astype(np.uint64), (4096 - b).astype(np.uint64)
+    if len(known):
+        first, a, b = symbol[known] == 0, a[known], b[known]
+        lo[known] = np.where(first, 0, a)
+        freq[known] = np.where(first, a, b - a)
+    return lo, freq
+
+
 def class_of(rank: np.ndarray) -> np.ndarray:
     """The number of bits of rank + 1, less one."""
     return np.frexp((rank + 1).astype(np.float64))[1] - 1
@@ -195,17 +217,28 @@ class Table:
         self.cum = before - (before[starts][self.classes] if n else 0)
         self.keys = self.classes.astype(np.int64) << ID_BITS | self.cum
         self.prime = np.cumsum(shares(per_class, 4096)).astype(np.int16)
+        self.ucum, self.ufreq = self.cum.astype(np.uint64), freq.astype(np.uint64)
 
     @classmethod
     def of(cls, ids: np.ndarray) -> tuple[Table, np.ndarray]:
         """The table of ``ids`` (counts of all their occurrences) and their ranks."""
-        known, at, n = np.unique(ids, return_inverse=True, return_counts=True)
+        if len(ids) and int(ids.max()) < 1 << 20:  # small ids are their own places
+            at, n = ids, np.bincount(ids)
+            known = n.nonzero()[0]
+            n, place = n[known], np.zeros(len(n), np.int64)
+        else:
+            known, at, n = np.unique(ids, return_inverse=True, return_counts=True)
+            place = None
         order = np.argsort(-n, kind="stable")
         rank_class = class_of(np.arange(len(known)))
         order = order[np.lexsort((known[order], rank_class))]
         rank = np.empty(len(known), np.int64)
         rank[order] = np.arange(len(known))
-        return cls(known[order].astype(np.uint32), n[order]), rank[at]
+        table = cls(known[order].astype(np.uint32), n[order])
+        if place is None:
+            return table, rank[at]
+        place[known] = rank
+        return table, place[at]
 
     def pack(self) -> bytes:
         steps = np.diff(self.ids.astype(np.int64), prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4)
@@ -260,12 +293,12 @@ class Order0:
 
     def encode(self, writer: Writer, rank) -> None:
         n, t = len(rank), self.table
-        symbol = t.classes[rank]
+        symbol = t.classes.take(rank)
         k = self.base[:n] + self.last[:n]
         lo, hi = self._bounds(k, symbol)
-        writer.put(lo, hi - lo)
+        writer.put(lo.astype(np.uint64), (hi - lo).astype(np.uint64))
         self._learn(k, np.take(self.up, k, axis=0), symbol)
-        writer.put(t.cum[rank], t.freq[rank], np.uint64(ID_BITS))
+        writer.put(t.ucum.take(rank), t.ufreq.take(rank), np.uint64(ID_BITS))
 
     def decode(self, reader: Reader, n: int):
         t = self.table
@@ -275,12 +308,12 @@ class Order0:
         v = np.minimum(reader.dif[:n] // r, 4095).astype(np.int16)
         symbol = np.count_nonzero(rows <= v[:, None], axis=1)
         lo, hi = self._bounds(k, symbol)
-        reader.took(r, lo, hi - lo)
+        reader.took(r, lo.astype(np.uint64), (hi - lo).astype(np.uint64))
         self._learn(k, rows, symbol)
         r = reader.step(n, np.uint64(ID_BITS))
         v = np.minimum(reader.dif[:n] // r, (1 << ID_BITS) - 1).astype(np.int64)
         rank = np.searchsorted(t.keys, symbol << ID_BITS | v, side="right") - 1
-        reader.took(r, t.cum[rank], t.freq[rank])
+        reader.took(r, t.ucum.take(rank), t.ufreq.take(rank))
         return rank
 
 
@@ -294,6 +327,7 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     padded = np.zeros(lanes * block, np.int64)
     padded[:total] = ranks
     x = np.ascontiguousarray(padded.reshape(lanes, block).T)
+    del padded, ranks
     short = total - (lanes - 1) * block  # ids in the last lane
     writer, model = Writer(lanes, block), Proposals(lanes)
     symbols = np.full((block, lanes), 3, np.int8)
@@ -301,10 +335,12 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         n = lanes if t < short else lanes - 1
         now = x[t, :n]
         c2, c1, a, b = model.propose(n)
-        symbol = np.where(c2 == now, 0, np.where(c1 == now, 1, 2))
-        writer.put(np.where(symbol == 0, 0, np.where(symbol == 1, a, b)),
-                   np.where(symbol == 0, a, np.where(symbol == 1, b - a, 4096 - b)))
-        model.learn(now, symbol)
+        hit2, hit1 = c2 == now, c1 == now
+        symbol = np.full(n, 2)
+        known = (hit2 | hit1).nonzero()[0]
+        symbol[known] = np.where(hit2[known], 0, 1)
+        writer.put(*bounds(symbol, known, a, b))
+        model.learn(now, symbol, known, hit2, hit1)
         symbols[t, :n] = symbol
     first = writer.words()
     rest = symbols == 2
@@ -362,12 +398,12 @@ def decode_blocks(payload: bytes) -> np.ndarray:
     active = np.searchsorted(-many[order], -np.arange(depth), side="left")
     for j in range(depth):
         left[j, :active[j]] = zero.decode(reader, int(active[j]))
-    left = np.ascontiguousarray(left[:, np.argsort(order)])
+    left = left[:, np.argsort(order)]
 
     by_size = np.argsort(-sizes, kind="stable")
     reader, model = Reader([found[i][2] for i in by_size]), Proposals(lanes)
-    left = np.ascontiguousarray(left[:, by_size])
-    taken, at = np.zeros(lanes, np.int64), np.arange(lanes)
+    flat = np.ascontiguousarray(left[:, by_size].T).reshape(-1)  # lane by lane
+    taken = np.arange(lanes) * (depth + 1)
     x = np.zeros((block, lanes), np.int64)
     active = np.searchsorted(-sizes[by_size], -np.arange(block), side="left")
     for t in range(block):
@@ -376,12 +412,14 @@ def decode_blocks(payload: bytes) -> np.ndarray:
         r = reader.step(n)
         dif = reader.dif[:n]
         symbol = (dif >= r * a.astype(np.uint64)).astype(np.int64) + (dif >= r * b.astype(np.uint64))
-        reader.took(r, np.where(symbol == 0, 0, np.where(symbol == 1, a, b)),
-                    np.where(symbol == 0, a, np.where(symbol == 1, b - a, 4096 - b)))
-        none = symbol == 2
-        now = np.where(none, left[taken[:n], at[:n]], np.where(symbol == 0, c2, c1))
-        taken[:n] += none
-        model.learn(now, symbol)
+        known = (symbol < 2).nonzero()[0]
+        reader.took(r, *bounds(symbol, known, a, b))
+        now = flat.take(taken[:n])
+        taken[:n] += 1
+        if len(known):
+            now[known] = np.where(symbol[known] == 0, c2[known], c1[known])
+            taken[known] -= 1
+        model.learn(now, symbol, known, c2 == now, c1 == now)
         x[t, :n] = now
     x = table.ids[np.ascontiguousarray(x[:, np.argsort(by_size)].T)]
     parts = []

@@ -1,12 +1,14 @@
 """The training-data operators against brute force on small fixtures: nulls, empty texts, ties, repeats, clashing names."""
 
 import random
+import sys
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -161,6 +163,62 @@ def test_range_coder_beats_order_zero_and_zlib():
     assert np.array_equal(rangecoder.decode_blocks(coded), ids)
 
 
+def test_range_coder_takes_few_steps():
+    """Most of the coder's work is done for many steps of all blocks at a time; it was 68 calls a step, now 18."""
+    ids = (np.random.default_rng(3).zipf(1.3, 3 * rangecoder.BLOCK) % 65_536).astype("<u4")
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        rangecoder.encode_blocks(ids)
+    finally:
+        sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < 40 * rangecoder.BLOCK
+
+
+@pytest.mark.parametrize("distinct", [1, 2, 40_000, 70_000, 300_000])
+def test_range_coder_finds_ids_of_all_classes(distinct):
+    ids = np.random.default_rng(distinct).permutation(np.arange(300_000) % distinct).astype("<u4")
+    assert np.array_equal(rangecoder.decode_blocks(b"".join(rangecoder.encode_blocks(ids))), ids)
+
+
+ODD_RUNS = ["\ta\x1cb\x0bc \x1d", "x <|endoftext|>  y\x00z<|startoftext|>q", "don't  it's 's 12ab,b. é e\u0301 \u0301x a\xa0b\u2003c\x85d",
+            "A,B.C  (x) --- ...", "\n", "İstanbul ŁÓDŹ ǅ １２ ﬁ x\u200by", "word word, word. (word) Word wörd WÖRD"]
+
+
+@pytest.mark.parametrize("limit, marked", [(100_000, True), (100_000, False), (6, False)])
+def test_token_ids_of_a_column(limit, marked, monkeypatch):
+    path = chunks.tokenizer_path(tokenfile.TOKENIZER)
+    enc = chunks.ChunkEncoder(path, cache_entries=limit)
+    tk = Tokenizer.from_file(path)
+    column = [t for t in texts() + ODD_RUNS * 3 if marked or t is None or "<|" not in t]
+    asked = Counter()
+    one = enc.one
+    monkeypatch.setattr(enc, "one", lambda chunk: asked.update([chunk]) or one(chunk))
+    for part in (column, column, [], [None], [column[-1]]):
+        ids, lengths = enc.encode_column(pa.array(part, pa.string()), 1)
+        want = [tk.encode(t or "", add_special_tokens=False).ids + [1] for t in part]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert lengths.tolist() == [len(w) for w in want]
+    if limit > 6:
+        assert max(asked.values()) == 1  # a word goes to the library once
+
+
+def test_token_file_of_documents_over_segments(spark, scratch, monkeypatch):
+    monkeypatch.setattr(tokenfile, "LANES", 1)
+    monkeypatch.setattr(tokenfile, "BLOCK", 64)
+    rng = random.Random(8)
+    column = [words(rng, n) for n in (500, 0, 3, 12, 12, 400, 1, 30)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(column)), "doc_id long, text string")
+    path = chunks.tokenizer_path(tokenfile.TOKENIZER)
+    tokenfile.write_tokens(docs, f"{scratch}/over", path, parts=2)
+    assert spark.read.parquet(f"{scratch}/over").agg(F.max("n_ids")).first()[0] == 64
+    got = tokenfile.read_tokens(spark, f"{scratch}/over", with_ids=True).toPandas().sort_values("doc_id")
+    tk = Tokenizer.from_file(path)
+    want = [tk.encode(t or "", add_special_tokens=False).ids + [1] for t in column]
+    assert [np.frombuffer(b, "<u4").tolist() for b in got.ids] == want
+    assert got.start.tolist() == np.cumsum([0, *map(len, want)])[:-1].tolist()
+
+
 def test_token_file(spark, docs, scratch):
     path = chunks.tokenizer_path(tokenfile.TOKENIZER)
     tokenfile.write_tokens(docs, f"{scratch}/t", path, parts=3)

@@ -25,6 +25,8 @@ from array import array
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space as the tokenizers' patterns know it (Unicode White_Space).
 WS = "\t-\r \x85\xa0  -     　"
@@ -35,6 +37,7 @@ BYTE_LEVEL_CHUNK = re.compile(
     f"|[{WS}]+(?![^{WS}])|[{WS}]+")
 WORD_CHUNK = re.compile(
     f"[{LETTERS}]+(?=[{PUNCT}{WS}]|\\Z)|[{PUNCT}]+(?=[{WS}{LETTERS}]|\\Z)|[^{WS}]+")
+RUN_CHUNKS = re.compile(WORD_CHUNK.pattern + "|\n")
 #: Chunks that are one pre-token for certain and change under no normalisation but lower-casing.
 ONE_PRETOKEN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 CACHE_ENTRIES = 600_000
@@ -76,7 +79,9 @@ class ChunkEncoder:
     def one(self, chunk: str) -> list[int]:
         """Ids of a chunk that is one pre-token, straight from the model."""
         text = chunk.lower() if self.lower else chunk
-        return [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+        if not (self.lower and text.isascii()):  # ASCII letters stand for themselves in the byte-level alphabet
+            text = text.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(text)]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -128,6 +133,56 @@ class ChunkEncoder:
                             for p in self.special.split(text) if p)
         return self._plain(text)
 
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs without ASCII white space."""
+        found = list(map(self.cache.get, runs))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        text = "\n".join([runs[i] for i in missing])
+        if any(mark in text for mark in self.marks):
+            for i in missing:
+                found[i] = self.encode(runs[i])
+            return found
+        for k in range(0, len(missing), STEP):
+            part = missing[k:k + STEP]
+            chunks = RUN_CHUNKS.findall("".join([runs[i] + "\n" for i in part]))
+            self._learn({c for c in chunks if c not in self.cache and c != "\n"})
+            self.cache["\n"] = b""
+            try:
+                ids = list(map(self.cache.__getitem__, chunks))
+            except KeyError:  # the cache was cleared, and some of the known chunks with it
+                ids = [self._join([c]) if c != "\n" else b"" for c in chunks]
+            joined = b"".join(ids)
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            ends = ends[np.fromiter(map("\n".__eq__, chunks), bool, len(chunks))].tolist()
+            for i, a, b in zip(part, [0, *ends], ends):
+                found[i] = joined[a:b]
+        return found
+
+    def encode_column(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, with ``end`` after each text, and how many each text has with it.
+
+        Where the tokenizer drops white space, the column's different runs without ASCII white space are looked up once
+        each, and the ids are put together for the column as a whole.
+        """
+        mark = int(end).to_bytes(self.width, "little")
+        if self.pattern is not WORD_CHUNK or any(re.search(r"\s", m) for m in self.marks) \
+                or (pc.max(pc.binary_length(texts)).as_py() or 0) > LONG_TEXT:
+            each = [self.encode(text.as_py()) + mark for text in texts]
+            return np.frombuffer(b"".join(each), self.dtype), np.array([len(e) // self.width for e in each], np.int64)
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        runs = split.flatten().dictionary_encode()
+        found = self._runs(runs.dictionary.to_numpy(zero_copy_only=False).tolist()) + [mark]
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        begin = np.cumsum(size) - size
+        stops = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)
+        code = np.insert(runs.indices.to_numpy().astype(np.int64), stops, len(found) - 1)
+        many = size[code]
+        ends = np.cumsum(many)
+        at = np.repeat(begin[code] - (ends - many), many)
+        at += np.arange(len(at))
+        return ids[at], np.diff(ends[stops + np.arange(len(stops))], prepend=0)
+
 
 _encoders: dict[tuple, ChunkEncoder] = {}
 

@@ -3,8 +3,9 @@
 A segment of ids is a table and blocks of ``BLOCK`` ids.  The table names the ids of the segment by rank of
 their frequency, with their counts, and primes the models.  A block is coded on its own: models start anew
 from the table and the header has a checksum of the ids.  Blocks are lanes of numpy arrays: each step
-codes one id of every lane, so the interpreter's cost is shared by all lanes.  What few ids need (those a proposal
-knew, entries that stay) is put right on those lanes only, after the step of all.
+codes one id of every lane, so the interpreter's cost is shared by all lanes.  Coding knows all ids beforehand:
+only what depends on the step before (tables, estimates, the weight, the range) is done step by step, all else for
+``STEPS`` steps at a time.  Decoding goes step by step.
 
 Model of an id x after the ids p1 (last) and p2 (the one before), all as ranks:
 
@@ -25,6 +26,7 @@ already put out.  A block has two streams, symbols and order-0 ids.  Ids may be
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
 
 import numpy as np
@@ -32,155 +34,159 @@ import numpy as np
 BLOCK, LANES = 2048, 2048
 MAGIC = b"WTK2"
 HEAD = struct.Struct("<4sIIIII")  # magic, ids, order-0 ids, words of the symbols, words of the ids, crc32
-BITS, TOP, RENORM = np.uint64(12), np.uint64(48), np.uint64(1 << 32)
-W16, W32, MASK48, LOW32 = np.uint64(16), np.uint64(32), np.uint64((1 << 48) - 1), np.uint64((1 << 32) - 1)
-SLOTS = 2048
-#: Targets of the adaptive 3-way cumulative frequencies (out of 4096).
-GOAL_A, GOAL_B = np.array([4032, 32, 32], np.int32), np.array([4064, 4064, 64], np.int32)
-#: Classes of ranks, the bits of their frequencies (of 4096), and of those of the ids in a class.
-CLASSES, CLASS_BITS, ID_BITS = 24, 12, 22
+BITS, ID_BITS = 12, 22  # of the frequencies of symbols and classes, and of the ids in a class
+RENORM, MASK48 = 1 << 32, (1 << 48) - 1
+SLOTS, CONTEXTS = 2048, 16
+#: Targets of the adaptive 3-way cumulative frequencies (out of 4096), both bounds of a symbol in one number, 16 bits each.
+GOALS = np.array([4032 << 16 | 4064, 32 << 16 | 4064, 32 << 16 | 64], np.uint32)
+START, BOTH = 1365 << 16 | 2730, np.uint32(0x0FFF0FFF)
+#: Classes of ranks.
+CLASSES = 24
+#: Steps of all lanes that the coder prepares at a time, and places between the lanes' rows, which else meet in the caches.
+STEPS, GAP = 16, 17
 _i = np.arange(CLASSES)
 GOAL_CLASS = np.where(_i[None, :] >= _i[:, None], 4096 - (CLASSES - 1 - _i)[None, :] * 4, (_i[None, :] + 1) * 4).astype(np.int16)
 TABLE = struct.Struct("<4sII")  # magic, ids, bytes of the packed table
 
 
 class Writer:
+    """The range coders of all lanes."""
+
     def __init__(self, lanes: int, steps: int):
-        self.low = np.zeros(lanes, np.uint64)
-        self.rng = np.full(lanes, MASK48, np.uint64)
-        self.out = np.zeros((lanes, steps + 4), np.uint32)
-        self.pos = np.zeros(lanes, np.int64)
-        self.lane = np.arange(lanes)
-
-    def put(self, cum, freq, bits=BITS) -> None:
-        """Code one symbol in each of the first ``len(cum)`` lanes."""
-        n = len(cum)
+        self.low = np.zeros(lanes, np.int64)
+        self.rng = np.full(lanes, MASK48, np.int64)
+        self.out = np.zeros((lanes, steps + 4), np.uint16)
+        self.flat = self.out.reshape(-1)
+        self.end = np.arange(lanes, dtype=np.int64) * (steps + 4)  # where a lane's next word goes
+
+    def put(self, cum: np.ndarray, freq: np.ndarray, bits) -> None:
+        """Code row after row: a symbol in each of the first lanes; (0, 1 << bits) leaves a lane as it is."""
+        steps, n = cum.shape
         low, rng = self.low[:n], self.rng[:n]
-        r = rng >> bits
-        low += r * cum
-        np.multiply(r, freq, out=rng)
-        over = (low > MASK48).nonzero()[0]
-        if len(over):
-            self.out[over, self.pos[over] - 1] += 1
-            low[over] &= MASK48
-        small = (rng < RENORM).nonzero()[0]
-        if len(small):
-            at, lo = self.pos[small], low[small]
-            self.out[small, at] = lo >> W32
-            self.pos[small] = at + 1
-            low[small] = (lo & LOW32) << W16
-            rng[small] <<= W16
+        high = low.view(np.uint32)[1::2]  # bits 32 to 47 are the next word, bit 48 is the carry
+        tops, small = np.empty((steps, n), np.uint32), np.empty((steps, n), bool)
+        place = np.empty((steps + 1, n), np.int64)  # 16 times as many words as were put out before and in a step
+        place[0] = 0
+        r, shift = np.empty(n, np.int64), np.empty(n, np.int64)
+        for c, f, b, top, less, was, now in zip(cum, freq, bits, tops, small, place, place[1:]):
+            np.right_shift(rng, b, out=r)
+            np.multiply(r, f, out=rng)
+            np.multiply(r, c, out=r)
+            np.add(low, r, out=low)
+            top[:] = high
+            np.less(rng, RENORM, out=less)
+            np.multiply(less, 16, out=shift)
+            np.add(was, shift, out=now)
+            np.left_shift(rng, shift, out=rng)
+            np.left_shift(low, shift, out=low)
+            np.bitwise_and(low, MASK48, out=low)
+        end = self.end[:n]
+        place = place[1:]
+        place >>= 4
+        place += end - 1
+        words, carries = small.reshape(-1).nonzero()[0], (tops > 0xFFFF).reshape(-1).nonzero()[0]
+        end[:] = place[-1] + 1
+        place, small = place.reshape(-1), small.reshape(-1)
+        self.flat[place[words]] = tops.reshape(-1)[words].astype(np.uint16)
+        over = place[carries] - small[carries]  # the last word before the step
+        while len(over):
+            self.flat[over] += 1
+            over = over[self.flat[over] == 0] - 1
 
     def words(self) -> list[bytes]:
         for k in (32, 16, 0):
-            self.out[self.lane, self.pos] = (self.low >> np.uint64(k)) & np.uint64(0xFFFF)
-            self.pos += 1
-        used = int(self.pos.max(initial=0))
-        carry = np.zeros(len(self.pos), np.uint32)
-        for k in range(used - 1, -1, -1):
-            v = self.out[:, k] + carry
-            self.out[:, k] = v & 0xFFFF
-            carry = v >> 16
-        done = self.out.astype("<u2")
-        return [done[i, :p].tobytes() for i, p in enumerate(self.pos)]
+            self.flat[self.end] = (self.low >> k & 0xFFFF).astype(np.uint16)
+            self.end += 1
+        width = self.out.shape[1]
+        return [line[:e - i * width].astype("<u2").tobytes() for i, (line, e) in enumerate(zip(self.out, self.end.tolist()))]
 
 
 class Reader:
     def __init__(self, streams: list[bytes]):
         n = len(streams)
-        self.n_words = np.array([len(s) // 2 for s in streams], np.int64)
-        self.data = np.zeros((n, int(self.n_words.max(initial=0)) + 4), np.uint16)
-        for i, s in enumerate(streams):
-            self.data[i, :len(s) // 2] = np.frombuffer(s, "<u2")
-        d = self.data.astype(np.uint64) if n == 0 else self.data[:, :3].astype(np.uint64)
-        self.dif = (d[:, 0] << np.uint64(32)) | (d[:, 1] << W16) | d[:, 2]
-        self.rng = np.full(n, MASK48, np.uint64)
+        self.data = np.zeros((n, max((len(s) // 2 for s in streams), default=0) + 4), np.uint16)
+        for line, s in zip(self.data, streams):
+            line[:len(s) // 2] = np.frombuffer(s, "<u2")
+        d = self.data[:, :3].astype(np.int64)
+        self.dif = d[:, 0] << 32 | d[:, 1] << 16 | d[:, 2]
+        self.rng = np.full(n, MASK48, np.int64)
         self.flat = self.data.reshape(-1)
         self.pos = np.arange(n, dtype=np.int64) * self.data.shape[1] + 3
 
-    def step(self, n: int, bits=BITS):
-        """Width of one count of the next symbol in the first ``n`` lanes."""
-        return self.rng[:n] >> bits
-
-    def took(self, r, cum, freq) -> None:
-        n = len(r)
-        dif, rng = self.dif[:n], self.rng[:n]
-        dif -= r * cum
-        np.multiply(r, freq, out=rng)
-        small = (rng < RENORM).nonzero()[0]
+    def renorm(self, n: int) -> None:
+        small = (self.rng[:n] < RENORM).nonzero()[0]
         if len(small):
             at = self.pos[small]
-            dif[small] = (dif[small] << W16) | self.flat[at]
-            rng[small] <<= W16
+            self.dif[small] = self.dif[small] << 16 | self.flat.take(at, mode="clip")
+            self.rng[small] <<= 16
             self.pos[small] = at + 1
 
 
 class Proposals:
-    """Order-1 and order-2 tables, confidences and the mix; the same steps in coding and decoding."""
-
-    def __init__(self, lanes: int):
-        self.t1 = np.zeros(lanes * SLOTS, np.int32)  # id * 4 + confidence
-        self.t2 = np.zeros(lanes * SLOTS, np.int32)
-        self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.est = [np.full(lanes * 16, 1365 << 16 | 2730, np.int32) for _ in range(2)]  # the two bounds, 16 bits each
-        self.ebase = np.arange(lanes, dtype=np.int64) * 16
-        self.weight = np.full(lanes, 8, np.int32)
-        self.last = np.full(lanes, 2, np.int64)
-        self.p1 = np.zeros(lanes, np.int64)
-        self.p2 = np.zeros(lanes, np.int64)
-
-    def propose(self, n: int):
-        """c2, c1 and the cumulative frequencies a, b of the symbol's first two values."""
-        hashed = self.p1[:n] * 40503
-        self.i1 = (hashed >> 4 & (SLOTS - 1)) + self.base[:n]
-        hashed += self.p2[:n] * 60493
-        self.i2 = (hashed >> 5 & (SLOTS - 1)) + self.base[:n]
-        v1, v2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        c1, c2 = v1 >> 2, v2 >> 2
-        self.v1, self.v2, self.s1, self.s2 = v1, v2, v1 & 3, v2 & 3
-        self.k1 = self.s2 * 2 + (c1 == c2) + self.ebase[:n]
-        self.k2 = self.s1 * 3 + self.last[:n] + self.ebase[:n]
-        e1, e2 = self.est[0].take(self.k1), self.est[1].take(self.k2)
-        self.a1, self.b1, self.a2, self.b2 = e1 >> 16, e1 & 0xFFFF, e2 >> 16, e2 & 0xFFFF
-        w = self.weight[:n]
-        return (c2, c1, (self.a1 - self.a2) * w + (self.a2 << 4) >> 4, (self.b1 - self.b2) * w + (self.b2 << 4) >> 4)
-
-    def learn(self, x, symbol, known, hit2, hit1) -> None:
-        """Take in ``x``; ``known`` are the lanes whose symbol is not 2, ``hit2`` and ``hit1`` say which proposals were right."""
-        n = len(x)
-        a1, b1, a2, b2 = self.a1, self.b1, self.a2, self.b2
-        # weight: towards the estimate that gave the symbol more room
-        more = b2 - b1
-        if len(known):
-            more[known] = np.where(symbol[known] == 0, a1[known] - a2[known], (b1 - a1 - b2 + a2)[known])
-        w = self.weight[:n]
-        w += np.sign(more)
-        np.minimum(np.maximum(w, 1, out=w), 15, out=w)
-        goal_a, goal_b = GOAL_A.take(symbol), GOAL_B.take(symbol)
-        for est, k, a, b in ((self.est[0], self.k1, a1, b1), (self.est[1], self.k2, a2, b2)):
-            est[k] = (((goal_a - a) >> 4) + a << 16) + ((goal_b - b) >> 4) + b
-        fresh = (x << 2).astype(np.int32)
-        for t, i, v, sure, hit in ((self.t1, self.i1, self.v1, self.s1, hit1), (self.t2, self.i2, self.v2, self.s2, hit2)):
-            old = (hit | (sure > 0)).nonzero()[0]  # right, or sure enough to stay
-            if len(old):
-                new = fresh.copy()
-                new[old] = np.where(hit[old], v[old] + (sure[old] < 3), v[old] - 1)
-                t[i] = new
-            else:
-                t[i] = fresh
-        self.last[:n] = symbol
-        self.p2[:n] = self.p1[:n]
-        self.p1[:n] = x
+    """Order-1 and order-2 tables and the estimates, each as two rows: of all lanes by order 1, then by order 2.
 
+    Tables hold id * 4 + confidence; an estimate holds both bounds, which stay below 4096, so that sums of 16 parts
+    of them fit 16 bits each and one number does for both.
+    """
 
-def bounds(symbol, known, a, b):
-    """Lower bound and frequency of the symbols; ``known`` are the lanes whose symbol is not 2."""
-    lo, freq = b.astype(np.uint64), (4096 - b).astype(np.uint64)
+    def __init__(self, lanes: int):
+        lane = np.arange(lanes, dtype=np.int64)
+        # lanes lie side by side, as many of them use the same few slots and contexts
+        self.table = np.zeros(2 * lanes * SLOTS, np.int32)
+        self.base = np.stack([lane, lane + lanes * SLOTS])
+        self.est = np.full(2 * lanes * CONTEXTS, START, np.uint32)  # by order-2 confidence, then by order-1 confidence
+        self.ebase = np.stack([lane, lane + lanes * CONTEXTS])
+        self.weight = np.full(lanes, 8, np.int8)
+        self.last = np.full(lanes, 2, np.uint8)
+
+    def learn_id(self, at, v, fresh) -> None:
+        """Take in an id (as ``fresh``, id * 4) where ``v`` stood: it stays if right, or if sure enough."""
+        d = v ^ fresh  # the confidence if the id is right, else more than 3
+        stay = ((v & 3) > 0) | (d < 4)
+        self.table[at] = np.where(stay, v + np.sign(3 - d), fresh)
+
+    def learn_symbol(self, k, e, goal) -> None:
+        """Move the estimates ``e`` by a 16th towards the goal."""
+        e = e * np.uint32(15)
+        e += goal
+        e >>= 4
+        e &= BOTH
+        self.est[k] = e
+
+    def learn_weight(self, towards) -> None:
+        self.weight += towards
+        np.maximum(self.weight, 1, out=self.weight)
+        np.minimum(self.weight, 15, out=self.weight)
+
+
+def slots(h1, h2):
+    """Slots of the tables after the ids with hashes ``h1`` (last) and ``h2`` (the one before)."""
+    return h1 >> 4 & (SLOTS - 1), (h1 + h2) >> 5
+
+
+def hashes(x):
+    x = x.astype(np.uint16)
+    return x * np.uint16(40503), x * np.uint16(60493)
+
+
+def mixed(e, e2, weight):
+    """The bounds a, b that the estimates give by the weight of the first; ``e`` is the first less the second."""
+    m = e * weight
+    m += e2 << 4
+    return m >> 20, m >> 4 & 0xFFF
+
+
+def towards(e, symbol, known):
+    """1 where the first estimate gave the symbol more room, -1 where the second did; ``known`` are those that are not 2."""
+    halves = e.view(np.int16)
+    b = halves[1::2] if sys.byteorder == "big" else halves[::2]
+    a = halves[::2] if sys.byteorder == "big" else halves[1::2]
+    more = -b
     if len(known):
-        first, a, b = symbol[known] == 0, a[known], b[known]
-        lo[known] = np.where(first, 0, a)
-        freq[known] = np.where(first, a, b - a)
-    return lo, freq
+        second, a, b = symbol[known] > 0, a[known], b[known]
+        a = a + (b < 0)  # what the lower half borrowed
+        more[known] = np.where(second, b - a, a)
+    return np.sign(more).astype(np.int8)
 
 
 def class_of(rank: np.ndarray) -> np.ndarray:
@@ -217,7 +223,7 @@ class Table:
         self.cum = before - (before[starts][self.classes] if n else 0)
         self.keys = self.classes.astype(np.int64) << ID_BITS | self.cum
         self.prime = np.cumsum(shares(per_class, 4096)).astype(np.int16)
-        self.ucum, self.ufreq = self.cum.astype(np.uint64), freq.astype(np.uint64)
+        self.last, self.starts = int(self.classes[-1]) if n else 0, None
 
     @classmethod
     def of(cls, ids: np.ndarray) -> tuple[Table, np.ndarray]:
@@ -240,6 +246,25 @@ class Table:
         place[known] = rank
         return table, place[at]
 
+    def find(self, symbol: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The rank, in its class, of the id that holds the count ``v``."""
+        if self.last > 15:  # the parts would be too many
+            return np.searchsorted(self.keys, symbol << ID_BITS | v, side="right") - 1
+        if self.starts is None:  # the rank at the start of each of 2, 4, 8 ... equal parts of a class
+            c = np.arange(self.last + 1).repeat(2 << np.arange(self.last + 1))
+            part = np.arange(2, 4 << self.last) - (2 << c)
+            self.starts = np.append([0, 0], np.searchsorted(self.keys, c << ID_BITS | part << ID_BITS - 1 - c, side="right") - 1)
+            self.ends = np.append(self.keys[1:], 1 << 62)
+        rank = self.starts.take((2 << symbol) + (v >> ID_BITS - 1 - symbol), mode="clip")
+        key = symbol << ID_BITS | v
+        late = (self.ends.take(rank) <= key).nonzero()[0]
+        if len(late):  # the next one most often
+            at, key = rank[late] + 1, key[late]
+            far = (self.ends.take(at, mode="clip") <= key).nonzero()[0]
+            at[far] = np.searchsorted(self.keys, key[far], side="right") - 1
+            rank[late] = at
+        return rank
+
     def pack(self) -> bytes:
         steps = np.diff(self.ids.astype(np.int64), prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4)
         counts = self.counts.astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -273,50 +298,83 @@ class Order0:
 
     def __init__(self, lanes: int, table: Table):
         self.table = table
-        self.up = np.tile(table.prime, (lanes * CLASSES, 1))
+        # classes above the segment's last one are never coded, and no bound depends on another
+        self.width = next(w for w in (8, 16, CLASSES) if w > table.last)
+        self.goal = np.ascontiguousarray(GOAL_CLASS[:, :self.width])
+        self.up = np.tile(table.prime[:self.width], (lanes * (table.last + 1), 1))
         self.flat = self.up.reshape(-1)
-        self.base = np.arange(lanes, dtype=np.int64) * CLASSES
+        # rows in pieces as large as numpy puts in place one by one
+        self.cells = self.flat.view(np.complex128).reshape(-1, self.width // 8)
+        self.lane, self.lanes = np.arange(lanes, dtype=np.int64), lanes
         self.last = np.zeros(lanes, np.int64)
 
-    def _bounds(self, k, symbol):
-        """Lower and upper cumulative frequency; what stands before a row's first bound is a row's last, 4096."""
-        at = k * CLASSES + symbol
-        return np.take(self.flat, at - 1, mode="wrap") & 4095, np.take(self.flat, at)
-
-    def _learn(self, k, rows, symbol) -> None:
-        goal = np.take(GOAL_CLASS, symbol, axis=0)
+    def learn(self, k, symbol, rows=None) -> None:
+        rows = self.up.take(k, axis=0) if rows is None else rows
+        goal = self.goal.take(symbol, axis=0)
         goal -= rows
         goal >>= 5
         goal += rows
-        self.up[k] = goal
-        self.last[:len(symbol)] = symbol
-
-    def encode(self, writer: Writer, rank) -> None:
-        n, t = len(rank), self.table
-        symbol = t.classes.take(rank)
-        k = self.base[:n] + self.last[:n]
-        lo, hi = self._bounds(k, symbol)
-        writer.put(lo.astype(np.uint64), (hi - lo).astype(np.uint64))
-        self._learn(k, np.take(self.up, k, axis=0), symbol)
-        writer.put(t.ucum.take(rank), t.ufreq.take(rank), np.uint64(ID_BITS))
+        cells = goal.reshape(-1).view(np.complex128).reshape(-1, self.width // 8)
+        for i in range(self.width // 8):
+            self.cells[:, i][k] = cells[:, i]
+
+    def encode(self, writer: Writer, rank, there) -> None:
+        """Code rows of ranks one after the other, where there are any."""
+        t, (steps, n) = self.table, rank.shape
+        symbols = t.classes.take(rank).astype(np.int64)
+        before = np.concatenate([self.last[None, :n], symbols[:-1]])
+        self.last[:n] = symbols[-1]
+        before *= self.lanes
+        before += self.lane[:n]
+        at = before * self.width
+        at += symbols
+        cum, freq = np.empty((steps, 2, n), np.int64), np.empty((steps, 2, n), np.int64)
+        for j in range(steps):
+            cum[j, 0] = self.flat.take(at[j] - 1, mode="clip")
+            freq[j, 0] = self.flat.take(at[j])
+            self.learn(before[j], symbols[j])
+        cum[:, 0] *= symbols > 0  # the first class begins at 0
+        freq[:, 0] -= cum[:, 0]
+        cum[:, 1], freq[:, 1] = t.cum.take(rank), t.freq.take(rank)
+        none = ~there
+        if none.any():
+            for i, bits in enumerate((BITS, ID_BITS)):
+                cum[:, i][none], freq[:, i][none] = 0, 1 << bits
+        writer.put(cum.reshape(2 * steps, n), freq.reshape(2 * steps, n), (BITS, ID_BITS) * steps)
 
     def decode(self, reader: Reader, n: int):
         t = self.table
-        k = self.base[:n] + self.last[:n]
-        rows = np.take(self.up, k, axis=0)
-        r = reader.step(n)
-        v = np.minimum(reader.dif[:n] // r, 4095).astype(np.int16)
-        symbol = np.count_nonzero(rows <= v[:, None], axis=1)
-        lo, hi = self._bounds(k, symbol)
-        reader.took(r, lo.astype(np.uint64), (hi - lo).astype(np.uint64))
-        self._learn(k, rows, symbol)
-        r = reader.step(n, np.uint64(ID_BITS))
-        v = np.minimum(reader.dif[:n] // r, (1 << ID_BITS) - 1).astype(np.int64)
-        rank = np.searchsorted(t.keys, symbol << ID_BITS | v, side="right") - 1
-        reader.took(r, t.ucum.take(rank), t.ufreq.take(rank))
+        dif, rng = reader.dif[:n], reader.rng[:n]
+        k = self.last[:n] * self.lanes + self.lane[:n]
+        rows = self.up.take(k, axis=0)
+        r = rng >> BITS
+        v = np.minimum(quotient(dif, r), 4095).astype(np.int16)
+        ones = np.bitwise_count((rows <= v[:, None]).view(np.uint64))
+        symbol = ones[:, 0].astype(np.int64)
+        for i in range(1, ones.shape[1]):
+            symbol += ones[:, i]
+        np.minimum(symbol, t.last, out=symbol)
+        at = k * self.width + symbol
+        lo = self.flat.take(at - 1, mode="clip").astype(np.int64)
+        lo *= symbol > 0
+        dif -= r * lo
+        np.multiply(r, self.flat.take(at) - lo, out=rng)
+        reader.renorm(n)
+        self.learn(k, symbol, rows)
+        self.last[:n] = symbol
+        r = rng >> ID_BITS
+        rank = t.find(symbol, np.minimum(quotient(dif, r), (1 << ID_BITS) - 1))
+        dif -= r * t.cum.take(rank)
+        np.multiply(r, t.freq.take(rank), out=rng)
+        reader.renorm(n)
         return rank
 
 
+def quotient(dif, r):
+    """``dif // r`` of numbers below 1 << 48 by floats, which hold them and their quotients' distance to the next number."""
+    return (dif / r).astype(np.int64)
+
+
 def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     """Code a segment of ids: its table, then blocks of ``block`` ids; all are full but perhaps the last."""
     total = len(ids)
@@ -324,38 +382,69 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     if not lanes:
         return []
     table, ranks = Table.of(ids)
-    padded = np.zeros(lanes * block, np.int64)
-    padded[:total] = ranks
-    x = np.ascontiguousarray(padded.reshape(lanes, block).T)
-    del padded, ranks
+    by_lane = np.zeros((lanes, block + GAP), np.int32)
+    by_lane[:-1, :block] = ranks[:(lanes - 1) * block].reshape(lanes - 1, block)
+    by_lane[-1, :total - (lanes - 1) * block] = ranks[(lanes - 1) * block:]
+    del ranks
     short = total - (lanes - 1) * block  # ids in the last lane
-    writer, model = Writer(lanes, block), Proposals(lanes)
-    symbols = np.full((block, lanes), 3, np.int8)
-    for t in range(block if lanes > 1 else short):
-        n = lanes if t < short else lanes - 1
-        now = x[t, :n]
-        c2, c1, a, b = model.propose(n)
-        hit2, hit1 = c2 == now, c1 == now
-        symbol = np.full(n, 2)
-        known = (hit2 | hit1).nonzero()[0]
-        symbol[known] = np.where(hit2[known], 0, 1)
-        writer.put(*bounds(symbol, known, a, b))
-        model.learn(now, symbol, known, hit2, hit1)
-        symbols[t, :n] = symbol
+    steps = block if lanes > 1 else short
+    writer, model = Writer(lanes, steps), Proposals(lanes)
+    rest = np.zeros((lanes, block + GAP), bool)  # ids that neither proposal knew
+    h1, h2 = np.zeros((STEPS + 1, lanes), np.uint16), np.zeros((STEPS + 2, lanes), np.uint16)  # of the ids before
+    for t in range(0, steps, STEPS):
+        now = np.ascontiguousarray(by_lane[:, t:min(t + STEPS, steps)].T)
+        m = len(now)
+        h1[1:m + 1], h2[2:m + 2] = hashes(now)
+        at = np.empty((m, 2, lanes), np.int64)
+        at[:, 0], at[:, 1] = slots(h1[:m], h2[:m])
+        h1[0], h2[:2] = h1[m], h2[m:m + 2].copy()
+        at *= lanes
+        at += model.base
+        fresh = now << 2
+        v = np.empty((m, 2, lanes), np.int32)
+        for j in range(m):
+            model.table.take(at[j], out=v[j], mode="clip")
+            model.learn_id(at[j], v[j], fresh[j])
+        hit = (v ^ fresh[:, None]) < 4
+        symbol = 2 - (hit[:, 0] | hit[:, 1]).view(np.uint8) - hit[:, 1].view(np.uint8)
+        k = np.empty((m, 2, lanes), np.int64)
+        k[:, 0] = (v[:, 1] & 3) * 2 + ((v[:, 0] ^ v[:, 1]) < 4)
+        k[:, 1] = (v[:, 0] & 3) * 3 + np.concatenate([model.last[None], symbol[:-1]])
+        model.last[:] = symbol[-1]
+        k *= lanes
+        k += model.ebase
+        e = np.empty((m, 2, lanes), np.uint32)
+        goal = GOALS.take(symbol)
+        for j in range(m):
+            model.est.take(k[j], out=e[j], mode="clip")
+            model.learn_symbol(k[j], e[j], goal[j])
+        diff, weight = e[:, 0] - e[:, 1], np.empty((m, lanes), np.int8)
+        flat = symbol.reshape(-1)
+        move = towards(diff.reshape(-1), flat, (flat < 2).nonzero()[0]).reshape(m, lanes)
+        for j in range(m):
+            weight[j] = model.weight
+            model.learn_weight(move[j])
+        a, b = mixed(diff, e[:, 1], weight.astype(np.uint32))
+        cum = np.where(symbol == 2, b, np.where(symbol == 1, a, 0)).astype(np.int64)
+        freq = np.where(symbol == 2, 4096, np.where(symbol == 1, b, a)).astype(np.int64) - cum
+        if t + m > short:
+            past = max(short - t, 0)
+            cum[past:, -1], freq[past:, -1], symbol[past:, -1] = 0, 4096, 3
+        writer.put(cum, freq, (BITS,) * m)
+        rest[:, t:t + m] = (symbol == 2).T
     first = writer.words()
-    rest = symbols == 2
-    many = rest.sum(axis=0)
-    table = Table(table.ids, rounded(np.bincount(x[rest], minlength=len(table.ids))))
+    many = rest.sum(axis=1)
+    left = by_lane[rest]  # lane by lane
+    del by_lane, writer, model, rest
+    table = Table(table.ids, rounded(np.bincount(left, minlength=len(table.ids))))
     order = np.argsort(-many, kind="stable")  # lanes with most order-0 ids first, so that the active ones are a prefix
     depth = int(many.max())
-    left = np.zeros((depth, lanes), np.int64)
-    lane, t = np.nonzero(rest[:, order].T)
-    place = np.arange(len(lane)) - np.repeat(np.cumsum(many[order]) - many[order], many[order])
-    left[place, lane] = x[t, order[lane]]
-    writer, zero = Writer(lanes, 3 * depth), Order0(lanes, table)
-    active = np.searchsorted(-many[order], -np.arange(depth), side="left")
-    for j in range(depth):
-        zero.encode(writer, left[j, :active[j]])
+    starts, counts = (np.cumsum(many) - many)[order], many[order]
+    writer, zero = Writer(lanes, 2 * depth), Order0(lanes, table)
+    for j in range(0, depth, STEPS):
+        n = int(np.searchsorted(-counts, -j, side="left"))
+        nth = np.arange(j, min(j + STEPS, depth))[:, None]
+        zero.encode(writer, left.take(starts[:n] + nth, mode="clip"), nth < counts[:n])
     second = writer.words()
     back = np.argsort(order)
     out = [table.pack()]
@@ -393,38 +482,70 @@ def decode_blocks(payload: bytes) -> np.ndarray:
     lanes, block = len(found), int(sizes.max())
     order = np.argsort(-many, kind="stable")
     depth = int(many.max())
-    left = np.zeros((depth + 1, lanes), np.int64)
+    left = np.zeros(lanes * (depth + GAP), np.int32)  # lane by lane
     reader, zero = Reader([found[i][3] for i in order]), Order0(lanes, table)
     active = np.searchsorted(-many[order], -np.arange(depth), side="left")
+    starts = np.arange(lanes) * (depth + GAP)
     for j in range(depth):
-        left[j, :active[j]] = zero.decode(reader, int(active[j]))
-    left = left[:, np.argsort(order)]
+        n = int(active[j])
+        left[starts[:n] + j] = zero.decode(reader, n)
 
     by_size = np.argsort(-sizes, kind="stable")
+    taken = starts[np.argsort(order)[by_size]]
     reader, model = Reader([found[i][2] for i in by_size]), Proposals(lanes)
-    flat = np.ascontiguousarray(left[:, by_size].T).reshape(-1)  # lane by lane
-    taken = np.arange(lanes) * (depth + 1)
-    x = np.zeros((block, lanes), np.int64)
+    x = np.zeros((lanes, block + GAP), np.int32)
+    out, place = x.reshape(-1), by_size * (block + GAP)
     active = np.searchsorted(-sizes[by_size], -np.arange(block), side="left")
+    h1 = h2 = second_last = np.zeros(lanes, np.uint16)
+    at, k = np.empty((2, lanes), np.int64), np.empty((2, lanes), np.int64)
     for t in range(block):
         n = int(active[t])
-        c2, c1, a, b = model.propose(n)
-        r = reader.step(n)
-        dif = reader.dif[:n]
-        symbol = (dif >= r * a.astype(np.uint64)).astype(np.int64) + (dif >= r * b.astype(np.uint64))
+        if n < at.shape[1]:  # some blocks have ended
+            at, k, h1, h2, second_last = at[:, :n].copy(), k[:, :n].copy(), h1[:n], h2[:n], second_last[:n]
+            model.base, model.ebase, model.weight, model.last = \
+                model.base[:, :n], model.ebase[:, :n], model.weight[:n], model.last[:n]
+        at[0], at[1] = slots(h1, h2)
+        at *= lanes
+        at += model.base
+        v = model.table.take(at)
+        sure = v & 3
+        k[0] = sure[1] * 2 + ((v[0] ^ v[1]) < 4)
+        k[1] = sure[0] * 3 + model.last
+        k *= lanes
+        k += model.ebase
+        e = model.est.take(k)
+        diff = e[0] - e[1]
+        a, b = mixed(diff, e[1], model.weight.astype(np.uint32))
+        dif, rng = reader.dif[:n], reader.rng[:n]
+        r = rng >> BITS
+        a, b = r * a, r * b  # as numbers of the range from here on
+        symbol = (dif >= a).view(np.uint8) + (dif >= b)
         known = (symbol < 2).nonzero()[0]
-        reader.took(r, *bounds(symbol, known, a, b))
-        now = flat.take(taken[:n])
+        r <<= BITS
+        width = r - b
+        low = b
+        now = left.take(taken[:n], mode="clip")
         taken[:n] += 1
         if len(known):
-            now[known] = np.where(symbol[known] == 0, c2[known], c1[known])
+            second = symbol[known] > 0
+            below, upto = a[known], b[known]
+            width[known] = np.where(second, upto - below, below)
+            low[known] = np.where(second, below, 0)
+            now[known] = v[1 - second.view(np.int8), known] >> 2
             taken[known] -= 1
-        model.learn(now, symbol, known, c2 == now, c1 == now)
-        x[t, :n] = now
-    x = table.ids[np.ascontiguousarray(x[:, np.argsort(by_size)].T)]
+        dif -= low
+        rng[:] = width
+        reader.renorm(n)
+        model.learn_id(at, v, now << 2)
+        model.learn_symbol(k, e, GOALS.take(symbol))
+        model.learn_weight(towards(diff, symbol, known))
+        model.last = symbol
+        h2 = second_last
+        h1, second_last = hashes(now)
+        out[place[:n] + t] = now
     parts = []
     for i, (n, _, _, _, crc) in enumerate(found):
-        part = x[i, :n]
+        part = table.ids.take(x[i, :n])
         if zlib.crc32(part.astype("<u4").tobytes()) != crc:
             raise ValueError(f"checksum of block {i} does not match")
         parts.append(part)

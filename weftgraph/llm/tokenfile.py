@@ -42,38 +42,38 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     """Tokenise, append the end id to each document and write the file at ``path``."""
     spark = docs.sparkSession
     prepare_workers(spark)
-    end = int(end_id).to_bytes(4, "little")
     room = BLOCK * LANES
 
     def code(batches):
         enc, part, segment = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        held: list[bytes] = []
-        size, doc_ids, doc_lengths = 0, [], []
+        held, size, doc_ids, doc_lengths = [], 0, [], []
+        open_ids = 0  # of those held, ids of a document that began in an earlier segment
 
-        def row(ids: bytes):
+        def row(ids: np.ndarray, docs: int):
             nonlocal segment, doc_ids, doc_lengths
-            a = np.frombuffer(ids, "<u4")
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(a)], pa.int64()),
-                 pa.array([b"".join(encode_blocks(a))], pa.binary()), pa.array([doc_ids], pa.list_(pa.int64())),
-                 pa.array([doc_lengths], pa.list_(pa.int64()))],
+                [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(ids)], pa.int64()),
+                 pa.array([b"".join(encode_blocks(ids))], pa.binary()), pa.array([doc_ids[:docs]], pa.list_(pa.int64())),
+                 pa.array([doc_lengths[:docs]], pa.list_(pa.int64()))],
                 ["part", "segment", "n_ids", "payload", "doc_ids", "doc_lengths"])
-            segment, doc_ids, doc_lengths = segment + 1, [], []
+            segment, doc_ids, doc_lengths = segment + 1, doc_ids[docs:], doc_lengths[docs:]
             return out
 
         for batch in batches:
-            for doc, tx in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc.encode(tx.as_py()) + end
-                doc_ids.append(doc)
-                doc_lengths.append(len(ids) // 4)
-                held.append(ids)
-                size += len(ids) // 4
-                while size >= room:
-                    joined = b"".join(held)
-                    yield row(joined[:4 * room])
-                    held, size = [joined[4 * room:]], size - room
+            ids, lengths = enc.encode_column(batch.column(1), end_id)
+            doc_ids += batch.column(0).to_pylist()
+            doc_lengths += lengths.tolist()
+            held.append(ids)
+            size += len(ids)
+            while size >= room:
+                joined = np.concatenate(held)
+                ends = open_ids + np.cumsum(doc_lengths, dtype=np.int64)
+                docs = int(np.searchsorted(ends, room)) + 1 if open_ids < room else 0
+                open_ids = int(ends[docs - 1] if docs else open_ids) - room
+                held, size = [joined[room:]], size - room
+                yield row(joined[:room], docs)
         if size or doc_ids:
-            yield row(b"".join(held))
+            yield row(np.concatenate(held), len(doc_ids))
 
     docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
         .repartitionByRange(parts or shuffle_partitions(spark), F.col("doc_id").asc_nulls_first()) \

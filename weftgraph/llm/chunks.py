@@ -145,12 +145,12 @@ class ChunkEncoder:
         for k in range(0, len(missing), STEP):
             part = missing[k:k + STEP]
             chunks = RUN_CHUNKS.findall("".join([runs[i] + "\n" for i in part]))
-            self._learn({c for c in chunks if c not in self.cache and c != "\n"})
             self.cache["\n"] = b""
-            try:
-                ids = list(map(self.cache.__getitem__, chunks))
-            except KeyError:  # the cache was cleared, and some of the known chunks with it
-                ids = [self._join([c]) if c != "\n" else b"" for c in chunks]
+            ids = list(map(self.cache.get, chunks))
+            new = {c for c, known in zip(chunks, ids) if known is None}
+            if new:
+                self._learn(new)
+                ids = [self.cache[c] if known is None else known for c, known in zip(chunks, ids)]
             joined = b"".join(ids)
             ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
             ends = ends[np.fromiter(map("\n".__eq__, chunks), bool, len(chunks))].tolist()
